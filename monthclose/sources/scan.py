@@ -145,7 +145,9 @@ def _width(spark: SparkSession, sample: str, sep: str) -> int:
 
 
 def _header_names(spark, spec, path, sample, sep) -> tuple[str, ...]:
-    encoding = spec.encoding or _file_encodings(spark, [path])[path]
+    encoding = spec.encoding or "utf-8"
+    if not spec.encoding and "cp949" in _file_encodings(spark, [path]).values():
+        encoding = "cp949"
     head = raw_lines(spark, [path], spread=False).limit(1)
     fields = delimited.raw_fields(F.col("value"), sep)
     row = decode_lines(head, encoding).select(
@@ -168,23 +170,23 @@ def _parts(spark, spec, paths, lines):
     if spec.encoding or spec.multi:
         return [(lines, spec.encoding or "utf-8")]
     encodings = _file_encodings(spark, paths)
-    if len(set(encodings.values())) == 1:
-        return [(lines, next(iter(encodings.values())))]
-    out = []
-    for encoding in sorted(set(encodings.values())):
-        names = [p.rsplit("/", 1)[-1] for p, e in encodings.items() if e == encoding]
-        out.append((lines.where(F.col("file").isin(names)), encoding))
-    return out
+    korean = sorted(name for name, encoding in encodings.items() if encoding == "cp949")
+    if not korean:
+        return [(lines, "utf-8")]
+    if len(korean) == len(encodings):
+        return [(lines, "cp949")]
+    # A filter on the file name prunes the listing, so each part opens its own files only.
+    is_korean = F.col("file").isin(korean)
+    return [(lines.where(is_korean), "cp949"), (lines.where(~is_korean), "utf-8")]
 
 
 def _file_encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Encoding per path. The result has one small row per file; the reading is distributed."""
-    found = {
-        row["file"]: row["encoding"]
-        for row in profile_encodings(raw_lines(spark, paths, spread=False)).collect()
-    }
-    # A file without lines has no row; it has nothing to decode either.
-    return {p: found.get(p.rsplit("/", 1)[-1], "utf-8") for p in paths}
+    """Encoding per file name. The result has one small row per file; the reading is distributed.
+
+    A file without lines has no row; it has nothing to decode either.
+    """
+    profile = profile_encodings(raw_lines(spark, paths, spread=False))
+    return {row["file"]: row["encoding"] for row in profile.collect()}
 
 
 def preview(df: DataFrame, n: int = 5) -> tuple[int, list[str], list]:
