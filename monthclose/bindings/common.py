@@ -174,3 +174,15 @@ COVERAGE_SQL = """select strftime(l_shipdate, '%Y%m') as CLS_YYMM,
 
 def money_sql(column: str) -> str:
     return f"cast(sum(cast({column} as decimal(28,4))) as double)"
+
+
+def fixed_line(layout, values: dict[str, Column]) -> Column:
+    """A fixed-width ASCII line: each value padded to its field, blanks in between."""
+    pieces, at = [], 0
+    for (start, end), name in layout:
+        if start > at:
+            pieces.append(F.lit(" " * (start - at)))
+        value = text(values[name]) if name in values else F.lit("")
+        pieces.append(F.rpad(value, end - start, " "))
+        at = end
+    return F.concat(*pieces)

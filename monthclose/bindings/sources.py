@@ -231,6 +231,46 @@ def s10_gzip(spark, sf):
     return _compressed(spark, sf, "s10", "orders.dat.gz", "gzip")
 
 
+def s10_zip(spark, sf):
+    """Zip archives, of which only the first member counts; one archive per task."""
+    folder = work_dir(spark, "s10z")
+    with charset_settings(spark):
+        lines = _orders(spark, sf).select(encoded(_pipe_line(), "cp949").alias("value"))
+    lines.repartition(4).mapInArrow(_write_archive(folder), "written bigint").count()
+    spec = _spec(
+        "pipe", "orders_*.zip", cols=_PIPE_COLS, numeric=["amt"], bigint=["k"], multi=True,
+        encoding="cp949",
+    )
+    return _scan(spark, folder, spec)
+
+
+def _write_archive(folder):
+    """Write the lines of a task into one archive, followed by a second member."""
+    def write(batches):
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        name = f"{folder}/orders_{TaskContext.get().partitionId()}.zip"
+        if "://" in name or name.startswith("file:"):
+            system, path = fs.FileSystem.from_uri(name)
+        else:
+            system, path = fs.LocalFileSystem(), name
+        written = 0
+        with system.open_output_stream(path) as out, zipfile.ZipFile(out, "w") as archive:
+            with archive.open("orders.dat", "w") as member:
+                for batch in batches:
+                    for line in batch.column("value").to_pylist():
+                        member.write(line + b"\n")
+                        written += 1
+            archive.writestr("other.dat", "not|read\n")
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["written"])
+
+    return write
+
+
 def _two_encodings(spark, sf, label):
     """The same lines twice: one file in cp949 and one in UTF-8, as one task writes one file."""
     folder = work_dir(spark, label)
@@ -397,6 +437,7 @@ ORACLE = {
         from (select *, try_cast(s as double) as d from (select o_orderkey as k,
         {_damaged_sql()} as s from orders) x) y""",
     "s10_gzip": _PIPE_SQL,
+    "s10_zip": _PIPE_SQL,
     "s11_encoding_profile": """select 'cp949' as encoding, count(*) as line_count,
         count(*) as invalid_lines from orders
         union all select 'utf-8', count(*), 0 from orders""",

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from monthclose.functions.casts import month_text
 from monthclose.functions.months import fill_params
 from monthclose.sources import files
+from monthclose.sources.delimited import BAD
 from monthclose.sources.jdbc import read_text
 
 MONTHS, NEW = "__months", "__new"
@@ -79,17 +80,28 @@ class MonthStore:
     # -- writing -------------------------------------------------------------------------------
 
     def load_month(
-        self, table: str, df: DataFrame, month_col: str, month: str | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        month_col: str,
+        month: str | None = None,
+        many_months: bool = False,
     ) -> dict[str, int]:
         """Replace a month: drop its old rows and add all rows of ``df``, other months included.
 
         Rows of other months are added to what is there, and a month with no new rows is emptied.
         Columns are matched by position. Returns what was counted during the write.
+
+        An extract of one month is written by the tasks that read it, without an exchange. With
+        ``many_months`` rows are first brought together by month, so that not every task writes a file
+        for every month; the rebalancing splits a month that is too large for one task.
         """
         month = month or self.month
         physical = table + MONTHS
         ym = F.substring(month_text(F.col(f"`{month_col}`"), dict(df.dtypes)[month_col]), 1, 6)
         tagged = df.select("*", ym.alias(YM), F.lit(uuid.uuid4().hex[:12]).alias(LOAD))
+        if many_months:
+            tagged = tagged.hint("rebalance", YM)
         if not self.exists(physical):
             self.drop(table)
             self._create_months(table, tagged)
@@ -105,12 +117,13 @@ class MonthStore:
     def _create_months(self, table: str, tagged: DataFrame) -> None:
         physical = table + MONTHS
         files.delete(self.spark, f"{self.root}/{self.month}/{physical.lower()}")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tagged.schema)
+        fields = [f for f in tagged.schema if f.name != BAD]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         self.spark.sql(
             f"CREATE TABLE {self._id(physical)} ({columns}) USING parquet "
             f"PARTITIONED BY ({YM}, {LOAD})"
         )
-        shown = ", ".join(f"`{c}`" for c in tagged.columns[:-2])
+        shown = ", ".join(f"`{f.name}`" for f in fields[:-2])
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(physical)}"
         )
@@ -153,9 +166,9 @@ class MonthStore:
         """Run a write, counting rows (and flagged rows) on the way instead of in a second pass."""
         counted = Observation()
         counts = [F.count(F.lit(1)).alias("rows")]
-        if "_bad" in df.columns:
-            counts.append(F.count_if("_bad").alias("bad"))
-        out = df.observe(counted, *counts).drop("_bad")
+        if BAD in df.columns:
+            counts.append(F.count_if(BAD).alias("bad"))
+        out = df.observe(counted, *counts).drop(BAD)
         key, value = _OPEN_WRITERS
         before = self.spark.conf.get(key, None)
         self.spark.conf.set(key, value)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from monthclose.functions.casts import strip_all, to_bigint, to_double
 
 QUOTE = '"'
+# A Boolean column that marks malformed lines; a load counts it and does not store it.
+BAD = "_bad"
 
 
 class Rows(NamedTuple):

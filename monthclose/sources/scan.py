@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from monthclose.functions.casts import strip_all, to_double
 from monthclose.functions.months import fill_month
 from monthclose.sources import delimited, files, layouts
-from monthclose.sources.encoding import decode_lines, is_utf8, profile_encodings
+from monthclose.sources.delimited import BAD
+from monthclose.sources.encoding import decode_lines, profile_encodings
 from monthclose.sources.fixed import parse_fixed_bytes, parse_fixed_chars
 from monthclose.sources.jdbc import read_query
 from monthclose.sources.layouts import TableSpec
 from monthclose.sources.lines import first_line, raw_lines
 
-BAD = "_bad"
 
 
 @dataclass(frozen=True)
@@ -195,6 +195,6 @@ def preview(df: DataFrame, n: int = 5) -> tuple[int, list[str], list]:
 
 
 __all__ = [
-    "BAD", "Extract", "file_label", "find_files", "is_utf8", "preview",
+    "BAD", "Extract", "file_label", "find_files", "preview",
     "scan", "scan_columnar", "scan_delimited", "scan_fixed", "scan_paths",
 ]
