@@ -28,15 +28,22 @@ class Rows(NamedTuple):
     rejected: DataFrame
 
 
-def raw_fields(line: Column, delimiter: str) -> Column:
-    """The fields of a line, quotes still on."""
+def _patterns(delimiter: str) -> tuple[str, str, str]:
+    """Delimiter, complete quoted field and unquoted field as patterns."""
     sep = re.escape(delimiter)
-    quoted = rf'{QUOTE}[^{QUOTE}]*+(?:{QUOTE}{QUOTE}[^{QUOTE}]*+)*+{QUOTE}(?=\s*(?:{sep}|$))'
+    quoted = rf"{QUOTE}[^{QUOTE}]*+(?:{QUOTE}{QUOTE}[^{QUOTE}]*+)*+{QUOTE}(?=\s*(?:{sep}|$))"
     plain = rf"[^{sep}]*+" if len(delimiter) == 1 else rf"(?:(?!{sep}).)*+"
-    pattern = rf"{sep}({quoted}|{plain})"
+    return sep, quoted, plain
+
+
+def raw_fields(line: Column, delimiter: str) -> Column:
+    """The fields of a line, quotes still on."""
+    sep, quoted, plain = _patterns(delimiter)
     return F.when(
         line.contains(QUOTE),
-        F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(pattern), F.lit(1)),
+        F.regexp_extract_all(
+            F.concat(F.lit(delimiter), line), F.lit(rf"{sep}({quoted}|{plain})"), F.lit(1)
+        ),
     ).otherwise(F.split(line, sep, -1))
 
 
@@ -72,12 +79,10 @@ def is_malformed(line: Column, width: int, delimiter: str, pad: bool = False) ->
 
 
 def _open_quote(line: Column, delimiter: str) -> Column:
-    """A field that starts with a quote and does not end with one."""
-    sep = re.escape(delimiter)
-    body = rf"[^{QUOTE}]*+(?:{QUOTE}{QUOTE}[^{QUOTE}]*+)*+"
-    return line.contains(QUOTE) & F.concat(F.lit(delimiter), line).rlike(
-        rf"{sep}{QUOTE}{body}(?:$|{QUOTE}(?!\s*(?:{sep}|$)))"
-    )
+    """Whether some field starts with a quote and does not end with one."""
+    sep, quoted, plain = _patterns(delimiter)
+    complete = rf"^(?:{sep}(?:{quoted}\s*+|(?!{QUOTE}){plain}))*+$"
+    return line.contains(QUOTE) & ~F.concat(F.lit(delimiter), line).rlike(complete)
 
 
 def parse_strict(
