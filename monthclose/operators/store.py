@@ -15,6 +15,7 @@ import re
 import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from monthclose.sources.jdbc import read_text
 
 MONTHS, NEW = "__months", "__new"
 YM, LOAD = "_ym", "_load"
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 REGISTRY = "load_registry"
 
 _CREATE = re.compile(
@@ -95,23 +97,23 @@ class MonthStore:
         An extract of one month is written by the tasks that read it, without an exchange. With
         ``many_months`` rows are first brought together by month, so that not every task writes a file
         for every month; the rebalancing splits a month that is too large for one task.
+
+        If rows are flagged as malformed (column BAD), the new load is taken back and nothing is replaced.
         """
         month = month or self.month
         physical = table + MONTHS
         ym = F.substring(month_text(F.col(f"`{month_col}`"), dict(df.dtypes)[month_col]), 1, 6)
-        tagged = df.select("*", ym.alias(YM), F.lit(uuid.uuid4().hex[:12]).alias(LOAD))
+        load = uuid.uuid4().hex[:12]
+        tagged = df.select("*", ym.alias(YM), F.lit(load).alias(LOAD))
         if many_months:
             tagged = tagged.hint("rebalance", YM)
         if not self.exists(physical):
             self.drop(table)
             self._create_months(table, tagged)
-        old = self._loads(physical, month)
+        old = self._partitions(physical, YM, month)
         counted = self._write(tagged, lambda out: out.write.insertInto(self._id(physical)))
-        for spec in old:
-            self.spark.sql(
-                f"ALTER TABLE {self._id(physical)} DROP IF EXISTS PARTITION "
-                f"({YM}='{month}', {LOAD}='{spec}')"
-            )
+        taken_back = bool(counted.get("bad"))
+        self._drop_partitions(physical, self._partitions(physical, LOAD, load) if taken_back else old)
         return counted
 
     def _create_months(self, table: str, tagged: DataFrame) -> None:
@@ -128,21 +130,36 @@ class MonthStore:
             f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(physical)}"
         )
 
-    def _loads(self, physical: str, month: str) -> list[str]:
-        """The loads that hold rows of a month (one name per past load, not per row)."""
-        rows = self.spark.sql(
-            f"SHOW PARTITIONS {self._id(physical)} PARTITION ({YM}='{month}')"
+    def _partitions(self, physical: str, column: str, value: str) -> list[tuple[str | None, str]]:
+        """Month and load of the partitions that have a value (names only, a few per month)."""
+        listed = self.spark.sql(
+            f"SHOW PARTITIONS {self._id(physical)} PARTITION ({column}='{value}')"
         ).collect()
-        return [row[0].rsplit(f"/{LOAD}=", 1)[1] for row in rows]
+        out = []
+        for row in listed:
+            month, load = (unquote(part.split("=", 1)[1]) for part in row[0].split("/"))
+            out.append((None if month == NO_MONTH else month, load))
+        return out
+
+    def _drop_partitions(self, physical: str, partitions: list[tuple[str | None, str]]) -> None:
+        for month, load in partitions:
+            value = "null" if month is None else "'" + month.replace("'", "\\'") + "'"
+            self.spark.sql(
+                f"ALTER TABLE {self._id(physical)} DROP IF EXISTS PARTITION "
+                f"({YM}={value}, {LOAD}='{load}')"
+            )
 
     def replace(self, table: str, df: DataFrame) -> dict[str, int]:
-        """Replace a whole table, or create it."""
+        """Replace a whole table, or create it. With malformed rows (see above) nothing is replaced."""
         fresh = table + NEW
         self.spark.sql(f"DROP TABLE IF EXISTS {self._id(fresh)}")
         files.delete(self.spark, f"{self.root}/{self.month}/{fresh.lower()}")
         counted = self._write(
             df, lambda out: out.write.format("parquet").saveAsTable(f"{self.db}.{fresh}")
         )
+        if counted.get("bad"):
+            self.spark.sql(f"DROP TABLE {self._id(fresh)}")
+            return counted
         self.drop(table)
         files.delete(self.spark, f"{self.root}/{self.month}/{table.lower()}")
         self.spark.sql(f"ALTER TABLE {self._id(fresh)} RENAME TO {self._id(table)}")
