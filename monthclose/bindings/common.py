@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthclose.functions.months import month_of
+from monthclose.functions.months import in_months, month_of
 from monthclose.operators.store import MonthStore
 from monthclose.sources.encoding import charset_settings, encoded
 from monthclose.sources.files import work_dir
@@ -157,8 +157,9 @@ VOUCHERS_SQL = """select '512' || substr(o_orderpriority, 1, 1) || '030001' as N
 
 
 def coverage_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as premium by coverage."""
-    return table(spark, sf, "lineitem").select(
+    """Line items of this month and the one before as premium by coverage."""
+    lines = table(spark, sf, "lineitem").where(in_months(F.col("l_shipdate"), BEFORE, MONTH))
+    return lines.select(
         month_of(F.col("l_shipdate")).alias("CLS_YYMM"),
         text(F.col("l_orderkey")).alias("PLYNO"),
         text(F.col("l_suppkey")).alias("CVRCD"),

@@ -10,7 +10,7 @@ from monthclose.bindings.common import (
     voucher_rows,
 )
 from monthclose.functions.casts import exact, total
-from monthclose.functions.months import month_of
+from monthclose.functions.months import in_months, month_of
 from monthclose.operators.compare import month_change, reconcile
 from monthclose.plans import allocation, closing, monthly, premium, samples
 
@@ -144,7 +144,7 @@ def d20_sample_count(spark, sf):
 def j2_left_month_change(spark, sf):
     """Customers' order totals this month, against the month before."""
     def by_customer(month):
-        orders = table(spark, sf, "orders").where(month_of(F.col("o_orderdate")) == month)
+        orders = table(spark, sf, "orders").where(in_months(F.col("o_orderdate"), month, month))
         return orders.groupBy(F.col("o_custkey").alias("k")).agg(
             total(F.col("o_totalprice")).alias("s")
         )

@@ -8,7 +8,7 @@ from monthclose.bindings.common import (
     BEFORE, MONTH, fixed_line, joined, money_sql, new_store, table, text, write_lines,
 )
 from monthclose.functions.casts import total
-from monthclose.functions.months import month_of, month_params
+from monthclose.functions.months import in_months, month_of, month_params
 from monthclose.operators.registry import LoadRegistry, latest_loads, not_yet_loaded
 from monthclose.operators.store import MonthStore
 from monthclose.plans import premium, samples
@@ -161,7 +161,9 @@ def j6_attached_month(spark, sf):
     this = new_store(spark, "m8")
     before = MonthStore(spark, this.root, BEFORE, this.name)
     for store in (this, before):
-        rows = table(spark, sf, "lineitem").where(month_of(F.col("l_shipdate")) == store.month)
+        rows = table(spark, sf, "lineitem").where(
+            in_months(F.col("l_shipdate"), store.month, store.month)
+        )
         sums = rows.groupBy(F.col("l_suppkey").alias("k")).agg(
             total(F.col("l_quantity")).alias("amt")
         )
@@ -232,11 +234,11 @@ def m10_job_premium(spark, sf):
         "BZCS_DV_PS": F.lit(1),
     }
     write_lines(
-        lines.where(month_of(F.col("l_shipdate")) == MONTH), fixed_line(FIO841["cols"], income),
+        lines.where(in_months(F.col("l_shipdate"), MONTH, MONTH)), fixed_line(FIO841["cols"], income),
         f"{folder}/{FIO841['file'].format(yyyymm=MONTH)}",
     )
     write_lines(
-        orders.where(month_of(F.col("o_orderdate")) == MONTH), fixed_line(FIO843["cols"], held),
+        orders.where(in_months(F.col("o_orderdate"), MONTH, MONTH)), fixed_line(FIO843["cols"], held),
         f"{folder}/{FIO843['file'].format(yyyymm=MONTH)}",
     )
     report = run_job(store, premium.JOB, folder, f"{folder}/out")

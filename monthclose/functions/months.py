@@ -44,7 +44,15 @@ def fill_month(text: str, month: str, params: Mapping[str, object]) -> str:
 
 def month_of(ts: Column) -> Column:
     """``YYYYMM`` of a date or timestamp column."""
-    return F.date_format(ts, "yyyyMM")
+    return (F.year(ts) * 100 + F.month(ts)).cast("string")
+
+
+def in_months(ts: Column, first: str, last: str) -> Column:
+    """Whether a timestamp lies in a range of months. As a range it can be pushed down to the scan."""
+    end = prev_month(last, -1)
+    return (ts >= F.lit(f"{first[:4]}-{first[4:]}-01").cast("timestamp_ntz")) & (
+        ts < F.lit(f"{end[:4]}-{end[4:]}-01").cast("timestamp_ntz")
+    )
 
 
 def shift_month(month: Column, n: int = 1) -> Column:
