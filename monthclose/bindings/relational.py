@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from monthclose.bindings.common import MONTH, money_sql, new_store, table, text
-from monthclose.functions.casts import double_to_bigint, month_text, total
+from monthclose.functions.casts import (
+    amount_parts, double_to_bigint, joined_parts, month_text, total,
+)
 from monthclose.functions.months import (
     fill_params, month_of, month_params, shift_month, with_month_params,
 )
@@ -121,10 +123,11 @@ def j5_semi_join_total(spark, sf):
     """Count and amount of such rows, without shuffling the rows themselves."""
     urgent = table(spark, sf, "orders").where(F.col("o_orderpriority").startswith("1"))
     lines = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
-    amount = F.sum(F.col("l_extendedprice").cast("decimal(28,4)"))
-    return totals_where_key_in(
-        lines, "l_orderkey", urgent.select("o_orderkey"), {"n": F.count(F.lit(1)), "s": amount}
-    ).select("n", F.col("s").cast("double").alias("s"))
+    units, rest = amount_parts(F.col("l_extendedprice"))
+    sums = {"n": F.count(F.lit(1)), "units": F.sum(units), "rest": F.sum(rest)}
+    return totals_where_key_in(lines, "l_orderkey", urgent.select("o_orderkey"), sums).select(
+        "n", joined_parts(F.col("units"), F.col("rest")).alias("s")
+    )
 
 
 def a1_a4_group_by_expression(spark, sf):
@@ -152,13 +155,13 @@ def a6_distinct_of_groups(spark, sf):
 def a7_a9_nested_having(spark, sf):
     """Signed sums stacked, added up again, and kept where they are large."""
     orders = table(spark, sf, "orders").select(
-        F.col("o_custkey").alias("k"), F.col("o_totalprice").cast("decimal(28,4)").alias("s")
+        F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("s")
     )
     balances = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("k"), (-F.col("c_acctbal").cast("decimal(28,4)")).alias("s")
+        F.col("c_custkey").alias("k"), (-F.col("c_acctbal")).alias("s")
     )
-    sums = orders.unionAll(balances).groupBy("k").agg(F.sum("s").alias("s"))
-    return sums.where(F.abs("s") > 1000000).select("k", F.col("s").cast("double").alias("s"))
+    sums = orders.unionAll(balances).groupBy("k").agg(total(F.col("s")).alias("s"))
+    return sums.where(F.abs("s") > 1000000)
 
 
 def a8_empty_total(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.functions.casts import exact, total
+from monthclose.functions.casts import total
 from monthclose.operators.checks import Checks
 from monthclose.operators.store import MonthStore
 from monthclose.plans.extracts import FIO841, FIO843
@@ -58,8 +58,8 @@ def validate(checks: Checks, params: dict[str, str]) -> None:
         income, held = checks.store.table("fio841"), checks.store.table("fio843")
         checks.check_diff(
             "fio841 vs fio843 보험료",
-            income.select("INS_IMCD", exact(F.col("RP_PRM")).alias("AMT")),
-            held.select("INS_IMCD", exact(F.col("AP_PRM")).alias("AMT")),
+            income.select("INS_IMCD", F.col("RP_PRM").alias("AMT")),
+            held.select("INS_IMCD", F.col("AP_PRM").alias("AMT")),
             keys=["INS_IMCD"],
             value="AMT",
         )

@@ -103,14 +103,15 @@ def parse_strict(
     ``width`` is the number of fields in the file (columns past ``names`` are not selected), and
     ``select`` the columns wanted, always returned in file order.
     """
-    wanted = _typed(names, numeric, bigint, select, lambda c: F.trim(c) if trim else c)
+    texts, values = _typed(names, numeric, bigint, select, lambda c: F.trim(c) if trim else c)
     line = F.col("value")
     expected = max(width or 0, len(names))
     flags = [is_malformed(line, expected, delimiter, pad).alias(flag)] if flag else []
     return (
         _nonblank(lines)
         .select(raw_fields(line, delimiter).alias("_f"), *flags, *keep)
-        .select(*wanted, *([flag] if flag else []), *keep)
+        .select(*texts, *([flag] if flag else []), *keep)
+        .select(*values, *([flag] if flag else []), *keep)
     )
 
 
@@ -126,7 +127,7 @@ def parse_lenient(
     strip: bool = True,
 ) -> Rows:
     """Short lines are filled up with NULL, text is stripped, over-long lines are set aside whole."""
-    wanted = _typed(names, numeric, bigint, select, strip_all if strip else lambda c: c)
+    texts, values = _typed(names, numeric, bigint, select, strip_all if strip else lambda c: c)
     limit = max(width or 0, len(names))
     line = F.col("value")
     n = count_fields(line, delimiter)
@@ -135,7 +136,8 @@ def parse_lenient(
     rows = (
         data.where(~too_long)
         .select(raw_fields(line, delimiter).alias("_f"), *keep)
-        .select(*wanted, *keep)
+        .select(*texts, *keep)
+        .select(*values, *keep)
     )
     rejected = data.where(too_long).select(
         line.alias("line"), n.alias("fields"), F.lit(limit).alias("expected"), *keep
@@ -157,21 +159,27 @@ def _nonblank(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value") != "")
 
 
-def _typed(names, numeric, bigint, select, clean) -> list[Column]:
-    """The wanted columns, taken from the field array, cleaned and cast."""
+def _typed(names, numeric, bigint, select, clean) -> tuple[list[Column], list[Column]]:
+    """The wanted columns as clean text from the field array, and then cast.
+
+    These are two projections: a cast looks at its text more than once, and would otherwise take it out of
+    the array each time.
+    """
     unknown = set(select) - set(names)
     if unknown:
         raise ValueError(f"unknown columns: {sorted(unknown)}")
-    out = []
+    texts, values = [], []
     for i, name in enumerate(names):
         if select and name not in select:
             continue
-        value = clean(unquoted(F.get(F.col("_f"), F.lit(i))))
+        text = clean(unquoted(F.get(F.col("_f"), F.lit(i))))
+        value = F.col(f"`{name}`")
         if name in bigint:
             value = to_bigint(value)
         elif name in numeric:
             value = to_double(value)
-        else:
-            value = F.nullif(value, F.lit("")) if clean is strip_all else value
-        out.append(value.alias(name))
-    return out
+        elif clean is strip_all:
+            text = F.nullif(text, F.lit(""))
+        texts.append(text.alias(name))
+        values.append(value.alias(name))
+    return texts, values

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthclose.functions.casts import strip_all, to_double
@@ -12,6 +12,7 @@ from monthclose.sources.encoding import charset_settings, decode_lines, decoded
 from monthclose.sources.layouts import Field
 
 _NOT_BLANK = r"[^\r\n]"
+_PRINTABLE = r"^[ -~]*\r?\z"
 
 
 def parse_fixed_bytes(
@@ -24,20 +25,34 @@ def parse_fixed_bytes(
     """Slice the bytes of a line, decode each field and strip it.
 
     Blank lines are dropped. A field past the end of a short line is ``''``, or NULL as a number.
+
+    Whether a line is printable ASCII is found out once. If it is, its bytes are text already and only
+    spaces can be stripped; any other line is decoded field by field.
     """
-    raw = lines.where(F.col("value").rlike(_NOT_BLANK)).select(
-        F.col("value").cast("binary").alias("_raw"), *keep
+    line = F.col("value")
+    without_return = F.substring(line.cast("binary"), F.lit(1), F.octet_length(line) - 1)
+    raw = lines.where(line.rlike(_NOT_BLANK)).select(
+        F.when(line.endswith("\r"), without_return).otherwise(line.cast("binary")).alias("_raw"),
+        line.rlike(_PRINTABLE).alias("_printable"),
+        *keep,
     )
-    fields = []
+    texts = []
     for start, end, name in layout:
         piece = F.substring(F.col("_raw"), start + 1, end - start)
-        if name in numeric:
-            # A number is ASCII: its bytes are text already, so nothing is decoded.
-            fields.append(to_double(strip_all(piece.cast("string"))).alias(name))
-        else:
-            fields.append(strip_all(decoded(piece, encoding)).alias(name))
+        # A number is ASCII wherever it stands.
+        other = piece.cast("string") if name in numeric else decoded(piece, encoding)
+        text = F.when(F.col("_printable"), F.trim(piece.cast("string")))
+        texts.append(text.otherwise(strip_all(other)).alias(name))
     with charset_settings(lines.sparkSession):
-        return raw.select(*fields, *keep)
+        return raw.select(*texts, *keep).select(*_cast(layout, numeric), *keep)
+
+
+def _cast(layout: Sequence[Field], numeric: Collection[str]) -> list[Column]:
+    """A second projection, for a cast looks at its text more than once."""
+    return [
+        to_double(F.col(f"`{name}`")).alias(name) if name in numeric else F.col(f"`{name}`")
+        for _, _, name in layout
+    ]
 
 
 def parse_fixed_chars(
@@ -49,8 +64,8 @@ def parse_fixed_chars(
 ) -> DataFrame:
     """Slice by character position; right for ASCII files, and for text with one-cell characters."""
     text = decode_lines(lines.where(F.col("value").rlike(_NOT_BLANK)), encoding)
-    fields = []
-    for start, end, name in layout:
-        piece = F.trim(F.substring(F.col("value"), start + 1, end - start))
-        fields.append((to_double(piece) if name in numeric else piece).alias(name))
-    return text.select(*fields, *keep)
+    texts = [
+        F.trim(F.substring(F.col("value"), start + 1, end - start)).alias(name)
+        for start, end, name in layout
+    ]
+    return text.select(*texts, *keep).select(*_cast(layout, numeric), *keep)
