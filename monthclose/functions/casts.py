@@ -1,12 +1,15 @@
 """Text clean-up and lenient casts: a value that is no number becomes NULL, never an error.
 
-Everything here is a built-in expression, so that it stays inside whole-stage code generation.
+Everything here is a built-in expression. What only a rare value needs is kept in a lambda (``rarely``):
+Spark compiles a projection of plain expressions into one method, and the JVM leaves a method of more
+than 8000 bytes of code uncompiled, which a table of thirty cast columns would exceed several times. A
+projection with a lambda is compiled column by column instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,10 +21,6 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Letters that Spark's double cast takes (a Java type suffix or a hex prefix) and SQL does not, and
-# the digit separator, which SQL takes and Spark does not.
-_SUSPICIOUS = ("d", "D", "f", "F", "x", "X", "_")
-
 # Amounts are added up exactly to this many decimal places, so that a total does not depend on how the
 # rows are partitioned.
 AMOUNT_PLACES = 4
@@ -33,18 +32,21 @@ def strip_all(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def rarely(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(c)``, as a lambda over an array of one."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def to_double(c: Column) -> Column:
     """Text to double with SQL rules.
 
-    Spark reads ``1d`` and ``0x1p3`` as numbers, and not ``1_000``. All of that is rare, so the usual value
-    pays for a few byte searches and a cast, and only one with such a character pays for patterns.
+    Spark reads ``1d`` and ``0x1p3`` as numbers, and not ``1_000``; such letters are looked for first.
     """
-    plain = ~reduce(lambda found, mark: found | c.contains(mark), _SUSPICIOUS[1:],
-                    c.contains(_SUSPICIOUS[0]))
-    readable = c.rlike(r"(?i)^\s*[+-]?(inf(inity)?|[^dfx]*)\s*$")
-    return F.when(plain, c.try_cast("double")).when(
-        readable, _without_separators(c).try_cast("double")
-    )
+    def unusual(x: Column) -> Column:
+        readable = x.rlike(r"(?i)^\s*[+-]?(inf(inity)?|[^dfx]*)\s*$")
+        return F.when(readable, _without_separators(x).try_cast("double"))
+
+    return F.when(c.rlike("[dDfFxX_]"), rarely(c, unusual)).otherwise(c.try_cast("double"))
 
 
 def to_bigint(c: Column) -> Column:
@@ -53,16 +55,26 @@ def to_bigint(c: Column) -> Column:
     So are the digit separator ``_`` and numbers written as ``0x1f`` or ``0b101``. What is an integer to
     Spark already pays for one cast only.
     """
-    digits = _without_separators(c)
-    numeric = digits.rlike(r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$")
-    # A decimal keeps 18 places; cutting off the rest first keeps 1.4999… below one half.
-    cut = F.regexp_replace(digits, r"([.][0-9]{18})[0-9]+", "$1")
-    rounded = F.round(cut.try_cast("decimal(38,18)"), 0).try_cast("bigint")
-    other_base = F.when(
-        digits.rlike(r"^0[xX][0-9a-fA-F]+$"), F.conv(F.substring(digits, 3, 64), 16, 10)
-    ).when(digits.rlike(r"^0[bB][01]+$"), F.conv(F.substring(digits, 3, 64), 2, 10))
-    return F.coalesce(
-        c.try_cast("bigint"), F.when(numeric, rounded), other_base.try_cast("bigint")
+    def unusual(digits: Column) -> Column:
+        numeric = digits.rlike(r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$")
+        # Up to 15 characters a double holds every digit, so that its half is the half of the text.
+        d = digits.try_cast("double")
+        short = (F.octet_length(digits) <= 15) & (F.abs(d) < 1e15)
+        by_double = (F.signum(d) * F.floor(F.abs(d) + 0.5)).cast("bigint")
+        # A decimal keeps 18 places; cutting off the rest first keeps 1.4999… below one half.
+        cut = F.regexp_replace(digits, r"([.][0-9]{18})[0-9]+", "$1")
+        by_decimal = F.round(cut.try_cast("decimal(38,18)"), 0).try_cast("bigint")
+        hexadecimal, binary = (F.conv(F.substring(digits, 3, 64), base, 10) for base in (16, 2))
+        return (
+            F.when(numeric & short, by_double)
+            .when(numeric, by_decimal)
+            .when(digits.rlike(r"^0[xX][0-9a-fA-F]+$"), hexadecimal.try_cast("bigint"))
+            .when(digits.rlike(r"^0[bB][01]+$"), binary.try_cast("bigint"))
+        )
+
+    integer = c.try_cast("bigint")
+    return F.when(integer.isNotNull() | c.isNull(), integer).otherwise(
+        rarely(_without_separators(c), unusual)
     )
 
 

@@ -24,6 +24,7 @@ from monthclose.functions.casts import month_text
 from monthclose.functions.months import fill_params
 from monthclose.sources import files
 from monthclose.sources.delimited import BAD
+from monthclose.sources.encoding import session_settings
 from monthclose.sources.jdbc import read_text
 
 MONTHS, NEW = "__months", "__new"
@@ -38,8 +39,12 @@ _CREATE = re.compile(
 )
 _DROP = re.compile(r"^\s*drop\s+table\s+if\s+exists\s+`?(?P<name>\w+)`?\s*;?\s*$", re.IGNORECASE)
 
-# A load touches few months: that many open files per task spare a sort of all rows.
-_OPEN_WRITERS = ("spark.sql.maxConcurrentOutputFileWriters", "16")
+# Settings for the time of a write. A load touches few months, and that many open files per task spare a
+# sort of all rows. The JVM leaves larger methods uncompiled, so a wide projection is better off split up.
+_WRITE_SETTINGS = {
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 
 class MonthStore:
@@ -186,16 +191,8 @@ class MonthStore:
         if BAD in df.columns:
             counts.append(F.count_if(BAD).alias("bad"))
         out = df.observe(counted, *counts).drop(BAD)
-        key, value = _OPEN_WRITERS
-        before = self.spark.conf.get(key, None)
-        self.spark.conf.set(key, value)
-        try:
+        with session_settings(self.spark, _WRITE_SETTINGS):
             write(out)
-        finally:
-            if before is None:
-                self.spark.conf.unset(key)
-            else:
-                self.spark.conf.set(key, before)
         return counted.get
 
     # -- queries -------------------------------------------------------------------------------

@@ -1,8 +1,9 @@
 """Delimited lines: pipe-separated extracts and CSV.
 
-A line becomes an array of raw fields, from which only the wanted columns are taken. A line without a
-quote (nearly every line) is split at the delimiter; only a line with one pays for a pattern. The
-patterns use possessive repeats, so a quoted field of any length is matched without recursion.
+A line becomes an array of fields, from which only the wanted columns are taken; an empty field is
+NULL. A line without a quote (nearly every line) is split at the delimiter, and only a line with one pays
+for a pattern. The patterns use possessive repeats, so a quoted field of any length is matched without
+recursion.
 """
 
 from __future__ import annotations
@@ -36,24 +37,23 @@ def _patterns(delimiter: str) -> tuple[str, str, str]:
     return sep, quoted, plain
 
 
-def raw_fields(line: Column, delimiter: str) -> Column:
-    """The fields of a line, quotes still on."""
+def split_fields(line: Column, delimiter: str) -> Column:
+    """The fields of a line. Quotes are taken off in a lambda, for lines that have any."""
     sep, quoted, plain = _patterns(delimiter)
-    return F.when(
-        line.contains(QUOTE),
-        F.regexp_extract_all(
-            F.concat(F.lit(delimiter), line), F.lit(rf"{sep}({quoted}|{plain})"), F.lit(1)
-        ),
-    ).otherwise(F.split(line, sep, -1))
+    pieces = F.regexp_extract_all(
+        F.concat(F.lit(delimiter), line), F.lit(rf"{sep}({quoted}|{plain})"), F.lit(1)
+    )
+    return F.when(line.contains(QUOTE), F.transform(pieces, _unquoted)).otherwise(
+        F.split(line, sep, -1)
+    )
 
 
-def unquoted(field: Column) -> Column:
-    """Take the quotes off a field. An empty field is NULL."""
+def _unquoted(field: Column) -> Column:
     inner = F.replace(
         F.substring(field, F.lit(2), F.length(field) - 2), F.lit(QUOTE * 2), F.lit(QUOTE)
     )
     closed = field.startswith(QUOTE) & field.endswith(QUOTE) & (F.length(field) > 1)
-    return F.nullif(F.when(closed, inner).otherwise(field), F.lit(""))
+    return F.when(closed, inner).otherwise(field)
 
 
 def count_fields(line: Column, delimiter: str) -> Column:
@@ -61,21 +61,21 @@ def count_fields(line: Column, delimiter: str) -> Column:
     plain = (
         F.octet_length(line) - F.octet_length(F.replace(line, F.lit(delimiter), F.lit("")))
     ) / len(delimiter.encode()) + 1
-    return F.when(line.contains(QUOTE), F.size(raw_fields(line, delimiter))).otherwise(
+    return F.when(line.contains(QUOTE), F.size(split_fields(line, delimiter))).otherwise(
         plain.cast("int")
     )
 
 
-def is_malformed(line: Column, width: int, delimiter: str, pad: bool = False) -> Column:
+def _malformed(fields: Column, open_quote: Column, width: int, pad: bool) -> Column:
     """Whether a strict reader refuses the line: wrong field count or a quote left open.
 
     One empty field too many (a delimiter at the end of the line) is accepted, and with ``pad`` also
     too few fields.
     """
-    n = count_fields(line, delimiter)
+    n = F.size(fields)
     fits = (n <= width) if pad else (n == width)
-    extra_end = (n == width + 1) & line.endswith(delimiter)
-    return ~(fits | extra_end) | _open_quote(line, delimiter)
+    extra_end = (n == width + 1) & (F.get(fields, F.lit(width)) == "")
+    return ~(fits | extra_end) | open_quote
 
 
 def _open_quote(line: Column, delimiter: str) -> Column:
@@ -104,14 +104,14 @@ def parse_strict(
     ``select`` the columns wanted, always returned in file order.
     """
     texts, values = _typed(names, numeric, bigint, select, lambda c: F.trim(c) if trim else c)
-    line = F.col("value")
-    expected = max(width or 0, len(names))
-    flags = [is_malformed(line, expected, delimiter, pad).alias(flag)] if flag else []
+    line, fields = F.col("value"), [split_fields(F.col("value"), delimiter).alias("_f")]
+    if flag:
+        expected = max(width or 0, len(names))
+        fields.append(_open_quote(line, delimiter).alias("_open"))
+        texts.append(_malformed(F.col("_f"), F.col("_open"), expected, pad).alias(flag))
+        values.append(F.col(flag))
     return (
-        _nonblank(lines)
-        .select(raw_fields(line, delimiter).alias("_f"), *flags, *keep)
-        .select(*texts, *([flag] if flag else []), *keep)
-        .select(*values, *([flag] if flag else []), *keep)
+        _nonblank(lines).select(*fields, *keep).select(*texts, *keep).select(*values, *keep)
     )
 
 
@@ -135,7 +135,7 @@ def parse_lenient(
     data = _nonblank(lines)
     rows = (
         data.where(~too_long)
-        .select(raw_fields(line, delimiter).alias("_f"), *keep)
+        .select(split_fields(line, delimiter).alias("_f"), *keep)
         .select(*texts, *keep)
         .select(*values, *keep)
     )
@@ -172,14 +172,12 @@ def _typed(names, numeric, bigint, select, clean) -> tuple[list[Column], list[Co
     for i, name in enumerate(names):
         if select and name not in select:
             continue
-        text = clean(unquoted(F.get(F.col("_f"), F.lit(i))))
+        text = F.nullif(clean(F.get(F.col("_f"), F.lit(i))), F.lit(""))
         value = F.col(f"`{name}`")
         if name in bigint:
             value = to_bigint(value)
         elif name in numeric:
             value = to_double(value)
-        elif clean is strip_all:
-            text = F.nullif(text, F.lit(""))
         texts.append(text.alias(name))
         values.append(value.alias(name))
     return texts, values

@@ -8,6 +8,7 @@ built, so they are set around that step and put back.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,15 +19,23 @@ CP949_NAMES = ("cp949", "euc-kr", "euckr", "euc_kr", "ms949", "x-windows-949")
 UTF8_NAMES = ("utf-8", "utf8", "ascii")
 
 _KOREAN = "x-windows-949"
-_SETTINGS = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+_SETTINGS = {
+    "spark.sql.legacy.javaCharsets": "true",
+    "spark.sql.legacy.codingErrorAction": "true",
+}
 
 
-@contextmanager
 def charset_settings(spark: SparkSession):
-    """Switch the two charset settings on while a DataFrame is being built."""
-    before = {key: spark.conf.get(key, None) for key in _SETTINGS}
-    for key in _SETTINGS:
-        spark.conf.set(key, "true")
+    """The two charset settings, for the time in which a DataFrame is being built."""
+    return session_settings(spark, _SETTINGS)
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: Mapping[str, str]):
+    """Change settings of the session and put them back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:

@@ -7,8 +7,8 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.functions.casts import strip_all, to_double
-from monthclose.sources.encoding import charset_settings, decode_lines, decoded
+from monthclose.functions.casts import rarely, strip_all, to_double
+from monthclose.sources.encoding import charset_settings, decoded
 from monthclose.sources.layouts import Field
 
 _NOT_BLANK = r"[^\r\n]"
@@ -25,34 +25,21 @@ def parse_fixed_bytes(
     """Slice the bytes of a line, decode each field and strip it.
 
     Blank lines are dropped. A field past the end of a short line is ``''``, or NULL as a number.
-
-    Whether a line is printable ASCII is found out once. If it is, its bytes are text already and only
-    spaces can be stripped; any other line is decoded field by field.
     """
-    line = F.col("value")
-    without_return = F.substring(line.cast("binary"), F.lit(1), F.octet_length(line) - 1)
-    raw = lines.where(line.rlike(_NOT_BLANK)).select(
-        F.when(line.endswith("\r"), without_return).otherwise(line.cast("binary")).alias("_raw"),
-        line.rlike(_PRINTABLE).alias("_printable"),
-        *keep,
-    )
-    texts = []
-    for start, end, name in layout:
-        piece = F.substring(F.col("_raw"), start + 1, end - start)
-        # A number is ASCII wherever it stands.
-        other = piece.cast("string") if name in numeric else decoded(piece, encoding)
-        text = F.when(F.col("_printable"), F.trim(piece.cast("string")))
-        texts.append(text.otherwise(strip_all(other)).alias(name))
-    with charset_settings(lines.sparkSession):
-        return raw.select(*texts, *keep).select(*_cast(layout, numeric), *keep)
+    def other(field: Field) -> Column:
+        # A number is ASCII wherever it stands, and so are most fields of a line with other text.
+        def text(piece: Column) -> Column:
+            raw = piece.cast("string")
+            if field.name in numeric:
+                return strip_all(raw)
+            return F.when(raw.rlike(_PRINTABLE), F.trim(raw)).otherwise(
+                strip_all(decoded(piece, encoding))
+            )
 
+        return rarely(_slice(F.col("_raw"), field), text)
 
-def _cast(layout: Sequence[Field], numeric: Collection[str]) -> list[Column]:
-    """A second projection, for a cast looks at its text more than once."""
-    return [
-        to_double(F.col(f"`{name}`")).alias(name) if name in numeric else F.col(f"`{name}`")
-        for _, _, name in layout
-    ]
+    with charset_settings(lines.sparkSession):
+        return _parse(_raw_lines(lines, keep), layout, numeric, other, keep)
 
 
 def parse_fixed_chars(
@@ -63,9 +50,45 @@ def parse_fixed_chars(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Slice by character position; right for ASCII files, and for text with one-cell characters."""
-    text = decode_lines(lines.where(F.col("value").rlike(_NOT_BLANK)), encoding)
+    def other(field: Field) -> Column:
+        return rarely(
+            F.col("_raw"), lambda raw: F.trim(_slice(decoded(raw, encoding), field))
+        )
+
+    with charset_settings(lines.sparkSession):
+        return _parse(_raw_lines(lines, keep), layout, numeric, other, keep)
+
+
+def _raw_lines(lines: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The bytes of each line that is not blank, and whether they are printable ASCII."""
+    line = F.col("value")
+    without_return = F.substring(line.cast("binary"), F.lit(1), F.octet_length(line) - 1)
+    return lines.where(line.rlike(_NOT_BLANK)).select(
+        F.when(line.endswith("\r"), without_return).otherwise(line.cast("binary")).alias("_raw"),
+        line.rlike(_PRINTABLE).alias("_printable"),
+        *keep,
+    )
+
+
+def _parse(raw, layout, numeric, other, keep) -> DataFrame:
+    """Fields as text, then as numbers (a second projection, for a cast looks at its text twice).
+
+    In a printable line bytes are characters and only spaces can be stripped, so that it is cut up without
+    being decoded. For any other line ``other`` gives the text of a field.
+    """
+    layout = [Field(start, end, name) for start, end, name in layout]
     texts = [
-        F.trim(F.substring(F.col("value"), start + 1, end - start)).alias(name)
-        for start, end, name in layout
+        F.when(F.col("_printable"), F.trim(_slice(F.col("_raw"), field).cast("string")))
+        .otherwise(other(field))
+        .alias(field.name)
+        for field in layout
     ]
-    return text.select(*texts, *keep).select(*_cast(layout, numeric), *keep)
+    values = [
+        to_double(F.col(f"`{f.name}`")).alias(f.name) if f.name in numeric else F.col(f"`{f.name}`")
+        for f in layout
+    ]
+    return raw.select(*texts, *keep).select(*values, *keep)
+
+
+def _slice(value: Column, field: Field) -> Column:
+    return F.substring(value, field.start + 1, field.end - field.start)

@@ -149,10 +149,8 @@ def _header_names(spark, spec, path, sample, sep) -> tuple[str, ...]:
     if not spec.encoding and "cp949" in _file_encodings(spark, [path]).values():
         encoding = "cp949"
     head = raw_lines(spark, [path], spread=False).limit(1)
-    fields = delimited.raw_fields(F.col("value"), sep)
-    row = decode_lines(head, encoding).select(
-        F.transform(fields, delimited.unquoted).alias("names")
-    ).head()
+    fields = delimited.split_fields(F.col("value"), sep)
+    row = decode_lines(head, encoding).select(fields.alias("names")).head()
     names = row["names"] if row else []
     return tuple(n if n else f"col_{i}" for i, n in enumerate(names))
 
