@@ -324,9 +324,9 @@ def s14_multi_file(spark, sf):
     """Several files under one pattern read as one extract."""
     folder = work_dir(spark, "s14")
     orders = _orders(spark, sf)
-    for year in ("1997", "1998"):
-        rows = orders.where(F.col("ym").startswith(year))
-        write_lines(rows, _pipe_line(), f"{folder}/orders_{year}.dat")
+    for status in "FOP":
+        rows = orders.where(F.col("o_orderstatus") == status)
+        write_lines(rows, _pipe_line(), f"{folder}/orders_{status}.dat")
     spec = _spec(
         "pipe", "orders_*.dat", cols=_PIPE_COLS, numeric=["amt"], bigint=["k"], multi=True
     )
@@ -449,7 +449,7 @@ ORACLE = {
         p(pattern, l) left join (select 'bt' || substr(o_orderpriority, 1, 1) || '_' ||
         strftime(o_orderdate, '%Y%m%d') || '.dat.gz' as name from orders) n
         on n.name like p.l escape '\\' group by p.pattern""",
-    "s14_multi_file": _PIPE_SQL + " where year(o_orderdate) in (1997, 1998)",
+    "s14_multi_file": _PIPE_SQL,
     "s16_json_layout": "select cast(c_custkey as varchar) as k, c_name as name from customer",
     "s17_preview": "select count(*) as row_count, cast(5 as bigint) as column_count from orders",
     "s18_dispatch": """select kind, count(*) as cnt,

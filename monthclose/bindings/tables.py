@@ -52,21 +52,19 @@ def m2_month_replace(spark, sf):
 
 
 def m2_rerun(spark, sf):
-    """The same extract loaded twice: its month once, rows of other months twice."""
+    """The same extract loaded twice: its month once, rows of other months and of none twice."""
     store = new_store(spark, "m2r")
-    rows = _lines(spark, sf).where(F.col("ym").isin(MONTH, BEFORE))
-    rows = rows.withColumn("ym", F.when(F.col("ln") != 7, F.col("ym")))
-    store.load_month("lines", rows, "ym")
-    store.load_month("lines", rows, "ym")
+    rows = _lines(spark, sf).withColumn("ym", F.when(F.col("ln") != 7, F.col("ym")))
+    store.load_month("lines", rows, "ym", many_months=True)
+    store.load_month("lines", rows, "ym", many_months=True)
     return store.table("lines")
 
 
 def m2_empty_month(spark, sf):
     """An extract without rows of its month empties the month. The month column is a number."""
     store = new_store(spark, "m2e")
-    rows = _lines(spark, sf).where(F.col("ym").isin(MONTH, BEFORE))
-    rows = rows.withColumn("ym", F.col("ym").cast("double"))
-    store.load_month("lines", rows, "ym")
+    rows = _lines(spark, sf).withColumn("ym", F.col("ym").cast("double"))
+    store.load_month("lines", rows, "ym", many_months=True)
     store.load_month("lines", rows.where(F.col("qty") < 0), "ym")
     return store.table("lines").groupBy("ym").agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -290,11 +288,10 @@ ORACLE = {
         "else l_quantity end as qty",
     ),
     "m2_rerun": f"""select k, ln, case when ln <> 7 then ym end as ym, qty from ({_LINES_SQL}) t
-        where ym in ('{MONTH}', '{BEFORE}') union all
-        select k, ln, case when ln <> 7 then ym end as ym, qty from ({_LINES_SQL}) t
-        where ym = '{BEFORE}' or (ym = '{MONTH}' and ln = 7)""",
+        union all select k, ln, case when ln <> 7 then ym end as ym, qty from ({_LINES_SQL}) t
+        where ym <> '{MONTH}' or ln = 7""",
     "m2_empty_month": f"""select cast(ym as double) as ym, count(*) as cnt from ({_LINES_SQL}) t
-        where ym = '{BEFORE}' group by 1""",
+        where ym <> '{MONTH}' group by 1""",
     "m3_replace": f"{_CUSTOMERS_SQL} where c_acctbal > 0",
     "m4_append": f"{_CUSTOMERS_SQL} union all {_CUSTOMERS_SQL}",
     "m5_registry": _LATEST_SQL,

@@ -48,18 +48,22 @@ def largest_premiums(coverages: DataFrame, month: str, rows: int = TOP_ROWS) ->
 
 def logic(store: MonthStore, params: dict[str, str]) -> None:
     month, before = params["SDM"], params["LM"]
-    source = f"dambo{month}"
-    store.replace(f"agg_{month}", coverage_totals(store.table(source), month))
-    previous = None
-    if store.exists(f"agg_{before}"):
-        previous = store.table(f"agg_{before}")
-    elif "LM" in store.aliases:
-        attached = f"`{store.aliases['LM']}`.`agg_{before}`"
-        if store.spark.catalog.tableExists(attached):
-            previous = store.spark.table(attached)
-    if previous is not None:
-        change = coverage_change(store.table(f"agg_{month}"), previous)
-        store.replace(f"compare_{month}", change)
+    coverages = store.table(f"dambo{month}")
+    store.replace(f"agg_{month}", coverage_totals(coverages, month))
+    earlier = _earlier(store, f"agg_{before}")
+    if earlier is not None:
+        store.replace(f"compare_{month}", coverage_change(store.table(f"agg_{month}"), earlier))
+    earlier = _earlier(store, f"dambo{before}")
+    if earlier is not None:
+        store.replace("monthly_compare", amount_change(coverages, earlier))
+
+
+def _earlier(store: MonthStore, table: str) -> DataFrame | None:
+    """A table of the month before, from this store or the attached one."""
+    if store.exists(table):
+        return store.table(table)
+    attached = f"`{store.aliases.get('LM', store.db)}`.`{table}`"
+    return store.spark.table(attached) if store.spark.catalog.tableExists(attached) else None
 
 
 def validate(checks: Checks, params: dict[str, str]) -> None:
@@ -91,6 +95,6 @@ JOB = Job(
                 "limit": TOP_ROWS,
             },
         ],
-        "compare_${SDM}": "당월전월비교",
+        "monthly_compare": "당월전월비교",
     },
 )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from monthclose.functions.casts import month_text
 from monthclose.operators.store import MonthStore
 
 
@@ -38,7 +39,8 @@ def load_arrivals(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = parse(batch)
-        month = rows.agg(F.max(F.substring(F.col(month_col).cast("string"), 1, 6))).head()[0]
+        text = month_text(F.col(month_col), dict(rows.dtypes)[month_col])
+        month = rows.agg(F.max(F.substring(text, 1, 6))).head()[0]
         if month:
             store.load_month(table, rows, month_col, month)
 

@@ -136,6 +136,7 @@ def test_months_with_attached_month(spark, store, rows, tmp_path):
     assert rows(store.table("compare_202601")) == [
         ("a", 4.0, 3.0, 1.0), ("b", 0.0, 5.0, -5.0), ("c", 1.0, 0.0, 1.0),
     ]
+    assert rows(store.table("monthly_compare")) == [("a", 4.0, 3.0, 1.0), ("c", 1.0, None, 1.0)]
     noted = {c[0]: c[2] for c in reports[("202601", "monthly")].checks}
     assert noted["당월 보험료 합계"] == "{'cur': '5.0', 'prev': '8.0', 'chg': '-3.0'}"
 
