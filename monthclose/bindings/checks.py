@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from monthclose.bindings.common import MONTH, money_sql, new_store, table
+from monthclose.bindings.common import MONTH, new_store, table
 from monthclose.functions.casts import total
 from monthclose.functions.months import month_of, month_params
 from monthclose.operators.checks import (

@@ -35,21 +35,23 @@ def raw_lines(
             F.col("_metadata.file_name").alias("file"),
             (F.col("_metadata.file_block_start") == 0).alias("at_start"),
         )
-        one_task_files = sum(p.lower().endswith(".gz") for p in texts)
-        parts.append(_spread(lines, one_task_files, len(texts), spread))
+        if spread and all(p.lower().endswith(".gz") for p in texts):
+            # A path may be a folder of parts, so the files themselves are counted.
+            lines = _spread(lines, len(lines.inputFiles()))
+        parts.append(lines)
     if zips:
-        parts.append(_spread(_zip_lines(spark, zips), len(zips), len(zips), spread))
+        lines = _zip_lines(spark, zips)
+        parts.append(_spread(lines, len(zips)) if spread else lines)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _spread(lines: DataFrame, unsplittable: int, files: int, wanted: bool) -> DataFrame:
+def _spread(lines: DataFrame, files: int) -> DataFrame:
+    """Share out the lines of fewer compressed files than there are cores."""
     cores = lines.sparkSession.sparkContext.defaultParallelism
-    if wanted and unsplittable == files and files < cores:
-        return lines.repartition(cores)
-    return lines
+    return lines.repartition(cores) if files < cores else lines
 
 
 def _zip_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

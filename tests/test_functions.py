@@ -14,7 +14,8 @@ NUMBERS = [
     "1.5", "2.5", "-2.5", "0.5", "-0.5", "0.49999999999", "1.4999999999999999999999", "1e3", "1E3",
     "149e-2", "150e-2", "1e-30", "1e", "1e5.5", "++1", "NaN", "nan", "inf", "-Infinity", "INF", "1e400",
     "9223372036854775807", "9223372036854775807.4", "9223372036854775807.5", "9223372036854775808",
-    "-9223372036854775808", "12345678901234567890", "9" * 50_000 + "x", "999999999999999999", "17.0", "-17.5", "1e18", "1e19", "true", "00012", "-0",
+    "-9223372036854775808", "12345678901234567890", "9" * 50_000 + "x",
+    "999999999999999999", "17.0", "-17.5", "1e18", "1e19", "true", "00012", "-0",
 ]
 
 

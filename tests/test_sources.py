@@ -281,3 +281,21 @@ def test_query_options(spark, tmp_path):
     got = jdbc.query_options(spark, database, "202601")
     assert got["dbtable"] == "(SELECT a\nFROM t WHERE ym = '202601'\n) q"
     assert (got["fetchsize"], got["user"], got["numPartitions"]) == ("50000", "u", "4")
+
+
+def test_few_compressed_files_are_spread_out(spark, tmp_path):
+    for i in range(2):
+        with gzip.open(tmp_path / f"few_{i}.gz", "wt") as f:
+            f.write("x\n" * 10)
+    many = tmp_path / "many.gz"
+    spark.range(100).selectExpr("cast(id as string) as value").repartition(9).write.option(
+        "compression", "gzip"
+    ).text(str(many))
+
+    def spread(paths):
+        text = raw_lines(spark, paths)._jdf.queryExecution().executedPlan().toString()
+        return "RoundRobinPartitioning" in text
+
+    assert spread([str(tmp_path / f"few_{i}.gz") for i in range(2)])
+    assert not spread([str(many)])
+    assert not spread([write(tmp_path / "plain.dat", b"x\n")])

@@ -179,3 +179,33 @@ def test_strict_reading_is_replaced_by_the_lenient_one(store, rows, extracts, tm
     result = load_set(store, tables, extracts)
     assert result.rows == {"m": 5} and result.rejected == {"m": 1}
     assert sorted(r[1] for r in rows(store.table("m"))) == ["a", "d", "e", "f", "g"]
+
+
+def test_a_month_can_be_loaded_from_itself(spark, store, rows):
+    store.load_month("t", frame(spark, ("202601", "a", 1.0), ("202602", "b", 2.0)), "ym")
+    store.load_month("t", store.month_rows("t", "202601").withColumn("v", F.col("v") * 10), "ym")
+    assert rows(store.table("t")) == [("202601", "a", 10.0), ("202602", "b", 2.0)]
+
+
+def test_a_hot_month_is_split_when_rebalanced(spark, store):
+    """One month with most of the rows is written by more than one task."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 < 2, "202601").otherwise(F.concat(F.lit("20260"), F.col("id") % 9 + 1))
+        .alias("ym"),
+        F.uuid().alias("k"),
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        counted = store.load_month("t", rows, "ym", many_months=True)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    files = store.spark.table(store._id("t__months")).where("_ym = '202601'").inputFiles()
+    hot = [f for f in files if "_ym=202601" in f]
+    assert counted == {"rows": 200_000} and len(hot) > 1
