@@ -30,9 +30,9 @@ class Rows(NamedTuple):
 
 
 def _patterns(delimiter: str) -> tuple[str, str, str]:
-    """Delimiter, complete quoted field and unquoted field as patterns."""
+    """Delimiter, complete quoted field (one space may precede it) and plain field."""
     sep = re.escape(delimiter)
-    quoted = rf"{QUOTE}[^{QUOTE}]*+(?:{QUOTE}{QUOTE}[^{QUOTE}]*+)*+{QUOTE}(?=\s*(?:{sep}|$))"
+    quoted = rf" ?+{QUOTE}[^{QUOTE}]*+(?:{QUOTE}{QUOTE}[^{QUOTE}]*+)*+{QUOTE}(?=\s*(?:{sep}|$))"
     plain = rf"[^{sep}]*+" if len(delimiter) == 1 else rf"(?:(?!{sep}).)*+"
     return sep, quoted, plain
 
@@ -49,10 +49,11 @@ def split_fields(line: Column, delimiter: str) -> Column:
 
 
 def _unquoted(field: Column) -> Column:
+    text = F.when(field.startswith(" " + QUOTE), F.substring(field, 2, 1 << 30)).otherwise(field)
     inner = F.replace(
-        F.substring(field, F.lit(2), F.length(field) - 2), F.lit(QUOTE * 2), F.lit(QUOTE)
+        F.substring(text, F.lit(2), F.length(text) - 2), F.lit(QUOTE * 2), F.lit(QUOTE)
     )
-    closed = field.startswith(QUOTE) & field.endswith(QUOTE) & (F.length(field) > 1)
+    closed = text.startswith(QUOTE) & text.endswith(QUOTE) & (F.length(text) > 1)
     return F.when(closed, inner).otherwise(field)
 
 
@@ -81,7 +82,7 @@ def _malformed(fields: Column, open_quote: Column, width: int, pad: bool) -> Col
 def _open_quote(line: Column, delimiter: str) -> Column:
     """Whether some field starts with a quote and does not end with one."""
     sep, quoted, plain = _patterns(delimiter)
-    complete = rf"^(?:{sep}(?:{quoted}\s*+|(?!{QUOTE}){plain}))*+$"
+    complete = rf"^(?:{sep}(?:{quoted}\s*+|(?! ?{QUOTE}){plain}))*+$"
     return line.contains(QUOTE) & ~F.concat(F.lit(delimiter), line).rlike(complete)
 
 

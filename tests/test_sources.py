@@ -2,8 +2,10 @@ import csv
 import gzip
 import io
 import json
+import random
 import zipfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,6 +156,35 @@ def test_quoted_fields_agree_with_a_csv_parser(spark):
     assert got == [(*[f or None for f in row], False) for row in table]
 
 
+def test_spaces_around_quotes(spark):
+    lines = [(' "a|b"|"c" |d', ), ('  "a"|x|y',), (' "a|x|y',)]
+    df = spark.createDataFrame(lines, "value string")
+    got = [tuple(r) for r in delimited.parse_strict(df, list("abc"), "|", flag="bad").collect()]
+    assert got == [("a|b", "c", "d", False), ('  "a"', "x", "y", False), (' "a', "x", "y", True)]
+
+
+def test_generated_lines_agree_with_duckdb(spark, tmp_path):
+    """Quoted and plain fields of all kinds, as a strict SQL reader sees them."""
+    pick = random.Random(7)
+    marks = ["a", "b", "|", '"', " ", "가", "1", "\\", "\t", "x,y"]
+    out = io.StringIO()
+    for quoting in (csv.QUOTE_MINIMAL, csv.QUOTE_ALL):
+        writer = csv.writer(out, delimiter="|", lineterminator="\n", quoting=quoting)
+        for _ in range(1000):
+            writer.writerow(
+                ["".join(pick.choices(marks, k=pick.randint(0, 6))) for _ in range(4)]
+            )
+    path = tmp_path / "x.dat"
+    path.write_text(out.getvalue(), encoding="utf-8")
+    columns = ", ".join(f"'{c}': 'VARCHAR'" for c in "abcd")
+    expected = duckdb.connect().execute(
+        f"select *, false from read_csv('{path}', delim='|', header=false, auto_detect=false, "
+        f"columns={{{columns}}})"
+    ).fetchall()
+    got = read(spark, tmp_path, spec("pipe", cols=list("abcd"))).rows
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, expected))
+
+
 def test_long_delimiter_and_long_field(spark):
     long = "1||" + '"' + 'x""|' * 100_000 + '"' + "||2"
     df = spark.createDataFrame([("a||b||c",), (long,)], "value string")
