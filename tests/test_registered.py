@@ -23,7 +23,8 @@ TABLES = (
 ).split()
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER",
          "boolean": "BOOLEAN"}
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for group in entry._GROUPS for name, query in group.QUERIES.items()}
+ORACLE = {name: sql for group in entry._GROUPS for name, sql in group.ORACLE.items()}
 
 
 @pytest.fixture(scope="module")
