@@ -14,6 +14,7 @@ An empty table gives no pieces.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,35 +29,60 @@ from monthclose.llm.common import small_batches, stored
 #: Tokens of a sequence, and the token that ends a document.
 SEQUENCE, END_ID = 2048, 0
 #: Words whose ids a worker remembers, and rows that one salted group of ranks aims at.
-REMEMBERED, GROUP_ROWS = 400_000, 200_000
+REMEMBERED, GROUP_ROWS = 500_000, 20_000
+
+
+# Letters of English and western European words, digits and signs, without what the tokenizer treats in its own way (an
+# apostrophe may begin an ending, "<" a special token). Such a stretch is normalised by lower case alone, and is split
+# into runs of letters, single digits, and runs of signs.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-;=-@\[-`{-~]+")
+_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies use for each byte: itself if it is printable, else one from U+0100 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class Tokens:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins characters across plain white space, so it is asked once per different stretch between
-    white space.
+    white space; for plain words only its merges are asked. Both memories are bounded.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {"": b""}
+        self._merges = self._tokenizer.model
+        self._letters = [_byte_letters()[b] for b in range(256)]
+        self._stretches: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        if len(self._words) > REMEMBERED:
+            self._words.clear()
+        text = word if word.isascii() else "".join([self._letters[b] for b in word.encode()])
+        ids = self._words[word] = np.array([t.id for t in self._merges.tokenize(text)], "<u4").tobytes()
+        return ids
+
+    def _stretch(self, stretch: str) -> bytes:
+        if len(self._stretches) > REMEMBERED:
+            self._stretches.clear()
+        if _PLAIN.fullmatch(stretch):
+            ids = b"".join([self._words.get(w) or self._word(w) for w in _PARTS.findall(stretch.lower())])
+        else:
+            ids = np.array(self._tokenizer.encode(stretch, add_special_tokens=False).ids, "<u4").tobytes()
+        self._stretches[stretch] = ids
+        return ids
 
     def ids(self, text: str | None) -> bytes:
         words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self._known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-                known[""] = b""
-            new = list({w for w in words if w not in known})
-            for word, encoded in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[word] = np.array(encoded.ids, "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+        known = self._stretches
+        return b"".join([known[w] if w in known else self._stretch(w) for w in words if w])
 
 
 @lru_cache(maxsize=2)
