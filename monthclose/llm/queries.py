@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthclose.llm import htmltext, langid, packing, secrets, toxicity
+from monthclose.llm import chat, decontam, htmltext, langid, packing, secrets, toxicity
 from monthclose.llm.common import documents, remainder, small_batches
 
 
@@ -19,6 +19,10 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.overlaps(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 def toxic_lexicon(spark: SparkSession, sf: str, docs: DataFrame) -> toxicity.Lexicon:
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     return toxicity.learn(toxicity.training_sample(docs, labels, lambda c: remainder(c, 5) != 0))
@@ -51,12 +55,27 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), tokenizer())
 
 
+def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations, and conversation -7, whose texts are full of control strings."""
+    own = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digests(chat.windows(own.unionByName(extra)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_html_extraction": op7_html_extraction,
     "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_decontamination": decontam.sql(),
+    "op10_chat_formatting": chat.sql(
+        "VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')"),
+}
