@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthclose.llm import packing, secrets, toxicity
+from monthclose.llm import decontam, neardup, packing, secrets, toxicity
 from monthclose.llm.common import stored
 from monthclose.llm.queries import tokenizer, toxic_lexicon
 
@@ -19,6 +19,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxic_lexicon(spark, sf, docs))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return neardup.without_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     """All documents stay; secrets in them become a mark, and n_chars follows."""
     return secrets.without_secrets(docs)
@@ -31,6 +41,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near-duplicate removal", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
     ("secret scans", mask_secrets),
     ("best-fit packing", pack_sequences),
 ]

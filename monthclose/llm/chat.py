@@ -182,7 +182,7 @@ def sql(extra: str) -> str:
         t AS (
           SELECT *, row_number() OVER w AS i, sum(tokens) OVER w AS sums, sum(size) OVER w AS sizes FROM (
             SELECT *, coalesce(floor(turn / {CHUNK}), -1e18) AS chunk,
-              len(regexp_extract_all(text, '\S+')) + 2 AS tokens,
+              len(regexp_extract_all(text, '\\S+')) + 2 AS tokens,
               {size('text')} + CASE role {frame} ELSE {other} + {size('role')} END AS size FROM c)
           WINDOW w AS (PARTITION BY conv_id, chunk ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
         sys AS (SELECT DISTINCT ON (conv_id) conv_id, chunk, i, tokens, size FROM t WHERE role = 'system'

@@ -29,7 +29,7 @@ from monthclose.llm.common import small_batches, stored
 #: Tokens of a sequence, and the token that ends a document.
 SEQUENCE, END_ID = 2048, 0
 #: Words whose ids a worker remembers, and rows that one salted group of ranks aims at.
-REMEMBERED, GROUP_ROWS = 500_000, 20_000
+REMEMBERED, GROUP_ROWS = 500_000, 500
 
 
 # Letters of English and western European words, digits and signs, without what the tokenizer treats in its own way (an
@@ -185,27 +185,27 @@ def places(patterns: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.nd
     return {n: np.array(r, np.int64) for n, r in rows.items()}
 
 
-def ranked(parts: DataFrame, order: list[str], groups: int) -> DataFrame:
-    """``rank`` from 0 within each length, by salted groups: rows of one length spread over ``groups`` tasks."""
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(groups)))
-    # As many rows as there are lengths and groups: small beside the pieces.
+def ranked(parts: DataFrame, order: list[str]) -> DataFrame:
+    """``rank`` from 0 within each length. The rows of a length are dealt to as many salted groups as they fill."""
+    groups = parts.groupBy("length").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))  # a row for each length
+    salted = parts.join(F.broadcast(groups), "length").withColumn("salt", F.pmod(F.xxhash64(*order), F.col("groups")))
+    # A row for each group: a small part of the pieces.
     before = salted.groupBy("length", "salt").count().withColumn(
         "before",
         F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)),
     ).select("length", "salt", F.coalesce("before", F.lit(0)).alias("before"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy(*order)) - 1
     return (salted.withColumn("within", within).join(before, ["length", "salt"])
-            .withColumn("rank", F.col("within") + F.col("before")).drop("salt", "within", "before"))
+            .withColumn("rank", F.col("within") + F.col("before")).drop("groups", "salt", "within", "before"))
 
 
 def packed(parts: DataFrame, id_col: str = "doc_id", size: int = SEQUENCE) -> DataFrame:
     """``parts`` with sequence_id and offset. ``parts`` must be a stored table: it is read twice and must not change."""
     counts = {r["length"]: r["count"] for r in parts.groupBy("length").count().collect()}  # at most ``size`` rows
     table = places(plan(counts, size))
-    groups = max(1, max(counts.values(), default=0) // GROUP_ROWS + 1)
     order = [id_col, "piece", "start", "ids_crc32"]
     names = [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    rows = ranked(parts, order, groups)
+    rows = ranked(parts, order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthclose.llm import chat, decontam, htmltext, langid, packing, secrets, toxicity
+from monthclose.llm import chat, decontam, htmltext, langid, lmscore, mtree, neardup, packing, secrets, toxicity
 from monthclose.llm.common import documents, remainder, small_batches
 
 
+def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return lmscore.score(docs, lmscore.learn(docs))
+
+
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     small_batches(spark)
@@ -19,6 +24,14 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf))
+
+
+def op4_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return mtree.top_k(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.overlaps(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
@@ -65,7 +78,10 @@ def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_html_extraction": op7_html_extraction,
@@ -75,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_near_duplicates": neardup.sql(),
+    "op4_exact_top_k": mtree.sql(),
     "op5_decontamination": decontam.sql(),
     "op10_chat_formatting": chat.sql(
         "VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')"),
