@@ -85,13 +85,19 @@ class Tree:
                 chosen.append(new)
             pending += [(rows[owner == k], c, page) for k, c in enumerate(chosen) if (owner == k).any()]
 
+    def order(self) -> np.ndarray:
+        """The rows leaf by leaf: stored so, a leaf is one stretch."""
+        return np.concatenate([*self.entries, np.zeros(0, np.int64)]).astype(np.int64)
+
     def arrays(self) -> dict[str, np.ndarray]:
+        """The pages over rows in that order."""
         sizes = [len(e) for e in self.entries]
         kids = [len(c) for c in self.children]
+        place = np.empty(len(self.points), np.int64)
+        place[self.order()] = np.arange(len(place))
         return {
-            "center": np.array(self.center, np.int64), "radius": np.array(self.radius), "to_parent": np.array(self.to_parent),
-            "entry_at": np.cumsum([0, *sizes]), "entries": np.concatenate([*self.entries, np.zeros(0, np.int64)]).astype(np.int64),
-            "distances": np.concatenate([*self.distances, np.zeros(0)]), "child_at": np.cumsum([0, *kids]),
+            "center": place[np.array(self.center, np.int64)], "radius": np.array(self.radius),
+            "to_parent": np.array(self.to_parent), "entry_at": np.cumsum([0, *sizes]), "distances": np.concatenate([*self.distances, np.zeros(0)]), "child_at": np.cumsum([0, *kids]),
             "children": np.array([c for group in self.children for c in group], np.int64),
         }
 
@@ -99,9 +105,11 @@ class Tree:
 class Search:
     """Best-first search in the pages of one shard."""
 
-    def __init__(self, pages: dict[str, np.ndarray], points: np.ndarray, ids: np.ndarray, id_at: np.ndarray, limit: float):
-        self.p, self.points, self.ids, self.id_at, self.limit = pages, points, ids, id_at, limit
-        self.computed = 0
+    def __init__(self, pages: dict[str, np.ndarray], limit: float):
+        self.p, self.limit, self.computed = pages, limit, 0
+        self.vectors = pages["vectors"].astype(float)
+        self.ids, self.id_at = pages["ids"].tolist(), pages["id_at"].tolist()
+        self.entry_at, self.child_at = pages["entry_at"].tolist(), pages["child_at"].tolist()
 
     def nearest(self, query: np.ndarray, own: int, k: int, floor: float = -math.inf) -> list[tuple[int, int]]:
         """The k best (score, id) that reach the score ``floor``, ties to the smaller id."""
@@ -115,38 +123,43 @@ class Search:
             least = max(floor, found[0][0] if len(found) == k else -math.inf)
             return math.inf if least == -math.inf else math.sqrt(max(base - 2 * least, 0.0)) + slack
 
-        def away(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def away(rows: np.ndarray) -> np.ndarray:
             self.computed += len(rows)
-            scores = self.points[rows, :-1] @ query
-            return scores, np.sqrt(np.maximum(base - 2 * scores, 0))
+            return np.sqrt(np.maximum(base - 2 * (self.vectors[rows] @ query), 0))
 
-        first = float(away(p["center"][:1])[1][0])
+        first = float(away(p["center"][:1])[0])
         queue = [(max(first - p["radius"][0], 0.0), 0, first)]
         while queue:
             bound, page, to_center = heapq.heappop(queue)
             if bound > reach():
                 break
-            kids = p["children"][p["child_at"][page] : p["child_at"][page + 1]]
+            kids = p["children"][self.child_at[page] : self.child_at[page + 1]]
+            most = reach()
             if len(kids):
                 # |d(query, page) - d(child, page)| - radius bounds the child's distance from below.
-                kids = kids[np.abs(to_center - p["to_parent"][kids]) - p["radius"][kids] <= reach()]
+                kids = kids[np.abs(to_center - p["to_parent"][kids]) - p["radius"][kids] <= most]
                 if len(kids):
-                    distance = away(p["center"][kids])[1]
+                    distance = away(p["center"][kids])
                     least = np.maximum(distance - p["radius"][kids], 0)
-                    for c in np.flatnonzero(least <= reach()):
+                    for c in np.flatnonzero(least <= most):
                         heapq.heappush(queue, (float(least[c]), int(kids[c]), float(distance[c])))
                 continue
-            span = slice(p["entry_at"][page], p["entry_at"][page + 1])
-            rows = p["entries"][span][np.abs(to_center - p["distances"][span]) <= reach()]
+            low, high = self.entry_at[page], self.entry_at[page + 1]
+            rows = np.flatnonzero(np.abs(to_center - p["distances"][low:high]) <= most) + low
             if not len(rows):
                 continue
-            scores = away(rows)[0]
+            self.computed += len(rows)
+            if 2 * len(rows) > high - low:  # most of the leaf: one stretch without copying
+                rows = np.arange(low, high)
+                scores = self.vectors[low:high] @ query
+            else:
+                scores = self.vectors[rows] @ query
             worst = max(floor, found[0][0] if len(found) == k else -math.inf)
-            for at in np.flatnonzero(scores >= worst):
-                score = int(scores[at])
-                for vec_id in self.ids[self.id_at[rows[at]] : self.id_at[rows[at] + 1]]:
+            for at in np.flatnonzero(scores >= worst).tolist():
+                score, row = int(scores[at]), int(rows[at])
+                for vec_id in self.ids[self.id_at[row] : self.id_at[row + 1]]:
                     if vec_id != own:
-                        item = (score, -int(vec_id))
+                        item = (score, -vec_id)
                         if len(found) < k:
                             heapq.heappush(found, item)
                         elif item > found[0]:
@@ -217,8 +230,10 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_i
         pivot = int(table.column("pivot")[0].as_py())
         points = _on_sphere(whole, limit)
         radius = float(np.sqrt(((points - pivots[pivot]) ** 2).sum(axis=1)).max())
-        arrays = Tree(points).arrays() | {
-            "vectors": whole.astype(np.int64), "ids": np.array([i for x in own for i in x], np.int64),
+        tree = Tree(points)
+        own = [own[k] for k in tree.order()]
+        arrays = tree.arrays() | {
+            "vectors": whole[tree.order()].astype(np.int64), "ids": np.array([i for x in own for i in x], np.int64),
             "id_at": np.cumsum([0, *(len(x) for x in own)])}
         return pa.table({
             "pivot": pa.array([pivot], pa.int64()), "part": table.column("part")[:1].combine_chunks(),
@@ -261,9 +276,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_i
         for batch in batches:
             found = []
             for pages, asks in zip(batch.column("pages"), batch.column("asks"), strict=True):
-                arrays = dict(np.load(io.BytesIO(pages.as_py())))
-                points = _on_sphere(arrays.pop("vectors").astype(float), limit)
-                tree = Search(arrays, points, arrays["ids"], arrays["id_at"], limit)
+                tree = Search(dict(np.load(io.BytesIO(pages.as_py()))), limit)
                 for ask in asks.as_py():
                     q = np.zeros(width)
                     q[: len(ask["v"])] = ask["v"]
