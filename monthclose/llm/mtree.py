@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from monthclose.llm.common import small_batches, stored
 
 #: Entries of a leaf and children of an inner page; objects of a shard; most shards; queries of one block.
-LEAF, FANOUT, SHARD, MOST_SHARDS, QUERY_BLOCK = 128, 16, 4096, 65_536, 512
+LEAF, FANOUT, SHARD, MOST_SHARDS, QUERY_BLOCK = 512, 8, 4096, 65_536, 512
 SCALE = 1024
 
 
