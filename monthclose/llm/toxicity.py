@@ -33,6 +33,8 @@ from monthclose.llm.common import small_batches
 TOXIC_ROWS, CLEAN_ROWS, ENTRIES = 3000, 6000, 4000
 #: An entry needs this many toxic texts, different following words, and log odds.
 LEAST_TEXTS, LEAST_FOLLOWERS, LEAST_WEIGHT = 8, 8, 3.5
+#: Entries that a worker counts before it passes them on.
+COUNTED_AT_ONCE = 100_000
 #: Lengths of word beginnings that may become entries.
 BEGINNINGS = range(4, 9)
 
@@ -166,19 +168,24 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[0 if toxic.as_py() else 1] += 1
                 if toxic.as_py() and len(counts[2]) < LEAST_FOLLOWERS:
                     counts[2] |= followers
+        if len(seen) > COUNTED_AT_ONCE:
+            yield _counted(seen)
+            seen = {}
+    yield _counted(seen)
+
+
+def _counted(seen: dict[str, list]) -> pa.RecordBatch:
     rows = [(e, t, c, sorted(f)[:LEAST_FOLLOWERS]) for e, (t, c, f) in seen.items()]
-    for k in range(0, len(rows), 50_000):
-        part = rows[k : k + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in part], t) for i, t in enumerate(
-                (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())))],
-            names=["entry", "toxic", "clean", "followers"])
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["entry", "toxic", "clean", "followers"])
 
 
 def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, entries: int = ENTRIES) -> Lexicon:
     """Lexicon and curve from the bounded sample of (id, text, toxic)."""
     spark = sample.sparkSession
     small_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # what one batch adds to the counts stays small
     sample = sample.select("text", "toxic").repartition(2 * max(spark.sparkContext.defaultParallelism, 1))
     texts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = texts.get(1, 0), texts.get(0, 0)
