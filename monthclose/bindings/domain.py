@@ -154,7 +154,23 @@ QUERIES = {
     name: f for name, f in list(globals().items()) if name[0] in "dj" and name[1:2].isdigit()
 }
 
-_PENSION = ", ".join(f"'{c}'" for c in allocation.PENSION_CODES)
+# The pension group's line codes and the accounts, stated for the SQL on their own.
+_PENSION = """
+    'LA02660', 'LA02661', 'LA02662', 'LA02663', 'LA02664', 'LA02665', 'LA02666', 'LA02667', 'LA02668',
+    'LA02669', 'LA02670', 'LA02699', 'LA02800', 'LA02802', 'LA02803', 'LA02804', 'LA02805', 'LA02806',
+    'LA02807', 'LA02808', 'LA02809', 'LA02810', 'LA02812', 'LA02813', 'LA02814', 'LA02815', 'LA02816',
+    'LA02818', 'LA02819', 'LA02820', 'LA02821', 'LA02822', 'LA02823', 'LA02824', 'LA02825', 'LA02826',
+    'LA02827', 'LA02828', 'LA02829', 'LA02830', 'LA02831', 'LA02833', 'LA02835', 'LA02836', 'LA02838',
+    'LA02839', 'LA02840', 'LA02841', 'LA02842', 'LA02844', 'LA02845', 'LA02846', 'LA02847', 'LA02848',
+    'LA02850', 'LA02851', 'LA02852', 'LA02854', 'LA02855', 'LA02856', 'LA02858', 'LA02859', 'LA02860',
+    'LA02861', 'LA02862', 'LA02863', 'LA02864', 'LA02866', 'LA02867', 'LA02868', 'LA02869', 'LA02872',
+    'LA02873', 'LA02874', 'LA02875', 'LA02878', 'LA02879', 'LA02880', 'LA02881', 'LA02882', 'LA02883',
+    'LA02885', 'LA02886', 'LA02887', 'LA02888', 'LA02889', 'LA02890', 'LA02891', 'LA02892', 'LA02900',
+    'LA02901', 'LA02903', 'LA02904', 'LA02905', 'LA02906', 'LA02907', 'LA02908', 'LA02910', 'LA02911',
+    'LA02920', 'LA02921', 'LA02930', 'LA02931', 'LA02941', 'LA02951', 'LA02961', 'LA02971', 'LA02981',
+    'LA02991'"""
+_DEFERRAL = ("5125030001", "5125010001", "5125050001")
+_AMORTISATION = ("5131030001", "5131010001", "5131050001")
 _GROUP_SQL = f"""case when substr(INS_IMCD, 1, 2) = 'CA' then '자동차'
     when substr(INS_IMCD, 1, 2) in ('FA', 'MA') then '일반'
     when INS_IMCD in ({_PENSION}) then '장기연금' when INS_IMCD in ('LA02801') then '장기우매당'
@@ -219,8 +235,8 @@ ORACLE = {
     "d7_stacked_allocations": f"{_MAPPED} from ({MAINTENANCE_SQL} union all {HANDLING_SQL}) t",
     "d8_allocation_totals": TOTALS_SQL,
     "d9_deferral_totals": f"""select YYYYMM, '일반관리비' as GB, NTACC_CD, 'LA' as BGB, '0' as CGB,
-        {money_sql('S')} as S from ({_booked(allocation.DEFERRAL_ACCOUNTS, 'l_extendedprice * -1')}
-        union all {_booked(allocation.AMORTISATION_ACCOUNTS, 'l_quantity')}) u group by YYYYMM, NTACC_CD""",
+        {money_sql('S')} as S from ({_booked(_DEFERRAL, 'l_extendedprice * -1')}
+        union all {_booked(_AMORTISATION, 'l_quantity')}) u group by YYYYMM, NTACC_CD""",
     "d10_net_expense": f"""select INS_IMCD, {_GROUP_SQL} as BGB, SL_TPCD,
         case when INS_IMCD = 'CA91001' then '1' when substr(INS_IMCD, 1, 2) = 'CA' then CVRCD
         else '0' end as CGB, {money_sql('S')} as S from ({TOTALS_SQL}) t

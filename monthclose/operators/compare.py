@@ -100,5 +100,5 @@ def totals_where_key_in(
 
 def rows_where_key_in(rows: DataFrame, key: str, allowed: DataFrame) -> DataFrame:
     """The rows whose key occurs in ``allowed`` (its first column)."""
-    wanted = allowed.select(F.col(allowed.columns[0]).alias(key)).distinct()
+    wanted = allowed.select(F.col(allowed.columns[0]).alias(key))
     return rows.join(wanted, key, "left_semi")

@@ -16,7 +16,6 @@ from monthclose.sources import files
 log = logging.getLogger("monthclose")
 
 AUTO_PREFIX = "out_"
-SHEET_NAME_LENGTH = 31
 SUMMARY = "요약"
 TOTAL = "합계"
 
@@ -124,7 +123,6 @@ def export_sheets(
     for table, config in sheet_set(sheets, store.tables(), store.month, params):
         started = time.monotonic()
         query, sheet = sheet_query(table, config, store.month, params)
-        sheet = sheet[:SHEET_NAME_LENGTH]
         path = f"{target}/{sheet.replace('/', '_')}"
         try:
             rows = _write_counted(store.query(query, params), path, format)

