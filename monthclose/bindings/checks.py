@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from monthclose.bindings.common import MONTH, new_store, table
+from monthclose.bindings.common import MONTH, cents, new_store, table
 from monthclose.functions.casts import total
 from monthclose.functions.months import month_of, month_params
 from monthclose.operators.checks import (
@@ -76,7 +76,7 @@ def v3_two_keys(spark, sf):
         month_of(F.col("l_shipdate")).alias("ym"), F.col("l_linestatus").alias("st"),
         F.col("l_extendedprice").alias("amt"),
     )
-    return reconcile(orders, lines, ["ym", "st"], "amt", threshold=5_000_000)
+    return cents(reconcile(orders, lines, ["ym", "st"], "amt", threshold=5_000_000))
 
 
 def v4_row_count_grouped(spark, sf):
@@ -231,7 +231,7 @@ ORACLE = {
     "v3_largest": f"select * from ({_DIFF_SQL}) d order by abs(diff) desc, k nulls first limit 20",
     "v3_two_keys": """select coalesce(a.ym, b.ym) as ym, coalesce(a.st, b.st) as st,
         cast(coalesce(a.s, 0) as double) as val_a, cast(coalesce(b.s, 0) as double) as val_b,
-        cast(coalesce(a.s, 0) as double) - cast(coalesce(b.s, 0) as double) as diff from (
+        cast(coalesce(a.s, 0) - coalesce(b.s, 0) as double) as diff from (
         select strftime(o_orderdate, '%Y%m') as ym, o_orderstatus as st,
         sum(cast(o_totalprice as decimal(28,4))) as s from orders group by 1, 2) a
         full outer join (select strftime(l_shipdate, '%Y%m') as ym, l_linestatus as st,

@@ -103,10 +103,13 @@ LINE_CODE_SQL = (
 )
 
 
-def maintenance_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as allocated maintenance expense."""
+def maintenance_rows(spark: SparkSession, sf: str, month: str | None = None) -> DataFrame:
+    """Line items as allocated maintenance expense, of one month if it is given."""
     flag = F.col("l_returnflag")
-    return table(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem")
+    if month:
+        lines = lines.where(in_months(F.col("l_shipdate"), month, month))
+    return lines.select(
         month_of(F.col("l_shipdate")).alias("SLPDT"),
         F.concat(F.lit("512"), text(F.col("l_linenumber")), F.lit("030001")).alias("NTACC_CD"),
         F.when(flag == "A", "01").when(flag == "N", "02").otherwise("03").alias("BZCS_TPCD"),
@@ -127,9 +130,12 @@ MAINTENANCE_SQL = f"""select strftime(l_shipdate, '%Y%m') as SLPDT,
     l_extendedprice as DVAMT from lineitem"""
 
 
-def handling_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as allocated claim handling expense."""
-    return table(spark, sf, "orders").select(
+def handling_rows(spark: SparkSession, sf: str, month: str | None = None) -> DataFrame:
+    """Orders as allocated claim handling expense, of one month if it is given."""
+    orders = table(spark, sf, "orders")
+    if month:
+        orders = orders.where(in_months(F.col("o_orderdate"), month, month))
+    return orders.select(
         month_of(F.col("o_orderdate")).alias("SLPDT"),
         F.concat(F.lit("512"), F.substring("o_orderpriority", 1, 1), F.lit("030001")).alias(
             "NTACC_CD"
@@ -193,6 +199,14 @@ COVERAGE_SQL = """select strftime(l_shipdate, '%Y%m') as CLS_YYMM,
     l_extendedprice as PRM, l_quantity as AMT from lineitem"""
 
 
+def cents(df: DataFrame) -> DataFrame:
+    """Amounts of a result to the two places of the given tables, past which a sum depends on its order."""
+    return df.select(*[
+        F.round(F.col(f"`{name}`"), 2).alias(name) if dtype == "double" else F.col(f"`{name}`")
+        for name, dtype in df.dtypes
+    ])
+
+
 def money_sql(column: str) -> str:
     return f"cast(sum(cast({column} as decimal(28,4))) as double)"
 

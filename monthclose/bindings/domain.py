@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from monthclose.bindings.common import (
     BEFORE, COVERAGE_SQL, HANDLING_SQL, MAINTENANCE_SQL, MONTH, TOTALS_SQL, VOUCHERS_SQL,
-    coverage_rows, handling_rows, held_rows, income_rows, maintenance_rows, money_sql, table, text,
+    cents, coverage_rows, handling_rows, held_rows, income_rows, maintenance_rows, money_sql, table, text,
     voucher_rows,
 )
 from monthclose.functions.casts import total
@@ -18,15 +18,15 @@ LINE_MONTH = "strftime(l_shipdate, '%Y%m')"
 
 
 def d1_premium_by_line(spark, sf):
-    return premium.premium_by_line(income_rows(spark, sf))
+    return cents(premium.premium_by_line(income_rows(spark, sf)))
 
 
 def d2_held_premium_by_line(spark, sf):
-    return premium.held_premium_by_line(held_rows(spark, sf))
+    return cents(premium.held_premium_by_line(held_rows(spark, sf)))
 
 
 def d3_held_premium_by_month(spark, sf):
-    return premium.held_premium_by_month(held_rows(spark, sf))
+    return cents(premium.held_premium_by_month(held_rows(spark, sf)))
 
 
 def d4_agency_anomalies(spark, sf):
@@ -36,7 +36,7 @@ def d4_agency_anomalies(spark, sf):
 def d5_income_against_held(spark, sf):
     income = income_rows(spark, sf).select("INS_IMCD", F.col("RP_PRM").alias("AMT"))
     held = held_rows(spark, sf).select("INS_IMCD", F.col("AP_PRM").alias("AMT"))
-    return reconcile(income, held, ["INS_IMCD"], "AMT")
+    return cents(reconcile(income, held, ["INS_IMCD"], "AMT"))
 
 
 def d6_allocation_mapping(spark, sf):
@@ -47,12 +47,14 @@ def d7_stacked_allocations(spark, sf):
     return allocation.stacked(maintenance_rows(spark, sf), handling_rows(spark, sf))
 
 
-def _totals(spark, sf):
-    return allocation.allocation_totals(d7_stacked_allocations(spark, sf))
+def _totals(spark, sf, month=None):
+    return allocation.allocation_totals(
+        allocation.stacked(maintenance_rows(spark, sf, month), handling_rows(spark, sf, month))
+    )
 
 
 def d8_allocation_totals(spark, sf):
-    return _totals(spark, sf)
+    return cents(_totals(spark, sf))
 
 
 def d9_deferral_totals(spark, sf):
@@ -63,25 +65,26 @@ def d9_deferral_totals(spark, sf):
         F.col("l_extendedprice").alias("RL_CREW_NWCRT"),
         F.col("l_quantity").alias("RL_NWCRT_DPCS"),
     )
-    return allocation.deferral_totals(rows)
+    return cents(allocation.deferral_totals(rows))
 
 
 def d10_net_expense(spark, sf):
-    return allocation.net_expense(_totals(spark, sf), MONTH)
+    return cents(allocation.net_expense(_totals(spark, sf, MONTH), MONTH))
 
 
 def d10_business_group(spark, sf):
     lines = maintenance_rows(spark, sf)
     totals = lines.groupBy("INS_IMCD").agg(total(F.col("DVAMT")).alias("S"))
-    return totals.select("INS_IMCD", allocation.business_group(F.col("INS_IMCD")).alias("BGB"), "S")
+    group = allocation.business_group(F.col("INS_IMCD")).alias("BGB")
+    return cents(totals.select("INS_IMCD", group, "S"))
 
 
 def d11_expense_trend(spark, sf):
-    return allocation.expense_trend(_totals(spark, sf))
+    return cents(allocation.expense_trend(_totals(spark, sf)))
 
 
 def d12_ledger_gaps(spark, sf):
-    return allocation.ledger_gaps(voucher_rows(spark, sf), _totals(spark, sf))
+    return cents(allocation.ledger_gaps(voucher_rows(spark, sf), _totals(spark, sf)))
 
 
 def d12_ledger_gap_count(spark, sf):
@@ -109,25 +112,19 @@ def d14_unallocated_phone_sales(spark, sf):
 
 
 def d15_reclosed_amount(spark, sf):
-    return closing.reclosed_amount(_totals(spark, sf), voucher_rows(spark, sf))
+    return cents(closing.reclosed_amount(_totals(spark, sf), voucher_rows(spark, sf)))
 
 
 def d16_coverage_totals(spark, sf):
-    return monthly.coverage_totals(coverage_rows(spark, sf), MONTH)
+    return cents(monthly.coverage_totals(coverage_rows(spark, sf), MONTH))
 
 
 def d17_coverage_change(spark, sf):
-    rows = coverage_rows(spark, sf)
-    return monthly.coverage_change(
-        monthly.coverage_totals(rows, MONTH), monthly.coverage_totals(rows, BEFORE)
-    )
+    return cents(monthly.change_within(coverage_rows(spark, sf), MONTH, BEFORE, "PRM"))
 
 
 def d18_amount_change(spark, sf):
-    rows = coverage_rows(spark, sf)
-    return monthly.amount_change(
-        rows.where(F.col("CLS_YYMM") == MONTH), rows.where(F.col("CLS_YYMM") == BEFORE)
-    )
+    return cents(monthly.change_within(coverage_rows(spark, sf), MONTH, BEFORE, "AMT", how="left"))
 
 
 def d19_largest_premiums(spark, sf):
@@ -147,7 +144,7 @@ def j2_left_month_change(spark, sf):
             total(F.col("o_totalprice")).alias("s")
         )
 
-    return month_change(by_customer(MONTH), by_customer(BEFORE), "k", "s", how="left")
+    return cents(month_change(by_customer(MONTH), by_customer(BEFORE), "k", "s", how="left"))
 
 
 QUERIES = {
@@ -196,10 +193,11 @@ def _coverage_totals(month):
 def _change(key, value, now, before, how):
     if how == "left":
         return f"""select a.{key} as {key}, a.{value} as cur, b.{value} as prev,
-            a.{value} - coalesce(b.{value}, 0) as chg
+            round(a.{value} - coalesce(b.{value}, 0), 2) as chg
             from ({now}) a left join ({before}) b on a.{key} = b.{key}"""
     return f"""select coalesce(a.{key}, b.{key}) as {key}, coalesce(a.{value}, 0) as cur,
-        coalesce(b.{value}, 0) as prev, coalesce(a.{value}, 0) - coalesce(b.{value}, 0) as chg
+        coalesce(b.{value}, 0) as prev,
+        round(coalesce(a.{value}, 0) - coalesce(b.{value}, 0), 2) as chg
         from ({now}) a full outer join ({before}) b on a.{key} = b.{key}"""
 
 
@@ -225,7 +223,7 @@ ORACLE = {
         from orders where substr(o_orderpriority, 1, 2) in ('2-')
         and substr(o_orderstatus, 1, 1) not in ('F')""",
     "d5_income_against_held": """select k as INS_IMCD, cast(a as double) as val_a,
-        cast(b as double) as val_b, cast(a as double) - cast(b as double) as diff from (
+        cast(b as double) as val_b, cast(a - b as double) as diff from (
         select coalesce(a.k, b.k) as k, coalesce(a.s, 0) as a, coalesce(b.s, 0) as b
         from (select l_linestatus as k, sum(cast(l_extendedprice as decimal(28,4))) as s
         from lineitem group by 1) a full outer join (select o_orderstatus as k,

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from monthclose.bindings.common import MONTH, money_sql, new_store, table, text
-from monthclose.functions.casts import (
-    amount_parts, double_to_bigint, joined_parts, month_text, total,
-)
+from monthclose.bindings.common import MONTH, cents, money_sql, new_store, table, text
+from monthclose.functions.casts import double_to_bigint, month_text, total
 from monthclose.functions.months import (
     fill_params, month_of, month_params, shift_month, with_month_params,
 )
@@ -59,12 +57,11 @@ def p7_not_distinct(spark, sf):
 
 def p10_cte(spark, sf):
     """Chained results: orders per customer, and how many customers have how many."""
-    store = new_store(spark, "p10")
-    store.replace("o", table(spark, sf, "orders").select("o_custkey"))
-    return store.query(
-        "WITH a AS (SELECT o_custkey, COUNT(*) AS n FROM o GROUP BY o_custkey), "
+    return spark.sql(
+        "WITH a AS (SELECT o_custkey, COUNT(*) AS n FROM {o} GROUP BY o_custkey), "
         "b AS (SELECT n, COUNT(*) AS customers FROM a GROUP BY n) "
-        "SELECT n, customers FROM b"
+        "SELECT n, customers FROM b",
+        o=table(spark, sf, "orders"),
     )
 
 
@@ -89,9 +86,9 @@ def _nations_sql(name, key):
 
 def j3_full_join(spark, sf):
     """NULL keys of the two sides stay apart."""
-    return month_change(
+    return cents(month_change(
         _nations(spark, sf, "customer", "c"), _nations(spark, sf, "supplier", "s"), "k", "s"
-    )
+    ))
 
 
 def j4_null_safe_full(spark, sf):
@@ -123,21 +120,18 @@ def j5_semi_join_total(spark, sf):
     """Count and amount of such rows, without shuffling the rows themselves."""
     urgent = table(spark, sf, "orders").where(F.col("o_orderpriority").startswith("1"))
     lines = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
-    units, rest = amount_parts(F.col("l_extendedprice"))
-    sums = {"n": F.count(F.lit(1)), "units": F.sum(units), "rest": F.sum(rest)}
-    return totals_where_key_in(lines, "l_orderkey", urgent.select("o_orderkey"), sums).select(
-        "n", joined_parts(F.col("units"), F.col("rest")).alias("s")
-    )
+    sums = {"n": F.count(F.lit(1)), "s": total(F.col("l_extendedprice"))}
+    return cents(totals_where_key_in(lines, "l_orderkey", urgent.select("o_orderkey"), sums))
 
 
 def a1_a4_group_by_expression(spark, sf):
     """Several sums by a computed key."""
     kind = F.when(F.col("l_quantity") > 25, "large").otherwise("small").alias("kind")
-    return table(spark, sf, "lineitem").groupBy(kind, F.col("l_returnflag").alias("flag")).agg(
+    return cents(table(spark, sf, "lineitem").groupBy(kind, F.col("l_returnflag").alias("flag")).agg(
         F.count(F.lit(1)).alias("cnt"),
         total(F.col("l_extendedprice")).alias("price"),
         total(F.col("l_quantity")).alias("qty"),
-    )
+    ))
 
 
 def a5_distinct(spark, sf):
@@ -161,7 +155,7 @@ def a7_a9_nested_having(spark, sf):
         F.col("c_custkey").alias("k"), (-F.col("c_acctbal")).alias("s")
     )
     sums = orders.unionAll(balances).groupBy("k").agg(total(F.col("s")).alias("s"))
-    return sums.where(F.abs("s") > 1000000)
+    return cents(sums.where(F.abs("s") > 1000000))
 
 
 def a8_empty_total(spark, sf):
@@ -243,7 +237,7 @@ ORACLE = {
     "j1_inner": """select o_orderkey as k, c_name as name from orders
         join customer on o_custkey = c_custkey""",
     "j3_full_join": f"""select coalesce(a.k, b.k) as k, coalesce(a.s, 0) as cur,
-        coalesce(b.s, 0) as prev, coalesce(a.s, 0) - coalesce(b.s, 0) as chg
+        coalesce(b.s, 0) as prev, round(coalesce(a.s, 0) - coalesce(b.s, 0), 2) as chg
         from ({_nations_sql('customer', 'c')}) a
         full outer join ({_nations_sql('supplier', 's')}) b on a.k = b.k""",
     "j4_null_safe_full": """select coalesce(a.ym, b.ym) as ym, coalesce(a.kind, b.kind) as kind,

@@ -15,7 +15,7 @@ from monthclose.sources.encoding import charset_settings, encoded, profile_encod
 from monthclose.sources.files import latest_files, work_dir
 from monthclose.sources.layouts import layout_from_json, table_spec
 from monthclose.sources.lines import raw_lines
-from monthclose.sources.scan import scan
+from monthclose.sources.scan import preview, scan
 
 # Two bytes per character in cp949, three in UTF-8.
 _STATUS_NAMES = {"F": "완료", "O": "진행중", "P": "보류"}
@@ -232,7 +232,7 @@ def s10_gzip(spark, sf):
 
 
 def s10_zip(spark, sf):
-    """Zip archives, of which only the first member counts; one archive per task."""
+    """Zip archives of two members each; one archive per task."""
     folder = work_dir(spark, "s10z")
     with charset_settings(spark):
         lines = _orders(spark, sf).select(encoded(_pipe_line(), "cp949").alias("value"))
@@ -245,7 +245,7 @@ def s10_zip(spark, sf):
 
 
 def _write_archive(folder):
-    """Write the lines of a task into one archive, followed by a second member."""
+    """Write the lines of a task into one archive: a member for each half of every batch, and an empty folder."""
     def write(batches):
         import zipfile
 
@@ -260,12 +260,14 @@ def _write_archive(folder):
             system, path = fs.LocalFileSystem(), name
         written = 0
         with system.open_output_stream(path) as out, zipfile.ZipFile(out, "w") as archive:
-            with archive.open("orders.dat", "w") as member:
-                for batch in batches:
-                    for line in batch.column("value").to_pylist():
-                        member.write(line + b"\n")
-                        written += 1
-            archive.writestr("other.dat", "not|read\n")
+            archive.mkdir("empty")
+            for n, batch in enumerate(batches):
+                lines = batch.column("value").to_pylist()
+                written += len(lines)
+                half = len(lines) // 2
+                for part in (lines[:half], lines[half:]):
+                    archive.writestr(f"orders_{n}_{len(part)}_{len(archive.namelist())}.dat",
+                                     b"".join(line + b"\n" for line in part))
         yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["written"])
 
     return write
@@ -321,12 +323,12 @@ def s13_latest_file(spark, sf):
 
 
 def s14_multi_file(spark, sf):
-    """Several files under one pattern read as one extract."""
+    """Several files under one pattern, in two encodings that are not declared, read as one extract."""
     folder = work_dir(spark, "s14")
     orders = _orders(spark, sf)
-    for status in "FOP":
+    for status, encoding in (("F", "utf-8"), ("O", "cp949"), ("P", "cp949")):
         rows = orders.where(F.col("o_orderstatus") == status)
-        write_lines(rows, _pipe_line(), f"{folder}/orders_{status}.dat")
+        write_lines(rows, _pipe_line(), f"{folder}/orders_{status}.dat", encoding)
     spec = _spec(
         "pipe", "orders_*.dat", cols=_PIPE_COLS, numeric=["amt"], bigint=["k"], multi=True
     )
@@ -347,10 +349,14 @@ def s16_json_layout(spark, sf):
 
 
 def s17_preview(spark, sf):
-    """Row and column counts of an extract."""
+    """Row and column counts of an extract, and how many of the rows shown are rows of the table."""
     rows = s3_pipe(spark, sf)
-    return rows.agg(F.count(F.lit(1)).alias("row_count")).select(
-        "row_count", F.lit(len(rows.columns)).cast("bigint").alias("column_count")
+    count, columns, head = preview(rows, 7)
+    shown = spark.createDataFrame(head, rows.schema)
+    there = shown.join(_orders(spark, sf).select(F.col("o_orderkey").alias("k")), "k", "left_semi")
+    return there.agg(F.count(F.lit(1)).alias("shown")).select(
+        "shown", F.lit(count).cast("bigint").alias("row_count"),
+        F.lit(len(columns)).cast("bigint").alias("column_count"),
     )
 
 
@@ -378,19 +384,22 @@ def s18_dispatch(spark, sf):
 
 
 def b1_read_stages(spark, sf):
-    """Rows and columns of the four read stages; the time is measured in bench.py."""
+    """Rows, columns and sums of the four read stages; the time is measured in bench.py."""
     folder = work_dir(spark, "b1")
     columns = [F.col(c) for c in table(spark, sf, "lineitem").columns]
     write_lines(table(spark, sf, "lineitem"), joined("|", *columns), f"{folder}/lineitem.dat")
     out = None
     for stage, df in read_stages(spark, [f"{folder}/lineitem.dat"], columns=7).items():
         width = len(df.columns)
-        rows = df if stage == "count" else df.agg(
+        key, quantity = F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("double").alias("qty")
+        rows = df.withColumns({"key": key, "qty": quantity}) if stage == "count" else df.agg(
             F.count(F.lit(1)).alias("rows"),
+            F.sum(F.col("col_0").cast("bigint")).alias("key"),
+            F.sum(F.col("col_4").cast("double")).alias("qty"),
             *[F.max(c).alias(c) for c in df.columns],
         )
         one = rows.select(
-            F.lit(stage).alias("stage"), "rows", F.lit(width).cast("bigint").alias("columns")
+            F.lit(stage).alias("stage"), "rows", F.lit(width).cast("bigint").alias("columns"), "key", "qty"
         )
         out = one if out is None else out.unionAll(one)
     return out
@@ -451,11 +460,14 @@ ORACLE = {
         on n.name like p.l escape '\\' group by p.pattern""",
     "s14_multi_file": _PIPE_SQL,
     "s16_json_layout": "select cast(c_custkey as varchar) as k, c_name as name from customer",
-    "s17_preview": "select count(*) as row_count, cast(5 as bigint) as column_count from orders",
+    "s17_preview": """select cast(least(count(*), 7) as bigint) as shown, count(*) as row_count,
+        cast(5 as bigint) as column_count from orders""",
     "s18_dispatch": """select kind, count(*) as cnt,
         cast(sum(cast(o_totalprice as decimal(18,2))) as double) as amt
         from orders, (values ('fwf'), ('pipe'), ('csv'), ('parquet')) k(kind) group by kind""",
-    "b1_read_stages": """select stage, (select count(*) from lineitem) as rows, columns from (values
+    "b1_read_stages": """select stage, (select count(*) from lineitem) as rows, columns,
+        case when stage <> 'count' then (select cast(sum(l_orderkey) as bigint) from lineitem) end as key,
+        case when stage <> 'count' then (select sum(l_quantity) from lineitem) end as qty from (values
         ('count', cast(1 as bigint)), ('all_text', 11), ('some_columns', 7),
         ('some_columns_cast', 7)) s(stage, columns)""",
 }

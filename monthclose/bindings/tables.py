@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from monthclose.bindings.common import (
-    BEFORE, MONTH, fixed_line, joined, money_sql, new_store, table, text, write_lines,
+    BEFORE, MONTH, cents, fixed_line, joined, money_sql, new_store, table, text, write_lines,
 )
 from monthclose.functions.casts import total
 from monthclose.functions.months import in_months, month_of, month_params
@@ -125,6 +127,18 @@ def m5_skip_loaded(spark, sf):
     return registry.withColumn("skipped", F.lit(sum(len(r.skipped) for r in runs)).cast("bigint"))
 
 
+def f8_load_time(spark, sf):
+    """A load notes its time, which lies between the beginning of the query and its end."""
+    store = new_store(spark, "f8")
+    store.append("customers", _customers(spark, sf))
+    begin = spark.range(1).select(F.current_timestamp().alias("t")).head()["t"]
+    LoadRegistry(store).record("customers", "c.dat", store.table("customers").count())
+    noted = F.col("loaded_at")
+    return LoadRegistry(store).entries().select(
+        "table_name", "row_count", ((noted >= F.lit(begin)) & (noted <= F.current_timestamp())).alias("in_time")
+    )
+
+
 def m6_ctas(spark, sf):
     """A table built by a query, then built again from itself."""
     store = new_store(spark, "m6")
@@ -210,7 +224,7 @@ def m9_load_set(spark, sf):
     outcome = spark.createDataFrame(
         outcome, "name string, outcome string, row_count bigint, rejected bigint"
     )
-    return outcome.join(F.broadcast(stored), "name", "left")
+    return outcome.join(stored, "name", "left")
 
 
 def m10_job_premium(spark, sf):
@@ -232,17 +246,17 @@ def m10_job_premium(spark, sf):
         "BZCS_DV_PS": F.lit(1),
     }
     write_lines(
-        lines.where(in_months(F.col("l_shipdate"), MONTH, MONTH)), fixed_line(FIO841["cols"], income),
-        f"{folder}/{FIO841['file'].format(yyyymm=MONTH)}",
+        lines, fixed_line(FIO841["cols"], income), f"{folder}/{FIO841['file'].format(yyyymm=MONTH)}"
     )
     write_lines(
-        orders.where(in_months(F.col("o_orderdate"), MONTH, MONTH)), fixed_line(FIO843["cols"], held),
-        f"{folder}/{FIO843['file'].format(yyyymm=MONTH)}",
+        orders, fixed_line(FIO843["cols"], held), f"{folder}/{FIO843['file'].format(yyyymm=MONTH)}"
     )
-    report = run_job(store, premium.JOB, folder, f"{folder}/out")
+    # These extracts hold every month of their tables.
+    tables = {name: {**settings, "many_months": True} for name, settings in premium.JOB.tables.items()}
+    report = run_job(store, replace(premium.JOB, tables=tables), folder, f"{folder}/out")
     if report.errors:
         raise RuntimeError(str(report.errors))
-    return store.table("BASE_DATA_CH").join(store.table("BASE_DATA_CH_843"), "INS_IMCD", "full")
+    return cents(store.table("BASE_DATA_CH").join(store.table("BASE_DATA_CH_843"), "INS_IMCD", "full"))
 
 
 def m10_job_checks(spark, sf):
@@ -256,8 +270,8 @@ def m10_job_checks(spark, sf):
     checks = spark.createDataFrame(
         report.checks, "label string, expect string, value string, status string"
     )
-    rows = store.table("bt930_020_all").agg(F.count(F.lit(1)).alias("row_count"))
-    return checks.select("label", "expect", "value", "status").join(F.broadcast(rows))
+    rows = store.table("bt930_020_all").agg(F.count(F.lit(1)).alias("row_count"), F.lit("sample_agg").alias("label"))
+    return checks.select("label", "expect", "value", "status").join(rows, "label", "left")
 
 
 def m11_conditional(spark, sf):
@@ -270,12 +284,12 @@ def m11_conditional(spark, sf):
             store.sql(f"CREATE TABLE copy_of_{name} AS SELECT c_custkey FROM {name}")
     store.sql("DROP TABLE IF EXISTS customers")
     names = spark.createDataFrame([(n,) for n in store.tables()], "name string")
-    rows = store.table("copy_of_customers").agg(F.count(F.lit(1)).alias("row_count"))
-    return names.join(F.broadcast(rows))
+    copied = store.table("copy_of_customers").select(F.lit("copy_of_customers").alias("name"))
+    return names.join(copied.groupBy("name").agg(F.count(F.lit(1)).alias("row_count")), "name", "left")
 
 
 QUERIES = {
-    name: f for name, f in list(globals().items()) if name[0] in "mj" and name[1:2].isdigit()
+    name: f for name, f in list(globals().items()) if name[0] in "mjf" and name[1:2].isdigit()
 }
 
 _CUSTOMERS_SQL = "select c_custkey, c_name, c_acctbal from customer"
@@ -301,6 +315,7 @@ ORACLE = {
     "m5_skip_loaded": f"""select 'c' as table_name, 'c_{MONTH}.dat' as file_name,
         (select count(*) from customer) as row_count, cast(1 as bigint) as skipped
         from (values (1), (2)) v(i)""",
+    "f8_load_time": "select 'customers' as table_name, count(*) as row_count, true as in_time from customer",
     "m6_ctas": """select c_custkey, c_acctbal * 2 as c_acctbal from customer
         where c_acctbal > 5000""",
     "m7_query_file": "select c_custkey from customer where c_acctbal > 9000",
@@ -316,10 +331,9 @@ ORACLE = {
         union all select 'absent', 'failed', 0, 0, null""",
     "m10_job_premium": f"""select coalesce(a.i, b.i) as INS_IMCD, a.rp as RP_PRM, a.af as AF_PRM,
         b.ap as AP_PRM from (select l_linestatus as i, {money_sql('l_extendedprice')} as rp,
-        {money_sql('l_quantity')} as af from lineitem
-        where strftime(l_shipdate, '%Y%m') = '{MONTH}' group by 1) a
+        {money_sql('l_quantity')} as af from lineitem group by 1) a
         full outer join (select o_orderstatus as i, {money_sql('o_totalprice')} as ap from orders
-        where strftime(o_orderdate, '%Y%m') = '{MONTH}' group by 1) b on a.i = b.i""",
+        group by 1) b on a.i = b.i""",
     "m10_job_checks": """select 'sample_agg' as label, 'nonzero' as expect,
         cast(count(distinct event_type) as varchar) as value, 'OK' as status,
         count(*) as row_count from events""",

@@ -9,7 +9,6 @@ projection with a lambda is compiled column by column instead.
 from __future__ import annotations
 
 from collections.abc import Callable
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,11 +23,6 @@ WHITESPACE = (
 # Possessive, so that a long run of digits that ends badly is not tried again digit by digit.
 _NUMBER = r"^\s*+[+-]?(?:[0-9]++(?:[.][0-9]*+)?|[.][0-9]++)(?:[eE][+-]?[0-9]++)?\s*+$"
 
-# Amounts are added up exactly to this many decimal places, so that a total does not depend on how the
-# rows are partitioned.
-AMOUNT_PLACES = 4
-_LARGEST_AMOUNT = 9e18
-
 
 def strip_all(c: Column) -> Column:
     """Strip every kind of white space; ``trim`` alone strips spaces only."""
@@ -105,26 +99,10 @@ def month_text(c: Column, dtype: str) -> Column:
     return c.cast("string")
 
 
-def amount_parts(c: Column) -> tuple[Column, Column]:
-    """A double amount as two bigints: whole units, and the rest in the smallest places.
+def total(c: Column) -> Column:
+    """Sum in the column's own type: doubles as doubles (NaN stays NaN), decimals exactly.
 
-    Both add up exactly and inside generated code, which a decimal sum does not at anything near the
-    speed. NaN counts as no value; an amount beyond bigint is an error.
+    The last digits of a sum of doubles depend on the order of the rows; a caller who needs them to be
+    the same every time passes a decimal column.
     """
-    amount = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-    units = F.when(F.abs(amount) >= _LARGEST_AMOUNT, F.raise_error(F.lit("amount too large")).cast("bigint"))
-    units = units.otherwise(amount.cast("bigint"))
-    return units, F.rint((amount - units) * 10**AMOUNT_PLACES).cast("bigint")
-
-
-def joined_parts(units: Column, rest: Column) -> Column:
-    """Sums of the two parts back to one amount, as double."""
-    smallest = F.lit(Decimal(1).scaleb(-AMOUNT_PLACES))
-    exact = units.cast("decimal(20,0)") + rest.cast("decimal(20,0)") * smallest
-    return exact.cast("double")
-
-
-def total(c: Column) -> Column:
-    """Exact sum of a double amount, as double."""
-    units, rest = amount_parts(c)
-    return joined_parts(F.sum(units), F.sum(rest))
+    return F.sum(c)

@@ -30,10 +30,9 @@ def reconcile(
     both = a.select(*columns, amount.alias("_a"), zero.alias("_b")).unionAll(
         b.select(*columns, zero.alias("_a"), amount.alias("_b"))
     )
-    add_up = total if dict(both.dtypes)["_a"] in ("double", "float") else F.sum
     sums = both.groupBy(*columns).agg(
-        F.coalesce(add_up(F.col("_a")), F.lit(0)).alias("val_a"),
-        F.coalesce(add_up(F.col("_b")), F.lit(0)).alias("val_b"),
+        F.coalesce(total(F.col("_a")), F.lit(0)).alias("val_a"),
+        F.coalesce(total(F.col("_b")), F.lit(0)).alias("val_b"),
     )
     diff = F.col("val_a") - F.col("val_b")
     return sums.withColumn("diff", diff).where(F.abs("diff") > threshold)

@@ -27,7 +27,7 @@ from monthclose.functions.casts import month_text
 from monthclose.functions.months import fill_params
 from monthclose.sources import files
 from monthclose.sources.delimited import BAD
-from monthclose.sources.encoding import session_settings
+from monthclose.sources.encoding import GARBLED, session_settings
 from monthclose.sources.jdbc import read_text
 
 MONTHS, NEW = "__months", "__new"
@@ -50,6 +50,11 @@ _WRITE_SETTINGS = {
 }
 
 
+def _unfit(counted: Mapping[str, int]) -> bool:
+    """Whether a write met lines that must not be stored as they were read."""
+    return bool(counted.get("bad") or counted.get("garbled"))
+
+
 class MonthStore:
     """The tables of one month."""
 
@@ -130,28 +135,46 @@ class MonthStore:
         ``many_months`` rows are first brought together by month, so that not every task writes a file
         for every month; the rebalancing splits a month that is too large for one task.
 
-        If rows are flagged as malformed (column BAD), the new load is taken back and nothing is replaced.
+        If rows are flagged as malformed or garbled (columns BAD, GARBLED), the new load is taken back and
+        nothing is replaced.
         """
         month = month or self.month
+        physical, load = table + MONTHS, uuid.uuid4().hex[:12]
+        tagged = self._tagged(table, df, month_col, load, many_months)
+        old = self._partitions(physical, YM, month)
+        counted = self._write(tagged, lambda out: out.write.insertInto(self._id(physical)))
+        taken_back = self._partitions(physical, LOAD, load) if _unfit(counted) else old
+        self._drop_partitions(physical, taken_back)
+        return counted
+
+    def add_load(self, table: str, df: DataFrame, month_col: str, load: str) -> dict[str, int]:
+        """Add the rows of a named load, in place of what a load of that name stored before.
+
+        Other loads stay, whatever their months. With malformed rows the load is taken back, as above.
+        """
         physical = table + MONTHS
+        tagged = self._tagged(table, df, month_col, load, many_months=False)
+        self._drop_partitions(physical, self._partitions(physical, LOAD, load))
+        counted = self._write(tagged, lambda out: out.write.insertInto(self._id(physical)))
+        if _unfit(counted):
+            self._drop_partitions(physical, self._partitions(physical, LOAD, load))
+        return counted
+
+    def _tagged(self, table, df, month_col, load, many_months) -> DataFrame:
+        """Rows with their month and load; the table is made if it is not there."""
         ym = F.substring(month_text(F.col(f"`{month_col}`"), dict(df.dtypes)[month_col]), 1, 6)
-        load = uuid.uuid4().hex[:12]
         tagged = df.select("*", ym.alias(YM), F.lit(load).alias(LOAD))
         if many_months:
             tagged = tagged.hint("rebalance", YM)
-        if not self.exists(physical):
+        if not self.exists(table + MONTHS):
             self.drop(table)
             self._create_months(table, tagged)
-        old = self._partitions(physical, YM, month)
-        counted = self._write(tagged, lambda out: out.write.insertInto(self._id(physical)))
-        taken_back = bool(counted.get("bad"))
-        self._drop_partitions(physical, self._partitions(physical, LOAD, load) if taken_back else old)
-        return counted
+        return tagged
 
     def _create_months(self, table: str, tagged: DataFrame) -> None:
         physical = table + MONTHS
         files.delete(self.spark, f"{self.root}/{self.month}/{physical.lower()}")
-        fields = [f for f in tagged.schema if f.name != BAD]
+        fields = [f for f in tagged.schema if f.name not in (BAD, GARBLED)]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         self.spark.sql(
             f"CREATE TABLE {self._id(physical)} ({columns}) USING parquet "
@@ -195,7 +218,7 @@ class MonthStore:
         counted = self._write(
             df, lambda out: out.write.format("parquet").saveAsTable(f"{self.db}.{fresh}")
         )
-        if counted.get("bad"):
+        if _unfit(counted):
             self.spark.sql(f"DROP TABLE {self._id(fresh)}")
             return counted
         self.drop(table)
@@ -223,9 +246,10 @@ class MonthStore:
         """Run a write, counting rows (and flagged rows) on the way instead of in a second pass."""
         counted = Observation()
         counts = [F.count(F.lit(1)).alias("rows")]
-        if BAD in df.columns:
-            counts.append(F.count_if(BAD).alias("bad"))
-        out = df.observe(counted, *counts).drop(BAD)
+        for name, flag in (("bad", BAD), ("garbled", GARBLED)):
+            if flag in df.columns:
+                counts.append(F.count_if(flag).alias(name))
+        out = df.observe(counted, *counts).drop(BAD, GARBLED)
         with session_settings(self.spark, _WRITE_SETTINGS):
             write(out)
         return counted.get

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.functions.casts import amount_parts, joined_parts
+from monthclose.functions.casts import total
 from monthclose.operators.checks import Checks
 from monthclose.operators.compare import totals_where_key_in
 from monthclose.plans.extracts import BS101, BS104, BS105, ERP
@@ -53,14 +53,11 @@ def unallocated_phone_sales(totals: DataFrame, vouchers: DataFrame) -> DataFrame
 
 def reclosed_amount(totals: DataFrame, vouchers: DataFrame) -> DataFrame:
     """Amount of car rows of the re-closed channel on such accounts; 0 if there is none."""
-    units, rest = amount_parts(F.col("S"))
     amount = totals_where_key_in(
         car_rows(totals, RECLOSED_CHANNEL), "NTACC_CD", direct_accounts(vouchers, NOT_RECLOSED),
-        {"units": F.sum(units), "rest": F.sum(rest)},
-    )
-    return amount.select(
-        F.coalesce(joined_parts(F.col("units"), F.col("rest")), F.lit(0.0)).alias("S")
+        {"S": total(F.col("S"))},
     )
+    return amount.select(F.coalesce("S", F.lit(0)).alias("S"))
 
 
 def validate(checks: Checks, params: dict[str, str]) -> None:

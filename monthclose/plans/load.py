@@ -86,10 +86,14 @@ def load_table(
 def _store(store: MonthStore, spec: TableSpec, extract: Extract) -> tuple[int, int]:
     """Write the strict reading; if it met a malformed line, write the lenient one in its place.
 
-    Malformed lines are counted during the write, so a clean extract is read once. Lines that are no
-    rows even then go to ``<table>__rejected``.
+    Malformed lines, and lines that are not of the expected encoding, are counted during the write, so a clean
+    extract is read once. Lines that are no rows even then go to ``<table>__rejected``.
     """
-    counted = _write(store, spec, extract.rows)
+    counted = {"garbled": True}
+    if extract.hopeful is not None:
+        counted = _write(store, spec, extract.hopeful)
+    if counted.get("garbled"):
+        counted = _write(store, spec, extract.rows)
     if not counted.get("bad"):
         store.drop(spec.name + "__rejected")
         return counted["rows"], 0
@@ -101,5 +105,5 @@ def _store(store: MonthStore, spec: TableSpec, extract: Extract) -> tuple[int, i
 
 def _write(store: MonthStore, spec: TableSpec, rows) -> dict[str, int]:
     if spec.month_col and not spec.multi:
-        return store.load_month(spec.name, rows, spec.month_col)
+        return store.load_month(spec.name, rows, spec.month_col, many_months=spec.many_months)
     return store.replace(spec.name, rows)

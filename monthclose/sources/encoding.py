@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 CP949_NAMES = ("cp949", "euc-kr", "euckr", "euc_kr", "ms949", "x-windows-949")
 UTF8_NAMES = ("utf-8", "utf8", "ascii")
 
+# A Boolean column that marks lines which are not valid UTF-8; a load counts it and does not store it.
+GARBLED = "_garbled"
+
 _KOREAN = "x-windows-949"
 _SETTINGS = {
     "spark.sql.legacy.javaCharsets": "true",
@@ -75,6 +78,11 @@ def decode_lines(lines: DataFrame, encoding: str, column: str = "value") -> Data
         return lines.withColumn(column, decoded(F.col(column).cast("binary"), encoding))
 
 
+def hopeful_lines(lines: DataFrame) -> DataFrame:
+    """Lines of unknown encoding, to be read as UTF-8, with a mark on those that are not."""
+    return lines.withColumn(GARBLED, ~F.is_valid_utf8("value"))
+
+
 def profile_encodings(lines: DataFrame, file_col: str = "file") -> DataFrame:
     """Per file: its encoding, its lines, and its lines that are not valid UTF-8.
 

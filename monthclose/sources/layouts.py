@@ -41,6 +41,7 @@ class TableSpec:
     trim: bool = False
     multi: bool = False
     overwrite: bool = False
+    many_months: bool = False
     desc: str = ""
     database: Mapping[str, object] = field(default_factory=dict)
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_LINES = 20_000
+BLOCK_BYTES = 4 << 20
 
 
 def raw_lines(
@@ -55,10 +55,13 @@ def _spread(lines: DataFrame, files: int) -> DataFrame:
 
 
 def _zip_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Lines of the first member of each archive; one archive per task, streamed in batches."""
-    listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(
-        len(paths), "path"
-    )
+    """Lines of all members of each archive, in the order of the archive; one archive per task, streamed in blocks.
+
+    Each member counts as a file of its own. A member that is a folder has no lines.
+    """
+    names = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "n int, path string")
+    # Ranges of a running number, as a hash would put several archives into one task.
+    listing = names.repartitionByRange(len(paths), "n").select("path")
     raw = listing.mapInArrow(_read_archives, "value binary, file string, at_start boolean")
     return raw.withColumn("value", F.col("value").cast("string"))
 
@@ -87,15 +90,18 @@ def _read_archives(batches: Iterator) -> Iterator:
                 system, inner = fs.LocalFileSystem(), path
             name = path.rstrip("/").rsplit("/", 1)[-1]
             with system.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
-                with archive.open(archive.namelist()[0]) as member:
-                    held, first = [], True
-                    for line in member:
-                        held.append(line.rstrip(b"\r\n"))
-                        if len(held) == BATCH_LINES:
-                            yield batch(held, name, first)
-                            held, first = [], False
-                    if held:
-                        yield batch(held, name, first)
+                members = [m for m in archive.infolist() if not m.is_dir()]
+                for info in members:
+                    label = name if len(members) == 1 else f"{name}/{info.filename}"
+                    with archive.open(info) as member:
+                        rest, first = b"", True
+                        while block := member.read(BLOCK_BYTES):
+                            *lines, rest = (rest + block).split(b"\n")
+                            if lines:
+                                yield batch([line.rstrip(b"\r") for line in lines], label, first)
+                                first = False
+                        if rest:
+                            yield batch([rest.rstrip(b"\r")], label, first)
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:

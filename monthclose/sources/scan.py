@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from monthclose.functions.casts import strip_all, to_double
 from monthclose.functions.months import fill_month
 from monthclose.sources import delimited, files, layouts
 from monthclose.sources.delimited import BAD
-from monthclose.sources.encoding import decode_lines, profile_encodings
+from monthclose.sources.encoding import GARBLED, decode_lines, hopeful_lines, profile_encodings
 from monthclose.sources.fixed import parse_fixed_bytes, parse_fixed_chars
 from monthclose.sources.jdbc import read_query
 from monthclose.sources.layouts import TableSpec
@@ -20,17 +22,26 @@ from monthclose.sources.lines import first_line, raw_lines
 
 
 
-@dataclass(frozen=True)
+@dataclass
 class Extract:
     """A readable extract.
 
     ``rows`` is the strict reading. Where lines can be malformed it has a Boolean column BAD; if any
     is true, the whole extract has to be read again with ``lenient()``.
+
+    Where the encoding is not declared, ``rows`` first looks at every line of every file. A load spares
+    itself that: it writes ``hopeful``, the reading as UTF-8 with a Boolean column GARBLED, and only if
+    that is true somewhere are the files looked at and read again.
     """
 
-    rows: DataFrame
+    strict: Callable[[], DataFrame]
     label: str
     lenient: Callable[[], delimited.Rows] | None = None
+    hopeful: DataFrame | None = None
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self.strict()
 
     def plain_rows(self) -> DataFrame:
         return self.rows.drop(BAD)
@@ -46,8 +57,11 @@ def find_files(
 
 
 def file_label(paths: list[str], spec: TableSpec) -> str:
-    """What the load registry remembers: the file name, or how many files there were."""
-    return f"{len(paths)} files" if spec.multi else paths[0].rsplit("/", 1)[-1]
+    """What the load registry remembers: the file name, or how many files there were and a mark of their names."""
+    names = sorted(path.rsplit("/", 1)[-1] for path in paths)
+    if not spec.multi:
+        return names[-1]
+    return f"{len(names)} files {hashlib.sha256('/'.join(names).encode()).hexdigest()[:16]}"
 
 
 def scan(
@@ -55,16 +69,16 @@ def scan(
 ) -> Extract:
     """Read one specification for one month."""
     if spec.type == layouts.DATABASE:
-        return Extract(read_query(spark, spec.database, month), label="query")
+        return Extract(lambda: read_query(spark, spec.database, month), label="query")
     return scan_paths(spark, spec, find_files(spark, spec, folder, month, params))
 
 
 def scan_paths(spark: SparkSession, spec: TableSpec, paths: list[str]) -> Extract:
     label = file_label(paths, spec)
     if spec.type == layouts.COLUMNAR:
-        return Extract(scan_columnar(spark, spec, paths), label)
+        return Extract(lambda: scan_columnar(spark, spec, paths), label)
     if spec.type == layouts.FIXED:
-        return Extract(scan_fixed(spark, spec, paths), label)
+        return scan_fixed(spark, spec, paths, label)
     return scan_delimited(spark, spec, paths, label)
 
 
@@ -82,15 +96,18 @@ def scan_columnar(spark: SparkSession, spec: TableSpec, paths: list[str]) -> Dat
     return df.select(*out)
 
 
-def scan_fixed(spark: SparkSession, spec: TableSpec, paths: list[str]) -> DataFrame:
+def scan_fixed(spark: SparkSession, spec: TableSpec, paths: list[str], label: str = "") -> Extract:
     if not spec.native:
         lines = raw_lines(spark, paths, newline_only=True)
-        return parse_fixed_bytes(lines, spec.cols, spec.numeric, spec.encoding or "cp949")
+        return Extract(
+            lambda: parse_fixed_bytes(lines, spec.cols, spec.numeric, spec.encoding or "cp949"), label
+        )
     lines = raw_lines(spark, paths)
-    return _by_encoding(
-        spark, spec, paths, lines,
-        lambda part, encoding: parse_fixed_chars(part, spec.cols, spec.numeric, encoding),
-    )
+
+    def parse(part: DataFrame, encoding: str, keep=()) -> DataFrame:
+        return parse_fixed_chars(part, spec.cols, spec.numeric, encoding, keep)
+
+    return _extract(spark, spec, paths, lines, parse, label)
 
 
 def scan_delimited(
@@ -119,9 +136,9 @@ def scan_delimited(
     )
     pad = spec.type == layouts.CSV
 
-    def strict(part: DataFrame, encoding: str) -> DataFrame:
+    def strict(part: DataFrame, encoding: str, keep=()) -> DataFrame:
         text = decode_lines(part, encoding)
-        return delimited.parse_strict(text, trim=spec.trim, pad=pad, flag=BAD, **common)
+        return delimited.parse_strict(text, trim=spec.trim, pad=pad, flag=BAD, keep=keep, **common)
 
     def lenient() -> delimited.Rows:
         parts = [
@@ -133,7 +150,7 @@ def scan_delimited(
             rows, rejected = rows.union(more.rows), rejected.union(more.rejected)
         return delimited.Rows(rows.drop("file"), rejected)
 
-    return Extract(_by_encoding(spark, spec, paths, lines, strict), label, lenient)
+    return _extract(spark, spec, paths, lines, strict, label, lenient)
 
 
 def _width(spark: SparkSession, sample: str, sep: str) -> int:
@@ -155,6 +172,14 @@ def _header_names(spark, spec, path, sample, sep) -> tuple[str, ...]:
     return tuple(n if n else f"col_{i}" for i, n in enumerate(names))
 
 
+def _extract(spark, spec, paths, lines, parse, label, lenient=None) -> Extract:
+    """An extract of lines; with a hopeful reading where the encoding is not declared."""
+    hopeful = None if spec.encoding else parse(hopeful_lines(lines), "utf-8", [GARBLED])
+    return Extract(
+        lambda: _by_encoding(spark, spec, paths, lines, parse), label, lenient, hopeful
+    )
+
+
 def _by_encoding(spark, spec, paths, lines, parse) -> DataFrame:
     parts = [parse(part, encoding) for part, encoding in _parts(spark, spec, paths, lines)]
     out = parts[0]
@@ -165,8 +190,8 @@ def _by_encoding(spark, spec, paths, lines, parse) -> DataFrame:
 
 def _parts(spark, spec, paths, lines):
     """The lines, once per encoding among the files."""
-    if spec.encoding or spec.multi:
-        return [(lines, spec.encoding or "utf-8")]
+    if spec.encoding:
+        return [(lines, spec.encoding)]
     encodings = _file_encodings(spark, paths)
     korean = sorted(name for name, encoding in encodings.items() if encoding == "cp949")
     if not korean:

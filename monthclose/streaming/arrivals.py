@@ -1,22 +1,27 @@
 """Load extracts as they arrive in a folder.
 
 The checkpoint of the stream does what the load registry does for a run by hand: a file is loaded once. One
-file is one micro-batch, and each replaces its month, so a batch that is repeated after a failure
-leaves the same rows.
+file is one micro-batch, and a file is one *arrival*: its rows replace what the same file brought before
+and are added to what other files of the month brought. So a batch that is repeated after a failure leaves the same
+rows, and no file of a month pushes out another.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from monthclose.functions.casts import month_text
 from monthclose.operators.store import MonthStore
 
 
+class MalformedArrival(RuntimeError):
+    """A file with malformed lines: nothing of it is stored, and it stays to be read again."""
+
+
 def load_arrivals(
     store: MonthStore,
     table: str,
@@ -28,7 +33,9 @@ def load_arrivals(
 ) -> StreamingQuery:
     """Load the files that are there and not loaded yet, then stop.
 
-    ``parse`` turns lines (``value``, ``file``) into rows. The month of a file is the largest month in it.
+    ``parse`` turns lines (``value``, ``file``) into rows. Rows of every month are stored, and rows without one.
+    A batch with rows that ``parse`` marks as malformed (column BAD) fails the query, so its file is read
+    again by the next run.
     """
     lines = (
         store.spark.readStream.option("maxFilesPerTrigger", 1)
@@ -38,11 +45,13 @@ def load_arrivals(
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = parse(batch)
-        text = month_text(F.col(month_col), dict(rows.dtypes)[month_col])
-        month = rows.agg(F.max(F.substring(text, 1, 6))).head()[0]
-        if month:
-            store.load_month(table, rows, month_col, month)
+        first = batch.select("file").head()
+        if first is None:
+            return  # a file without lines
+        name = hashlib.sha256(first["file"].encode()).hexdigest()[:16]
+        counted = store.add_load(table, parse(batch), month_col, f"arrival{name}")
+        if counted.get("bad"):
+            raise MalformedArrival(f"{table}: {counted['bad']} malformed lines in {first['file']}")
 
     return (
         lines.writeStream.foreachBatch(load)

@@ -64,9 +64,15 @@ def test_strip_all_strips_what_python_strips(spark):
     assert out == {t: t.strip() for t in texts}
 
 
-def test_total_is_exact_and_skips_nan(spark):
-    df = spark.createDataFrame([(0.1,), (0.2,), (float("nan"),), (None,)], "x double")
-    assert df.agg(casts.total(F.col("x"))).head()[0] == 0.3
+def test_total_loses_no_digits_and_keeps_nan(spark):
+    tiny = spark.range(1_000_000).select(F.lit(0.00004).alias("x"))
+    assert abs(tiny.agg(casts.total(F.col("x"))).head()[0] - 40) < 1e-6
+    exact = spark.range(1_000_000).select(F.lit("0.00004").cast("decimal(9,5)").alias("x"))
+    assert str(exact.agg(casts.total(F.col("x"))).head()[0]) == "40.00000"
+    odd = spark.createDataFrame([(0.1,), (float("nan"),), (None,)], "x double")
+    assert str(odd.agg(casts.total(F.col("x"))).head()[0]) == "nan"
+    large = spark.createDataFrame([(1e19,), (2e19,)], "x double")
+    assert large.agg(casts.total(F.col("x"))).head()[0] == 3e19
 
 
 @pytest.mark.parametrize(

@@ -1,12 +1,13 @@
 import gzip
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from monthclose.operators.store import MonthStore
 from monthclose.plans import allocation, closing, monthly, premium, samples
 from monthclose.plans.job import Job, run_job, run_jobs
-from monthclose.sources.delimited import parse_strict
+from monthclose.sources.delimited import BAD, parse_strict
 from monthclose.streaming.arrivals import load_arrivals
 
 
@@ -179,9 +180,34 @@ def test_arrivals_are_loaded_once(spark, store, rows, tmp_path):
     arrive()
     arrive()
     assert rows(store.table("t")) == [("202601", "a"), ("202601", "b"), ("202602", "c")]
-    (folder / "c.dat").write_text("202601|a2\n")
+    (folder / "c.dat").write_text("202601|a2\n|none\n")
     arrive()
-    assert rows(store.table("t")) == [("202601", "a2"), ("202602", "c")]
+    kept = [(None, "none"), ("202601", "a"), ("202601", "a2"), ("202601", "b"), ("202602", "c")]
+    assert rows(store.table("t")) == kept
+    # A stream that starts anew reads the same files and leaves the same rows.
+    load_arrivals(
+        store, "t", str(folder), "*.dat", parse, "ym", str(tmp_path / "checkpoint2")
+    ).awaitTermination()
+    assert rows(store.table("t")) == kept
+
+
+def test_a_malformed_arrival_stops_the_stream_and_is_read_again(spark, store, rows, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def arrive():
+        load_arrivals(
+            store, "t", str(folder), "*.dat",
+            lambda lines: parse_strict(lines, ["ym", "k"], flag=BAD), "ym", str(tmp_path / "checkpoint"),
+        ).awaitTermination()
+
+    (folder / "a.dat").write_text("202601|a\n202601|b|c\n")
+    with pytest.raises(StreamingQueryException, match="1 malformed lines in a.dat"):
+        arrive()
+    assert rows(store.table("t")) == []
+    (folder / "a.dat").write_text("202601|a\n202601|b\n")
+    arrive()
+    assert rows(store.table("t")) == [("202601", "a"), ("202601", "b")]
 
 
 @pytest.mark.parametrize("channel, account", [("11", "5125030001"), ("41", "5125010001"),

@@ -224,7 +224,8 @@ def test_gzip_zip_and_plain_together(spark, tmp_path):
         f.write("1|가\n".encode())
     with zipfile.ZipFile(tmp_path / "p_2.zip", "w") as z:
         z.writestr("a.dat", "2|나\r\n3|다\r\n")
-        z.writestr("b.dat", "9|not read\n")
+        z.mkdir("folder")
+        z.writestr("folder/b.dat", "5|마\n6|바")
     write(tmp_path / "p_3.dat", "4|라\n".encode())
     s = spec("pipe", "p_?.*", cols=["k", "s"], multi=True)
     # A wildcard after the last dot is no known extension, so each extension is tried in turn.
@@ -232,9 +233,24 @@ def test_gzip_zip_and_plain_together(spark, tmp_path):
         read(spark, tmp_path, s)
     s = spec("pipe", "p_?", cols=["k", "s"], multi=True)
     extract = read(spark, tmp_path, s)
-    assert extract.label == "3 files"
+    assert extract.label.startswith("3 files ")
+    assert extract.label != scan.file_label(["p_1.dat", "p_2.zip", "p_4.dat"], s)
     got = sorted(tuple(r) for r in extract.plain_rows().collect())
-    assert got == [("1", "가"), ("2", "나"), ("3", "다"), ("4", "라")]
+    assert got == [("1", "가"), ("2", "나"), ("3", "다"), ("4", "라"), ("5", "마"), ("6", "바")]
+
+
+def test_archives_are_read_in_tasks_of_their_own_and_by_blocks(spark, tmp_path):
+    paths, expected = [], []
+    for i in range(9):
+        paths.append(str(tmp_path / f"a_{i}.zip"))
+        with zipfile.ZipFile(paths[-1], "w") as z:
+            z.writestr("x.dat", "".join(f"{i}-{j}\r\n" for j in range(700_000 if i == 0 else 3)))
+        expected += [f"{i}-{j}" for j in range(700_000 if i == 0 else 3)]
+    lines = raw_lines(spark, paths, spread=False)
+    tasks = lines.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("file").alias("n"))
+    assert sorted(tuple(r) for r in tasks.collect()) == [(i, 1) for i in range(9)]
+    assert lines.where("at_start").where("file = 'a_0.zip'").count() < 700_000
+    assert sorted(r["value"] for r in lines.collect()) == sorted(expected)
 
 
 def test_mixed_encodings_are_told_apart_per_file(spark, tmp_path):

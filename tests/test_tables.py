@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from monthclose.operators.registry import LoadRegistry, latest_loads, not_yet_loaded
 from monthclose.operators.store import MonthStore
 from monthclose.plans.load import load_set
+from monthclose.sources import encoding, scan
 
 SCHEMA = "ym string, k string, v double"
 
@@ -209,3 +210,33 @@ def test_a_hot_month_is_split_when_rebalanced(spark, store):
     files = store.spark.table(store._id("t__months")).where("_ym = '202601'").inputFiles()
     hot = [f for f in files if "_ym=202601" in f]
     assert counted == {"rows": 200_000} and len(hot) > 1
+
+
+def test_an_undeclared_encoding_costs_a_second_reading_only_on_a_hit(spark, tmp_path, monkeypatch, rows):
+    looked = []
+    real = encoding.profile_encodings
+    monkeypatch.setattr(scan, "profile_encodings",
+                        lambda lines: looked.append(1) or real(lines))
+    (tmp_path / "in").mkdir()
+    store = MonthStore(spark, str(tmp_path / "s"), "202601", "enc")
+    for kind, more in (("pipe", {"cols": ["ym", "s"]}),
+                       ("fwf", {"cols": [((0, 6), "ym"), ((7, 12), "s")], "native": True})):
+        tables = {f"t_{kind}": {"type": kind, "file": "t.dat", "month_col": "ym", **more}}
+        for charset, times in (("utf-8", 0), ("cp949", 1)):
+            looked.clear()
+            (tmp_path / "in" / "t.dat").write_bytes("202601|완료\n202601|x\n".encode(charset))
+            assert load_set(store, tables, str(tmp_path / "in"), force=True).failed == []
+            assert rows(store.table(f"t_{kind}")) == [("202601", "x"), ("202601", "완료")]
+            assert len(looked) == times
+
+
+def test_files_of_a_set_are_never_garbled(spark, tmp_path, rows):
+    (tmp_path / "m_1.dat").write_bytes("1|완료\n".encode("cp949"))
+    (tmp_path / "m_2.dat").write_bytes("2|완료\n".encode())
+    store = MonthStore(spark, str(tmp_path / "s"), "202601", "multi")
+    tables = {"m": {"type": "pipe", "file": "m_*", "month_col": None, "cols": ["k", "s"], "multi": True}}
+    assert load_set(store, tables, str(tmp_path)).rows == {"m": 2}
+    assert rows(store.table("m")) == [("1", "완료"), ("2", "완료")]
+    # Other files, as many as before, are not taken for the ones loaded.
+    (tmp_path / "m_2.dat").rename(tmp_path / "m_3.dat")
+    assert load_set(store, tables, str(tmp_path)).skipped == []
