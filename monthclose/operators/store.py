@@ -3,7 +3,10 @@
 A table that is loaded month by month lies in ``<name>__months``, partitioned by the month of its
 month column and by load; a view ``<name>`` shows its declared columns. A month is replaced by
 appending the new rows as a new load and then dropping the older loads of that month, so the data
-is written once, nothing is rewritten, and a job that fails half-way leaves the table as it was.
+is written once and nothing is rewritten. The switch is one step: an empty file beside the table names the load that
+is being written, which the view leaves out; renaming that file commits it, and from then on the view
+leaves out the older loads of the month instead. What a job that died left behind is never shown, and the next
+load of the table drops it.
 
 Tables outlive the process: a store registers what lies under its root and its catalog does not know.
 
@@ -32,6 +35,7 @@ from monthclose.sources.jdbc import read_text
 
 MONTHS, NEW = "__months", "__new"
 YM, LOAD = "_ym", "_load"
+PENDING, DONE = "pending", "done"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 REGISTRY = "load_registry"
 
@@ -86,7 +90,7 @@ class MonthStore:
             self.spark.sql(f"CREATE TABLE {self._id(name)} ({columns}) USING parquet {parts} LOCATION '{path}'")
             if parts:
                 self.spark.sql(f"ALTER TABLE {self._id(name)} RECOVER PARTITIONS")
-                self._show_months(name[: -len(MONTHS)], [f.name for f in schema][:-2])
+                self._show_months(name[: -len(MONTHS)])
 
     def database_of(self, month: str) -> str:
         return f"{self.name}_{month}".lower()
@@ -139,34 +143,61 @@ class MonthStore:
         nothing is replaced.
         """
         month = month or self.month
-        physical, load = table + MONTHS, uuid.uuid4().hex[:12]
+        load = uuid.uuid4().hex[:12]
         tagged = self._tagged(table, df, month_col, load, many_months)
-        old = self._partitions(physical, YM, month)
-        counted = self._write(tagged, lambda out: out.write.insertInto(self._id(physical)))
-        taken_back = self._partitions(physical, LOAD, load) if _unfit(counted) else old
-        self._drop_partitions(physical, taken_back)
-        return counted
+        return self._add(table, tagged, load, month)
 
     def add_load(self, table: str, df: DataFrame, month_col: str, load: str) -> dict[str, int]:
         """Add the rows of a named load, in place of what a load of that name stored before.
 
         Other loads stay, whatever their months. With malformed rows the load is taken back, as above.
         """
-        physical = table + MONTHS
         tagged = self._tagged(table, df, month_col, load, many_months=False)
-        self._drop_partitions(physical, self._partitions(physical, LOAD, load))
+        self._drop_partitions(table + MONTHS, self._partitions(table + MONTHS, LOAD, load))
+        return self._add(table, tagged, load)
+
+    def _add(self, table: str, tagged: DataFrame, load: str, month: str | None = None) -> dict[str, int]:
+        """Write a load and commit it, in place of the other loads of ``month`` if there is one."""
+        physical = table + MONTHS
+        mark = f"{self._state(physical)}/{PENDING}={load}"
+        files.touch(self.spark, mark)
+        self._show_months(table)
         counted = self._write(tagged, lambda out: out.write.insertInto(self._id(physical)))
-        if _unfit(counted):
-            self._drop_partitions(physical, self._partitions(physical, LOAD, load))
+        if not _unfit(counted):
+            if month is None:
+                files.delete(self.spark, mark)
+            else:
+                files.rename(self.spark, mark, f"{self._state(physical)}/{DONE}={load}={quote(month, safe='')}")
+            self._show_months(table)
+        self._clean_up(table)
         return counted
 
+    def _state(self, physical: str) -> str:
+        return f"{self.root}/{self.month}/_state/{physical.lower()}"
+
+    def _clean_up(self, table: str) -> None:
+        """Drop what the view leaves out: a load that was not committed, or the loads one has replaced."""
+        physical = table + MONTHS
+        names = files.list_names(self.spark, self._state(physical))
+        for kind, load, *month in (name.split("=") for name in names):
+            if kind == PENDING:
+                unwanted = self._partitions(physical, LOAD, load)
+            else:
+                unwanted = [p for p in self._partitions(physical, YM, unquote(month[0])) if p[1] != load]
+            self._drop_partitions(physical, unwanted)
+        if names:
+            files.delete(self.spark, self._state(physical))
+            self._show_months(table)
+
     def _tagged(self, table, df, month_col, load, many_months) -> DataFrame:
         """Rows with their month and load; the table is made if it is not there."""
         ym = F.substring(month_text(F.col(f"`{month_col}`"), dict(df.dtypes)[month_col]), 1, 6)
         tagged = df.select("*", ym.alias(YM), F.lit(load).alias(LOAD))
         if many_months:
             tagged = tagged.hint("rebalance", YM)
-        if not self.exists(table + MONTHS):
+        if self.exists(table + MONTHS):
+            self._clean_up(table)
+        else:
             self.drop(table)
             self._create_months(table, tagged)
         return tagged
@@ -174,18 +205,30 @@ class MonthStore:
     def _create_months(self, table: str, tagged: DataFrame) -> None:
         physical = table + MONTHS
         files.delete(self.spark, f"{self.root}/{self.month}/{physical.lower()}")
+        files.delete(self.spark, self._state(physical))
         fields = [f for f in tagged.schema if f.name not in (BAD, GARBLED)]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         self.spark.sql(
             f"CREATE TABLE {self._id(physical)} ({columns}) USING parquet "
             f"PARTITIONED BY ({YM}, {LOAD})"
         )
-        self._show_months(table, [f.name for f in fields[:-2]])
+        self._show_months(table)
 
-    def _show_months(self, table: str, columns: list[str]) -> None:
-        shown = ", ".join(f"`{c}`" for c in columns)
+    def _show_months(self, table: str) -> None:
+        """Make the view: the declared columns of all rows but those of loads that do not count."""
+        physical = table + MONTHS
+        shown = ", ".join(f"`{c}`" for c in self.spark.table(self._id(physical)).columns[:-2])
+        conditions = []
+        for name in files.list_names(self.spark, self._state(physical)):
+            kind, load, *month = name.split("=")
+            other = f"{LOAD} <> '{load}'"
+            if kind == DONE:
+                value = unquote(month[0]).replace("\\", "\\\\").replace("'", "\\'")
+                other = f"NOT ({YM} <=> '{value}' AND {other})"
+            conditions.append(other)
+        where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(table + MONTHS)}"
+            f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(physical)}{where}"
         )
 
     def _partitions(self, physical: str, column: str, value: str) -> list[tuple[str | None, str]]:
@@ -238,6 +281,7 @@ class MonthStore:
             self.spark.sql(f"DROP VIEW IF EXISTS {self._id(table)}")
             self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table + MONTHS)}")
             files.delete(self.spark, f"{self.root}/{self.month}/{(table + MONTHS).lower()}")
+            files.delete(self.spark, self._state(table + MONTHS))
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
             files.delete(self.spark, f"{self.root}/{self.month}/{table.lower()}")

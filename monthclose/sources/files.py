@@ -55,6 +55,20 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file, and the folders above it."""
+    fs, hadoop_path = _fs(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    fs.create(hadoop_path, True).close()
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file, in one step where the file system can."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.rename(hadoop_path, _fs(spark, target)[1]):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
 def list_names(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder, sorted; hidden and marker names are left out."""
     fs, hadoop_path = _fs(spark, folder)

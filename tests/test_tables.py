@@ -240,3 +240,37 @@ def test_files_of_a_set_are_never_garbled(spark, tmp_path, rows):
     # Other files, as many as before, are not taken for the ones loaded.
     (tmp_path / "m_2.dat").rename(tmp_path / "m_3.dat")
     assert load_set(store, tables, str(tmp_path)).skipped == []
+
+
+@pytest.mark.parametrize("step, shown", [("insertInto", "old"), ("rename", "old"), ("_clean_up", "new")])
+def test_a_load_that_dies_shows_either_the_old_rows_or_the_new(spark, tmp_path, rows, monkeypatch, step, shown):
+    """Between any two steps, for this session and for one that takes the tables over."""
+    store = MonthStore(spark, str(tmp_path / "s"), "202601", f"one{step.strip('_').lower()}")
+    store.load_month("t", frame(spark, ("202601", "old", 1.0), ("202602", "kept", 2.0)), "ym")
+
+    class Died(BaseException):
+        pass
+
+    def die(*args, **kwargs):
+        raise Died
+
+    again = frame(spark, ("202601", "new", 3.0))
+    with monkeypatch.context() as patched:
+        if step == "insertInto":  # written, but not yet known to be complete
+            write = MonthStore._write
+            patched.setattr(MonthStore, "_write", lambda self, df, do: (write(self, df, do), die()))
+        elif step == "rename":
+            patched.setattr("monthclose.sources.files.rename", die)
+        else:
+            clean_up, calls = MonthStore._clean_up, []
+            patched.setattr(MonthStore, "_clean_up",
+                            lambda self, t: clean_up(self, t) if not calls.append(1) and len(calls) == 1 else die())
+        with pytest.raises(Died):
+            store.load_month("t", again, "ym")
+    expected = [("202601", shown), ("202602", "kept")]
+    assert rows(store.table("t").select("ym", "k")) == expected
+    other = MonthStore(spark, str(tmp_path / "s"), "202601", f"two{step.strip('_').lower()}")
+    assert rows(other.table("t").select("ym", "k")) == expected
+    store.load_month("t", frame(spark, ("202601", "newest", 3.0)), "ym")
+    assert rows(store.table("t").select("ym", "k")) == [("202601", "newest"), ("202602", "kept")]
+    assert not (tmp_path / "s/202601/_state/t__months").exists()
