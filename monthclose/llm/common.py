@@ -9,6 +9,8 @@ from monthclose.sources.files import work_dir
 
 #: Rows and bytes of one Arrow batch: whole texts stay whole, a worker holds few of them at a time.
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+#: A key that more than one of so many rows has is hot; there are fewer hot keys than this.
+HOT_ONE_IN = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -24,6 +26,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``rows`` with the one row of ``table`` for their keys, without its ``weight``: how many rows have these keys.
+
+    Hot keys are few and are broadcast, so that their rows stay in their tasks; only rows of the other keys are shuffled. Rows
+    without a partner, or with a NULL key, are left out. Both sides are read more than once: store what is costly.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * HOT_ONE_IN > total
+    hot, others = F.broadcast(table.where(is_hot).drop(weight)), table.where(~is_hot).drop(weight)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(others, keys))
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus``; NULL counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

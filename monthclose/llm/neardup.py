@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import small_batches, stored
+from monthclose.llm.common import small_batches, spread_join, stored
 from monthclose.llm.components import components
 
 #: Words of a shingle; the threshold in percent; bands, and coordinates of one.
@@ -207,18 +207,19 @@ def blocks(members: DataFrame) -> DataFrame:
     formed within a step and between neighbouring steps, since linked sets differ by one step at most.
     """
     step = F.floor(F.log(F.col("n")) / -F.log(F.lit(PERCENT / 100)))
-    totals = members.groupBy("root").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    totals = stored(members.groupBy("root").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")), "totals")
     small = (F.col("docs") <= BLOCK_DOCS) & (F.col("shingles") <= BLOCK_SHINGLES)
-    sized = members.join(totals.select("root", small.alias("small")), "root").withColumn("step", step)
+    marked = totals.select("root", "docs", small.alias("small"))
+    sized = stored(spread_join(members, marked, ["root"], "docs").withColumn("step", step), "sized")
     one = sized.where("small").select("id", "root", F.lit("").alias("left"), F.lit("").alias("right"), F.lit(0).alias("side"))
     large = sized.where("not small")
-    parts = large.groupBy("root", "step").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
-    near = [parts.select("root", (F.col("step") - d).alias("step"), F.col("parts").alias(name))
-            for d, name in ((0, "own"), (1, "above"), (-1, "below"))]
-    placed = large
-    for other in near:
-        placed = placed.join(other, ["root", "step"], "left")
+    parts = large.groupBy("root", "step").agg(F.count("*").alias("docs"), F.greatest(
+        F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("own"))
+    beside = parts
+    for d, name in ((1, "above"), (-1, "below")):
+        beside = beside.join(
+            parts.select("root", (F.col("step") - d).alias("step"), F.col("own").alias(name)), ["root", "step"], "left")
+    placed = spread_join(large, stored(beside, "parts"), ["root", "step"], "docs")
     part = F.pmod(F.xxhash64("vertex"), F.col("own"))
     none = F.array().cast("array<struct<l:string,r:string,s:int>>")
 
@@ -292,7 +293,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_shingles, component_id, kept) of every row."""
     signed = stored(signatures(docs, id_col, text_col), "signatures")
     classes = signed.where("vertex is not null").groupBy("vertex").agg(
-        F.min("id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"))
+        F.min("id").alias("rep"), F.max("n_shingles").alias("n"), F.count("*").alias("rows"), F.first("bands").alias("bands"))
     coarse = components(candidates(classes))
     members = stored(
         coarse.join(classes.select("vertex", "rep", "n"), "vertex").select(
@@ -303,16 +304,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     together = texts.join(side, F.col("_id").eqNullSafe(F.col("id"))).select("root", "left", "right", "side", "text")
     links = together.groupBy("root", "left", "right").applyInArrow(_verify, "a long, b long")
     roots = components(links)
-    named = classes.select("vertex", "rep")
-    groups = stored(roots.join(named, "vertex"), "groups")
-    least = groups.groupBy("root").agg(F.min("rep").alias("component"))
-    of_linked = groups.join(least, "root").select("vertex", "component")
-    of_class = named.join(of_linked, "vertex", "left").select("vertex", F.coalesce("component", "rep").alias("component"))
-    found = signed.select("id", "n_shingles", "vertex").join(of_class, "vertex", "left")
-    component = F.coalesce("component", "id")
+    named = classes.select("vertex", "rep", "rows")
+    groups = stored(roots.join(named.drop("rows"), "vertex"), "groups")
+    least = stored(groups.groupBy("root").agg(F.min("rep").alias("component"), F.count("*").alias("classes")), "least")
+    of_linked = spread_join(groups, least, ["root"], "classes").select("vertex", "component")
+    of_class = stored(named.join(of_linked, "vertex", "left").select(
+        "vertex", "rows", F.coalesce("component", "rep").alias("component")), "classes")
+    full, empty = signed.where("vertex is not null"), signed.where("vertex is null")
+    found = spread_join(full.select("id", "n_shingles", "vertex"), of_class, ["vertex"], "rows").unionByName(
+        empty.select("id", "n_shingles", "vertex", F.col("id").alias("component")))
     return found.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"))
+        F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from monthclose.llm import chat, decontam, htmltext, langid, lmscore, mtree, neardup, packing, secrets, toxicity
+from monthclose.llm import chat, common, decontam, htmltext, langid, lmscore, mtree, neardup, packing, secrets, toxicity
 from monthclose.llm.components import components
 from monthclose.llm.queries import tokenizer
 
@@ -47,8 +47,10 @@ def brute_components(texts):
     return [(k, len(sets[k]), root[k], root[k] == k) for k in range(len(texts))]
 
 
-def test_near_duplicates_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("hot_one_in", [3, 1000])  # hardly any key is hot; all keys are
+def test_near_duplicates_against_brute_force(spark, monkeypatch, hot_one_in):
     monkeypatch.setattr(neardup, "BLOCK_DOCS", 6)  # so that the groups are large
+    monkeypatch.setattr(common, "HOT_ONE_IN", hot_one_in)
     r = random.Random(5)
     base = words(1, 150).split()
     texts = [None, "", "  \n", "One two", "one TWO", words(2, 30_000), words(3, 40), words(3, 40)]
