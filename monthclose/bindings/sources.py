@@ -124,9 +124,13 @@ def s4_csv(spark, sf):
 
 
 def s4_csv_header(spark, sf):
-    """Names from the header line of each part file."""
+    """Names from the header line of each part file; a row of the table equals the header."""
     folder = work_dir(spark, "s4h")
-    named = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    first = F.col("c_custkey") == 1
+    named = table(spark, sf, "customer").select(
+        F.when(first, "c_custkey").otherwise(F.col("c_custkey").cast("string")).alias("c_custkey"),
+        F.when(first, "c_name").otherwise(F.col("c_name")).alias("c_name"),
+        F.when(first, "c_acctbal").otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"))
     named.write.option("header", True).csv(f"{folder}/customer.csv")
     spec = _spec("csv", "customer.csv", header=True, numeric=["c_acctbal"])
     return _scan(spark, folder, spec)
@@ -406,13 +410,13 @@ def b1_read_stages(spark, sf):
 
 
 def s6_quoted_fields(spark, sf):
-    """Web pages as quoted fields: delimiters and quotes inside are part of the text."""
-    html = F.regexp_replace("html", r"[\r\n]", " ")
-    quoted = F.concat(F.lit('"'), F.replace(html, F.lit('"'), F.lit('""')), F.lit('"'))
-    lines = table(spark, sf, "pages").select(
-        joined("|", F.col("page_id"), quoted, F.col("url")).alias("value")
-    )
-    return parse_strict(lines, ["k", "html", "url"], bigint=["k"])
+    """Web pages as quoted fields: delimiters, quotes and line breaks inside are part of the text."""
+    folder = work_dir(spark, "s6q")
+    quoted = F.concat(F.lit('"'), F.replace("html", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = joined("|", F.col("page_id"), quoted, F.col("url"))
+    write_lines(table(spark, sf, "pages"), line, f"{folder}/pages.dat")
+    spec = _spec("pipe", "pages.dat", cols=["k", "html", "url"], bigint=["k"], multiline=True)
+    return _scan(spark, folder, spec)
 
 
 QUERIES = {
@@ -428,12 +432,13 @@ ORACLE = {
         nullif(o_orderpriority, '5-LOW') as priority from orders""",
     "s4_csv": """select cast(p_partkey as varchar) as k, replace(p_name, ' ', ', "') as name,
         case when p_partkey % 3 <> 0 then p_retailprice end as price from part""",
-    "s4_csv_header": "select cast(c_custkey as varchar) as c_custkey, c_name, c_acctbal from customer",
+    "s4_csv_header": """select case when c_custkey = 1 then 'c_custkey' else cast(c_custkey as varchar) end as c_custkey,
+        case when c_custkey = 1 then 'c_name' else c_name end as c_name,
+        case when c_custkey <> 1 then c_acctbal end as c_acctbal from customer""",
     "s5_auto_names": """select cast(s_suppkey as varchar) as col_0, s_name as col_1,
         cast(s_acctbal as varchar) as col_2 from supplier""",
     "s6_width_pad": "select page_id as k, url from pages",
-    "s6_quoted_fields": r"""select page_id as k, regexp_replace(html, '[\r\n]', ' ', 'g') as html, url
-        from pages""",
+    "s6_quoted_fields": "select page_id as k, nullif(html, '') as html, url from pages",
     "s7_lenient": """select o_orderkey as k, o_orderstatus as st,
         case when o_orderkey % 5 = 1 then null else 'a|b' end as note
         from orders where o_orderkey % 5 <> 2""",

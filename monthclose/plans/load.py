@@ -84,7 +84,8 @@ def load_table(
 
 
 def _store(store: MonthStore, spec: TableSpec, extract: Extract) -> tuple[int, int]:
-    """Write the strict reading; if it met a malformed line, write the lenient one in its place.
+    """Write the strict reading; if it met a malformed line, write in its place the reading whose quoted fields span lines, if
+    there are such, and the lenient one if that is malformed too.
 
     Malformed lines, and lines that are not of the expected encoding, are counted during the write, so a clean
     extract is read once. Lines that are no rows even then go to ``<table>__rejected``.
@@ -94,6 +95,8 @@ def _store(store: MonthStore, spec: TableSpec, extract: Extract) -> tuple[int, i
         counted = _write(store, spec, extract.hopeful)
     if counted.get("garbled"):
         counted = _write(store, spec, extract.rows)
+    if counted.get("bad") and (spanning := extract.spanning()) is not None:
+        counted = _write(store, spec, spanning)
     if not counted.get("bad"):
         store.drop(spec.name + "__rejected")
         return counted["rows"], 0

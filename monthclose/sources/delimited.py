@@ -4,6 +4,8 @@ A line becomes an array of fields, from which only the wanted columns are taken;
 NULL. A line without a quote (nearly every line) is split at the delimiter, and only a line with one pays
 for a pattern. The patterns use possessive repeats, so a quoted field of any length is matched without
 recursion.
+
+Where quoted fields hold line breaks, whole records come from Spark's own CSV reader (``raw_records``), one task per file.
 """
 
 from __future__ import annotations
@@ -12,10 +14,11 @@ import re
 from collections.abc import Collection, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthclose.functions.casts import strip_all, to_bigint, to_double
+from monthclose.sources.encoding import charset_settings, decoded
 
 QUOTE = '"'
 # A Boolean column that marks malformed lines; a load counts it and does not store it.
@@ -116,6 +119,76 @@ def parse_strict(
     )
 
 
+def _record_reader(spark: SparkSession, delimiter: str):
+    """Spark's reader for quoted fields with line breaks. Every byte becomes one character, to be decoded later."""
+    return spark.read.options(
+        sep=delimiter, quote=QUOTE, escape=QUOTE, multiLine=True, lineSep="\n", encoding="ISO-8859-1",
+        columnPruning=False, maxCharsPerColumn=-1,
+    )
+
+
+def record_width(spark: SparkSession, path: str, delimiter: str) -> int:
+    """Fields in the first record."""
+    return len(_record_reader(spark, delimiter).csv(path).columns)
+
+
+def raw_records(
+    spark: SparkSession, paths: Sequence[str], width: int, delimiter: str = "|", header: bool = False
+) -> DataFrame:
+    """Records of files in which quoted fields may hold line breaks.
+
+    ``_f`` has the undecoded fields, ``_record`` the text of a record with more or fewer fields than ``width``, and ``file``
+    the file name. With ``header`` the first record of each file is left out.
+    """
+    columns = [f"_{i}" for i in range(width)]
+    schema = ", ".join(f"{c} string" for c in [*columns, "_record"])
+    read = _record_reader(spark, delimiter).schema(schema).options(columnNameOfCorruptRecord="_record", header=header)
+    wrong = F.col("_record").isNotNull()
+    fields = []
+    for i, c in enumerate(columns):
+        last = F.lit(True) if i == width - 1 else wrong
+        field = F.when(last & F.col(c).endswith("\r"), F.rtrim(F.col(c), F.lit("\r"))).otherwise(F.col(c))
+        fields.append(F.encode(field, "ISO-8859-1").cast("string"))
+    record = F.encode(F.rtrim(F.col("_record"), F.lit("\r\n")), "ISO-8859-1").cast("string")
+    return read.csv(list(paths)).select(
+        F.array(*fields).alias("_f"), record.alias("_record"), F.col("_metadata.file_name").alias("file"))
+
+
+def parse_records(
+    records: DataFrame,
+    names: Sequence[str],
+    encoding: str,
+    delimiter: str = "|",
+    width: int | None = None,
+    numeric: Collection[str] = (),
+    bigint: Collection[str] = (),
+    select: Collection[str] = (),
+    trim: bool = False,
+    pad: bool = False,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The records of ``raw_records`` as ``parse_strict`` gives lines, with a column BAD."""
+    spark = records.sparkSession
+    texts, values = _typed(names, numeric, bigint, select, lambda c: F.trim(c) if trim else c)
+    record = F.col("_record")
+    malformed = _malformed(
+        split_fields(record, delimiter), _open_quote(record, delimiter), max(width or 0, len(names)), pad)
+    bad = F.coalesce(record.isNotNull() & malformed, F.lit(False)).alias(BAD)
+    with charset_settings(spark):
+        text = F.transform("_f", lambda f: decoded(f.cast("binary"), encoding))
+        fields = records.select(text.alias("_f"), bad, *keep)
+    return fields.select(*texts, BAD, *keep).select(*values, BAD, *keep)
+
+
+def spans_lines(lines: DataFrame, delimiter: str) -> bool:
+    """Whether quoted fields go on in the next line: some line leaves a quote open, and no file has an odd number of quotes."""
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(QUOTE), F.lit("")))
+    files = lines.groupBy("file").agg(
+        F.bool_or(_open_quote(F.col("value"), delimiter)).alias("open"), (F.sum(quotes) % 2).alias("odd"))
+    found = files.agg(F.bool_or("open").alias("open"), F.max("odd").alias("odd")).first()
+    return bool(found["open"]) and not found["odd"]
+
+
 def parse_lenient(
     lines: DataFrame,
     names: Sequence[str],
@@ -151,11 +224,6 @@ def auto_names(width: int) -> tuple[str, ...]:
     return tuple(f"col_{i}" for i in range(width))
 
 
-def drop_header(lines: DataFrame, header: str) -> DataFrame:
-    """Leave out the header line: the line in the first block of a file that equals it."""
-    return lines.where(~(F.col("at_start") & (F.col("value") == header)))
-
-
 def _nonblank(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value") != "")
 

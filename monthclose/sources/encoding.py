@@ -83,6 +83,11 @@ def hopeful_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn(GARBLED, ~F.is_valid_utf8("value"))
 
 
+def hopeful_fields(records: DataFrame) -> DataFrame:
+    """The same for records that are arrays of fields."""
+    return records.withColumn(GARBLED, F.exists("_f", lambda f: ~F.is_valid_utf8(F.coalesce(f, F.lit("")))))
+
+
 def profile_encodings(lines: DataFrame, file_col: str = "file") -> DataFrame:
     """Per file: its encoding, its lines, and its lines that are not valid UTF-8.
 

@@ -42,6 +42,7 @@ class TableSpec:
     multi: bool = False
     overwrite: bool = False
     many_months: bool = False
+    multiline: bool = False
     desc: str = ""
     database: Mapping[str, object] = field(default_factory=dict)
 

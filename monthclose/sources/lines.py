@@ -1,7 +1,7 @@
 """Raw lines of text files: plain, gzip and zip.
 
 The ``value`` column holds the undecoded bytes of a line in a string column (Spark does not touch
-them), ``file`` the file name and ``at_start`` whether the line lies in the first block of its file.
+them), and ``file`` the file name.
 Plain files are split into blocks and read in parallel. A compressed file is one task; when
 there are fewer of them than cores, the lines are spread out before the costly parsing.
 """
@@ -21,26 +21,21 @@ def raw_lines(
     paths: Sequence[str],
     newline_only: bool = False,
     spread: bool = True,
+    header: bool = False,
 ) -> DataFrame:
-    """The lines of some files. ``newline_only`` keeps a lone carriage return inside a line."""
+    """The lines of some files. ``newline_only`` keeps a lone carriage return inside a line; with ``header`` the first line
+    of each file that is not empty is left out."""
     zips = [p for p in paths if p.lower().endswith(".zip")]
     texts = [p for p in paths if not p.lower().endswith(".zip")]
     parts = []
     if texts:
-        reader = spark.read
-        if newline_only:
-            reader = reader.option("lineSep", "\n")
-        lines = reader.text(texts).select(
-            "value",
-            F.col("_metadata.file_name").alias("file"),
-            (F.col("_metadata.file_block_start") == 0).alias("at_start"),
-        )
+        lines = _lines_below_header(spark, texts) if header else _text_lines(spark, texts, newline_only)
         if spread and all(p.lower().endswith(".gz") for p in texts):
             # A path may be a folder of parts, so the files themselves are counted.
             lines = _spread(lines, len(lines.inputFiles()))
         parts.append(lines)
     if zips:
-        lines = _zip_lines(spark, zips)
+        lines = _zip_lines(spark, zips, header)
         parts.append(_spread(lines, len(zips)) if spread else lines)
     out = parts[0]
     for part in parts[1:]:
@@ -48,13 +43,31 @@ def raw_lines(
     return out
 
 
+def _text_lines(spark: SparkSession, paths: Sequence[str], newline_only: bool) -> DataFrame:
+    reader = spark.read
+    if newline_only:
+        reader = reader.option("lineSep", "\n")
+    return reader.text(list(paths)).select("value", F.col("_metadata.file_name").alias("file"))
+
+
+def _lines_below_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines by Spark's CSV reader, as it alone knows which line of a split file is the first. Every byte is one character,
+    a whole line is one field, and a line that has the separator all the same comes whole as a malformed one."""
+    lines = spark.read.schema("value string, whole string").options(
+        sep="\x01", quote="", escape="", header=True, encoding="ISO-8859-1", columnNameOfCorruptRecord="whole",
+        columnPruning=False, maxCharsPerColumn=-1,
+    ).csv(list(paths))
+    value = F.encode(F.coalesce("whole", "value", F.lit("")), "ISO-8859-1").cast("string")
+    return lines.select(value.alias("value"), F.col("_metadata.file_name").alias("file"))
+
+
 def _spread(lines: DataFrame, files: int) -> DataFrame:
     """Share out the lines of fewer compressed files than there are cores."""
     cores = lines.sparkSession.sparkContext.defaultParallelism
     return lines.repartition(cores) if files < cores else lines
 
 
-def _zip_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _zip_lines(spark: SparkSession, paths: Sequence[str], header: bool) -> DataFrame:
     """Lines of all members of each archive, in the order of the archive; one archive per task, streamed in blocks.
 
     Each member counts as a file of its own. A member that is a folder has no lines.
@@ -62,8 +75,9 @@ def _zip_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     names = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "n int, path string")
     # Ranges of a running number, as a hash would put several archives into one task.
     listing = names.repartitionByRange(len(paths), "n").select("path")
-    raw = listing.mapInArrow(_read_archives, "value binary, file string, at_start boolean")
-    return raw.withColumn("value", F.col("value").cast("string"))
+    raw = listing.mapInArrow(_read_archives, "value binary, file string, first boolean")
+    wanted = raw.where("not first") if header else raw
+    return wanted.select(F.col("value").cast("string"), "file")
 
 
 def _read_archives(batches: Iterator) -> Iterator:
@@ -72,14 +86,16 @@ def _read_archives(batches: Iterator) -> Iterator:
     import pyarrow as pa
     from pyarrow import fs
 
-    def batch(lines: list[bytes], name: str, first: bool):
+    def batch(lines: list[bytes], name: str, seen: bool):
+        """A batch of lines; ``first`` marks the first one that is not empty, if the file had none before."""
+        header = None if seen else next((i for i, line in enumerate(lines) if line), None)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(lines, pa.binary()),
                 pa.array([name] * len(lines), pa.string()),
-                pa.array([first] * len(lines), pa.bool_()),
+                pa.array([i == header for i in range(len(lines))], pa.bool_()),
             ],
-            ["value", "file", "at_start"],
+            ["value", "file", "first"],
         )
 
     for paths in batches:
@@ -94,14 +110,15 @@ def _read_archives(batches: Iterator) -> Iterator:
                 for info in members:
                     label = name if len(members) == 1 else f"{name}/{info.filename}"
                     with archive.open(info) as member:
-                        rest, first = b"", True
+                        rest, seen = b"", False
                         while block := member.read(BLOCK_BYTES):
                             *lines, rest = (rest + block).split(b"\n")
                             if lines:
-                                yield batch([line.rstrip(b"\r") for line in lines], label, first)
-                                first = False
+                                lines = [line.rstrip(b"\r") for line in lines]
+                                yield batch(lines, label, seen)
+                                seen = seen or any(lines)
                         if rest:
-                            yield batch([rest.rstrip(b"\r")], label, first)
+                            yield batch([rest.rstrip(b"\r")], label, seen)
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:

@@ -14,7 +14,7 @@ from monthclose.functions.casts import strip_all, to_double
 from monthclose.functions.months import fill_month
 from monthclose.sources import delimited, files, layouts
 from monthclose.sources.delimited import BAD
-from monthclose.sources.encoding import GARBLED, decode_lines, hopeful_lines, profile_encodings
+from monthclose.sources.encoding import GARBLED, decode_lines, hopeful_fields, hopeful_lines, profile_encodings
 from monthclose.sources.fixed import parse_fixed_bytes, parse_fixed_chars
 from monthclose.sources.jdbc import read_query
 from monthclose.sources.layouts import TableSpec
@@ -32,12 +32,15 @@ class Extract:
     Where the encoding is not declared, ``rows`` first looks at every line of every file. A load spares
     itself that: it writes ``hopeful``, the reading as UTF-8 with a Boolean column GARBLED, and only if
     that is true somewhere are the files looked at and read again.
+
+    ``spanning`` is the strict reading of an extract whose quoted fields go on in the next line; None if they do not.
     """
 
     strict: Callable[[], DataFrame]
     label: str
     lenient: Callable[[], delimited.Rows] | None = None
     hopeful: DataFrame | None = None
+    spanning: Callable[[], DataFrame | None] = lambda: None
 
     @cached_property
     def rows(self) -> DataFrame:
@@ -117,19 +120,20 @@ def scan_delimited(
     sep = spec.separator
     sample = first_line(spark, paths[0]) or ""
     width = max(_width(spark, sample, sep), 1)
+    archives = any(p.lower().endswith(".zip") for p in paths)
+    if spec.multiline:
+        if archives:
+            raise ValueError(f"[{spec.name}] archives are read by lines, not with multiline")
+        width = max(width, delimited.record_width(spark, paths[0], sep))
     names = tuple(spec.cols)
-    header = None
+    header = spec.header
     if not names and spec.type == layouts.CSV:
         # Without a layout a CSV file has to bring its names in the first line.
-        header, names = sample, _header_names(spark, spec, paths[0], sample, sep)
+        header, names = True, _header_names(spark, spec, paths[0], sep)
     elif not names:
-        names = delimited.auto_names(width)
-    elif spec.header:
-        header = sample
+        header, names = False, delimited.auto_names(width)
     spec = replace(spec, cols=names)
-    lines = raw_lines(spark, paths)
-    if header is not None:
-        lines = delimited.drop_header(lines, header)
+    lines = raw_lines(spark, paths, header=header)
     common = dict(
         names=names, delimiter=sep, width=width,
         numeric=spec.numeric, bigint=spec.bigint, select=spec.select_cols,
@@ -150,7 +154,21 @@ def scan_delimited(
             rows, rejected = rows.union(more.rows), rejected.union(more.rejected)
         return delimited.Rows(rows.drop("file"), rejected)
 
-    return _extract(spark, spec, paths, lines, strict, label, lenient)
+    def records(part: DataFrame, encoding: str, keep=()) -> DataFrame:
+        return delimited.parse_records(part, encoding=encoding, trim=spec.trim, pad=pad, keep=keep, **common)
+
+    def raw() -> DataFrame:
+        return delimited.raw_records(spark, paths, max(width, len(names)), sep, header)
+
+    def spanning() -> DataFrame | None:
+        if archives or not delimited.spans_lines(lines, sep):
+            return None
+        return _by_encoding(spark, spec, paths, raw(), records)
+
+    if spec.multiline:
+        return _extract(spark, spec, paths, raw(), records, label, lenient, hopeful_fields)
+    extract = _extract(spark, spec, paths, lines, strict, label, lenient)
+    return replace(extract, spanning=spanning)
 
 
 def _width(spark: SparkSession, sample: str, sep: str) -> int:
@@ -161,7 +179,7 @@ def _width(spark: SparkSession, sample: str, sep: str) -> int:
     return one.select(delimited.count_fields(F.col("value"), sep)).head()[0]
 
 
-def _header_names(spark, spec, path, sample, sep) -> tuple[str, ...]:
+def _header_names(spark, spec, path, sep) -> tuple[str, ...]:
     encoding = spec.encoding or "utf-8"
     if not spec.encoding and "cp949" in _file_encodings(spark, [path]).values():
         encoding = "cp949"
@@ -172,9 +190,9 @@ def _header_names(spark, spec, path, sample, sep) -> tuple[str, ...]:
     return tuple(n if n else f"col_{i}" for i, n in enumerate(names))
 
 
-def _extract(spark, spec, paths, lines, parse, label, lenient=None) -> Extract:
-    """An extract of lines; with a hopeful reading where the encoding is not declared."""
-    hopeful = None if spec.encoding else parse(hopeful_lines(lines), "utf-8", [GARBLED])
+def _extract(spark, spec, paths, lines, parse, label, lenient=None, hope=hopeful_lines) -> Extract:
+    """An extract of lines or records; with a hopeful reading where the encoding is not declared."""
+    hopeful = None if spec.encoding else parse(hope(lines), "utf-8", [GARBLED])
     return Extract(
         lambda: _by_encoding(spark, spec, paths, lines, parse), label, lenient, hopeful
     )

@@ -182,6 +182,14 @@ def test_strict_reading_is_replaced_by_the_lenient_one(store, rows, extracts, tm
     assert sorted(r[1] for r in rows(store.table("m"))) == ["a", "d", "e", "f", "g"]
 
 
+def test_quoted_line_breaks_are_loaded_whole(store, rows, extracts, tmp_path):
+    (tmp_path / "in" / "q.dat").write_bytes('202601|"가\n|b"\n202512|c\n'.encode("cp949"))
+    tables = {"q": {"type": "pipe", "file": "q.dat", "month_col": "ym", "cols": ["ym", "k"]}}
+    result = load_set(store, tables, extracts)
+    assert result.rows == {"q": 2} and not result.rejected
+    assert rows(store.table("q")) == [("202512", "c"), ("202601", "가\n|b")]
+
+
 def test_a_month_can_be_loaded_from_itself(spark, store, rows):
     store.load_month("t", frame(spark, ("202601", "a", 1.0), ("202602", "b", 2.0)), "ym")
     store.load_month("t", store.month_rows("t", "202601").withColumn("v", F.col("v") * 10), "ym")
