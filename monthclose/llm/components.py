@@ -18,9 +18,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     state = _state(now)
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        # The minima are stored, so that a vertex with very many edges meets them by broadcast, or in a join that Spark can split.
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = stored(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stored(moved.unionByName(least.withColumnRenamed("m", "b")).distinct(), "edges")
         before, state = state, _state(now)
