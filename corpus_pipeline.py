@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return neardup.without_duplicates(docs)
+    """Of each group of documents linked at a similarity of 0.8 or more, that with the smallest id stays."""
+    return neardup.without_duplicates(docs, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:

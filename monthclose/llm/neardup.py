@@ -1,6 +1,6 @@
 """Near-duplicate documents by fast similarity sketching, banding, and exact verification.
 
-A document is the set of its five-word shingles. The sketch throws every shingle into one of ``PLACES`` bins in a round, each bin
+A document is the set of its five-word shingles. The sketch throws every shingle into one of as many bins as it has coordinates in a round, each bin
 keeps its smallest value; empty bins get their chance in further rounds with new hashes, and after as many rounds as there are
 bins each round serves one bin with all shingles, so every coordinate fills. Two sketches agree at a coordinate with the
 Jaccard similarity of the sets as probability, and concentrate like independent samples.
@@ -11,7 +11,8 @@ sets, as products of incidence matrices of blocks; a block passes on a spanning
 into blocks by set size (sets that differ too much in size cannot be linked) and by hash, so that no task holds a whole group.
 Blocks of one large group of different sets still meet in pairs: that work grows with the square of the group, spread over its blocks.
 
-With 40 bands of 8, a pair at similarity 0.85 is missed with a probability of 3 in a million, and less above.
+The threshold is a parameter, in percent; the number of bands and the size steps follow from it. A pair at the threshold is missed
+with a probability of 3 in a million at most, and less above: 40 bands of 8 at 85 percent, 70 at 80.
 
 Defined results: NULL or wordless text has an empty set, is linked with nothing, and is its own component. Rows with equal text are one
 class whatever their ids. Ids may repeat, and may be NULL: such rows take part by their text.
@@ -19,6 +20,7 @@ class whatever their ids. Ids may repeat, and may be NULL: such rows take part b
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,9 +32,9 @@ from pyspark.sql import functions as F
 from monthclose.llm.common import small_batches, spread_join, stored
 from monthclose.llm.components import components
 
-#: Words of a shingle; the threshold in percent; bands, and coordinates of one.
-WORDS, PERCENT, BANDS, ROWS = 5, 85, 40, 8
-PLACES = BANDS * ROWS
+#: Words of a shingle; the threshold in percent, unless another is given; coordinates of a band; the share of pairs at the threshold
+#: that no band may find.
+WORDS, PERCENT, ROWS, MISSED = 5, 85, 8, 3e-6
 #: Documents and shingles of one block; bytes that are hashed at once; ids that are broadcast at most.
 BLOCK_DOCS, BLOCK_SHINGLES, SEGMENT, BROADCAST_ROWS = 256, 1_000_000, 1 << 20, 500_000
 
@@ -138,7 +140,14 @@ def vertex_of(shingles: np.ndarray) -> int | None:
     return int(_mix(np.array([total])).view(np.int64)[0])
 
 
-def sketches(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
+def bands_for(percent: int) -> int:
+    """Bands that miss a pair at the threshold with a probability of ``MISSED`` at most."""
+    if not 0 < percent < 100:
+        raise ValueError(f"no threshold between 0 and 100 percent: {percent}")
+    return math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** ROWS)))
+
+
+def sketches(sets: list[np.ndarray], places: int) -> np.ndarray:
     """A row of ``places`` coordinates for each set that is not empty; rows of empty sets stay empty."""
     out = np.full((len(sets), places), _EMPTY)
     flat = out.reshape(-1)
@@ -164,7 +173,7 @@ def sketches(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
     return out
 
 
-def band_keys(sketch: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def band_keys(sketch: np.ndarray, bands: int) -> np.ndarray:
     parts = sketch.reshape(len(sketch), bands, -1)
     keys = np.broadcast_to(_stream(3, bands), (len(sketch), bands)).copy()
     for k in range(parts.shape[2]):
@@ -172,17 +181,18 @@ def band_keys(sketch: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, vertex, bands) of every row; vertex and bands are NULL for empty sets."""
     small_batches(docs.sparkSession)
+    count = bands_for(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist())
             vertices = [vertex_of(s) for s in sets]
-            keys = band_keys(sketches(sets)) if sets else np.zeros((0, BANDS), np.int64)
+            keys = band_keys(sketches(sets, count * ROWS), count) if sets else np.zeros((0, count), np.int64)
             bands = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.reshape(-1)),
+                pa.array(np.arange(0, keys.size + 1, count, dtype=np.int32)), pa.array(keys.reshape(-1)),
                 mask=pa.array([v is None for v in vertices], pa.bool_()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(vertices, pa.int64()), bands],
@@ -200,13 +210,13 @@ def candidates(classes: DataFrame) -> DataFrame:
         F.col("vertex").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def blocks(members: DataFrame) -> DataFrame:
+def blocks(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, root, left, right, side) from (id, root, n, vertex): the block pairs in which each member is compared.
 
     A small group is one block. In a large one a block is a step of set size and a part of the members there; a pair of blocks is
     formed within a step and between neighbouring steps, since linked sets differ by one step at most.
     """
-    step = F.floor(F.log(F.col("n")) / -F.log(F.lit(PERCENT / 100)))
+    step = F.floor(F.log(F.col("n")) / -F.log(F.lit(percent / 100)))
     totals = stored(members.groupBy("root").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")), "totals")
     small = (F.col("docs") <= BLOCK_DOCS) & (F.col("shingles") <= BLOCK_SHINGLES)
     marked = totals.select("root", "docs", small.alias("small"))
@@ -241,7 +251,7 @@ def blocks(members: DataFrame) -> DataFrame:
     return one.unionByName(many)
 
 
-def linked(sets: list[np.ndarray], side: np.ndarray, whole: bool) -> list[tuple[int, int]]:
+def linked(sets: list[np.ndarray], side: np.ndarray, whole: bool, percent: int = PERCENT) -> list[tuple[int, int]]:
     """A spanning forest of the links among sets (``whole``) or between the two sides, as pairs of places."""
     sizes = np.array([len(s) for s in sets])
     values, places = np.unique(np.concatenate(sets), return_inverse=True)
@@ -258,7 +268,7 @@ def linked(sets: list[np.ndarray], side: np.ndarray, whole: bool) -> list[tuple[
         incidence = np.zeros((len(sets), min(4096, total - low)), np.float32)
         incidence[owner[a:b], column[a:b] - low] = 1
         shared += incidence @ incidence.T
-    near = 100 * shared >= PERCENT * (sizes[:, None] + sizes[None, :] - shared)
+    near = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
     if not whole:
         near &= side[:, None] != side[None, :]
     np.fill_diagonal(near, True)
@@ -272,7 +282,7 @@ def linked(sets: list[np.ndarray], side: np.ndarray, whole: bool) -> list[tuple[
     return [(k, int(v)) for k, v in enumerate(label) if k != v]
 
 
-def _verify(table: pa.Table) -> pa.Table:
+def _verify(table: pa.Table, percent: int) -> pa.Table:
     """Links between the classes of one block or pair of blocks, on their full sets."""
     sets, sides, vertices = [], [], []
     known: set[int] = set()
@@ -284,25 +294,26 @@ def _verify(table: pa.Table) -> pa.Table:
             sides.append(side)
             vertices.append(vertex)
     whole = table.num_rows == 0 or table.column("left")[0].as_py() == table.column("right")[0].as_py()
-    links = linked(sets, np.array(sides), whole) if len(sets) > 1 else []
+    links = linked(sets, np.array(sides), whole, percent) if len(sets) > 1 else []
     return pa.table({"a": pa.array([vertices[i] for i, _ in links], pa.int64()),
                      "b": pa.array([vertices[j] for _, j in links], pa.int64())})
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row."""
-    signed = stored(signatures(docs, id_col, text_col), "signatures")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row; sets with a similarity of ``percent`` or more are linked."""
+    signed = stored(signatures(docs, id_col, text_col, percent), "signatures")
     classes = signed.where("vertex is not null").groupBy("vertex").agg(
         F.min("id").alias("rep"), F.max("n_shingles").alias("n"), F.count("*").alias("rows"), F.first("bands").alias("bands"))
     coarse = components(candidates(classes))
     members = stored(
         coarse.join(classes.select("vertex", "rep", "n"), "vertex").select(
             F.col("rep").alias("id"), "root", "n", "vertex"), "members")
-    placed = blocks(members)
+    placed = blocks(members, percent)
     side = F.broadcast(placed) if placed.count() <= BROADCAST_ROWS else placed
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
     together = texts.join(side, F.col("_id").eqNullSafe(F.col("id"))).select("root", "left", "right", "side", "text")
-    links = together.groupBy("root", "left", "right").applyInArrow(_verify, "a long, b long")
+    links = together.groupBy("root", "left", "right").applyInArrow(
+        lambda table: _verify(table, percent), "a long, b long")
     roots = components(links)
     named = classes.select("vertex", "rep", "rows")
     groups = stored(roots.join(named.drop("rows"), "vertex"), "groups")
@@ -318,10 +329,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
-def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One document of each group, all columns: that of the smallest id. Rows that share an id are one document, and stay if one
     of them does."""
-    found = near_duplicates(docs, id_col, text_col).select(F.col(id_col).alias("_gone"), "kept")
+    found = near_duplicates(docs, id_col, text_col, percent).select(F.col(id_col).alias("_gone"), "kept")
     gone = stored(found.groupBy("_gone").agg(F.max("kept").alias("kept")).where("not kept").select("_gone"), "duplicates")
     side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     return docs.join(side, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")

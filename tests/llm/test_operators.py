@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from monthclose.llm import chat, common, decontam, htmltext, langid, lmscore, mtree, neardup, packing, secrets, toxicity
 from monthclose.llm.components import components
 from monthclose.llm.queries import tokenizer
@@ -65,6 +66,34 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, hot_one_in):
     assert kept.columns == docs(spark).columns and sorted(x.doc_id for x in kept.collect()) == [0, 1, 2, 3, 5, 6]
 
 
+def test_near_duplicates_at_another_threshold(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_DOCS", 6)  # so that the groups are large
+    texts = []
+    for k in range(30):  # one of 50 words changed: 41 of 51 shingles in common, a similarity of 0.804
+        base = words(100 + k, 50).split()
+        texts += [" ".join(base), " ".join([*base[:20], "changed", *base[21:]])]
+    base = words(7, 120).split()
+    for k in range(30):  # a large group whose sets differ in size
+        texts.append(" ".join([*base, *words(200 + k, k).split()]))
+
+    def kept(percent):
+        sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    old, new = max(root[a], root[b]), min(root[a], root[b])
+                    root = [new if r == old else r for r in root]
+        return [k for k, r in enumerate(root) if k == r]
+
+    frame = docs(spark, *texts)
+    for percent in (80, 85, 90):
+        got = neardup.without_duplicates(frame, percent=percent)
+        assert sorted(x.doc_id for x in got.collect()) == kept(percent)
+    assert len(kept(80)) < len(kept(85))
+    assert sorted(x.doc_id for x in corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()) == kept(80)
+    assert (neardup.bands_for(85), neardup.bands_for(80)) == (40, 70)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert neardup.near_duplicates(docs(spark)).collect() == []
 
