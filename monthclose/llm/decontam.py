@@ -3,10 +3,12 @@
 A seed is a window of words of which a fixed mask ignores some places; its hash survives a substitution at an ignored place. Seeds
 of the benchmark and of the documents are joined on their hashes. Around each hit the benchmark item is laid over the document, and
 the words that agree at their places are counted: an overlap counts if some run of ``RUN`` item words (the whole item, if it has
-fewer) agrees in at least ``AGREE`` of its places.
+fewer) agrees in at least ``AGREE`` of its places. The masks are chosen by the length of the item: by enumeration, every way in which
+that many places can disagree leaves some mask of its set somewhere in the run without a disagreement. A mask begins and ends with
+a place that is hashed, so that this also holds where an item hangs over an end of a document.
 
-Words are runs of letters and digits, lower case. Defined results: NULL or wordless texts and items match nothing; an item shorter than the
-shortest mask must occur word for word; repeated documents each match; repeated items are one; a NULL id stays NULL. An
+Words are runs of letters and digits, lower case. Defined results: NULL or wordless texts and items match nothing; an item of up to
+three words must occur word for word; repeated documents each match; repeated items are one; a NULL id stays NULL. An
 empty benchmark or table gives no rows.
 """
 
@@ -17,10 +19,25 @@ from pyspark.sql import functions as F
 
 from monthclose.llm.common import stored
 
-#: 1 is a place that is hashed, 0 one that is ignored.
-MASKS = ("1101011", "110010111")
 #: Item words of a run, and the share of them that must agree.
 RUN, AGREE = 12, 0.75
+#: Masks by the number of item words in a run. 1 is a place that is hashed, 0 one that is ignored.
+MASKS_OF = {
+    12: ("111011", "110100011", "11001011", "110111"),
+    11: ("1101011", "1110011"),
+    10: ("111011", "11010011", "11111"),
+    9: ("111011", "1001111", "11010011", "111101"),
+    8: ("11011", "1111", "1100011"),
+    7: ("11111", "111011", "110111"),
+    6: ("1111", "11011"),
+    5: ("111", "1101"),
+    4: ("111", "1101", "1011"),
+    3: ("111",),
+    2: ("11",),
+    1: ("1",),
+}
+#: The masks of the SQL, which find less.
+MASKS = ("1101011", "110010111")
 #: Rows of benchmark seeds, and of found ids, that are broadcast at most; beyond them both sides are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -32,9 +49,9 @@ def words(text: Column) -> Column:
 def _seeds(masks: tuple[str, ...], n: Column, position: Column, column: str) -> Column:
     """Hashes of all masks at a position; NULL where the mask does not fit."""
     hashes = []
-    for number, mask in enumerate(masks):
+    for mask in masks:
         kept = [F.get(F.col(column), position + k) for k, bit in enumerate(mask) if bit == "1"]
-        hashes.append(F.when(position + len(mask) <= n, F.xxhash64(F.lit(number), *kept)))
+        hashes.append(F.when(position + len(mask) <= n, F.xxhash64(F.lit(mask), *kept)))
     return F.array(*hashes)
 
 
@@ -63,23 +80,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """(id, item id, agreeing): every document with every item that it contains, and the places that agree at best."""
     items = benchmark.select(F.col(item_col).alias("item"), words(F.col(item_text)).alias("item_words")).distinct()
     items = items.where(F.array_max(F.transform("item_words", F.length)) > 0)
-    least = min(map(len, MASKS))
-    sizes = items.groupBy(F.size("item_words").alias("n")).agg(F.count("*").alias("c")).collect()  # bounded by lengths
-    seeds = sum(r["c"] * sum(max(0, r["n"] - len(m) + 1) for m in MASKS) for r in sizes)
+    sizes = items.groupBy(F.least(F.size("item_words"), F.lit(RUN)).alias("n"), F.size("item_words").alias("words")).agg(
+        F.count("*").alias("c")).collect()  # bounded by lengths
+    seeds = sum(r["c"] * sum(r["words"] - len(m) + 1 for m in MASKS_OF[r["n"]]) for r in sizes)
     own = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
-    found = _found(own, items, MASKS, seeds <= BROADCAST_ROWS)
-    # Items shorter than every mask: all their words in a row, hashed with a mask of their length.
-    for n in sorted(r["n"] for r in sizes if r["n"] < least):
-        short = items.where(F.size("item_words") == n)
-        count = sum(r["c"] for r in sizes if r["n"] == n)
-        exact = _found(own, short, ("1" * n,), count <= BROADCAST_ROWS).where(F.col("agreeing") == n)
-        found = found.unionByName(exact)
+    lengths = sorted({r["n"] for r in sizes}) or [RUN]
+    found = _found(own, items, lengths, seeds <= BROADCAST_ROWS)
     return found.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(F.max("agreeing").alias("agreeing"))
 
 
-def _found(own: DataFrame, items: DataFrame, masks: tuple[str, ...], small: bool) -> DataFrame:
-    """(id, item, agreeing) of the overlaps that count."""
-    index = _exploded(items, ["item", "item_words"], "item_words", masks).select("seed", "item", F.col("at").alias("item_at"))
+def _found(own: DataFrame, items: DataFrame, lengths: list[int], small: bool) -> DataFrame:
+    """(id, item, agreeing) of the overlaps that count; ``lengths`` are the words of the items' runs."""
+    masks = tuple(sorted({m for n in lengths for m in MASKS_OF[n]}))
+    index = None
+    for n in lengths:
+        some = items.where(F.least(F.size("item_words"), F.lit(RUN)) == n)
+        part = _exploded(some, ["item", "item_words"], "item_words", MASKS_OF[n]).select("seed", "item", F.col("at").alias("item_at"))
+        index = part if index is None else index.unionByName(part)
     offset = (F.col("at") - F.col("item_at")).alias("offset")
     if small:
         # The count of seeds was checked: the index fits every executor, and no text leaves its task.
