@@ -1,10 +1,12 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read as blocks of text, each with the path of block elements from the root to it. All blocks of one path belong
-together: per path the text length and the punctuation are divided by the number of blocks. The two ratios are smoothed over
-the sequence of blocks, fused, and compared with a threshold that the page itself gives. Paths that lead through an element that
-is no article by its name, role or class (menus, footers, forms, comments and so on) have a ratio of 0; paths inside an article
-or main element are measured against the paths there.
+together: per path the length of the text outside links and the punctuation are divided by the number of blocks. The two ratios are
+smoothed over the sequence of blocks, fused, and compared with a threshold that the page itself gives. If article and main elements
+hold most of that text, the paths in them are measured against each other and the others left out. Paths through an element that
+is no article by its name, or is hidden, are left out; so are those through an element with a class, id or role that says so
+(menus, comments and so on), unless it wraps an article or main element, or most of the text of a page without one, or nothing
+else is left.
 
 Defined results: NULL or empty html gives an empty text. Unclosed elements end with their parent, a paragraph ends where the next
 block begins, unfinished tags at the end of the page are ignored. Equal pages give equal texts.
@@ -24,6 +26,8 @@ from monthclose.llm.common import small_batches
 
 #: Weight of punctuation against text length, and the share of the page's mean that a path must reach.
 PUNCTUATION_WEIGHT, SHARE = 0.4, 0.12
+#: The share of the page's text outside links that counts as most of it.
+MOST = 0.5
 
 # Element names by what they mean for the text.
 BLOCKS = frozenset(
@@ -60,36 +64,47 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
-def _is_no_article(name: str, attributes: str) -> bool:
+def _is_no_article(name: str, attributes: str) -> int:
+    """2 by its name or hidden, 1 by a word of its class, id or role, 0 otherwise."""
     if name in NOT_TEXT:
-        return True
+        return 2
     if not _HAS_LABEL.search(attributes) or name in ("html", "body"):
-        return False
+        return 0
+    by_word = 0
     for key, *values in _LABEL.findall(attributes):
         value, key = "".join(values), key.lower()
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return 2
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
+                return 2
         elif NOT_ARTICLE & set(_WORDS.findall(_CAMEL.sub(" ", value).lower())):
-            return True
-    return False
+            by_word = 1
+    return by_word
 
 
-def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
-    """(path, text, inside an article or main element, through an element that is no article) in page order."""
-    found: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # (name, path, in article, no article)
+def blocks(page: str) -> tuple[list[tuple[str, str, int, bool, bool, tuple[int, ...]]], set[int]]:
+    """The blocks in page order, and the numbers of elements that wrap an article or main element.
+
+    A block is (path, text, length outside links, inside an article or main element, left out for good, the numbers of the elements
+    around it that are no article by a word).
+    """
+    found: list[tuple[str, str, int, bool, bool, tuple[int, ...]]] = []
+    stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []  # (name, path, in article, left out, by a word)
     parts: list[str] = []
+    outside: list[str] = []
+    wrappers: set[int] = set()
+    in_link, count = False, 0
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
+            plain = len(text) if len(outside) == len(parts) else len(" ".join(html.unescape("".join(outside)).split()))
             parts.clear()
+            outside.clear()
             if text:
-                _, path, inside, no = stack[-1] if stack else ("", "", False, False)
-                found.append((path, text, inside, no))
+                _, path, inside, no, named = stack[-1] if stack else ("", "", False, False, ())
+                found.append((path, text, plain, inside, no, named))
 
     def close(names: frozenset | set, until: frozenset | set = frozenset()) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -105,10 +120,15 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
         if not name:
             if not raw and not token[0].startswith(("<!", "<?")):
                 parts.append(token[0])
+                if not in_link:
+                    outside.append(token[0])
             continue
         name = name.lower()
+        if name == "a" or slash and name in BLOCKS:  # a link that is not closed ends with its block
+            in_link = not slash
         if name == "br" or name not in BLOCKS and name in VOID:
             parts.append(" " if name == "br" else "")
+            outside.append(parts[-1])
         elif slash:
             if name in BLOCKS or any(name == s[0] for s in stack):
                 flush()
@@ -122,30 +142,50 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
             if name in SIBLINGS:
                 close(SIBLINGS[name], frozenset({"ul", "ol", "dl", "table", "select", "menu"}))
             if name not in VOID:
-                _, path, inside, no = stack[-1] if stack else ("", "", False, False)
+                _, path, inside, no, named = stack[-1] if stack else ("", "", False, False, ())
+                kind = _is_no_article(name, attributes)
+                if kind == 0 and name in ("article", "main"):
+                    wrappers.update(named)
+                elif kind == 1:
+                    count += 1
+                    named = (*named, count)
+                    if name == "main":  # a page has one, whatever its class says
+                        wrappers.update(named)
                 # A header inside the article holds its title; one outside is a page header.
-                no = no or _is_no_article(name, attributes) or name == "header" and not inside
-                stack.append((name, f"{path}/{name}", inside or name in ("article", "main"), no))
+                no = no or kind == 2 or name == "header" and not inside
+                stack.append((name, f"{path}/{name}", inside or name in ("article", "main"), no, named))
     flush()
-    return found
+    return found, wrappers
 
 
 def main_text(page: str | None) -> str:
     """The chosen blocks of a page, one a line."""
-    found = blocks(page or "")
-    if not found:
-        return ""
-    inside = any(b[2] and not b[3] for b in found)
-    able = np.array([not no and (here or not inside) for _, _, here, no in found])
+    found, wrappers = blocks(page or "")
+    lengths = np.array([0 if no else plain for _, _, plain, _, no, _ in found], float)
+    sizes: dict[int, float] = {}
+    for length, block in zip(lengths, found, strict=True):
+        for element in block[5]:
+            sizes[element] = sizes.get(element, 0) + length
+    most = MOST * lengths.sum()
+    # An article elsewhere, through no such element or only through wrappers, makes the word count whatever the size.
+    marked = any(inside and length and wrappers.issuperset(named)
+                 for length, (*_, inside, _, named) in zip(lengths, found, strict=True))
+    cut = {element for element, size in sizes.items() if element not in wrappers and (marked or size <= most)}
+    able = np.array([not no and cut.isdisjoint(named) for *_, no, named in found], bool)
+    if not able.any():  # what is hidden or no article by its name stays out
+        able = np.array([not no for *_, no, _ in found], bool)
     if not able.any():
         return ""
+    here = able & np.array([block[3] for block in found], bool)
+    if here.any() and lengths[here].sum() >= MOST * lengths[able].sum():
+        able = here
     groups: dict[str, list[int]] = {}
-    for k, (path, _, _, _) in enumerate(found):
+    for k, block in enumerate(found):
         if able[k]:
-            groups.setdefault(path, []).append(k)
+            groups.setdefault(block[0], []).append(k)
     text, marks = np.zeros(len(found)), np.zeros(len(found))
     for rows in groups.values():
-        text[rows] = sum(len(found[k][1]) for k in rows) / len(rows)
+        text[rows] = sum(found[k][2] for k in rows) / len(rows)
         marks[rows] = sum(len(_PUNCTUATION.findall(found[k][1])) for k in rows) / len(rows)
     ratios = []
     for values in (text, marks):
@@ -153,14 +193,14 @@ def main_text(page: str | None) -> str:
         smooth = 0.25 * padded[:-2] + 0.5 * padded[1:-1] + 0.25 * padded[2:]
         ratios.append(smooth / max(smooth[able].mean(), 1e-9))
     fused = (1 - PUNCTUATION_WEIGHT) * ratios[0] + PUNCTUATION_WEIGHT * ratios[1]
-    # The decision is one per path, so that a short paragraph goes with the long ones of its path. What an author marked
-    # as the article, and every heading with a kept path beside it, needs no threshold.
+    # The decision is one per path, so that a short paragraph goes with the long ones of its path. A heading with a kept path
+    # beside it needs no threshold.
     keep = {path for path, rows in groups.items()
-            if inside or float(np.max(fused[rows])) >= SHARE + 0.5 * float(fused[able].mean())}
+            if text[rows[0]] > 0 and float(np.mean(fused[rows])) >= SHARE + 0.5 * float(fused[able].mean())} or set(groups)
     parents = {path.rpartition("/")[0] for path in keep}
     return "\n".join(
-        t for k, (path, t, _, _) in enumerate(found)
-        if able[k] and (path in keep or path.rpartition("/")[2] in HEADINGS and path.rpartition("/")[0] in parents))
+        block[1] for k, block in enumerate(found)
+        if able[k] and (block[0] in keep or block[0].rpartition("/")[2] in HEADINGS and block[0].rpartition("/")[0] in parents))
 
 
 def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:

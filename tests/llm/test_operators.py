@@ -241,6 +241,22 @@ def test_pages(spark):
         (1, 36), (2, 0)]
 
 
+def test_pages_by_ratios_and_wrappers():
+    prose = [f"{words(k, 40)}, and {words(k + 50, 20)}." for k in range(4)]
+    said, told = "".join(f"<p>{t}</p>" for t in prose), "\n".join(prose)
+    links = "<ul>" + "".join(f"<li><a href='/{k}'>{words(k, 3)}</a></li>" for k in range(8)) + "</ul>"
+    for name in ("article", "main", "div"):
+        assert htmltext.main_text(f"<body><{name}>{said}{links}</{name}></body>") == told
+        assert htmltext.main_text(f"<body>{links}<{name}><h1>T</h1>{said}</{name}>{links}</body>") == f"T\n{told}"
+    listed = "<ul>" + "".join(f"<li>{words(k + 9, 30)}.</li>" for k in range(3)) + "</ul>"
+    assert len(htmltext.main_text(f"<article>{said}{listed}</article>").split("\n")) == 7
+    for start, end in (("<div class='content-sidebar-wrap'><article>", "</article></div>"), ("<main class=header-fixed>", "</main>"),
+                       ("<article class='post category-legal'>", "</article>"), ("<div class='layout has-sidebar'>", "</div>")):
+        side = "<div class=sidebar><p>Side, by side.</p></div>"
+        assert htmltext.main_text(f"<body>{start}{said}{end}{side}</body>") == told
+    assert htmltext.main_text("<div class=search><p>All that is left.</p></div>") == "All that is left."
+
+
 # -- packing, chat -----------------------------------------------------------------------------
 
 
