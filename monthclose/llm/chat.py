@@ -8,18 +8,19 @@ Template: ``<s>`` and the turns. ``[SYS] t [/SYS]``, ``[INST] t [/INST]`` and ``
 assistant's turns, ``[TURN] role [TEXT] t [/TURN]`` any other's. Inside a text every backslash is doubled and every control
 string gets a backslash after its first character, which can be undone exactly.
 
-A conversation is worked on in chunks of turn numbers, so that a very long one is many small groups; the system turn goes along to
-each chunk, history does not cross from one to the next. Defined results: a NULL text is empty, a NULL role is the empty role; rows are
+Turns are numbered by their rank in the conversation: ranks and sums of tokens within chunks of turn numbers first, then the offsets
+of the chunks. Spans are chosen from these numbers alone, one row per conversation, and the texts are joined to them, so that
+neither chunks nor gaps in the turn numbers show. Defined results: a NULL text is empty, a NULL role is the empty role; rows are
 ordered by turn (NULL first), then role, then text, and repeated rows are turns of their own; a NULL conv_id is a conversation
 like any other. A turn longer than the budget has a window of its own. Tokens are counted as stretches between white space.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Tokens of a window, turns and tokens of repeated history, turn numbers of one chunk.
+#: Tokens of a window, turns and tokens of repeated history, turn numbers that are ranked together.
 BUDGET, HISTORY_TURNS, HISTORY_TOKENS, CHUNK = 512, 2, 128, 128
 
 # The control strings of the template.
@@ -46,68 +47,70 @@ def _by_role(role: Column, values: dict[str, str], other: Column) -> Column:
 
 
 def turns(rows: DataFrame) -> DataFrame:
-    """Rows with their place, rendered parts and tokens; system turns go along to the later chunks."""
+    """Rows with their rank ``i`` from 1, rendered parts, tokens, and ``sums``, the tokens up to and with them."""
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
     own = rows.select(
-        "conv_id", F.floor(F.coalesce("turn", F.lit(-(1 << 62))) / CHUNK).alias("chunk"), F.lit(1).alias("place"), "turn",
-        role.alias("role"), text.alias("text"))
-    first = own.where("role = 'system'").groupBy("conv_id").agg(
-        F.min(F.struct("chunk", "turn", "role", "text")).alias("s"))
-    chunks = own.select("conv_id", "chunk").distinct()
-    carried = (
-        chunks.join(first.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")))
-        .where("chunk > s.chunk").select("conv_id", "chunk", F.lit(0).alias("place"), "s.turn", "s.role", "s.text"))
-    both = own.unionByName(carried)
-    return both.withColumns({
-        "head": _by_role(F.col("role"), HEADS, F.concat(F.lit(OTHER_HEAD), escaped(F.col("role")), F.lit(OTHER_TEXT))),
-        "body": escaped(F.col("text")),
-        "tail": _by_role(F.col("role"), TAILS, F.lit(OTHER_TAIL)),
-        "tokens": F.regexp_count("text", F.lit(r"\S+")) + 2,
-    })
+        "conv_id", F.floor(F.coalesce("turn", F.lit(-(1 << 62))) / CHUNK).alias("chunk"), "turn",
+        role.alias("role"), text.alias("text")).withColumn("tokens", F.regexp_count("text", F.lit(r"\S+")) + 2)
+    order = Window.partitionBy("conv_id", "chunk").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = own.withColumns({"rank": F.row_number().over(order), "sum": F.sum("tokens").over(upto)})
+    # Numbers of whole chunks, without texts.
+    before = Window.partitionBy("c").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = own.groupBy(F.col("conv_id").alias("c"), F.col("chunk").alias("k")).agg(
+        F.count("*").alias("n"), F.sum("tokens").alias("t")).select(
+        "c", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t"))
+    placed = ranked.join(offsets, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("chunk") == F.col("k")))
+    return placed.select(
+        "conv_id", (F.col("n") + F.col("rank")).cast("int").alias("i"), "role", "text", "tokens",
+        (F.col("t") + F.col("sum")).alias("sums"),
+        _by_role(F.col("role"), HEADS, F.concat(F.lit(OTHER_HEAD), escaped(F.col("role")), F.lit(OTHER_TEXT))).alias("head"),
+        escaped(F.col("text")).alias("body"), _by_role(F.col("role"), TAILS, F.lit(OTHER_TAIL)).alias("tail"))
 
 
 def windows(rows: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
             history_tokens: int = HISTORY_TOKENS) -> DataFrame:
-    """(conv_id, chunk, window, formatted, new_at, loss): ``new_at`` is where the repeated part ends, ``loss`` the masked-in spans.
+    """(conv_id, window, formatted, new_at, loss): ``new_at`` is where the repeated part ends, ``loss`` the masked-in spans.
 
     Positions are code points from 0, ends exclusive.
     """
-    grouped = turns(rows).groupBy("conv_id", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("place", "turn", "role", "text", "head", "body", "tail", "tokens"))).alias("all"))
-    # 1-based places: the system turn of the chunk (0: none), and where its own turns begin.
-    grouped = grouped.withColumns({
-        "system": F.when(F.col("all")[0]["place"] == 0, F.lit(1)).otherwise(
-            F.array_position(F.transform("all", lambda t: t["role"]), "system").cast("int")),
-        "first": F.when(F.col("all")[0]["place"] == 0, F.lit(2)).otherwise(F.lit(1)),
-    })
-    # Prefix sums: sums[k] is the number of tokens of the first k turns.
-    grouped = grouped.withColumn("sums", F.aggregate(
-        F.transform("all", lambda t: t["tokens"]), F.array(F.lit(0)),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))))
+    numbered = turns(rows)
+    grouped = numbered.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("i", "tokens", "sums"))).alias("all"),
+        F.coalesce(F.min(F.when(F.col("role") == "system", F.col("i"))), F.lit(0)).alias("system"))
+    fresh = f"""
+        element_at(filter(transform(
+          sequence(greatest(1, i - {history_turns}), i),
+          h -> named_struct('start', i, 'since', h, 'used',
+                 IF(system > 0 AND system < h, all[system - 1].tokens, 0) + all[i - 1].sums - all[h - 1].sums + all[h - 1].tokens)),
+          w -> w.since = i OR (w.used <= {budget} AND all[i - 1].sums - all[i - 1].tokens
+                                 - all[w.since - 1].sums + all[w.since - 1].tokens <= {history_tokens})), 1)"""
+    span = "struct<start:int,since:int,used:bigint>"
+    # The finished windows, and the one that is open.
     starts = F.expr(f"""
         aggregate(
-          sequence(first, size(all)),
-          cast(array() as array<struct<start int, since int, used int>>),
+          sequence(1, size(all)),
+          cast(named_struct('done', array(), 'open', null) as struct<done:array<{span}>,open:{span}>),
           (acc, i) -> CASE
-            WHEN size(acc) > 0 AND element_at(acc, -1).used + all[i - 1].tokens <= {budget}
-            THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start,
-                   'since', element_at(acc, -1).since, 'used', element_at(acc, -1).used + all[i - 1].tokens)))
-            ELSE concat(acc, array(element_at(filter(transform(
-                   sequence(greatest(first, i - {history_turns}), i),
-                   h -> named_struct('start', i, 'since', h, 'used',
-                          IF(system > 0 AND system < h, all[system - 1].tokens, 0) + sums[i] - sums[h - 1])),
-                   w -> w.since = i OR (w.used <= {budget} AND sums[i - 1] - sums[w.since - 1] <= {history_tokens})), 1)))
-          END)""")
-    placed = grouped.withColumn("starts", starts).select(
-        "conv_id", "chunk", "all", "system", F.posexplode("starts").alias("window", "w"),
-        F.col("starts").alias("starts"))
-    until = F.coalesce(F.get("starts", F.col("window") + 1)["start"], F.size("all") + 1)
-    new = F.slice("all", F.col("w.start"), until - F.col("w.start"))
-    repeated = F.concat(
-        F.when((F.col("system") > 0) & (F.col("system") < F.col("w.since")), F.slice("all", F.col("system"), F.lit(1)))
-        .otherwise(F.slice("all", 1, 0)),
-        F.slice("all", F.col("w.since"), F.col("w.start") - F.col("w.since")))
-    parts = placed.select("conv_id", "chunk", "window", new.alias("new"), repeated.alias("repeated"))
+            WHEN acc.open.used + all[i - 1].tokens <= {budget}
+            THEN named_struct('done', acc.done, 'open', cast(named_struct('start', acc.open.start, 'since', acc.open.since,
+                                'used', acc.open.used + all[i - 1].tokens) as {span}))
+            ELSE named_struct('done', IF(acc.open IS NULL, acc.done, concat(acc.done, array(acc.open))),
+                              'open', cast({fresh} as {span}))
+          END,
+          acc -> concat(acc.done, array(acc.open)))""")
+    spans = grouped.withColumn("starts", starts).select(
+        F.col("conv_id").alias("c"), "system", F.size("all").alias("n"), "starts", F.posexplode("starts").alias("window", "w"))
+    until = F.coalesce(F.get("starts", F.col("window") + 1)["start"], F.col("n") + 1)
+    places = F.sequence(F.col("w.since"), until - 1)
+    places = F.when((F.col("system") > 0) & (F.col("system") < F.col("w.since")), F.concat(F.array("system"), places)).otherwise(places)
+    placed = spans.select("c", "window", F.col("w.start").alias("start"), F.explode(places).alias("place"))
+    joined = numbered.join(placed, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("i") == F.col("place")))
+    parts = joined.groupBy("conv_id", "window").agg(
+        F.max("start").alias("start"), F.array_sort(F.collect_list(F.struct("i", "role", "head", "body", "tail"))).alias("all"))
+    parts = parts.select(
+        "conv_id", "window", F.expr("filter(all, t -> t.i >= start)").alias("new"),
+        F.expr("filter(all, t -> t.i < start)").alias("repeated"))
 
     def whole(column: str) -> Column:
         return F.array_join(F.transform(column, lambda t: F.concat(t["head"], t["body"], t["tail"])), "")
@@ -124,11 +127,11 @@ def windows(rows: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_
                 acc.spans)),
           acc -> acc.spans)""")
     return parts.select(
-        "conv_id", "chunk", "window", F.concat("before", whole("new")).alias("formatted"), "new_at", loss.alias("loss"))
+        "conv_id", "window", F.concat("before", whole("new")).alias("formatted"), "new_at", loss.alias("loss"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """(conv_id, chunk, window, turns, loss_text): role and text of the span's turns, and the text under the mask, unescaped."""
+    """(conv_id, window, turns, loss_text): role and text of the span's turns, and the text under the mask, unescaped."""
     text = F.col("formatted").substr(F.col("new_at") + 1, F.length("formatted"))
     parts = F.filter(F.split(text, _AFTER_TURN), lambda t: t != "")
 
@@ -145,18 +148,18 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     masked = F.transform("loss", lambda r: unescaped(F.col("formatted").substr(r["start"] + 1, r["end"] - r["start"])))
     return formatted.select(
-        "conv_id", "chunk", "window", F.transform(parts, turn).alias("turns"), F.array_join(masked, "").alias("loss_text"),
+        "conv_id", "window", F.transform(parts, turn).alias("turns"), F.array_join(masked, "").alias("loss_text"),
         F.length("formatted").alias("chars"))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """One row per conversation, all of it read back from the formatted windows."""
     pieces = read_back(formatted).select(
-        "conv_id", "chunk", "window", "chars", "loss_text", F.size("turns").alias("n"),
+        "conv_id", "window", "chars", "loss_text", F.size("turns").alias("n"),
         F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("said"))
     grouped = pieces.groupBy("conv_id").agg(
         F.sum("n").cast("long").alias("n_turns"), F.sum("chars").cast("long").alias("formatted_chars"),
-        F.array_sort(F.collect_list(F.struct("chunk", "window", "said", "loss_text"))).alias("w"))
+        F.array_sort(F.collect_list(F.struct("window", "said", "loss_text"))).alias("w"))
     said = F.array_join(F.transform("w", lambda x: x["said"]), "")
     lost = F.array_join(F.transform("w", lambda x: x["loss_text"]), "")
     return grouped.select(

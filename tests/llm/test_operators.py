@@ -322,6 +322,31 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.windows(frame.limit(0))).collect() == []
 
 
+def test_chat_windows_do_not_depend_on_turn_numbers(spark):
+    r = random.Random(4)
+    said = [("system" if k == 3 else ("user", "assistant")[k % 2], words(k, r.choice([1, 20, 60, 200]))) for k in range(300)]
+    numbers = {1: 1, 2: 1000, 3: 86_400_000}
+    rows = [(c, k * step, role, text) for c, step in numbers.items() for k, (role, text) in enumerate(said)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = defaultdict(list)
+    for x in chat.windows(frame).orderBy("conv_id", "window").collect():
+        got[x.conv_id].append(x.formatted)
+    tokens = [len(text.split()) + 2 for _, text in said]
+    expected = []
+    for k in range(300):
+        if expected and used + tokens[k] <= chat.BUDGET:
+            used += tokens[k]
+        else:
+            for since in range(max(0, k - chat.HISTORY_TURNS), k + 1):
+                used = sum(tokens[since : k + 1]) + (tokens[3] if since > 3 else 0)
+                if since == k or used <= chat.BUDGET and sum(tokens[since:k]) <= chat.HISTORY_TOKENS:
+                    break
+            expected.append([3] * (since > 3) + list(range(since, k)))
+        expected[-1].append(k)
+    told = ["<s>" + "".join(chat.HEADS[said[k][0]] + said[k][1] + chat.TAILS[said[k][0]] for k in window) for window in expected]
+    assert all(got[c] == told for c in numbers)
+
+
 # -- learned operators -------------------------------------------------------------------------
 
 
