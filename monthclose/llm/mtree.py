@@ -199,10 +199,12 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_i
     width, limit, n_queries = totals[0] or 0, totals[1] or 0.0, totals[2] or 0
     if limit >= 2**52:
         raise ValueError("vectors are too long for exact products in doubles")
-    # Equal vectors are one object; more than k + 1 of its ids cannot be in an answer. The limit is applied before the shuffle.
-    order = Window.partitionBy("v").orderBy("id")
+    # Equal vectors are one object; of its ids the smallest k + 1 can be in an answer, and k rows of each: the query's own id is
+    # left out with all its rows. The limits are applied before the shuffle.
+    order, same = Window.partitionBy("v").orderBy("id"), Window.partitionBy("v", "id").orderBy("id")
     objects = stored(
-        able.select("id", "v").withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
+        able.select("id", "v").withColumn("r", F.row_number().over(same)).where(F.col("r") <= k)
+        .withColumn("r", F.dense_rank().over(order)).where(F.col("r") <= k + 1)
         .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "objects")
     count = objects.count()
     shards = min(MOST_SHARDS, max(1, math.ceil(count / SHARD)))

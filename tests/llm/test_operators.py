@@ -134,6 +134,12 @@ def test_top_k_against_brute_force(spark):
     assert mtree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).collect() == []
 
 
+def test_top_k_of_a_repeated_query(spark):
+    rows = [(100, [1.0, 0.5])] * 15 + [(201, [1.0, 0.5])] * 3 + [(k, [0.1 * (k - 300), 0.0]) for k in range(301, 309)]
+    got = mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 100)
+    assert [x.vec_id for x in got.orderBy("rank").collect()] == [201, 201, 201, 308, 307, 306, 305, 304, 303, 302]
+
+
 def test_tree_bounds():
     r = np.random.default_rng(1)
     points = (r.normal(0, 1, (3000, 3)) * 100).round()
