@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthclose.llm import chat, decontam, htmltext, langid, lmscore, mtree, neardup, packing, secrets, toxicity
+from monthclose.llm import chat, decontam, htmltext, langid, lmscore, merkle, mtree, neardup, packing, secrets, toxicity
 from monthclose.llm.common import documents, remainder, small_batches
 
 
@@ -77,6 +77,13 @@ def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.windows(own.unionByName(extra)))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third document by the checksum of its id is held against the manifest with its text in lower case."""
+    own = F.col("doc_id").isNotNull() & (remainder("doc_id", 3) == 0)
+    claimed = F.when(own, merkle.leaf(instead={"text": merkle.lowered(F.col("text"))}))
+    return merkle.verified(merkle.manifest(merkle.leaves(documents(spark, sf), claimed=claimed)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -96,4 +104,5 @@ ORACLE: dict[str, str] = {
     "op5_decontamination": decontam.sql(),
     "op10_chat_formatting": chat.sql(
         "VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')"),
+    "op13_merkle_manifest": merkle.sql(),
 }
