@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthclose.llm import chat, decontam, htmltext, langid, lmscore, merkle, mtree, neardup, packing, secrets, toxicity
+from monthclose.llm import chat, decontam, htmltext, langid, lmscore, merkle, mtree, neardup, packing, phrases, secrets, toxicity
 from monthclose.llm.common import documents, remainder, small_batches
 
 
@@ -77,6 +77,10 @@ def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.windows(own.unionByName(extra)))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf)).drop("id", "word")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Every third document by the checksum of its id is held against the manifest with its text in lower case."""
     own = F.col("doc_id").isNotNull() & (remainder("doc_id", 3) == 0)
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -104,5 +109,6 @@ ORACLE: dict[str, str] = {
     "op5_decontamination": decontam.sql(),
     "op10_chat_formatting": chat.sql(
         "VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')"),
+    "op11_phrase_collocations": phrases.sql(),
     "op13_merkle_manifest": merkle.sql(),
 }
