@@ -8,13 +8,13 @@ Rabin-Karp fingerprint of any stretch of words by one subtraction. Three reading
    than its parts). What is frequent reaches the tasks as a Bloom filter of bounded size, so its false positives only cost time;
 3. stretches whose fingerprint may be frequent are grouped by fingerprint in their block, each group with a pointer to its
    first occurrence. All others are compared with the text there, byte by byte, so that collisions come apart, and only then are
-   phrases made of them, whose counts are added up exactly, by their text, along with the pointer to the first place of all.
+   phrases made of them, whose counts are added up exactly, by their text, along with the first document that has them.
 
 All that follows (cuts, scores, longer phrases, the best of each language) is on the frequent phrases alone.
 
 Defined results: A NULL text has no words; a NULL language is ``und``. Texts of any length are read whole, in blocks that
 overlap by three words where a piece is cut; a block is at least as long as its longest word. Repeated rows count each for itself.
-An empty table gives no rows. Of documents that share an id the pointer names the id. Columns that are not named take no part.
+An empty table gives no rows. Columns that are not named take no part.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ BLOCK = 2 << 20
 MODULI = ((2_147_483_647, 1_000_003), (2_147_483_629, 911_382_323))
 #: Bits of a Bloom filter per key, at most so many bits altogether (32 MB).
 KEY_BITS, MOST_BITS = 16, 1 << 28
+#: Scores (0 to a million) are counted by ranges of this size.
+BAND = 1000
 #: Parts in which a language's candidates are ranked before the best of them meet.
 SALTS = 32
 
@@ -114,8 +116,6 @@ class Block:
         first = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
         place = np.searchsorted(first, starts, "right") - 1
         self.row = np.asarray(rows, np.int64)[place]
-        #: Number of each word within its text (in this block).
-        self.number = np.arange(len(starts)) - np.searchsorted(starts, first)[place]
         keep = inside.copy()
         keep[ends] = True
         self.bytes = np.where(inside, _LOWER[raw], np.uint8(32))[keep]
@@ -186,30 +186,26 @@ def bloom(keys: DataFrame) -> Bloom:
     return Bloom(words)
 
 
-def _blocks(batch: pa.RecordBatch, langs: list[str], moduli, block: int) -> Iterator[tuple[Block, np.ndarray]]:
-    """Blocks of a batch (lang, text, ...), each with the words of its texts that earlier blocks held."""
+def _blocks(batch: pa.RecordBatch, langs: list[str], moduli, block: int) -> Iterator[Block]:
+    """Blocks of a batch (lang, text, ...)."""
     texts = batch.column(1).cast(pa.binary()).to_pylist()
     salts = np.array([zlib.crc32(x.encode()) * 0x9E3779B97F4A7C15 & 0x3FFFFFFFFFFFFFFF for x in langs], np.uint64)
-    zero = np.zeros(1, np.int64)
     held, rows, size = [], [], 0
     for k, text in enumerate(texts):
         if not text:
             continue
         if len(text) > block:
-            before = 0
             for part, carry in long_text_blocks(text, block):
-                found = Block([part], [k], salts, carry, moduli)
-                yield found, zero + before - carry
-                before += len(found.start) - carry
+                yield Block([part], [k], salts, carry, moduli)
             continue
         held.append(text)
         rows.append(k)
         size += len(text) + 1
         if size >= block:
-            yield Block(held, rows, salts, 0, moduli), zero
+            yield Block(held, rows, salts, 0, moduli)
             held, rows, size = [], [], 0
     if held:
-        yield Block(held, rows, salts, 0, moduli), zero
+        yield Block(held, rows, salts, 0, moduli)
 
 
 def _counts(texts: DataFrame, chosen, least: int, moduli, block: int) -> DataFrame:
@@ -217,7 +213,7 @@ def _counts(texts: DataFrame, chosen, least: int, moduli, block: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for found, _ in _blocks(batch, batch.column(0).to_pylist(), moduli, block):
+            for found in _blocks(batch, batch.column(0).to_pylist(), moduli, block):
                 key, n = np.unique(np.concatenate([*chosen(found)]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
@@ -242,8 +238,8 @@ def _equal(block: Block, length: np.ndarray, start: np.ndarray, other: np.ndarra
     return same
 
 
-def _phrases(block: Block, at: np.ndarray, n: int, lang: np.ndarray, ids: np.ndarray, words_before: int):
-    """(first word, count, id, word) of each different phrase among the stretches: groups by fingerprint, verified against the text."""
+def _phrases(block: Block, at: np.ndarray, n: int, lang: np.ndarray, ids: np.ndarray):
+    """(first word, count, smallest id) of each different phrase among the stretches: groups by fingerprint, verified against the text."""
     if not len(at):
         return
     key = block.prints(at, n)
@@ -258,11 +254,7 @@ def _phrases(block: Block, at: np.ndarray, n: int, lang: np.ndarray, ids: np.nda
         same[same] = _equal(block, length[same], start[same], other[same])
         kept = at[same]  # those that a collision mixed in go round again
         group = np.flatnonzero(np.concatenate([[True], key[same][1:] != key[same][:-1]]))
-        owner = ids[block.row[kept]]
-        least = np.minimum.reduceat(owner, group)
-        count = np.diff(np.append(group, len(kept)))
-        number = np.where(owner == np.repeat(least, count), block.number[kept] + words_before, np.iinfo(np.int64).max)
-        yield kept[group], count, least, np.minimum.reduceat(number, group)
+        yield kept[group], np.diff(np.append(group, len(kept))), np.minimum.reduceat(ids[block.row[kept]], group)
         at, key = at[~same], key[~same]
 
 
@@ -270,10 +262,9 @@ def frequent_phrases(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
     moduli=MODULI, block: int = BLOCK,
 ) -> DataFrame:
-    """(lang, n, phrase, f, id, word): all phrases of one to four words that occur ``least`` times, with their first place.
+    """(lang, n, phrase, f, id): all phrases of one to four words that occur ``least`` times; ``id`` is the first document that has them.
 
-    A row of no words per language has the number of all its words. The place is the smallest id and the number of the phrase's first
-    word there. ``moduli`` and ``block`` have no influence on the result.
+    A row of no words per language has the number of all its words. ``moduli`` and ``block`` have no influence on the result.
     """
     texts = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"),
@@ -299,40 +290,39 @@ def frequent_phrases(
 
     longs = _counts(texts, longer, least, moduli, block)
     long = sc.broadcast(bloom(longs))
-    names = ["lang", "n", "phrase", "f", "id", "word"]
+    names = ["lang", "n", "phrase", "f", "id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).to_pylist()
             lang = np.unique(langs, return_inverse=True)[1]
             ids = batch.column(2).fill_null(np.iinfo(np.int64).max).to_numpy()
-            for b, before in _blocks(batch, langs, moduli, block):
+            for b in _blocks(batch, langs, moduli, block):
                 new = np.bincount(lang[b.row[b.carry :]], minlength=lang.max() + 1)
-                rows = {"lang": [], "n": [], "phrase": [], "f": [], "id": [], "word": []}
+                rows = {name: [] for name in names}
                 some = {code: k for k, code in enumerate(lang)}
                 for code in np.flatnonzero(new):
-                    for name, value in zip(names, (langs[some[code]], 0, "", int(new[code]), None, None), strict=True):
+                    for name, value in zip(names, (langs[some[code]], 0, "", int(new[code]), None), strict=True):
                         rows[name].append(value)
                 text = b.bytes.tobytes()
                 for n in range(1, LONGEST + 1):
                     at = b.stretches(n)
                     at = at[(short if n < 3 else long).value.holds(b.prints(at, n))]
-                    for first, count, owner, number in _phrases(b, at, n, lang, ids, int(before[0])):
+                    for first, count, owner in _phrases(b, at, n, lang, ids):
                         begin, end = b.start[first].tolist(), b.end[first + n - 1].tolist()
                         rows["phrase"] += [text[s:e].decode() for s, e in zip(begin, end, strict=True)]
                         rows["lang"] += [langs[k] for k in b.row[first].tolist()]
                         rows["n"] += [n] * len(first)
                         rows["f"] += count.tolist()
                         rows["id"] += owner.tolist()
-                        rows["word"] += number.tolist()
-                kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+                kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in zip(names, kinds, strict=True)], names=names)
 
-    found = texts.mapInArrow(run, "lang string, n int, phrase string, f long, id long, word long")
-    summed = found.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"), F.min(F.struct("id", "word")).alias("first"))
-    unknown = F.col("first.id") == np.iinfo(np.int64).max
+    found = texts.mapInArrow(run, "lang string, n int, phrase string, f long, id long")
+    summed = found.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"), F.min("id").alias("id"))
+    known = F.col("id") != np.iinfo(np.int64).max
     return stored(summed.where((F.col("f") >= least) | (F.col("n") == 0)).select(
-        "lang", "n", "phrase", "f", F.when(~unknown, F.col("first.id")).alias("id"), F.col("first.word").alias("word")), "phrases")
+        "lang", "n", "phrase", "f", F.when(known, F.col("id")).alias("id")), "phrases")
 
 
 def _exact(column: str):
@@ -340,7 +330,7 @@ def _exact(column: str):
 
 
 def collocations(frequent: DataFrame, least: int = LEAST, share: int = SHARE) -> DataFrame:
-    """(lang, phrase, a, l, r, score, id, word) of the candidates that no longer candidate covers, at their lowest-scoring cut.
+    """(lang, phrase, a, l, r, score, id) of the candidates that no longer candidate covers, at their lowest-scoring cut.
 
     ``frequent`` is the stored table of frequent phrases. Keys that many candidates share (a common first word) are split by Spark's
     skew handling, as the table has one row of each.
@@ -349,12 +339,12 @@ def collocations(frequent: DataFrame, least: int = LEAST, share: int = SHARE) ->
     candidates = frequent.where(f"n > 1 AND f >= {least}").withColumn("words", F.split("phrase", " "))
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n") - 1)))
     part = lambda begin, length: F.concat_ws(" ", F.slice("words", begin, length))
-    cuts = cuts.select("lang", "phrase", F.col("f").alias("a"), "id", "word", "k", part(F.lit(1), F.col("k")).alias("head"),
+    cuts = cuts.select("lang", "phrase", F.col("f").alias("a"), "id", "k", part(F.lit(1), F.col("k")).alias("head"),
                        part(F.col("k") + 1, F.col("n") - F.col("k")).alias("tail"))
     cuts = cuts.join(table.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), ["lang", "head"])
     cuts = cuts.join(table.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r")), ["lang", "tail"])
     score = F.call_function("div", F.lit(2_000_000).cast("decimal(7,0)") * _exact("a"), _exact("l") + _exact("r"))
-    lowest = cuts.withColumn("score", score).groupBy("lang", "phrase", "a", "id", "word").agg(
+    lowest = cuts.withColumn("score", score).groupBy("lang", "phrase", "a", "id").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     inside = candidates.where("n > 2").withColumn("m", F.explode(F.sequence(F.lit(2), F.col("n") - 1))).withColumn(
         "from", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("m") + 1)))
@@ -362,23 +352,29 @@ def collocations(frequent: DataFrame, least: int = LEAST, share: int = SHARE) ->
         F.max("f").alias("longer"))
     covers = F.lit(100).cast("decimal(3,0)") * _exact("longer") >= F.lit(share).cast("decimal(3,0)") * _exact("a")
     return lowest.join(covered, ["lang", "phrase"], "left").where(F.col("longer").isNull() | ~covers).select(
-        "lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"), "id", "word")
+        "lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"), "id")
 
 
 def best(found: DataFrame, frequent: DataFrame, top: int = TOP) -> DataFrame:
-    """The ``top`` of each language, ranked, with n, the number of its words. Parts of a language are ranked first."""
+    """The ``top`` of each language, ranked, with n, the number of its words.
+
+    Scores below those of the best ``top`` are found from counts by ranges of scores; the rest is ranked in parts, and then at once.
+    """
+    found = stored(found.withColumn("band", F.floor(F.col("score") / BAND)), "collocations")
+    bands = found.groupBy("lang", "band").count()  # at most 1001 rows for a language
+    above = F.sum("count").over(Window.partitionBy("lang").orderBy(F.col("band").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    needed = bands.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < top).select("lang", "band")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    salted = found.join(needed, ["lang", "band"], "left_semi").withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     parts = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
     ranked = parts.where(F.col("rank") <= top).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     words = frequent.where("n = 0").select("lang", F.col("f").alias("n"))
-    return ranked.join(words, "lang").select(
-        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "id", "word")
+    return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "id")
 
 
 def mine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, rank, phrase, a, l, r, n, score, id, word): the best phrases of each language, and where each occurs first."""
+    """(lang, rank, phrase, a, l, r, n, score, id): the best phrases of each language, and the first document that has each."""
     frequent = frequent_phrases(docs, id_col, text_col, lang_col)
     return best(collocations(frequent), frequent)
 

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthclose.llm import chat, decontam, htmltext, langid, lmscore, merkle, mtree, neardup, packing, phrases, secrets, toxicity
+from monthclose.llm import chat, decontam, htmltext, langid, lmscore, merkle, mtree, neardup, packing, phrases, rangecoder, secrets, toxicity
 from monthclose.llm.common import documents, remainder, small_batches
+from monthclose.sources.files import work_dir
 
 
 def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +79,16 @@ def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
-    return phrases.mine(documents(spark, sf)).drop("id", "word")
+    return phrases.mine(documents(spark, sf)).drop("id")
+
+
+def op12_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The files go to the shared work folder."""
+    import public_tokenizers
+
+    path = f"{work_dir(spark, 'tokens')}/t"
+    rangecoder.write(documents(spark, sf), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return rangecoder.read(spark, path)
 
 
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_token_files": op12_token_files,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 

@@ -1,14 +1,15 @@
 """Token ids in compressed files: a range coder driven by mixed predictions of order 0 to 2.
 
 Documents are dealt by ranges of their id and sorted, become token ids, and each task cuts its stream of ids into segments of at most
-1024 blocks of 4096 ids. A block is coded on its own, with a model that starts afresh, and has a checksum of its ids, so that it can
-be read alone and a broken one is found. The blocks of a segment are coded side by side: each numpy operation does one step of all
-of them.
+4096 blocks of 2048 ids. A block is coded on its own, with a model that starts afresh, and has a checksum of its ids, so that it can
+be read alone (with the segment's header) and a broken one is found. The blocks of a segment are coded side by side: each numpy
+operation does one step of all of them.
 
 A step predicts the next id from the one before (order 1) and the two before (order 2), each with a confidence that grows when it
-was right. The symbol coded is: the order-2 id, the order-1 id, or one of 13 ranges of ids. Its distribution is mixed from three
-adaptive ones (order 0: the block alone; order 1 and 2: by their confidence), with weights that follow what each gave to the
-symbols before. Within a range all ids are alike. All arithmetic is on integers, so that every machine decodes the same.
+was right. What is coded is whether the order-2 id comes, or the order-1 id, or neither; the chances are mixed from three
+adaptive distributions (order 0: the block alone; order 1 and 2: by their confidence), with weights that follow what each gave to
+the outcomes before. If neither comes, the id is coded by its order-0 frequency in the segment, which the header holds. All
+arithmetic is on integers, so that every machine decodes the same.
 
 Segments are rows of a Parquet table, in order: part, segment, number of ids, and the image, a byte string with its own header,
 block directory and index of documents. A document may lie in several segments; each knows how many ids, and which checksum, the
@@ -33,108 +34,121 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Ids of a block, and blocks of a segment.
-BLOCK, LANES = 4096, 1024
+BLOCK, LANES = 2048, 4096
 #: Places of a block's order-1 and order-2 tables (a power of two), and the highest confidence.
-PLACES_BITS, SURE = 12, 3
-#: Symbols: order-2 id, order-1 id, and these ranges of ids, each 2 ** bits long.
-RANGES = (0, 32, 64, 128, 256, 512, 768, 1024, 2048, 4096, 8192, 16384, 32768)
-SYMBOLS = 2 + len(RANGES)
-#: One distribution adds up to 2 ** 12, a mixture of weight 8 to 2 ** 15; each symbol keeps at least 4.
-UNIT, WEIGHT_BITS, FLOOR = 1 << 12, 3, 4
-TOTAL_BITS = 15
+PLACES_BITS, SURE = 11, 3
+#: Outcomes: the order-2 id (0), the order-1 id (1), another one (2).
+OTHER = 2
+#: One distribution adds up to 2 ** 12, a mixture of weight 8 to 2 ** 15; order-0 frequencies of ids to 2 ** 16.
+UNIT_BITS, WEIGHT_BITS, ID_BITS = 12, 3, 16
+TOTAL_BITS = UNIT_BITS + WEIGHT_BITS
+UNIT = 1 << UNIT_BITS
 #: Shifts of adaptation: order 0, orders 1 and 2, and the scores of the weights, which are set every fourth step.
 SLOW, FAST, SCORE, EVERY = 5, 4, 4, 4
-#: Stretches of text whose ids a worker remembers.
-REMEMBERED = 500_000
-
-_BITS = np.array([0, 0, *np.log2(np.diff([*RANGES, 65536])).astype(int)], np.uint64)
-_FIRST = np.array([0, 0, *RANGES], np.uint32)
-_SYMBOL = np.repeat(np.arange(2, SYMBOLS, dtype=np.uint8), np.diff([*RANGES, 65536]))
-_START = (np.arange(SYMBOLS + 1) * UNIT // SYMBOLS).astype(np.int16)
-_TARGET = np.array([[FLOOR * i + (i > s) * (UNIT - FLOOR * SYMBOLS) for i in range(SYMBOLS + 1)] for s in range(SYMBOLS)], np.int16)
-_HEAD = struct.Struct("<4sBIIQIQIB")
+#: Stretches of text whose ids a worker remembers, and how many are tokenized at once.
+REMEMBERED, JOINED = 1_000_000, 2000
+
+_HALF, _16 = np.uint32(0xFFFF), np.uint32(16)
+#: One step of confidence, and the highest.
+_ONE, _MOST = np.uint32(1 << 16), np.uint32(SURE << 16)
+#: A distribution is two bounds in one 32-bit number: below the first lies outcome 0, between them 1, from the second on 2.
+_EVEN = np.uint32(UNIT // 3 | 2 * UNIT // 3 << 16)
+
+
+def _steps(shift: int) -> tuple[np.uint32, np.uint32, np.ndarray]:
+    """Shift, mask and addends by outcome of ``bounds - (bounds >> shift) + addend``, which leaves each outcome some room."""
+    top = UNIT >> shift
+    return (np.uint32(shift), np.uint32((0xFFFF >> shift) * 0x10001),
+            np.array([top - 2 | top - 1 << 16, 1 | top - 1 << 16, 1 | 2 << 16], np.uint32))
+
+
+_SLOWLY, _FASTER = _steps(SLOW), _steps(FAST)
+_HEAD = struct.Struct("<4sBIIQIQIBI")
 _MAGIC, _VERSION = b"MCRC", 1
 
+_U48_BIT = np.uint64(1 << 48)
 _U16, _U32, _U48, _LOW32 = np.uint64(16), np.uint64(1 << 32), np.uint64(48), np.uint64((1 << 32) - 1)
 
 
 class _Model:
-    """Predictions of all lanes. ``lanes`` of them are alive; the tables of the others are left behind."""
+    """Predictions of all lanes; lanes that have ended are cut off at the end."""
 
     def __init__(self, lanes: int):
         self.first = np.zeros(lanes << PLACES_BITS, np.uint32)
         self.second = np.zeros(lanes << PLACES_BITS, np.uint32)
-        self.order0 = np.tile(_START, (lanes, 1))
-        self.order1 = np.tile(_START, (lanes * 2 * (SURE + 1), 1))
-        self.order2 = np.tile(_START, (lanes * (SURE + 1), 1))
-        self.scores = np.full((3, lanes), UNIT // SYMBOLS, np.int32)
-        self.weights = np.empty((3, lanes, 1), np.uint16)
+        self.order0 = np.full(lanes, _EVEN)
+        self.order1 = np.full(lanes * 2 * (SURE + 1), _EVEN)
+        self.order2 = np.full(lanes * (SURE + 1), _EVEN)
+        self.scores = np.full((3, lanes), UNIT // 3, np.int32)
         self.before = np.zeros((2, lanes), np.uint32)
         self.time = 0
-        self._weigh()
-        self._lanes(lanes)
-
-    def _lanes(self, lanes: int) -> None:
-        lane = np.arange(lanes)
-        self.table = lane << PLACES_BITS
-        self.row1, self.row2 = lane * (2 * (SURE + 1)), lane * (SURE + 1)
-        self.flat = lane * (SYMBOLS + 1)
+        self.shrink(lanes)
 
     def shrink(self, lanes: int) -> None:
         self.order0, self.scores, self.before = self.order0[:lanes].copy(), self.scores[:, :lanes].copy(), self.before[:, :lanes].copy()
-        self.weights = self.weights[:, :lanes].copy()
-        self._lanes(lanes)
+        lane = np.arange(lanes)
+        self.table, self.row1, self.row2 = lane << PLACES_BITS, lane * (2 * (SURE + 1)), lane * (SURE + 1)
+        self._weigh()
 
     def _weigh(self) -> None:
         total = self.scores.sum(axis=0)
-        for k in (1, 2):
-            self.weights[k, :, 0] = (self.scores[k] << WEIGHT_BITS) // total
-        self.weights[0] = (1 << WEIGHT_BITS) - self.weights[1] - self.weights[2]
+        one, two = ((self.scores[k] << WEIGHT_BITS) // total for k in (1, 2))
+        self.weights = [w.astype(np.uint32) for w in ((1 << WEIGHT_BITS) - one - two, one, two)]
 
-    def predict(self) -> np.ndarray:
-        """Cumulative frequencies of all symbols, lane by lane."""
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """The two bounds of the mixture, lane by lane."""
         one = self.before[0] * np.uint32(0x9E3779B1)
         two = one + self.before[1] * np.uint32(0x85EBCA6B)
         shift = np.uint32(32 - PLACES_BITS)
         self.place1, self.place2 = self.table + (one >> shift), self.table + (two >> shift)
-        self.entry1, self.entry2 = self.first[self.place1], self.second[self.place2]
-        self.sure1, self.sure2 = self.entry1 >> np.uint32(16), self.entry2 >> np.uint32(16)
-        self.id1, self.id2 = self.entry1 & np.uint32(0xFFFF), self.entry2 & np.uint32(0xFFFF)
-        self.at1 = self.row1 + (self.sure1 * 2 + (self.id1 == self.id2))
+        self.entry1, self.entry2 = self.first.take(self.place1), self.second.take(self.place2)
+        self.sure1, self.sure2 = self.entry1 >> _16, self.entry2 >> _16
+        self.id1, self.id2 = self.entry1 & _HALF, self.entry2 & _HALF
+        self.at1 = self.row1 + (self.sure1 + self.sure1 + (self.id1 == self.id2))
         self.at2 = self.row2 + self.sure2
-        self.rows1, self.rows2 = self.order1.take(self.at1, axis=0), self.order2.take(self.at2, axis=0)
-        mixed = self.order0.view(np.uint16) * self.weights[0]
-        mixed += self.rows1.view(np.uint16) * self.weights[1]
-        mixed += self.rows2.view(np.uint16) * self.weights[2]
-        return mixed.ravel()
+        self.bounds1, self.bounds2 = self.order1.take(self.at1), self.order2.take(self.at2)
+        mixed = self.order0 * self.weights[0]
+        mixed += self.bounds1 * self.weights[1]
+        mixed += self.bounds2 * self.weights[2]
+        return mixed & _HALF, mixed >> _16
 
-    def learn(self, ids: np.ndarray, symbol: np.ndarray) -> None:
+    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
         self.time += 1
         if self.time % EVERY == 0:
-            at = self.flat + symbol
-            for k, rows in enumerate((self.order0, self.rows1, self.rows2)):
-                flat = rows.ravel()
-                self.scores[k] += ((flat.take(at + 1).astype(np.int32) - flat.take(at)) - self.scores[k]) >> SCORE
+            for k, bounds in enumerate((self.order0, self.bounds1, self.bounds2)):
+                start, end = _range(bounds & _HALF, bounds >> _16, outcome, np.uint32(UNIT))
+                self.scores[k] += ((end - start).astype(np.int32) - self.scores[k]) >> SCORE
             np.maximum(self.scores, 1, out=self.scores)
             self._weigh()
-        target = _TARGET.take(symbol, axis=0)
-        step = target - self.order0
-        step >>= SLOW
-        self.order0 += step
-        for table, at, rows in ((self.order1, self.at1, self.rows1), (self.order2, self.at2, self.rows2)):
-            step = target - rows
-            step >>= FAST
-            rows += step
-            table[at] = rows
-        one = np.uint32(1 << 16)
-        for table, place, entry, known, sure in (
-            (self.first, self.place1, self.entry1, self.id1, self.sure1), (self.second, self.place2, self.entry2, self.id2, self.sure2)):
-            missed = np.where(sure > 0, entry - one, ids)
-            table[place] = np.where(known == ids, entry + (sure < SURE) * one, missed)
+        shift, mask, addend = _SLOWLY
+        self.order0 += addend.take(outcome) - (self.order0 >> shift & mask)
+        shift, mask, addend = _FASTER
+        addend = addend.take(outcome)
+        self.order1[self.at1] = self.bounds1 + addend - (self.bounds1 >> shift & mask)
+        self.order2[self.at2] = self.bounds2 + addend - (self.bounds2 >> shift & mask)
+        for table, place, entry, known in (
+            (self.first, self.place1, self.entry1, self.id1), (self.second, self.place2, self.entry2, self.id2)):
+            # Right: one surer, up to the most. Wrong: one less sure, or else the new id.
+            right = np.minimum(entry + _ONE, known + _MOST)
+            wrong = np.maximum(entry, _ONE) - _ONE
+            np.copyto(wrong, ids, where=entry < _ONE)
+            np.copyto(wrong, right, where=known == ids)
+            table[place] = wrong
         self.before[1] = self.before[0]
         self.before[0] = ids
 
 
+def _range(low: np.ndarray, high: np.ndarray, outcome: np.ndarray, total: np.uint32) -> tuple[np.ndarray, np.ndarray]:
+    """Where an outcome begins and ends between 0 and ``total``."""
+    start, end = low.copy(), high.copy()
+    other, first = outcome == OTHER, outcome == 0
+    np.copyto(start, high, where=other)
+    np.copyto(end, total, where=other)
+    np.copyto(start, 0, where=first)
+    np.copyto(end, low, where=first)
+    return start, end
+
+
 def _phases(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
     """(lanes, steps up to) for lengths in descending order."""
     for n in np.unique(lengths):
@@ -142,31 +156,47 @@ def _phases(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
             yield int(np.searchsorted(-lengths, -n, "right")), int(n)
 
 
-def encode(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+def frequencies(ids: np.ndarray) -> np.ndarray:
+    """How often each id occurs, scaled to 2 ** 16 altogether; ids that occur have at least 1."""
+    counts = np.bincount(ids, minlength=1)
+    scaled = np.where(counts > 0, np.maximum((counts << ID_BITS) // max(len(ids), 1), 1), 0)
+    surplus = int(scaled.sum()) - (1 << ID_BITS)
+    for k in np.argsort(-scaled, kind="stable"):
+        if not surplus:
+            break
+        change = min(surplus, int(scaled[k]) - 1)  # a negative surplus goes to the most frequent id
+        scaled[k] -= change
+        surplus -= change
+    return scaled
+
+
+def encode(ids: np.ndarray, lengths: np.ndarray, frequency: np.ndarray) -> list[bytes]:
     """The code of each block; ``ids`` are (step, block), blocks by descending length."""
     lanes = len(lengths)
-    words = np.zeros((lanes, 2 * len(ids) + 16), np.uint16)
+    frequency = frequency.astype(np.uint64)
+    below = np.cumsum(frequency) - frequency
+    words = np.zeros((lanes, 3 * len(ids) + 16), np.uint16)
     flat, offset = words.ravel(), np.arange(lanes) * words.shape[1]
     position = np.zeros(lanes, np.int64)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-    model, step = _Model(lanes), 0
+    model, step, total = _Model(lanes), 0, np.uint32(1 << TOTAL_BITS)
     for alive, until in _phases(lengths):
         if alive < len(model.table):
             model.shrink(alive)
         own_low, own_span = low[:alive], span[:alive]
         for step in range(step, until):
             token = ids[step, :alive].astype(np.uint32)
-            cumulative = model.predict()
-            symbol = np.where(token == model.id2, np.uint8(0), np.where(token == model.id1, np.uint8(1), _SYMBOL[token]))
-            at = model.flat + symbol
-            start = cumulative.take(at)
-            size = (cumulative.take(at + 1) - start).astype(np.uint64)
+            bounds = model.predict()
+            outcome = np.where(token == model.id2, 0, np.where(token == model.id1, 1, OTHER))
+            start, end = _range(*bounds, outcome, total)
             own_span >>= np.uint64(TOTAL_BITS)
             own_low += own_span * start
-            own_span *= size
-            own_span >>= _BITS[symbol]
-            own_low += own_span * np.where(symbol > 1, token - _FIRST[symbol], np.uint32(0))
-            model.learn(token, symbol)
+            own_span *= end - start
+            other = np.flatnonzero(outcome == OTHER)
+            rest = own_span[other] >> np.uint64(ID_BITS)
+            own_low[other] += rest * below.take(token[other])
+            own_span[other] = rest * frequency.take(token[other])
+            model.learn(token, outcome)
             at = _unsettled(own_low, own_span)
             while len(at):
                 flat[offset[at] + position[at]] = (own_low[at] >> _U48).astype(np.uint16)
@@ -185,18 +215,20 @@ def encode(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
 def _unsettled(low: np.ndarray, span: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
     """Where the highest 16 bits are to be shifted out: they are settled, or the span is too small (it is then cut at a boundary)."""
     own = span if at is None else span[at]
-    settled = (low ^ (low + own)) >> _U48 == 0
-    small = own < _U32
-    small &= ~settled
-    if small.any():
-        where = np.flatnonzero(small)
+    settled = (low ^ (low + own)) < _U48_BIT
+    where = np.flatnonzero((own < _U32) > settled)
+    if len(where):
         span[where if at is None else at[where]] = (~low[where] + np.uint64(1)) & _LOW32
-    return np.flatnonzero(settled | small)
+        settled[where] = True
+    return np.flatnonzero(settled)
 
 
-def decode(blocks: list[bytes], lengths: np.ndarray) -> np.ndarray:
+def decode(blocks: list[bytes], lengths: np.ndarray, frequency: np.ndarray) -> np.ndarray:
     """(step, block) of the ids, blocks by descending length."""
     lanes = len(lengths)
+    by_slot = np.repeat(np.arange(len(frequency), dtype=np.uint16), frequency)
+    frequency = frequency.astype(np.uint64)
+    below = np.cumsum(frequency) - frequency
     width = max((len(b) for b in blocks), default=0) // 2 + 8
     words = np.zeros((lanes, width), np.uint16)
     for k, block in enumerate(blocks):
@@ -208,30 +240,30 @@ def decode(blocks: list[bytes], lengths: np.ndarray) -> np.ndarray:
     for k in range(4):
         code = code << _U16 | words[:, k]
     out = np.zeros((int(lengths.max(initial=0)), lanes), np.uint16)
-    model, step = _Model(lanes), 0
+    model, step, total = _Model(lanes), 0, np.uint32(1 << TOTAL_BITS)
     for alive, until in _phases(lengths):
         if alive < len(model.table):
             model.shrink(alive)
         own_low, own_span, own_code = low[:alive], span[:alive], code[:alive]
         most = np.uint64((1 << TOTAL_BITS) - 1)
         for step in range(step, until):
-            cumulative = model.predict()
+            bounds = model.predict()
             own_span >>= np.uint64(TOTAL_BITS)
-            value = np.minimum((own_code - own_low) // own_span, most).astype(np.uint16)
-            at = model.flat.copy()
-            for jump in (8, 4, 2, 1):
-                at += (cumulative.take(at + jump) <= value) * jump
-            symbol = (at - model.flat).astype(np.uint8)
-            start = cumulative.take(at)
+            value = np.minimum((own_code - own_low) // own_span, most).astype(np.uint32)
+            outcome = (bounds[0] <= value) + (bounds[1] <= value).astype(np.int64)
+            start, end = _range(*bounds, outcome, total)
             own_low += own_span * start
-            own_span *= cumulative.take(at + 1) - start
-            bits = _BITS[symbol]
-            own_span >>= bits
-            rest = np.minimum((own_code - own_low) // own_span, (np.uint64(1) << bits) - np.uint64(1))
-            own_low += own_span * rest
-            token = np.where(symbol > 1, _FIRST[symbol] + rest.astype(np.uint32), np.where(symbol == 1, model.id1, model.id2))
+            own_span *= end - start
+            token = np.where(outcome == 0, model.id2, model.id1)
+            other = np.flatnonzero(outcome == OTHER)
+            rest = own_span[other] >> np.uint64(ID_BITS)
+            slot = np.minimum((own_code[other] - own_low[other]) // rest, np.uint64((1 << ID_BITS) - 1))
+            found = by_slot.take(slot.astype(np.int64))
+            token[other] = found
+            own_low[other] += rest * below.take(found)
+            own_span[other] = rest * frequency.take(found)
             out[step, :alive] = token
-            model.learn(token, symbol)
+            model.learn(token, outcome)
             at = _unsettled(own_low, own_span)
             while len(at):
                 own_low[at] <<= _U16
@@ -252,13 +284,15 @@ def image(ids: np.ndarray, docs: list[tuple[int | None, int]], before: int, crc:
     lengths[-1] = len(ids) - block * (count - 1)
     padded = np.zeros(count * block, np.uint16)
     padded[: len(ids)] = ids
-    codes = encode(np.ascontiguousarray(padded.reshape(count, block).T), lengths)
+    frequency = frequencies(ids)
+    table = zlib.compress(frequency.astype("<u4").tobytes())
+    codes = encode(np.ascontiguousarray(padded.reshape(count, block).T), lengths, frequency)
     sums = [zlib.crc32(ids[k * block : (k + 1) * block].astype("<u2").tobytes()) for k in range(count)]
-    head = _HEAD.pack(_MAGIC, _VERSION, block, count, len(ids), len(docs), before, crc, complete)
+    head = _HEAD.pack(_MAGIC, _VERSION, block, count, len(ids), len(docs), before, crc, complete, len(table))
     body = b"".join([
         np.array([len(c) for c in codes], "<u4").tobytes(), np.array(sums, "<u4").tobytes(),
         np.array([d is not None for d, _ in docs], "<u1").tobytes(), np.array([d or 0 for d, _ in docs], "<i8").tobytes(),
-        np.array([n for _, n in docs], "<u4").tobytes()])
+        np.array([n for _, n in docs], "<u4").tobytes(), table])
     return b"".join([head, body, struct.pack("<I", zlib.crc32(head + body)), *codes])
 
 
@@ -266,8 +300,8 @@ def parse(data: bytes) -> tuple[np.ndarray, list[tuple[int | None, int]], int, i
     """What ``image`` was given; a ValueError if anything in it is broken."""
     if len(data) < _HEAD.size:
         raise ValueError("not a segment")
-    magic, version, block, count, size, n_docs, before, crc, complete = _HEAD.unpack_from(data)
-    at = _HEAD.size + 8 * count + 13 * n_docs
+    magic, version, block, count, size, n_docs, before, crc, complete, tabled = _HEAD.unpack_from(data)
+    at = _HEAD.size + 8 * count + 13 * n_docs + tabled
     if magic != _MAGIC or version != _VERSION or len(data) < at + 4 or zlib.crc32(data[:at]) != struct.unpack_from("<I", data, at)[0]:
         raise ValueError("not a segment, or its header is broken")
     codes = np.frombuffer(data, "<u4", count, _HEAD.size)
@@ -281,7 +315,9 @@ def parse(data: bytes) -> tuple[np.ndarray, list[tuple[int | None, int]], int, i
         raise ValueError("a segment is cut short")
     lengths = np.full(count, block)
     lengths[-1] = size - block * (count - 1)
-    ids = decode([data[e - n : e] for e, n in zip(ends.tolist(), codes.tolist(), strict=True)], lengths).T.reshape(-1)[:size]
+    frequency = np.frombuffer(zlib.decompress(data[at - tabled : at]), "<u4").astype(np.int64)
+    blocks = [data[e - n : e] for e, n in zip(ends.tolist(), codes.tolist(), strict=True)]
+    ids = decode(blocks, lengths, frequency).T.reshape(-1)[:size]
     for k in range(count):
         if zlib.crc32(ids[k * block : (k + 1) * block].astype("<u2").tobytes()) != sums[k]:
             raise ValueError(f"block {k} of a segment is broken")
@@ -302,26 +338,40 @@ class Tokens:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = []
-        for encoding in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = encoding.ids
-            if ids and max(ids) >= 1 << 16:
-                raise ValueError("ids of 65536 and more have no place in these files")
-            found.append(np.array(ids, "<u2").tobytes())
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        #: Bytes of each id's text: one for each letter of a byte-level vocabulary.
+        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, k in vocabulary.items():
+            self._bytes[k] = len(token)
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        found = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if any(len(ids) and ids.max() >= 1 << 16 for ids in found):
+            raise ValueError("ids of 65536 and more have no place in these files")
         return found
 
+    def _learn(self, stretches: list[str]) -> None:
+        """Stretches that begin with white space and end without are tokenized many at once, and the ids dealt out by their bytes."""
+        joined = [s for s in stretches if s[0].isspace() and not s[-1].isspace()]
+        for at in range(0, len(joined), JOINED):
+            some = joined[at : at + JOINED]
+            ids = self._encoded(["".join(some)])[0]
+            ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum([len(s.encode()) for s in some])) + 1
+            code, begin = ids.astype("<u2").tobytes(), 0
+            for stretch, end in zip(some, (2 * ends).tolist(), strict=True):
+                self._known[stretch] = code[begin:end]
+                begin = end
+        others = [s for s in stretches if not s[0].isspace() or s[-1].isspace()]
+        self._known.update((s, ids.astype("<u2").tobytes()) for s, ids in zip(others, self._encoded(others), strict=True))
+
     def ids(self, texts: list[str]) -> list[bytes]:
         known = self._known
         if len(known) > REMEMBERED:
             known.clear()
         parts = [None if _DOUBTFUL.search(t) else _STRETCH.findall(t) for t in texts]
-        fresh = {s for p in parts if p for s in p if s not in known}
-        if fresh:
-            fresh = list(fresh)
-            known.update(zip(fresh, self._encoded(fresh), strict=True))
-        return [self._encoded([t])[0] if p is None else b"".join([known[s] for s in p]) for t, p in zip(texts, parts, strict=True)]
+        self._learn(list({s for p in parts if p for s in p if s not in known}))
+        return [self._encoded([t])[0].astype("<u2").tobytes() if p is None else b"".join([known[s] for s in p])
+                for t, p in zip(texts, parts, strict=True)]
 
 
 @lru_cache(maxsize=2)
