@@ -74,28 +74,24 @@ def _power_tables(modulus: int, base: int, size: int) -> tuple[np.ndarray, np.nd
 def long_text_blocks(text: bytes, block: int) -> Iterator[tuple[bytes, int]]:
     """(block, words in front that were in the block before) of a long text; a piece is cut between words only."""
     at, carry = 0, 0
-    while True:
-        end = at + block
-        if end >= len(text):
-            yield text[at:], carry
-            return
-        cut = max((m.end() for m in _BREAKS.finditer(text, at, end)), default=0)
-        if cut > at:
-            yield text[at:cut], carry
-            at, carry = cut, 0
-            continue
-        while True:  # no break: cut at a gap, after enough words
-            gap = _GAPS.search(text, end)
-            end = gap.start() if gap else len(text)
-            starts = [m.start() for m in _WORDS.finditer(text, at, end)]
-            if end == len(text) or len(starts) > 2 * LONGEST or text[end] not in b" \t":
+    while at + block < len(text):
+        end = max((m.end() for m in _BREAKS.finditer(text, at, at + block)), default=at)
+        again = 0
+        if end == at:  # one piece so far: cut at its end, or at a blank after enough words
+            end = at + block
+            while gap := _GAPS.search(text, end):
+                end = gap.end()
+                if text[gap.start()] not in b"\t ":
+                    break
+                starts = [m.start() for m in _WORDS.finditer(text, at, end)]
+                if len(starts) > 2 * LONGEST:
+                    again = LONGEST - 1
+                    break
+            else:
                 break
-            end = min(end + block, len(text))
         yield text[at:end], carry
-        if end == len(text):
-            return
-        carry = 0 if text[end] not in b" \t" else LONGEST - 1
-        at = end if not carry else starts[-carry]
+        at, carry = starts[-again] if again else end, again
+    yield text[at:], carry
 
 
 class Block:
