@@ -324,9 +324,12 @@ def parse(data: bytes) -> tuple[np.ndarray, list[tuple[int | None, int]], int, i
     return ids, [(d if k else None, n) for k, d, n in zip(known, names, counts, strict=True)], before, crc, bool(complete)
 
 
-# Between a character that is no white space and plain white space the tokenizer always begins anew. Texts with characters that
-# some call white space and others do not are given to it whole.
-_STRETCH = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
+# Where the tokenizer always begins anew, whatever stands around: between a character that is no white space and plain white space, and
+# between these letters and an ASCII character that is no letter. Texts with characters that some call white space and others
+# do not are given to it whole.
+_BLANKS, _LETTERS = r" \t\n\r\f\v", "A-Za-zÀ-ÖØ-öø-ÿ"
+_STRETCH = re.compile(rf"[{_BLANKS}]*(?:[{_LETTERS}]+(?=[\x00-@\[-`{{-\x7f]|\Z)|[^{_BLANKS}]+)|[{_BLANKS}]+")
+_PLAIN = re.compile(f" ?[{_LETTERS}]+")
 _DOUBTFUL = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁯　﻿]")
 
 
@@ -350,18 +353,19 @@ class Tokens:
             raise ValueError("ids of 65536 and more have no place in these files")
         return found
 
-    def _learn(self, stretches: list[str]) -> None:
-        """Stretches that begin with white space and end without are tokenized many at once, and the ids dealt out by their bytes."""
-        joined = [s for s in stretches if s[0].isspace() and not s[-1].isspace()]
-        for at in range(0, len(joined), JOINED):
-            some = joined[at : at + JOINED]
-            ids = self._encoded(["".join(some)])[0]
-            ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum([len(s.encode()) for s in some])) + 1
+    def _learn(self, stretches: set[str]) -> None:
+        """Plain words are tokenized many at once, a line each, and the ids dealt out by their bytes."""
+        plain = [s for s in stretches if _PLAIN.fullmatch(s)]
+        for at in range(0, len(plain), JOINED):
+            some = plain[at : at + JOINED]
+            ids = self._encoded(["\n".join(some)])[0]
+            ends = np.cumsum([len(s.encode()) + 1 for s in some]) - 1
+            last = 2 * np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 2
             code, begin = ids.astype("<u2").tobytes(), 0
-            for stretch, end in zip(some, (2 * ends).tolist(), strict=True):
+            for stretch, end in zip(some, last.tolist(), strict=True):
                 self._known[stretch] = code[begin:end]
-                begin = end
-        others = [s for s in stretches if not s[0].isspace() or s[-1].isspace()]
+                begin = end + 2  # the line break is one id
+        others = list(stretches.difference(plain))
         self._known.update((s, ids.astype("<u2").tobytes()) for s, ids in zip(others, self._encoded(others), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -369,9 +373,12 @@ class Tokens:
         if len(known) > REMEMBERED:
             known.clear()
         parts = [None if _DOUBTFUL.search(t) else _STRETCH.findall(t) for t in texts]
-        self._learn(list({s for p in parts if p for s in p if s not in known}))
-        return [self._encoded([t])[0].astype("<u2").tobytes() if p is None else b"".join([known[s] for s in p])
-                for t, p in zip(texts, parts, strict=True)]
+        codes = [None if p is None else list(map(known.get, p)) for p in parts]
+        fresh = {s for p, c in zip(parts, codes, strict=True) if p and None in c for s, x in zip(p, c, strict=True) if x is None}
+        if fresh:
+            self._learn(fresh)
+        return [self._encoded([t])[0].astype("<u2").tobytes() if p is None else b"".join(map(known.__getitem__, p) if None in c else c)
+                for t, p, c in zip(texts, parts, codes, strict=True)]
 
 
 @lru_cache(maxsize=2)
