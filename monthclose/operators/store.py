@@ -8,14 +8,19 @@ is being written, which the view leaves out; renaming that file commits it, and
 leaves out the older loads of the month instead. What a job that died left behind is never shown, and the next
 load of the table drops it.
 
-Tables outlive the process: a store registers what lies under its root and its catalog does not know.
+A load that has a name of its own (an arrival) takes the place of what came under that name before by the same step.
+
+A table that is replaced as a whole, or built by a query, is written as a new version; then a pointer file is
+renamed into place, and from then on the new version is the table (``pointer.py``). The old version is deleted last, so the query may
+read the table it replaces, and a job that dies leaves one of the two. Rows are appended as a new part of the version, by
+the same step.
 
-A table that is replaced as a whole, or built by a query, is written under a new name first
-and then takes the place of the old one; the query may therefore read the table it replaces.
+Tables outlive the process: a store registers what lies under its root and its catalog does not know.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping
@@ -25,17 +30,20 @@ from urllib.parse import quote, unquote
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from monthclose.functions.casts import month_text
 from monthclose.functions.months import fill_params
+from monthclose.operators import pointer
+from monthclose.operators.pointer import Pointer
 from monthclose.sources import files
 from monthclose.sources.delimited import BAD
 from monthclose.sources.encoding import GARBLED, session_settings
 from monthclose.sources.jdbc import read_text
 
-MONTHS, NEW = "__months", "__new"
-YM, LOAD = "_ym", "_load"
-PENDING, DONE = "pending", "done"
+MONTHS, VERSION = "__months", "__v"
+YM, LOAD, PART = "_ym", "_load", "_part"
+PENDING, DONE, NAMED = "pending", "done", "named"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 REGISTRY = "load_registry"
 
@@ -44,6 +52,7 @@ _CREATE = re.compile(
     r"`?(?P<name>\w+)`?\s+as\s+(?P<query>.*?);?\s*$",
     re.IGNORECASE | re.DOTALL,
 )
+_HIDDEN = re.compile(rf"{MONTHS}$|{VERSION}[0-9a-f]{{12}}$")
 _DROP = re.compile(r"^\s*drop\s+table\s+if\s+exists\s+`?(?P<name>\w+)`?\s*;?\s*$", re.IGNORECASE)
 
 # Settings for the time of a write. A load touches few months, and that many open files per task spare a
@@ -54,6 +63,14 @@ _WRITE_SETTINGS = {
 }
 
 
+def _new_id() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def _columns(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 def _unfit(counted: Mapping[str, int]) -> bool:
     """Whether a write met lines that must not be stored as they were read."""
     return bool(counted.get("bad") or counted.get("garbled"))
@@ -74,24 +91,37 @@ class MonthStore:
 
         With a catalog that ends with the process these are the tables of earlier processes.
         """
-        for name in files.list_names(self.spark, f"{self.root}/{self.month}"):
-            path = f"{self.root}/{self.month}/{name}"
-            if name.startswith(("_", ".")) or name.endswith(NEW) or self.exists(name):
+        for table in files.list_names(self.spark, f"{self.root}/{self.month}/_state"):
+            if self._pointer(table) and not table.endswith(MONTHS):
+                self._show_version(table)
+        known = files.list_names(self.spark, f"{self.root}/{self.month}/_schema")
+        for name in sorted({*files.list_names(self.spark, f"{self.root}/{self.month}"), *known}):
+            months = name.endswith(MONTHS)
+            if self.exists(name) or (_HIDDEN.search(name) and not months) or months and self._pointer(name[: -len(MONTHS)]):
                 continue
-            try:
-                with session_settings(self.spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
-                    schema = self.spark.read.parquet(path).schema
-            except AnalysisException as error:
-                if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                    raise
+            path = f"{self.root}/{self.month}/{name}"
+            schema = self._stored_schema(name, path)
+            if schema is None:
                 continue  # a folder without any file: nothing was ever stored there
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            parts = f"PARTITIONED BY ({YM}, {LOAD})" if name.endswith(MONTHS) else ""
-            self.spark.sql(f"CREATE TABLE {self._id(name)} ({columns}) USING parquet {parts} LOCATION '{path}'")
+            parts = f"PARTITIONED BY ({YM}, {LOAD})" if months else ""
+            self.spark.sql(f"CREATE TABLE {self._id(name)} ({_columns(schema)}) USING parquet {parts} LOCATION '{path}'")
             if parts:
                 self.spark.sql(f"ALTER TABLE {self._id(name)} RECOVER PARTITIONS")
                 self._show_months(name[: -len(MONTHS)])
 
+    def _stored_schema(self, name: str, path: str) -> StructType | None:
+        """The columns of a table by what is kept beside it, or by its files."""
+        kept = f"{self.root}/{self.month}/_schema/{name}"
+        if files.exists(self.spark, kept):
+            return StructType.fromJson(json.loads(files.read_small(self.spark, kept)))
+        try:
+            with session_settings(self.spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+                return self.spark.read.parquet(path).schema
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return None
+
     def database_of(self, month: str) -> str:
         return f"{self.name}_{month}".lower()
 
@@ -107,7 +137,7 @@ class MonthStore:
     def tables(self) -> list[str]:
         """Names of all tables, in order."""
         names = {t.name for t in self.spark.catalog.listTables(self.db) if not t.isTemporary}
-        return sorted(n for n in names if not n.endswith((MONTHS, NEW)) and n != REGISTRY)
+        return sorted(n for n in names if not _HIDDEN.search(n) and n != REGISTRY)
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self._id(table))
@@ -143,31 +173,29 @@ class MonthStore:
         nothing is replaced.
         """
         month = month or self.month
-        load = uuid.uuid4().hex[:12]
+        load = _new_id()
         tagged = self._tagged(table, df, month_col, load, many_months)
         return self._add(table, tagged, load, month)
 
     def add_load(self, table: str, df: DataFrame, month_col: str, load: str) -> dict[str, int]:
         """Add the rows of a named load, in place of what a load of that name stored before.
 
-        Other loads stay, whatever their months. With malformed rows the load is taken back, as above.
+        Other loads stay, whatever their months. With malformed rows the load is taken back, as above, and what came before stays.
         """
-        tagged = self._tagged(table, df, month_col, load, many_months=False)
-        self._drop_partitions(table + MONTHS, self._partitions(table + MONTHS, LOAD, load))
-        return self._add(table, tagged, load)
+        load = f"{_new_id()}.{quote(load, safe='')}"
+        return self._add(table, self._tagged(table, df, month_col, load, many_months=False), load)
 
     def _add(self, table: str, tagged: DataFrame, load: str, month: str | None = None) -> dict[str, int]:
-        """Write a load and commit it, in place of the other loads of ``month`` if there is one."""
+        """Write a load and commit it, in place of the other loads of ``month``, or else of those of its own name."""
         physical = table + MONTHS
         mark = f"{self._state(physical)}/{PENDING}={load}"
         files.touch(self.spark, mark)
         self._show_months(table)
         counted = self._write(tagged, lambda out: out.write.insertInto(self._id(physical)))
         if not _unfit(counted):
-            if month is None:
-                files.delete(self.spark, mark)
-            else:
-                files.rename(self.spark, mark, f"{self._state(physical)}/{DONE}={load}={quote(month, safe='')}")
+            done = f"{NAMED}={load}" if month is None else f"{DONE}={load}={quote(month, safe='')}"
+            files.rename(self.spark, mark, f"{self._state(physical)}/{done}")
+            self._leave_versions(table)
             self._show_months(table)
         self._clean_up(table)
         return counted
@@ -182,6 +210,9 @@ class MonthStore:
         for kind, load, *month in (name.split("=") for name in names):
             if kind == PENDING:
                 unwanted = self._partitions(physical, LOAD, load)
+            elif kind == NAMED:
+                name = load.split(".", 1)[1]
+                unwanted = [p for p in self._partitions(physical) if p[1] != load and p[1].split(".", 1)[-1] == name]
             else:
                 unwanted = [p for p in self._partitions(physical, YM, unquote(month[0])) if p[1] != load]
             self._drop_partitions(physical, unwanted)
@@ -195,34 +226,37 @@ class MonthStore:
         tagged = df.select("*", ym.alias(YM), F.lit(load).alias(LOAD))
         if many_months:
             tagged = tagged.hint("rebalance", YM)
-        if self.exists(table + MONTHS):
+        if self.exists(table + MONTHS) and not self._pointer(table):
             self._clean_up(table)
-        else:
-            self.drop(table)
+        else:  # a table of the other kind stays until the first load counts
+            self._drop_months(table)
             self._create_months(table, tagged)
         return tagged
 
     def _create_months(self, table: str, tagged: DataFrame) -> None:
         physical = table + MONTHS
-        files.delete(self.spark, f"{self.root}/{self.month}/{physical.lower()}")
-        files.delete(self.spark, self._state(physical))
-        fields = [f for f in tagged.schema if f.name not in (BAD, GARBLED)]
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        schema = StructType([f for f in tagged.schema if f.name not in (BAD, GARBLED)])
+        files.write_small(self.spark, f"{self.root}/{self.month}/_schema/{physical.lower()}", schema.json())
         self.spark.sql(
-            f"CREATE TABLE {self._id(physical)} ({columns}) USING parquet "
+            f"CREATE TABLE {self._id(physical)} ({_columns(schema)}) USING parquet "
             f"PARTITIONED BY ({YM}, {LOAD})"
         )
         self._show_months(table)
 
     def _show_months(self, table: str) -> None:
         """Make the view: the declared columns of all rows but those of loads that do not count."""
+        if self._pointer(table):
+            return  # not yet, or no longer
         physical = table + MONTHS
+        self._drop_plain(table)
         shown = ", ".join(f"`{c}`" for c in self.spark.table(self._id(physical)).columns[:-2])
         conditions = []
         for name in files.list_names(self.spark, self._state(physical)):
             kind, load, *month = name.split("=")
             other = f"{LOAD} <> '{load}'"
-            if kind == DONE:
+            if kind == NAMED:
+                other = f"NOT (substr({LOAD}, 14) = '{load[13:]}' AND {other})"
+            elif kind == DONE:
                 value = unquote(month[0]).replace("\\", "\\\\").replace("'", "\\'")
                 other = f"NOT ({YM} <=> '{value}' AND {other})"
             conditions.append(other)
@@ -231,11 +265,10 @@ class MonthStore:
             f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(physical)}{where}"
         )
 
-    def _partitions(self, physical: str, column: str, value: str) -> list[tuple[str | None, str]]:
-        """Month and load of the partitions that have a value (names only, a few per month)."""
-        listed = self.spark.sql(
-            f"SHOW PARTITIONS {self._id(physical)} PARTITION ({column}='{value}')"
-        ).collect()
+    def _partitions(self, physical: str, column: str = "", value: str = "") -> list[tuple[str | None, str]]:
+        """Month and load of the partitions, or of those that have a value (names only, a few per month)."""
+        which = f"PARTITION ({column}='{value}')" if column else ""
+        listed = self.spark.sql(f"SHOW PARTITIONS {self._id(physical)} {which}").collect()
         out = []
         for row in listed:
             month, load = (unquote(part.split("=", 1)[1]) for part in row[0].split("/"))
@@ -253,38 +286,118 @@ class MonthStore:
             folder = f"{YM}={NO_MONTH if month is None else quote(month, safe='')}/{LOAD}={load}"
             files.delete(self.spark, f"{self.root}/{self.month}/{physical.lower()}/{folder}")
 
+    def _pointers(self, table: str) -> str:
+        return f"{self.root}/{self.month}/_state/{table.lower()}"
+
+    def _pointer(self, table: str) -> Pointer | None:
+        return pointer.current(self.spark, self._pointers(table))
+
+    def _version(self, table: str, version: str) -> tuple[str, str]:
+        """Catalog name and folder of a version."""
+        name = f"{table.lower()}{VERSION}{version}"
+        return name, f"{self.root}/{self.month}/{name}"
+
     def replace(self, table: str, df: DataFrame) -> dict[str, int]:
         """Replace a whole table, or create it. With malformed rows (see above) nothing is replaced."""
-        fresh = table + NEW
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._id(fresh)}")
-        files.delete(self.spark, f"{self.root}/{self.month}/{fresh.lower()}")
-        counted = self._write(
-            df, lambda out: out.write.format("parquet").saveAsTable(f"{self.db}.{fresh}")
-        )
+        version, part = _new_id(), _new_id()
+        folder = self._version(table, version)[1]
+        counted = self._write(df, lambda out: out.write.parquet(f"{folder}/{PART}={part}"))
         if _unfit(counted):
-            self.spark.sql(f"DROP TABLE {self._id(fresh)}")
+            files.delete(self.spark, folder)
             return counted
-        self.drop(table)
-        files.delete(self.spark, f"{self.root}/{self.month}/{table.lower()}")
-        self.spark.sql(f"ALTER TABLE {self._id(fresh)} RENAME TO {self._id(table)}")
+        schema = StructType([f for f in df.schema if f.name not in (BAD, GARBLED)])
+        self._commit(table, Pointer(version, (part,), schema))
         return counted
 
     def append(self, table: str, df: DataFrame) -> dict[str, int]:
-        """Add rows by position, creating the table if it is not there."""
-        if not self.exists(table):
+        """Add rows by position, creating the table if it is not there. With malformed rows nothing is added."""
+        now = self._pointer(table)
+        if now is None:
+            if self.exists(table + MONTHS):
+                raise ValueError(f"{table} is loaded by months")
+            if self.exists(table):  # laid down without a pointer
+                return self.replace(table, self.table(table).union(df))
             return self.replace(table, df)
-        return self._write(df, lambda out: out.write.insertInto(self._id(table)))
+        names = [c for c in df.columns if c not in (BAD, GARBLED)]
+        if len(names) != len(now.schema):
+            raise ValueError(f"{table} has {len(now.schema)} columns, not {len(names)}")
+        fitted = [F.col(f"`{c}`").cast(f.dataType).alias(f.name) for c, f in zip(names, now.schema, strict=True)]
+        out = df.select(*fitted, *(c for c in (BAD, GARBLED) if c in df.columns))
+        part, folder = _new_id(), self._version(table, now.version)[1]
+        counted = self._write(out, lambda rows: rows.write.parquet(f"{folder}/{PART}={part}"))
+        if _unfit(counted):
+            files.delete(self.spark, f"{folder}/{PART}={part}")
+        else:
+            self._commit(table, now._replace(parts=(*now.parts, part)))
+        return counted
+
+    def _commit(self, table: str, new: Pointer) -> None:
+        pointer.commit(self.spark, self._pointers(table), new)
+        self._show_version(table)
+        self._sweep(table)
+
+    def _show_version(self, table: str) -> None:
+        """Make the view of the version that counts."""
+        now = self._pointer(table)
+        name, folder = self._version(table, now.version)
+        if not self.exists(name):
+            self.spark.sql(f"CREATE TABLE {self._id(name)} ({_columns(now.schema)}, {PART} string) USING parquet "
+                           f"PARTITIONED BY ({PART}) LOCATION '{folder}'")
+        known = {row[0].split("=", 1)[1] for row in self.spark.sql(f"SHOW PARTITIONS {self._id(name)}").collect()}
+        missing = " ".join(f"PARTITION ({PART}='{part}')" for part in now.parts if part not in known)
+        if missing:
+            self.spark.sql(f"ALTER TABLE {self._id(name)} ADD IF NOT EXISTS {missing}")
+        self._drop_plain(table)
+        shown = ", ".join(f"`{f.name}`" for f in now.schema)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(name)}")
+
+    def _sweep(self, table: str) -> None:
+        """Delete what does not count any more: older pointers, other versions, parts that were not committed, month loads."""
+        now = self._pointer(table)
+        pointer.forget_older(self.spark, self._pointers(table))
+        self._drop_versions(table, but=now.version)
+        folder = self._version(table, now.version)[1]
+        for name in files.list_names(self.spark, folder, hidden=True):
+            if name.startswith(f"{PART}=") and name.split("=", 1)[1] not in now.parts:
+                files.delete(self.spark, f"{folder}/{name}")
+        self._drop_months(table)
+
+    def _drop_versions(self, table: str, but: str = "") -> None:
+        found = {t.name for t in self.spark.catalog.listTables(self.db)} | {
+            *files.list_names(self.spark, f"{self.root}/{self.month}")}
+        for name in sorted(found):
+            if name[:-12] == f"{table.lower()}{VERSION}" and _HIDDEN.search(name) and name[-12:] != but:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._id(name)}")
+                files.delete(self.spark, f"{self.root}/{self.month}/{name}")
+
+    def _leave_versions(self, table: str) -> None:
+        """From here on the month loads are the table."""
+        if self._pointer(table):
+            pointer.forget_older(self.spark, self._pointers(table))
+            files.delete(self.spark, self._pointers(table))
+            self._show_months(table)
+        self._drop_versions(table)
+
+    def _drop_plain(self, table: str) -> None:
+        """Drop a table that was laid down without a pointer, so that a view can take its name."""
+        if self.exists(table) and self.spark.catalog.getTable(self._id(table)).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {self._id(table)}")
+            files.delete(self.spark, f"{self.root}/{self.month}/{table.lower()}")
+
+    def _drop_months(self, table: str) -> None:
+        physical = table + MONTHS
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._id(physical)}")
+        for path in (f"{self.root}/{self.month}/{physical.lower()}", self._state(physical),
+                     f"{self.root}/{self.month}/_schema/{physical.lower()}"):
+            files.delete(self.spark, path)
 
     def drop(self, table: str) -> None:
         """Drop a table of either kind, if it is there."""
-        if self.exists(table + MONTHS):
-            self.spark.sql(f"DROP VIEW IF EXISTS {self._id(table)}")
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table + MONTHS)}")
-            files.delete(self.spark, f"{self.root}/{self.month}/{(table + MONTHS).lower()}")
-            files.delete(self.spark, self._state(table + MONTHS))
-        else:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
-            files.delete(self.spark, f"{self.root}/{self.month}/{table.lower()}")
+        files.delete(self.spark, self._pointers(table))
+        self._drop_plain(table)
+        self.spark.sql(f"DROP VIEW IF EXISTS {self._id(table)}")
+        self._drop_months(table)
+        self._drop_versions(table)
 
     def _write(self, df: DataFrame, write) -> dict[str, int]:
         """Run a write, counting rows (and flagged rows) on the way instead of in a second pass."""

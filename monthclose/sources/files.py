@@ -62,6 +62,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop_path, True).close()
 
 
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, and the folders above it."""
+    fs, hadoop_path = _fs(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, hadoop_path = _fs(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, path: str, target: str) -> None:
     """Rename a file, in one step where the file system can."""
     fs, hadoop_path = _fs(spark, path)
@@ -69,13 +90,13 @@ def rename(spark: SparkSession, path: str, target: str) -> None:
         raise OSError(f"cannot rename {path} to {target}")
 
 
-def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, sorted; hidden and marker names are left out."""
+def list_names(spark: SparkSession, folder: str, hidden: bool = False) -> list[str]:
+    """Names in a folder, sorted; hidden and marker names are left out unless asked for."""
     fs, hadoop_path = _fs(spark, folder)
     if not fs.exists(hadoop_path):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-    return sorted(n for n in names if not n.startswith((".", "_")))
+    return sorted(n for n in names if hidden or not n.startswith((".", "_")))
 
 
 def file_stem(name: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from monthclose.operators.registry import LoadRegistry, latest_loads, not_yet_loaded
 from monthclose.operators.store import MonthStore
 from monthclose.plans.load import load_set
-from monthclose.sources import encoding, scan
+from monthclose.sources import encoding, files, scan
 
 SCHEMA = "ym string, k string, v double"
 
@@ -282,3 +282,109 @@ def test_a_load_that_dies_shows_either_the_old_rows_or_the_new(spark, tmp_path,
     store.load_month("t", frame(spark, ("202601", "newest", 3.0)), "ym")
     assert rows(store.table("t").select("ym", "k")) == [("202601", "newest"), ("202602", "kept")]
     assert not (tmp_path / "s/202601/_state/t__months").exists()
+
+
+class Died(BaseException):
+    pass
+
+
+def _dies(patched, where, step):
+    """Let a method die before (or, with a + in front, after) it has done its work."""
+    work = getattr(where, step.lstrip("+"))
+
+    def die(*args, **kwargs):
+        if step.startswith("+"):
+            work(*args, **kwargs)
+        raise Died
+
+    patched.setattr(where, step.lstrip("+"), die)
+
+
+@pytest.mark.parametrize("step, shown", [
+    ("+_write", "old"), ("rename", "old"), ("+rename", "new"), ("_show_version", "new"), ("_sweep", "new"),
+    ("_drop_versions", "new"), ("+_drop_versions", "new")])
+@pytest.mark.parametrize("action", ["replace", "append"])
+def test_a_replacement_that_dies_leaves_the_old_table_or_the_new_one(spark, tmp_path, rows, monkeypatch, action, step, shown):
+    label = f"{action}{step.strip('+').replace('_', '')}{step.startswith('+')}".lower()
+    root = str(tmp_path / "s")
+    store = MonthStore(spark, root, "202601", f"one{label}")
+    store.replace("t", frame(spark, ("202601", "a", 1.0), ("202601", "b", 2.0)))
+    store.append("t", frame(spark, ("202601", "c", 3.0)))
+    old, fresh = ["a", "b", "c"], frame(spark, ("202601", "n", 9.0)).withColumn("v", F.col("v").cast("double"))
+    new = ["n"] if action == "replace" else [*old, "n"]
+    with monkeypatch.context() as patched:
+        _dies(patched, files if "rename" in step else MonthStore, step)
+        with pytest.raises(Died):
+            getattr(store, action)("t", fresh)
+    expected = new if shown == "new" else old
+    other = MonthStore(spark, root, "202601", f"two{label}")  # a process that takes the tables over
+    assert [r[1] for r in rows(other.table("t"))] == expected and other.tables() == ["t"]
+    if "_show" not in step:
+        assert [r[1] for r in rows(store.table("t"))] in (old, new)
+    store.append("t", frame(spark, ("202601", "z", 9.0)))
+    assert [r[1] for r in rows(store.table("t"))] == [*expected, "z"]
+    third = MonthStore(spark, root, "202601", f"three{label}")
+    assert [r[1] for r in rows(third.table("t"))] == [*expected, "z"]
+    assert len([p for p in (tmp_path / "s/202601").iterdir() if p.name.startswith("t__v")]) == 1
+
+
+@pytest.mark.parametrize("step", ["+_write", "rename", "_leave_versions", "_clean_up"])
+def test_a_plain_table_stays_until_its_first_month_load_counts(spark, tmp_path, rows, monkeypatch, step):
+    label = step.strip("+").replace("_", "")
+    store = MonthStore(spark, str(tmp_path / "s"), "202601", f"one{label}")
+    store.replace("t", frame(spark, ("202601", "plain", 1.0)))
+    with monkeypatch.context() as patched:
+        _dies(patched, files if step == "rename" else MonthStore, step)
+        with pytest.raises(Died):
+            store.load_month("t", frame(spark, ("202601", "month", 1.0)), "ym")
+    other = MonthStore(spark, str(tmp_path / "s"), "202601", f"two{label}")
+    expected = "month" if step == "_clean_up" else "plain"
+    assert [r[1] for r in rows(store.table("t"))] == [r[1] for r in rows(other.table("t"))] == [expected]
+    store.load_month("t", frame(spark, ("202601", "again", 1.0)), "ym")
+    assert [r[1] for r in rows(store.table("t"))] == ["again"]
+
+
+def test_a_malformed_arrival_leaves_the_rows_it_brought_before(spark, store, rows):
+    good = frame(spark, ("202601", "a", 1.0), ("202602", "b", 2.0))
+    assert store.add_load("t", good, "ym", "x=1/ü.dat") == {"rows": 2}
+    store.add_load("t", frame(spark, ("202601", "other", 1.0)), "ym", "x2")
+    counted = store.add_load("t", good.withColumn("_bad", F.col("k") == "b"), "ym", "x=1/ü.dat")
+    assert counted == {"rows": 2, "bad": 1}
+    assert [r[1] for r in rows(store.table("t"))] == ["a", "other", "b"]
+    store.add_load("t", frame(spark, (None, "c", 1.0)), "ym", "x=1/ü.dat")
+    assert sorted(r[1] for r in rows(store.table("t"))) == ["c", "other"]
+
+
+@pytest.mark.parametrize("step, shown", [("+_write", "old"), ("rename", "old"), ("+rename", "new")])
+def test_an_arrival_that_dies_shows_either_its_old_rows_or_the_new(spark, tmp_path, rows, monkeypatch, step, shown):
+    label = f"arr{step.strip('+').replace('_', '')}{step.startswith('+')}".lower()
+    store = MonthStore(spark, str(tmp_path / "s"), "202601", f"one{label}")
+    store.add_load("t", frame(spark, ("202601", "old", 1.0), ("202602", "old", 1.0)), "ym", "x")
+    store.add_load("t", frame(spark, ("202601", "y", 1.0)), "ym", "y")
+    with monkeypatch.context() as patched:
+        _dies(patched, files if "rename" in step else MonthStore, step)
+        with pytest.raises(Died):
+            store.add_load("t", frame(spark, ("202601", "new", 1.0)), "ym", "x")
+    other = MonthStore(spark, str(tmp_path / "s"), "202601", f"two{label}")
+    assert sorted(r[1] for r in rows(other.table("t"))) == (["new", "y"] if shown == "new" else ["old", "old", "y"])
+
+
+def test_a_table_whose_months_are_all_empty_is_known_to_the_next_process(spark, tmp_path):
+    store = MonthStore(spark, str(tmp_path / "s"), "202601", "emptied1")
+    store.load_month("t", frame(spark, ("202601", "a", 1.0)), "ym")
+    store.load_month("t", frame(spark, ("202601", "a", 1.0)).where("k = 'x'"), "ym")
+    other = MonthStore(spark, str(tmp_path / "s"), "202601", "emptied2")
+    assert other.missing("t") == [] and other.table("t").columns == ["ym", "k", "v"] and other.table("t").count() == 0
+
+
+def test_append_keeps_the_columns(spark, store, rows):
+    store.replace("t", frame(spark, ("202601", "a", 1.0)))
+    store.append("t", spark.createDataFrame([(202602, "b", "2")], "x int, y string, z string"))
+    assert rows(store.table("t")) == [("202601", "a", 1.0), ("202602", "b", 2.0)]
+    with pytest.raises(ValueError):
+        store.append("t", spark.createDataFrame([(1,)], "x int"))
+    counted = store.append("t", frame(spark, ("202603", "c", 1.0)).withColumn("_bad", F.lit(True)))
+    assert counted["bad"] == 1 and store.table("t").count() == 2
+    store.load_month("m", frame(spark, ("202601", "a", 1.0)), "ym")
+    with pytest.raises(ValueError):
+        store.append("m", frame(spark, ("202601", "a", 1.0)))
