@@ -5,7 +5,8 @@ NULL. A line without a quote (nearly every line) is split at the delimiter, and
 for a pattern. The patterns use possessive repeats, so a quoted field of any length is matched without
 recursion.
 
-Where quoted fields hold line breaks, whole records come from Spark's own CSV reader (``raw_records``), one task per file.
+Where quoted fields hold line breaks, lines are put together to records first (``records.py``), and Spark's CSV parser takes them apart
+(``raw_records``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from monthclose.functions.casts import strip_all, to_bigint, to_double
 from monthclose.sources.encoding import charset_settings, decoded
+from monthclose.sources.records import whole_records
 
 QUOTE = '"'
 # A Boolean column that marks malformed lines; a load counts it and does not store it.
@@ -119,17 +121,16 @@ def parse_strict(
     )
 
 
-def _record_reader(spark: SparkSession, delimiter: str):
-    """Spark's reader for quoted fields with line breaks. Every byte becomes one character, to be decoded later."""
-    return spark.read.options(
-        sep=delimiter, quote=QUOTE, escape=QUOTE, multiLine=True, lineSep="\n", encoding="ISO-8859-1",
-        columnPruning=False, maxCharsPerColumn=-1,
-    )
+def _record_options(delimiter: str) -> dict[str, str]:
+    """How Spark's parser takes a record apart. Every byte is one character, to be decoded later."""
+    return {"sep": delimiter, "quote": QUOTE, "escape": QUOTE, "multiLine": "true", "lineSep": "\n", "maxCharsPerColumn": "-1",
+            "columnNameOfCorruptRecord": "_record"}
 
 
 def record_width(spark: SparkSession, path: str, delimiter: str) -> int:
     """Fields in the first record."""
-    return len(_record_reader(spark, delimiter).csv(path).columns)
+    reader = spark.read.options(**_record_options(delimiter), encoding="ISO-8859-1", columnPruning=False)
+    return len(reader.csv(path).columns)
 
 
 def raw_records(
@@ -142,16 +143,13 @@ def raw_records(
     """
     columns = [f"_{i}" for i in range(width)]
     schema = ", ".join(f"{c} string" for c in [*columns, "_record"])
-    read = _record_reader(spark, delimiter).schema(schema).options(columnNameOfCorruptRecord="_record", header=header)
-    wrong = F.col("_record").isNotNull()
-    fields = []
-    for i, c in enumerate(columns):
-        last = F.lit(True) if i == width - 1 else wrong
-        field = F.when(last & F.col(c).endswith("\r"), F.rtrim(F.col(c), F.lit("\r"))).otherwise(F.col(c))
-        fields.append(F.encode(field, "ISO-8859-1").cast("string"))
-    record = F.encode(F.rtrim(F.col("_record"), F.lit("\r\n")), "ISO-8859-1").cast("string")
-    return read.csv(list(paths)).select(
-        F.array(*fields).alias("_f"), record.alias("_record"), F.col("_metadata.file_name").alias("file"))
+    text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    parsed = whole_records(spark, paths, header).select(F.from_csv(text, schema, _record_options(delimiter)).alias("_r"), "file")
+
+    def raw(name: str) -> Column:
+        return F.encode(F.col(f"_r.{name}"), "ISO-8859-1").cast("string")
+
+    return parsed.select(F.array(*map(raw, columns)).alias("_f"), raw("_record").alias("_record"), "file")
 
 
 def parse_records(

@@ -210,6 +210,36 @@ def test_malformed_records_that_span_lines(spark, tmp_path):
     assert read(spark, tmp_path, spec("pipe", cols=["k", "s", "t"])).spanning() is None
 
 
+CUT = 'h|x|y\n1|"a\r\nb|""c"""|x\n2|"c\n\n\nd"|"y"\r\n3||z\r\n\n4|"가\n나\n"|"p\n""\n"\n5|q|"\n\n"\n6|"""\n"|z'
+CUT_ROWS = [("1", 'a\r\nb|"c"', "x"), ("2", "c\n\n\nd", "y"), ("3", None, "z"), ("4", "가\n나\n", 'p\n"\n'), ("5", "q", "\n\n"),
+            ("6", '"\n', "z")]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 7, 10, 13, 19, 31, 64])
+def test_records_are_whole_wherever_their_file_is_cut(spark, tmp_path, size):
+    """With splits of one byte every byte of the file is a cut."""
+    write(tmp_path / "x_1.dat", CUT.encode())
+    write(tmp_path / "x_2.dat", (CUT + "\n").encode())
+    s = spec("pipe", "x_?", cols=["k", "s", "t"], multi=True, multiline=True, header=True, encoding="utf-8")
+    with encoding.session_settings(spark, {
+        "spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1"}):
+        got = sorted((tuple(r) for r in read(spark, tmp_path, s).plain_rows().collect()), key=str)
+    assert got == sorted(CUT_ROWS * 2, key=str)
+
+
+def test_one_file_with_quoted_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    text = "".join(f'{k}|"{"line " * (k % 50)}\n{"x" * (k % 97)}""|\n"|{k * 2}\n' for k in range(4000))
+    write(tmp_path / "x.dat", text.encode())
+    s = spec("pipe", "x.dat", cols=["k", "s", "t"], multiline=True, encoding="utf-8")
+    with encoding.session_settings(spark, {"spark.sql.files.maxPartitionBytes": str(len(text) // 12)}):
+        rows = read(spark, tmp_path, s).plain_rows()
+        got = rows.withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in got}) >= 8
+    assert sorted((int(r.k), r.s, int(r.t)) for r in got) == [
+        (k, f'{"line " * (k % 50)}\n{"x" * (k % 97)}"|\n', k * 2) for k in range(4000)]
+
+
 def test_csv_that_spans_lines_has_one_header_per_file(spark, tmp_path):
     write(tmp_path / "x_1.csv", b'k,s\n1,"a\n"\nk,s\n2\n')
     write(tmp_path / "x_2.csv", b'k,s\n3,"b,\nc"\n')
