@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from monthclose.functions.months import fill_params
 from monthclose.operators.compare import largest_first, reconcile
 from monthclose.operators.store import MonthStore
+from monthclose.sources.files import Folders
 
 log = logging.getLogger("monthclose")
 
@@ -93,12 +94,17 @@ def diff_name(label: str) -> str:
     return "diff_" + label.replace(" ", "_").replace("/", "_")
 
 
+#: What a comparison writes: the rows, and a CSV of them.
+ROWS, CSV = "_rows", ".csv"
+
+
 class Checks:
     """Runs checks on one store and keeps (label, expect, value, status)."""
 
     def __init__(self, store: MonthStore, out: str, params: Mapping[str, object] = {}):
         self.store, self.out, self.params = store, out.rstrip("/"), dict(params)
         self.results: list[tuple[str, str, str, str]] = []
+        self._folders = Folders(endings=("", ROWS, CSV))
 
     def summary(self) -> DataFrame:
         return self.store.spark.createDataFrame(
@@ -138,16 +144,18 @@ class Checks:
     ) -> bool:
         """Reconcile two results. Differences are written out whole; the largest are logged.
 
+        Labels that stand for the same folder, and a label that is used again, get a folder of their own.
+
         A missing table is no difference.
         """
         a, b = self._frame(label, query_a, "same"), self._frame(label, query_b, "same")
         if a is None or b is None:
             return True
-        path = f"{self.out}/{diff_name(label)}"
+        path = f"{self.out}/{self._folders.name_of(diff_name(label))}"
         diffs = reconcile(a, b, keys, value, threshold)
         # Written once and read back: the totals, the largest rows and the CSV share one computation.
-        diffs.write.mode("overwrite").parquet(path + "_rows")
-        diffs = self.store.spark.read.parquet(path + "_rows")
+        diffs.write.mode("overwrite").parquet(path + ROWS)
+        diffs = self.store.spark.read.parquet(path + ROWS)
         totals = diff_totals(diffs).head()
         same = totals["diffs"] == 0
         self._note(label, "same", totals["diffs"], OK if same else NG)

@@ -111,7 +111,8 @@ def export_sheets(
 ) -> tuple[str, DataFrame]:
     """Write all sheets of a job and their summary into the next version folder.
 
-    A sheet without rows is left out, and one whose query fails is skipped. Rows are counted while they are
+    A sheet without rows is left out, and one whose query fails is skipped. Sheets of one name, and one that is called like the
+    summary, get folders of their own. Rows are counted while they are
     written.
     """
     spark = store.spark
@@ -119,11 +120,11 @@ def export_sheets(
     prefix = f"{job}_{store.month}"
     names = spark.createDataFrame([(n,) for n in files.list_names(spark, out)], "name string")
     target = f"{out}/{next_version(names, prefix).head()['next']}"
-    written = []
+    written, folders = [], files.Folders(SUMMARY)
     for table, config in sheet_set(sheets, store.tables(), store.month, params):
         started = time.monotonic()
         query, sheet = sheet_query(table, config, store.month, params)
-        path = f"{target}/{sheet.replace('/', '_')}"
+        path = f"{target}/{folders.name_of(sheet.replace('/', '_'))}"
         try:
             rows = _write_counted(store.query(query, params), path, format)
         except Exception as error:  # One bad sheet must not cost the others.

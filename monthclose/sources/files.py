@@ -99,6 +99,24 @@ def list_names(spark: SparkSession, folder: str, hidden: bool = False) -> list[s
     return sorted(n for n in names if hidden or not n.startswith((".", "_")))
 
 
+class Folders:
+    """Names of folders that are told apart: a name that is taken already, also in other case, gets a number.
+
+    ``endings`` are what is put behind each name, ``taken`` names that are not to be used.
+    """
+
+    def __init__(self, *taken: str, endings: tuple[str, ...] = ("",)):
+        self._taken, self._endings = {name.lower() for name in taken}, endings
+
+    def name_of(self, label: str) -> str:
+        name, n = label, 1
+        while any((name + e).lower() in self._taken for e in self._endings):
+            n += 1
+            name = f"{label}~{n}"
+        self._taken.update((name + e).lower() for e in self._endings)
+        return name
+
+
 def file_stem(name: str) -> str:
     """A file name without its extension; ``x.dat.gz`` loses both."""
     stem = name.rsplit(".", 1)[0] if "." in name else name

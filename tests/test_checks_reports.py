@@ -172,6 +172,20 @@ def test_export(spark, store, tmp_path):
     assert again.endswith("job_202601_v0.02")
 
 
+def test_labels_and_sheets_that_share_a_name_are_all_kept(spark, store, tmp_path, rows):
+    store.replace("t", kv(spark, ("a", 1.0), ("b", 9.0)))
+    checks = Checks(store, str(tmp_path / "out"))
+    for n, label in enumerate(["a b", "a/b", "a_b", "A b", "a b_rows", "a b"], 2):
+        checks.check_diff(label, "SELECT k, v FROM t", f"SELECT k, v + {n} AS v FROM t", ["k"], "v")
+    found = {p.name: {abs(r["diff"]) for r in spark.read.parquet(str(p)).collect()} for p in (tmp_path / "out").glob("*_rows")}
+    assert sorted(found.values(), key=str) == [{2.0}, {3.0}, {4.0}, {5.0}, {6.0}, {7.0}]
+    sheets = {"t": [{"sheet": s, "where": f"v < {n}"} for s, n in (("a/b", 5), ("a_b", 10), ("A_B", 5), ("요약", 10), ("a_b", 10))]}
+    path, summary = export_sheets(store, "job", sheets, str(tmp_path / "sheets"))
+    total = summary.where("no IS NULL").head()["rows"]
+    folders = [p for p in (tmp_path / "sheets/job_202601_v0.01").iterdir() if p.name != "요약"]
+    assert total == 8 and sum(spark.read.parquet(str(p)).count() for p in folders) == 8 and len(folders) == 5
+
+
 def test_with_total_of_nothing(spark):
     empty = spark.createDataFrame([], "no int, `table` string, sheet string, rows bigint")
     assert [tuple(r) for r in with_total(empty).collect()] == [(None, "합계", None, 0)]
