@@ -38,6 +38,13 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str)
     return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(others, keys))
 
 
+def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not among the one column of ``ids``. That column gets a name that ``docs`` does not have."""
+    name = "_" + max((c for c in [*docs.columns, "id"]), key=len) + "_"
+    gone = ids.select(F.col(ids.columns[0]).alias(name))
+    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col(f"`{name}`")), "left_anti")
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus``; NULL counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import stored
+from monthclose.llm.common import stored, without
 
 #: Item words of a run, and the share of them that must agree.
 RUN, AGREE = 12, 0.75
@@ -36,8 +36,6 @@ MASKS_OF = {
     2: ("11",),
     1: ("1",),
 }
-#: The masks of the SQL, which find less.
-MASKS = ("1101011", "110010111")
 #: Rows of benchmark seeds, and of found ids, that are broadcast at most; beyond them both sides are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -114,34 +112,28 @@ def _found(own: DataFrame, items: DataFrame, lengths: list[int], small: bool) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of documents without any overlap that counts, all columns. Rows that share an id go together."""
-    found = stored(overlaps(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_found")).distinct(), "contaminated")
-    side = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
-    return docs.join(side, docs[id_col].eqNullSafe(F.col("_found")), "left_anti")
+    found = stored(overlaps(docs, benchmark, id_col, text_col).select(id_col).distinct(), "contaminated")
+    return without(docs, F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, id_col)
 
 
 def sql() -> str:
-    """The same rows in SQL over the tables documents and benchmark."""
+    """The same rows in SQL over the tables documents and benchmark, without seeds: an item that agrees in that many places shares at
+    least one word with the document at each offset that counts, so all offsets of shared words are laid over."""
     def split(text: str) -> str:
         return f"string_split(trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
 
-    def seeds(name: str, keep: str) -> str:
-        parts = []
-        for number, mask in enumerate(MASKS):
-            kept = ", ".join(f"w[p + {k + 1}]" for k, bit in enumerate(mask) if bit == "1")
-            parts.append(f"SELECT {keep}, w, p, {number} AS mask, concat_ws(' ', {kept}) AS seed FROM "
-                         f"(SELECT *, unnest(range(0, len(w) - {len(mask) - 1})) AS p FROM {name})")
-        return " UNION ALL ".join(parts)
+    def places(name: str, key: str) -> str:
+        return f"SELECT {key} AS id, len(w) AS size, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM {name}"
 
     return f"""
         WITH d AS (SELECT doc_id, {split('text')} AS w FROM documents WHERE text IS NOT NULL),
-        i AS (SELECT DISTINCT item_id, {split('text')} AS w FROM benchmark WHERE text IS NOT NULL),
-        ds AS ({seeds('d', 'doc_id')}), its AS ({seeds('i', 'item_id')}),
-        hits AS (SELECT DISTINCT ds.doc_id, its.item_id, ds.w AS dw, its.w AS iw, ds.p - its.p AS o
-                 FROM ds JOIN its ON ds.seed = its.seed AND ds.mask = its.mask),
-        laid AS (SELECT doc_id, item_id, iw, list_transform(range(0, len(iw)), lambda k:
-                   CASE WHEN o + k >= 0 AND o + k < len(dw) AND iw[k + 1] = dw[o + k + 1] THEN 1 ELSE 0 END) AS same FROM hits),
-        runs AS (SELECT doc_id, item_id, least(len(iw), {RUN}) AS n, list_max(list_transform(
-                   range(0, len(same) - least(len(same), {RUN}) + 1),
-                   lambda s: list_sum(same[s + 1 : s + {RUN}]))) AS agreeing FROM laid)
-        SELECT doc_id, item_id, CAST(max(agreeing) AS INTEGER) AS agreeing FROM runs
-        WHERE agreeing >= ceil(n * {AGREE}) GROUP BY doc_id, item_id"""
+        i AS (SELECT row_number() OVER () AS k, item_id, w FROM (SELECT DISTINCT item_id, {split('text')} AS w FROM benchmark
+              WHERE text IS NOT NULL)),
+        dw AS (SELECT row_number() OVER () AS k, doc_id, w FROM d),
+        agree AS MATERIALIZED (SELECT x.id AS d, y.id AS i, y.size, x.p - y.p AS o, list(y.p) AS hit
+                  FROM ({places('dw', 'k')}) x JOIN ({places('i', 'k')}) y ON x.word = y.word WHERE x.word <> ''
+                  GROUP BY ALL HAVING count(*) >= ceil(least(y.size, {RUN}) * {AGREE})),
+        runs AS (SELECT d, i, size, list_max(list_transform(range(0, size - least(size, {RUN}) + 1),
+                   lambda s: len(list_filter(hit, lambda p: p >= s AND p < s + {RUN})))) AS agreeing FROM agree)
+        SELECT doc_id, item_id, CAST(max(agreeing) AS INTEGER) AS agreeing FROM runs JOIN dw ON dw.k = d JOIN i ON i.k = runs.i
+        WHERE agreeing >= ceil(least(size, {RUN}) * {AGREE}) GROUP BY doc_id, item_id"""

@@ -24,6 +24,8 @@ from monthclose.llm.common import small_batches
 
 #: Bounds of the training sample: rows of a language, and characters taken from one row at a hashed place.
 ROWS_PER_LANGUAGE, CHARS_PER_ROW = 400, 1000
+#: Parts in which the rows of a language are ranked first.
+PARTS = 8
 #: Bytes of one dictionary, characters of one compressed piece, and the compression level.
 DICTIONARY_BYTES, PIECE_CHARS, LEVEL = 200_000, 1200, 3
 #: Below this relative margin between the two smallest sizes the choice counts as rejected.
@@ -44,24 +46,24 @@ def training_sample(
 ) -> DataFrame:
     """At most ``rows`` rows of each language in hash order, each with ``chars`` characters from a hashed place.
 
-    The choice is made on ids; only the slices of chosen rows go on.
+    The choice is made on ids, in parts of a language first; only the slices of chosen rows go on. Of rows that share an id and
+    a language, that with the smallest checksum of its slice is taken.
     """
     key = F.xxhash64(F.col(id_col))
     labelled = docs.where(train & F.col(lang_col).isNotNull())
-    order = Window.partitionBy("lang").orderBy("key", "id")
-    ids = (
-        labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), key.alias("key"))
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= rows)
-        .select("id", "lang")
-        .distinct()
-    )
+    ids = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), key.alias("key")).distinct()
+    for part in (["lang", F.pmod(F.col("key"), F.lit(PARTS))], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*part).orderBy("key", "id"))
+        ids = ids.withColumn("rank", rank).where(F.col("rank") <= rows)
+    ids = ids.select("id", "lang")
     start = F.pmod(key, F.greatest(F.length(text_col) - chars, F.lit(0)) + 1) + 1
     slices = labelled.select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
         F.col(text_col).substr(start.cast("int"), F.lit(chars)).alias("slice"),
     )
-    return slices.join(ids, ["id", "lang"], "left_semi").where(F.col("slice").isNotNull())
+    chosen = slices.where(F.col("slice").isNotNull()).join(ids, ["id", "lang"], "left_semi")
+    first = F.row_number().over(Window.partitionBy("id", "lang").orderBy(F.xxhash64("slice"), "slice"))
+    return chosen.withColumn("row", first).where("row = 1").drop("row")
 
 
 def learn(sample: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import small_batches, spread_join, stored
+from monthclose.llm.common import small_batches, spread_join, stored, without
 from monthclose.llm.components import components
 
 #: Words of a shingle; the threshold in percent, unless another is given; coordinates of a band; the share of pairs at the threshold
@@ -332,10 +332,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One document of each group, all columns: that of the smallest id. Rows that share an id are one document, and stay if one
     of them does."""
-    found = near_duplicates(docs, id_col, text_col, percent).select(F.col(id_col).alias("_gone"), "kept")
-    gone = stored(found.groupBy("_gone").agg(F.max("kept").alias("kept")).where("not kept").select("_gone"), "duplicates")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return docs.join(side, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, percent).select(F.col(id_col).alias("id"), "kept")
+    gone = stored(found.groupBy("id").agg(F.max("kept").alias("kept")).where("not kept").select("id"), "duplicates")
+    return without(docs, F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, id_col)
 
 
 def sql() -> str:

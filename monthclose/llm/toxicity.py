@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthclose.llm.common import small_batches
@@ -131,7 +131,8 @@ def training_sample(
 ) -> DataFrame:
     """(text, toxic) of a bounded number of labelled rows of each label, in hash order of the id.
 
-    Only ids are sorted; the texts are found by a join with the at most ``toxic_rows + clean_rows`` chosen ids.
+    Only ids are sorted; the texts are found by a join with the at most ``toxic_rows + clean_rows`` chosen ids. Of rows that share an
+    id, that with the smallest checksum of its text is taken.
     """
     by_id = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -145,7 +146,9 @@ def training_sample(
     )
     # A bound by construction: at most toxic_rows + clean_rows rows of two numbers.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic")
+    found = texts.join(F.broadcast(chosen), "id")
+    first = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text"), "text"))
+    return found.withColumn("row", first).where("row = 1").select("id", "text", "toxic")
 
 
 def train_on(alias: str, condition, id_col: str) -> Column:

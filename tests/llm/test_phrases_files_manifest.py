@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from monthclose.llm import merkle, phrases, rangecoder
+from monthclose.llm import decontam, langid, merkle, neardup, phrases, rangecoder, toxicity
 
 COLUMNS = "doc_id long, source string, lang string, n_chars long, text string, word string, g string, key long, n int, part int, place long"
 
@@ -251,3 +251,25 @@ def test_manifest_against_brute_force(spark, monkeypatch, rows):
 
 def test_manifest_of_nothing(spark):
     assert manifest_rows(spark, []) == []
+
+
+# -- names and bounds of the other operators ---------------------------------------------------
+
+
+def test_stages_take_any_column_names(spark):
+    frame = spark.createDataFrame(
+        [(1, "one two three four five six", "a", "b", "c"), (2, "one two three four five six", "a", "b", "c"),
+         (3, "alpha beta gamma delta eps zeta eta", "a", "b", "c")], "doc_id long, text string, _gone string, _found string, id string")
+    items = spark.createDataFrame([(1, "alpha beta gamma delta eps zeta eta")], "item_id long, text string")
+    assert sorted(r.doc_id for r in neardup.without_duplicates(frame).collect()) == [1, 3]
+    assert sorted(r.doc_id for r in decontam.clean(frame, items).collect()) == [1, 2]
+    assert decontam.clean(frame, items).columns == frame.columns
+
+
+def test_samples_are_bounded_by_rows(spark):
+    same = spark.range(9000).select(F.lit(1).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    assert langid.training_sample(same, F.lit(True), "doc_id", "text", "lang").count() == 1
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"), F.lit("en").alias("lang"))
+    assert langid.training_sample(many.unionAll(many), F.lit(True), "doc_id", "text", "lang").count() == langid.ROWS_PER_LANGUAGE
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.training_sample(same, labels, lambda c: F.lit(True)).count() == 1
