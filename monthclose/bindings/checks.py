@@ -10,7 +10,7 @@ from monthclose.bindings.common import MONTH, cents, new_store, table
 from monthclose.functions.casts import total
 from monthclose.functions.months import month_of, month_params
 from monthclose.operators.checks import (
-    Checks, check_value, diff_totals, duplicate_keys, grouped_counts, largest_first, show_sums,
+    Checks, TableCheck, check_value, diff_totals, duplicate_keys, grouped_counts, largest_first, show_sums, table_checks,
 )
 from monthclose.operators.compare import reconcile
 from monthclose.operators.reports import export_sheets, next_version, sheet_query, with_total
@@ -35,6 +35,18 @@ def v1_check(spark, sf):
     return reduce(lambda a, b: a.unionAll(b), checks)
 
 
+def v1_table_checks(spark, sf):
+    """Checks and sums of one table, all in one scan."""
+    return table_checks(table(spark, sf, "lineitem"), [
+        TableCheck("lines", expect="nonzero"),
+        TableCheck("no negative quantity", "l_quantity < 0"),
+        TableCheck("no returns", "l_returnflag = 'R'"),
+        TableCheck("statuses", value="count(DISTINCT l_linestatus)", expect=2),
+        TableCheck("shipped", "l_linestatus = 'F'", "sum(cast(l_quantity as bigint))", None),
+        TableCheck("nothing", "l_quantity < 0", "sum(cast(l_quantity as bigint))"),
+    ])
+
+
 def v2_check_sum(spark, sf):
     lines = table(spark, sf, "lineitem")
     sums = lines.agg(
@@ -221,6 +233,14 @@ ORACLE = {
         union all select 'regions', '5', count(*), count(*) = 5 from region
         union all select 'nations', '24', count(*), count(*) = 24 from nation
         union all select 'unique orders', 'zero', 0, true) c""",
+    "v1_table_checks": """select label, expect, cast(v as varchar) as value, case when ok then 'OK' else 'NG' end as status from (
+        select 'lines' as label, 'nonzero' as expect, count(*) as v, count(*) > 0 as ok from lineitem
+        union all select 'no negative quantity', 'zero', count(*), count(*) = 0 from lineitem where l_quantity < 0
+        union all select 'no returns', 'zero', count(*), count(*) = 0 from lineitem where l_returnflag = 'R'
+        union all select 'statuses', '2', count(distinct l_linestatus), count(distinct l_linestatus) = 2 from lineitem
+        union all select 'shipped', 'shown', sum(cast(l_quantity as bigint)), true from lineitem where l_linestatus = 'F'
+        union all select 'nothing', 'zero', sum(cast(l_quantity as bigint)), sum(l_quantity) = 0 from lineitem
+            where l_quantity < 0) c""",
     "v2_check_sum": """select 'line items' as label, name, value from (
         select 'qty' as name, cast(cast(sum(cast(l_quantity as bigint)) as bigint) as varchar) as value
         from lineitem union all select 'cnt', cast(count(*) as varchar) from lineitem

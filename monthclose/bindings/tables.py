@@ -17,7 +17,9 @@ from monthclose.plans import premium, samples
 from monthclose.plans.extracts import FIO841, FIO843
 from monthclose.plans.job import run_job
 from monthclose.plans.load import load_set
-from monthclose.sources.files import work_dir
+from monthclose.sources.delimited import BAD, parse_strict
+from monthclose.sources.files import list_names, rename, touch, work_dir
+from monthclose.streaming.arrivals import arrivals, load_arrivals
 
 
 def _lines(spark, sf):
@@ -127,6 +129,33 @@ def m5_skip_loaded(spark, sf):
     return registry.withColumn("skipped", F.lit(sum(len(r.skipped) for r in runs)).cast("bigint"))
 
 
+def _deliver(df, line, folder, name):
+    """One file for each value of the column ``n``: ``folder/name`` with the value in it."""
+    drop = work_dir(df.sparkSession, "delivery")
+    df.select("n", line.alias("value")).repartition(4, "n").write.partitionBy("n").text(f"{drop}/t")
+    for part in list_names(df.sparkSession, f"{drop}/t"):
+        for file in list_names(df.sparkSession, f"{drop}/t/{part}"):
+            touch(df.sparkSession, f"{folder}/_made")
+            rename(df.sparkSession, f"{drop}/t/{part}/{file}", f"{folder}/{name.format(part[2:])}")
+
+
+def m5_arrivals(spark, sf):
+    """Files loaded as they arrive, one of them a second time with other rows: the ledger, and what is stored of each file."""
+    store, folder = new_store(spark, "m5a"), work_dir(spark, "m5af")
+    orders = table(spark, sf, "orders").select("o_orderkey", month_of(F.col("o_orderdate")).alias("ym")).withColumn(
+        "n", F.col("o_orderkey") % 4)
+    line = joined("|", F.col("ym"), F.col("o_orderkey"))
+    deliveries = (("first", orders), ("second", orders.where("o_orderkey % 8 = 3")), ("none", orders.limit(0)))
+    for name, rows in deliveries:
+        _deliver(rows, line, f"{folder}/{name}", "orders_{}.dat")
+        load_arrivals(
+            store, "arrived", folder, "*.dat", lambda lines: parse_strict(lines, ["ym", "k"], bigint=["k"], flag=BAD), "ym",
+            f"{folder}/_checkpoint", nested=True).awaitTermination()
+    held = store.table("arrived").groupBy(F.concat(F.lit("orders_"), F.col("k") % 4, F.lit(".dat")).alias("file_name")).agg(
+        F.count("*").alias("held"), F.countDistinct("ym").alias("months"), F.sum("k").alias("keys"))
+    return arrivals(store, "arrived").join(held, "file_name").select("file_name", "row_count", "held", "months", "keys")
+
+
 def f8_load_time(spark, sf):
     """A load notes its time, which lies between the beginning of the query and its end."""
     store = new_store(spark, "f8")
@@ -315,6 +344,9 @@ ORACLE = {
     "m5_skip_loaded": f"""select 'c' as table_name, 'c_{MONTH}.dat' as file_name,
         (select count(*) from customer) as row_count, cast(1 as bigint) as skipped
         from (values (1), (2)) v(i)""",
+    "m5_arrivals": """select 'orders_' || (o_orderkey % 4) || '.dat' as file_name, count(*) as row_count, count(*) as held,
+        count(distinct strftime(o_orderdate, '%Y%m')) as months, cast(sum(o_orderkey) as bigint) as keys
+        from orders where o_orderkey % 4 <> 3 or o_orderkey % 8 = 3 group by 1""",
     "f8_load_time": "select 'customers' as table_name, count(*) as row_count, true as in_time from customer",
     "m6_ctas": """select c_custkey, c_acctbal * 2 as c_acctbal from customer
         where c_acctbal > 5000""",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -47,6 +48,39 @@ def check_value(df: DataFrame, label: str, expect: str | int = "zero") -> DataFr
     )
 
 
+class TableCheck(NamedTuple):
+    """An aggregate over a table's rows, or over those for which ``where`` holds, and what is expected of it.
+
+    ``zero``, ``nonzero``, an exact number, or None if it is only shown.
+    """
+
+    label: str
+    where: str | None = None
+    value: str = "count(*)"
+    expect: str | int | None = "zero"
+
+    @property
+    def expected(self) -> str:
+        return "shown" if self.expect is None else str(self.expect)
+
+
+def table_checks(df: DataFrame, checks: Sequence[TableCheck]) -> DataFrame:
+    """All checks of a table as (label, expect, value, status), in one scan: each is a filtered aggregate.
+
+    The value is text; an aggregate over no rows is NULL, which is neither zero nor what was expected.
+    """
+    if not checks:
+        return df.sparkSession.createDataFrame([], "label string, expect string, value string, status string")
+    one = df.agg(*(
+        F.expr(f"{c.value}{f' FILTER (WHERE {c.where})' if c.where else ''}").alias(f"c{i}") for i, c in enumerate(checks)))
+    rows = []
+    for i, c in enumerate(checks):
+        value = F.col(f"c{i}")
+        ok = {"zero": value == 0, "nonzero": value > 0, None: F.lit(True)}.get(c.expect, value == F.lit(c.expect))
+        rows += [F.lit(c.label), F.lit(c.expected), value.cast("string"), F.when(ok, OK).otherwise(NG)]
+    return one.select(F.stack(F.lit(len(checks)), *rows).alias("label", "expect", "value", "status"))
+
+
 def show_sums(df: DataFrame, label: str) -> DataFrame:
     """The first row turned into (label, name, value) rows; NULL is shown as ``NULL``."""
     pairs = []
@@ -125,6 +159,27 @@ class Checks:
         row = check_value(df, label, expect).head()
         return self._note(label, str(expect), row["value"], row["status"])
 
+    def check_table(self, table: str, checks: Sequence[TableCheck]) -> bool:
+        """All checks of one table in one scan; whether all are as expected. A check of a column that does not exist is left out."""
+        table = fill_params(table, self.params)
+        if not self.store.exists(table):
+            for c in checks:
+                self._note(c.label, c.expected, "no table", SKIP)
+            return False
+        filled = [c._replace(value=fill_params(c.value, self.params), where=c.where and fill_params(c.where, self.params))
+                  for c in checks]
+        df, possible = self.store.table(table), []
+        for c in filled:
+            try:
+                table_checks(df, [c])  # only analysed
+                possible.append(c)
+            except AnalysisException as error:
+                if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+                    raise
+                self._note(c.label, c.expected, "no column", SKIP)
+        found = [self._note(r["label"], r["expect"], r["value"], r["status"]) for r in table_checks(df, possible).collect()]
+        return all(found) and len(possible) == len(checks)
+
     def check_sum(self, label: str, query: str | DataFrame) -> dict[str, str]:
         df = self._frame(label, query, "shown")
         if df is None:

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from monthclose.functions.months import fill_month
 from monthclose.operators.store import MonthStore
 from monthclose.sources import files
+from monthclose.sources.encoding import session_settings
 
 log = logging.getLogger("monthclose")
 
 AUTO_PREFIX = "out_"
 SUMMARY = "요약"
 TOTAL = "합계"
+#: Sheets that are written in one scan: their folder, and the column that tells them apart.
+TOGETHER, SHEET = "_together", "_sheet"
 
 
 def sheet_query(
@@ -111,7 +114,8 @@ def export_sheets(
 ) -> tuple[str, DataFrame]:
     """Write all sheets of a job and their summary into the next version folder.
 
-    A sheet without rows is left out, and one whose query fails is skipped. Sheets of one name, and one that is called like the
+    Sheets that show the same columns of one table are written in one scan: each row is tagged with the sheets that it belongs
+    to. A sheet without rows is left out, and one whose query fails is skipped. Sheets of one name, and one that is called like the
     summary, get folders of their own. Rows are counted while they are
     written.
     """
@@ -120,13 +124,16 @@ def export_sheets(
     prefix = f"{job}_{store.month}"
     names = spark.createDataFrame([(n,) for n in files.list_names(spark, out)], "name string")
     target = f"{out}/{next_version(names, prefix).head()['next']}"
-    written, folders = [], files.Folders(SUMMARY)
-    for table, config in sheet_set(sheets, store.tables(), store.month, params):
-        started = time.monotonic()
-        query, sheet = sheet_query(table, config, store.month, params)
-        path = f"{target}/{folders.name_of(sheet.replace('/', '_'))}"
+    written, folders = [], files.Folders(SUMMARY, TOGETHER)
+    wanted = [
+        (table, config, *sheet_query(table, config, store.month, params))
+        for table, config in sheet_set(sheets, store.tables(), store.month, params)]
+    paths = [f"{target}/{folders.name_of(sheet.replace('/', '_'))}" for *_, sheet in wanted]
+    done = _write_together(store, wanted, paths, f"{target}/{TOGETHER}", params, format)
+    for k, (table, _, query, sheet) in enumerate(wanted):
+        started, path = time.monotonic(), paths[k]
         try:
-            rows = _write_counted(store.query(query, params), path, format)
+            rows, seconds = done[k] if k in done else (_write_counted(store.query(query, params), path, format), 0)
         except Exception as error:  # One bad sheet must not cost the others.
             log.warning("sheet %s skipped: %s", sheet, error)
             continue
@@ -134,7 +141,7 @@ def export_sheets(
             files.delete(spark, path)
             log.info("sheet %s has no rows", sheet)
             continue
-        written.append((table, sheet, rows, round(time.monotonic() - started, 1)))
+        written.append((table, sheet, rows, round(seconds or time.monotonic() - started, 1)))
     summary = spark.createDataFrame(
         [(i, *row) for i, row in enumerate(written, 1)],
         "no int, `table` string, sheet string, rows bigint, seconds double",
@@ -144,6 +151,55 @@ def export_sheets(
     return target, summary
 
 
+def _write_together(
+    store: MonthStore, wanted: Sequence[tuple], paths: Sequence[str], folder: str, params: Mapping[str, object], format: str
+) -> dict[int, tuple[int, float]]:
+    """Rows and seconds of the sheets that could be written with others of their table and columns, by their place in ``wanted``.
+
+    Sheets whose rows are sorted, limited or made by a query of their own are left to be written singly, and so are those whose
+    condition is not valid.
+    """
+    groups: dict[tuple, dict[int, str]] = {}
+    for k, (table, config, _, _) in enumerate(wanted):
+        config = {} if isinstance(config, str) else config
+        if {"sql", "order_by", "limit"} & set(config):
+            continue
+        tag = f"CASE WHEN {config['where']} THEN {k} END" if "where" in config else f"{k}"
+        try:
+            store.query(fill_month(f"SELECT {tag} FROM {table}", store.month, params), params)  # only analysed
+        except Exception as error:
+            log.debug("sheet %s is left to itself: %s", wanted[k][3], error)
+            continue
+        groups.setdefault((table, tuple(config.get("columns", ["*"]))), {})[k] = tag
+    done = {}
+    for (table, columns), tags in groups.items():
+        if len(tags) < 2:
+            continue
+        started = time.monotonic()
+        query = f"SELECT {', '.join(columns)}, array_compact(array({', '.join(tags.values())})) AS `{SHEET}s` FROM {table}"
+        try:
+            tagged = store.query(fill_month(query, store.month, params), params)
+            rows = tagged.select("*", F.explode(f"{SHEET}s").alias(SHEET)).drop(f"{SHEET}s")
+            counted = Observation()
+            writer = rows.observe(counted, *(F.count_if(F.col(SHEET) == k).alias(str(k)) for k in tags)).write.format(format)
+            if format == "csv":
+                writer = writer.option("header", True)
+            with session_settings(store.spark, {"spark.sql.maxConcurrentOutputFileWriters": str(len(tags) + 1)}):
+                writer.partitionBy(SHEET).save(folder)
+            for k in tags:
+                if counted.get[str(k)]:
+                    files.rename(store.spark, f"{folder}/{SHEET}={k}", paths[k])
+        except Exception as error:  # One bad table must not cost the others.
+            log.warning("sheets of %s are written singly: %s", table, error)
+            for k in tags:
+                files.delete(store.spark, paths[k])
+        else:
+            seconds = (time.monotonic() - started) / len(tags)
+            done.update({k: (counted.get[str(k)], seconds) for k in tags})
+        files.delete(store.spark, folder)
+    return done
+
+
 def _write_counted(df: DataFrame, path: str, format: str) -> int:
     counted = Observation()
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(format)

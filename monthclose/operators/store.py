@@ -45,7 +45,7 @@ MONTHS, VERSION = "__months", "__v"
 YM, LOAD, PART = "_ym", "_load", "_part"
 PENDING, DONE, NAMED = "pending", "done", "named"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
-REGISTRY = "load_registry"
+REGISTRY, ARRIVALS = "load_registry", "arrival_registry"
 
 _CREATE = re.compile(
     r"^\s*create\s+(?P<replace>or\s+replace\s+)?table\s+(?P<keep>if\s+not\s+exists\s+)?"
@@ -137,7 +137,7 @@ class MonthStore:
     def tables(self) -> list[str]:
         """Names of all tables, in order."""
         names = {t.name for t in self.spark.catalog.listTables(self.db) if not t.isTemporary}
-        return sorted(n for n in names if not _HIDDEN.search(n) and n != REGISTRY)
+        return sorted(n for n in names if not _HIDDEN.search(n) and n not in (REGISTRY, ARRIVALS))
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self._id(table))

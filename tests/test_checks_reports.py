@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from monthclose.operators import reports
 from monthclose.operators.checks import (
-    Checks, check_value, diff_name, diff_totals, duplicate_keys, grouped_counts, largest_first,
-    show_sums,
+    Checks, TableCheck, check_value, diff_name, diff_totals, duplicate_keys, grouped_counts, largest_first,
+    show_sums, table_checks,
 )
 from monthclose.operators.compare import (
     full_join_null_safe, month_change, reconcile, rows_where_key_in, totals_where_key_in,
@@ -186,6 +187,49 @@ def test_labels_and_sheets_that_share_a_name_are_all_kept(spark, store, tmp_path
     assert total == 8 and sum(spark.read.parquet(str(p)).count() for p in folders) == 8 and len(folders) == 5
 
 
+def test_checks_of_one_table_are_one_scan(spark, store, tmp_path):
+    store.replace("t", kv(spark, ("a", 1.0), ("b", 9.0), ("b", None)))
+    wanted = [TableCheck("none", "k = 'x'"), TableCheck("some", "k = 'b'", expect="nonzero"), TableCheck("two", "k = 'b'", expect=2),
+              TableCheck("sum", value="sum(v)", expect=10.0), TableCheck("shown", "k = 'x'", "sum(v)", None),
+              TableCheck("empty", "k = 'x'", "sum(v)"), TableCheck("month", "k = '${SDM}'")]
+    found = table_checks(store.table("t"), wanted)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("Aggregate") == 1
+    assert [tuple(r)[1:] for r in found.collect()] == [
+        ("zero", "0", "OK"), ("nonzero", "2", "OK"), ("2", "2", "OK"), ("10.0", "10.0", "OK"), ("shown", None, "OK"),
+        ("zero", None, "NG"), ("zero", "0", "OK")]
+    checks = Checks(store, str(tmp_path / "out"), {"SDM": "b"})
+    assert not checks.check_table("t", wanted)
+    assert [r[3] for r in checks.results] == ["OK"] * 5 + ["NG", "NG"]
+    assert not checks.check_table("t", [TableCheck("bad", "nope = 1"), TableCheck("good", expect=3)])
+    assert [r[2:] for r in checks.results[-2:]] == [("no column", "SKIP"), ("3", "OK")]
+    assert not checks.check_table("u", [TableCheck("gone")]) and checks.results[-1][2:] == ("no table", "SKIP")
+    assert checks.check_table("t", []) and table_checks(store.table("t"), []).count() == 0
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_sheets_of_one_table_are_one_scan(spark, store, tmp_path, monkeypatch, format):
+    store.replace("t", kv(spark, ("a", 1.0), ("b", 9.0), ("b", 3.0), (None, 4.0)))
+    singly = []
+    write = reports._write_counted
+    monkeypatch.setattr(reports, "_write_counted", lambda df, path, f: singly.append(path.rsplit("/", 1)[-1]) or write(df, path, f))
+    sheets = {"t": ["all", {"sheet": "b/${SDM}", "where": "k = 'b' OR v > 100"}, {"sheet": "none", "where": "v < 0"},
+                    {"sheet": "keys", "columns": ["k"], "where": "v > 1"}, {"sheet": "again", "columns": ["k"]},
+                    {"sheet": "top", "order_by": "v DESC", "limit": 1}, {"sheet": "bad", "where": "nope = 1"}]}
+    path, summary = export_sheets(store, "job", sheets, str(tmp_path / "o"), {"SDM": "x"}, format=format)
+    assert singly == ["top"]  # and the bad one is skipped
+    assert [(r.sheet, r.rows) for r in summary.where("no > 0").orderBy("no").collect()] == [
+        ("all", 4), ("b/x", 2), ("keys", 3), ("again", 4), ("top", 1)]
+    read = spark.read.option("header", True).format(format)
+    found = {p.name: read.load(str(p)) for p in sorted((tmp_path / "o/job_202601_v0.01").iterdir())}
+    counts = {n: df.count() for n, df in found.items()}
+    assert sorted(counts) == ["again", "all", "b_x", "keys", "top", "요약"]
+    assert (counts["all"], counts["b_x"], counts["top"]) == (4, 2, 1)
+    if format == "parquet":  # a row of one empty field is a blank line in CSV
+        assert (counts["again"], counts["keys"], counts["요약"]) == (4, 3, 6)
+    assert found["all"].columns == ["k", "v"] and found["keys"].columns == ["k"]
+
+
 def test_with_total_of_nothing(spark):
     empty = spark.createDataFrame([], "no int, `table` string, sheet string, rows bigint")
     assert [tuple(r) for r in with_total(empty).collect()] == [(None, "합계", None, 0)]
