@@ -129,6 +129,17 @@ def m5_skip_loaded(spark, sf):
     return registry.withColumn("skipped", F.lit(sum(len(r.skipped) for r in runs)).cast("bigint"))
 
 
+def m2_merged_loads(spark, sf):
+    """Loads of two months, each with rows of all months, merged: the rows of every month and how many loads were merged."""
+    store, lines = new_store(spark, "m2m"), _lines(spark, sf)
+    for part, month in enumerate((MONTH, BEFORE)):
+        store.load_month("l", lines.where(F.col("ln") % 2 == part), "ym", month=month, many_months=True)
+    merged = store.merge_loads("l")
+    held = store.months_rows("l", "199501", "199912").groupBy("ym").agg(
+        F.count("*").alias("n"), F.sum("k").alias("keys"))
+    return held.withColumn("merged", F.lit(merged > 0))
+
+
 def _deliver(df, line, folder, name):
     """One file for each value of the column ``n``: ``folder/name`` with the value in it."""
     drop = work_dir(df.sparkSession, "delivery")
@@ -344,6 +355,9 @@ ORACLE = {
     "m5_skip_loaded": f"""select 'c' as table_name, 'c_{MONTH}.dat' as file_name,
         (select count(*) from customer) as row_count, cast(1 as bigint) as skipped
         from (values (1), (2)) v(i)""",
+    "m2_merged_loads": f"""select strftime(l_shipdate, '%Y%m') as ym, count(*) as n, cast(sum(l_orderkey) as bigint) as keys,
+        true as merged from lineitem where strftime(l_shipdate, '%Y%m') between '199501' and '199912'
+        and not (strftime(l_shipdate, '%Y%m') = '{BEFORE}' and l_linenumber % 2 = 0) group by 1""",
     "m5_arrivals": """select 'orders_' || (o_orderkey % 4) || '.dat' as file_name, count(*) as row_count, count(*) as held,
         count(distinct strftime(o_orderdate, '%Y%m')) as months, cast(sum(o_orderkey) as bigint) as keys
         from orders where o_orderkey % 4 <> 3 or o_orderkey % 8 = 3 group by 1""",

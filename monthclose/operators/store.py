@@ -43,7 +43,7 @@ from monthclose.sources.jdbc import read_text
 
 MONTHS, VERSION = "__months", "__v"
 YM, LOAD, PART = "_ym", "_load", "_part"
-PENDING, DONE, NAMED = "pending", "done", "named"
+PENDING, DONE, NAMED, MERGED = "pending", "done", "named", "merged"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 REGISTRY, ARRIVALS = "load_registry", "arrival_registry"
 
@@ -71,6 +71,11 @@ def _columns(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
+def _text(value: str) -> str:
+    """A text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _unfit(counted: Mapping[str, int]) -> bool:
     """Whether a write met lines that must not be stored as they were read."""
     return bool(counted.get("bad") or counted.get("garbled"))
@@ -143,9 +148,15 @@ class MonthStore:
         return self.spark.table(self._id(table))
 
     def month_rows(self, table: str, month: str) -> DataFrame:
-        """The rows of one month, with partition pruning."""
-        rows = self.spark.table(self._id(table + MONTHS))
-        return rows.where(F.col(YM) == month).drop(YM, LOAD)
+        """The rows of one month that count, with partition pruning."""
+        return self.months_rows(table, month, month)
+
+    def months_rows(self, table: str, first: str, last: str) -> DataFrame:
+        """The rows of some months that count; only the folders of these months are listed and read."""
+        rows = self.spark.table(self._id(table + MONTHS)).where(F.col(YM).between(first, last))
+        for condition in self._conditions(table + MONTHS):
+            rows = rows.where(condition)
+        return rows.drop(YM, LOAD)
 
     def _id(self, table: str) -> str:
         return f"`{self.db}`.`{table}`"
@@ -210,6 +221,9 @@ class MonthStore:
         for kind, load, *month in (name.split("=") for name in names):
             if kind == PENDING:
                 unwanted = self._partitions(physical, LOAD, load)
+            elif kind == MERGED:
+                months = self._merged_months(physical, load)
+                unwanted = [p for p in self._partitions(physical) if p[0] in months and "." not in p[1] and p[1] != load]
             elif kind == NAMED:
                 name = load.split(".", 1)[1]
                 unwanted = [p for p in self._partitions(physical) if p[1] != load and p[1].split(".", 1)[-1] == name]
@@ -250,20 +264,58 @@ class MonthStore:
         physical = table + MONTHS
         self._drop_plain(table)
         shown = ", ".join(f"`{c}`" for c in self.spark.table(self._id(physical)).columns[:-2])
+        conditions = self._conditions(physical)
+        where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(physical)}{where}"
+        )
+
+    def _conditions(self, physical: str) -> list[str]:
+        """What rows must meet to count, while a load is being written or what it replaced is still there."""
         conditions = []
         for name in files.list_names(self.spark, self._state(physical)):
             kind, load, *month = name.split("=")
             other = f"{LOAD} <> '{load}'"
             if kind == NAMED:
                 other = f"NOT (substr({LOAD}, 14) = '{load[13:]}' AND {other})"
+            elif kind == MERGED:
+                months = ", ".join(_text(m) for m in self._merged_months(physical, load))
+                other = f"NOT (array_contains(array({months}), coalesce({YM}, '')) AND instr({LOAD}, '.') = 0 AND {other})"
             elif kind == DONE:
-                value = unquote(month[0]).replace("\\", "\\\\").replace("'", "\\'")
-                other = f"NOT ({YM} <=> '{value}' AND {other})"
+                other = f"NOT ({YM} <=> {_text(unquote(month[0]))} AND {other})"
             conditions.append(other)
-        where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(physical)}{where}"
-        )
+        return conditions
+
+    def merge_loads(self, table: str, least: int = 2) -> int:
+        """Write the loads of each month that has ``least`` or more as one, in place of them; returns how many there were.
+
+        Loads with a name of their own stay, as they can be replaced. The new load counts, and the old ones no longer do, from the
+        renaming of one file on. Rows are shared out evenly: a large month is several tasks, a small one a single file.
+        """
+        physical = table + MONTHS
+        self._clean_up(table)
+        loads: dict[str, list[str]] = {}
+        for month, load in self._partitions(physical):
+            if month is not None and "." not in load:
+                loads.setdefault(month, []).append(load)
+        months = sorted(m for m, found in loads.items() if len(found) >= least)
+        if not months:
+            return 0
+        load = _new_id()
+        mark = f"{self._state(physical)}/{PENDING}={load}"
+        files.write_small(self.spark, mark, json.dumps(months))
+        self._show_months(table)
+        old = self.spark.table(self._id(physical)).where(F.col(YM).isin(months) & (F.instr(LOAD, ".") == 0))
+        columns = [F.col(f"`{c}`") for c in old.columns if c not in (YM, LOAD)]
+        merged = old.where(F.col(LOAD) != load).select(*columns, YM, F.lit(load).alias(LOAD)).hint("rebalance", YM)
+        self._write(merged, lambda out: out.write.insertInto(self._id(physical)))
+        files.rename(self.spark, mark, f"{self._state(physical)}/{MERGED}={load}")
+        self._show_months(table)
+        self._clean_up(table)
+        return sum(len(loads[m]) for m in months)
+
+    def _merged_months(self, physical: str, load: str) -> list[str]:
+        return json.loads(files.read_small(self.spark, f"{self._state(physical)}/{MERGED}={load}"))
 
     def _partitions(self, physical: str, column: str = "", value: str = "") -> list[tuple[str | None, str]]:
         """Month and load of the partitions, or of those that have a value (names only, a few per month)."""

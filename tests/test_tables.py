@@ -388,3 +388,46 @@ def test_append_keeps_the_columns(spark, store, rows):
     store.load_month("m", frame(spark, ("202601", "a", 1.0)), "ym")
     with pytest.raises(ValueError):
         store.append("m", frame(spark, ("202601", "a", 1.0)))
+
+
+def _files(folder):
+    return [p for p in folder.rglob("*.parquet") if not p.name.startswith(".")]
+
+
+@pytest.mark.parametrize("step", [None, "+_write", "rename", "+rename", "_clean_up"])
+def test_merged_loads_have_the_same_rows_in_fewer_files(spark, tmp_path, rows, monkeypatch, step):
+    label = f"merge{(step or 'none').strip('+').replace('_', '')}{str(step).startswith('+')}".lower()
+    root = tmp_path / "s"
+    store = MonthStore(spark, str(root), "202601", f"one{label}")
+    for k in range(4):  # every load has rows of a later month, of a month that needs quoting, and of none
+        many = spark.range(40).select(
+            F.element_at(F.array(*map(F.lit, ("202602", "it's", "202603"))), (F.col("id") % 3 + 1).cast("int")).alias("ym"),
+            F.concat(F.lit(f"l{k}-"), "id").alias("k"), F.col("id").cast("double").alias("v"))
+        store.load_month("t", many.unionByName(frame(spark, (None, f"none{k}", 0.0), ("202601", f"this{k}", 1.0))), "ym")
+    store.add_load("t", frame(spark, ("202602", "arrival", 1.0)), "ym", "x")
+    before, count = rows(store.table("t")), len(_files(root))
+    reader = store.table("t").select("ym", "k")  # resolved now, read after the switch
+    with monkeypatch.context() as patched:
+        if step is None:
+            clean_up = MonthStore._clean_up
+            patched.setattr(MonthStore, "_clean_up", lambda self, t: (len(rows(reader)) == len(before) or 1 / 0, clean_up(self, t)))
+            assert store.merge_loads("t") == 12
+        elif step == "_clean_up":
+            clean_up, calls = MonthStore._clean_up, []
+            patched.setattr(MonthStore, "_clean_up", lambda self, t: clean_up(self, t) if not calls.append(1) and len(calls) == 1
+                            else (_ for _ in ()).throw(Died()))
+            with pytest.raises(Died):
+                store.merge_loads("t")
+        else:
+            _dies(patched, files if "rename" in step else MonthStore, step)
+            with pytest.raises(Died):
+                store.merge_loads("t")
+    other = MonthStore(spark, str(root), "202601", f"two{label}")
+    assert rows(other.table("t")) == before
+    if step is None:
+        assert len(_files(root)) < count and store.merge_loads("t") == 0
+        plan = store.months_rows("t", "202602", "202602")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters" in plan and "202602" in plan.split("PartitionFilters")[1].split("]")[0]
+    other.load_month("t", frame(spark, ("202602", "fresh", 1.0)), "ym", month="202602")
+    assert sorted(r[1] for r in other.month_rows("t", "202602").collect()) == ["fresh"]
+    assert len([r for r in other.table("t").collect() if r[0] != "202602"]) == len([r for r in before if r[0] != "202602"])
