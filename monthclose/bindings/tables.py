@@ -11,6 +11,7 @@ from monthclose.bindings.common import (
 )
 from monthclose.functions.casts import total
 from monthclose.functions.months import in_months, month_of, month_params
+from monthclose.operators.derived import KeptSums
 from monthclose.operators.registry import LoadRegistry, latest_loads, not_yet_loaded
 from monthclose.operators.store import MonthStore
 from monthclose.plans import premium, samples
@@ -140,6 +141,17 @@ def m2_merged_loads(spark, sf):
     return held.withColumn("merged", F.lit(merged > 0))
 
 
+def m6_kept_sums(spark, sf):
+    """Sums by key kept up when one month is replaced: equal to a full rebuild, and one month is read."""
+    store, lines = new_store(spark, "m6k"), _lines(spark, sf)
+    sums = KeptSums(store, "kept", "l", ["ln"], {"qty": "cast(qty as bigint)", "n": "cast(1 as bigint)"})
+    store.load_month("l", lines, "ym", many_months=True)
+    sums.refresh()
+    store.load_month("l", lines.where((F.col("ym") == MONTH) & (F.col("ln") < 4)), "ym")
+    months = sums.refresh()
+    return sums.frame().withColumn("months_read", F.lit(months))
+
+
 def _deliver(df, line, folder, name):
     """One file for each value of the column ``n``: ``folder/name`` with the value in it."""
     drop = work_dir(df.sparkSession, "delivery")
@@ -358,6 +370,9 @@ ORACLE = {
     "m2_merged_loads": f"""select strftime(l_shipdate, '%Y%m') as ym, count(*) as n, cast(sum(l_orderkey) as bigint) as keys,
         true as merged from lineitem where strftime(l_shipdate, '%Y%m') between '199501' and '199912'
         and not (strftime(l_shipdate, '%Y%m') = '{BEFORE}' and l_linenumber % 2 = 0) group by 1""",
+    "m6_kept_sums": f"""select l_linenumber as ln, cast(sum(cast(l_quantity as bigint)) as bigint) as qty,
+        count(*) as n, 1 as months_read from lineitem
+        where strftime(l_shipdate, '%Y%m') <> '{MONTH}' or l_linenumber < 4 group by 1""",
     "m5_arrivals": """select 'orders_' || (o_orderkey % 4) || '.dat' as file_name, count(*) as row_count, count(*) as held,
         count(distinct strftime(o_orderdate, '%Y%m')) as months, cast(sum(o_orderkey) as bigint) as keys
         from orders where o_orderkey % 4 <> 3 or o_orderkey % 8 = 3 group by 1""",

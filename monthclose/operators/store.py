@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 
 from monthclose.functions.casts import month_text
 from monthclose.functions.months import fill_params
-from monthclose.operators import pointer
+from monthclose.operators import pointer as pointers
 from monthclose.operators.pointer import Pointer
 from monthclose.sources import files
 from monthclose.sources.delimited import BAD
@@ -97,12 +97,12 @@ class MonthStore:
         With a catalog that ends with the process these are the tables of earlier processes.
         """
         for table in files.list_names(self.spark, f"{self.root}/{self.month}/_state"):
-            if self._pointer(table) and not table.endswith(MONTHS):
+            if self.pointer(table) and not table.endswith(MONTHS):
                 self._show_version(table)
         known = files.list_names(self.spark, f"{self.root}/{self.month}/_schema")
         for name in sorted({*files.list_names(self.spark, f"{self.root}/{self.month}"), *known}):
             months = name.endswith(MONTHS)
-            if self.exists(name) or (_HIDDEN.search(name) and not months) or months and self._pointer(name[: -len(MONTHS)]):
+            if self.exists(name) or (_HIDDEN.search(name) and not months) or months and self.pointer(name[: -len(MONTHS)]):
                 continue
             path = f"{self.root}/{self.month}/{name}"
             schema = self._stored_schema(name, path)
@@ -161,6 +161,19 @@ class MonthStore:
     def _id(self, table: str) -> str:
         return f"`{self.db}`.`{table}`"
 
+    def loads(self, table: str) -> list[tuple[str | None, str]]:
+        """(month, load) of all that counts in a month table: names only."""
+        self._clean_up(table)
+        return self._partitions(table + MONTHS)
+
+    def load_rows(self, table: str) -> DataFrame:
+        """All rows of a month table, with the columns of their month and load."""
+        return self.spark.table(self._id(table + MONTHS))
+
+    def month_schema(self, table: str) -> StructType:
+        """The declared columns of a month table."""
+        return StructType([f for f in self.load_rows(table).schema if f.name not in (YM, LOAD)])
+
     # -- writing -------------------------------------------------------------------------------
 
     def load_month(
@@ -240,7 +253,7 @@ class MonthStore:
         tagged = df.select("*", ym.alias(YM), F.lit(load).alias(LOAD))
         if many_months:
             tagged = tagged.hint("rebalance", YM)
-        if self.exists(table + MONTHS) and not self._pointer(table):
+        if self.exists(table + MONTHS) and not self.pointer(table):
             self._clean_up(table)
         else:  # a table of the other kind stays until the first load counts
             self._drop_months(table)
@@ -259,7 +272,7 @@ class MonthStore:
 
     def _show_months(self, table: str) -> None:
         """Make the view: the declared columns of all rows but those of loads that do not count."""
-        if self._pointer(table):
+        if self.pointer(table):
             return  # not yet, or no longer
         physical = table + MONTHS
         self._drop_plain(table)
@@ -341,10 +354,11 @@ class MonthStore:
     def _pointers(self, table: str) -> str:
         return f"{self.root}/{self.month}/_state/{table.lower()}"
 
-    def _pointer(self, table: str) -> Pointer | None:
-        return pointer.current(self.spark, self._pointers(table))
+    def pointer(self, table: str) -> Pointer | None:
+        """Which version of a table counts; None for one that is loaded by months."""
+        return pointers.current(self.spark, self._pointers(table))
 
-    def _version(self, table: str, version: str) -> tuple[str, str]:
+    def version(self, table: str, version: str) -> tuple[str, str]:
         """Catalog name and folder of a version."""
         name = f"{table.lower()}{VERSION}{version}"
         return name, f"{self.root}/{self.month}/{name}"
@@ -352,18 +366,18 @@ class MonthStore:
     def replace(self, table: str, df: DataFrame) -> dict[str, int]:
         """Replace a whole table, or create it. With malformed rows (see above) nothing is replaced."""
         version, part = _new_id(), _new_id()
-        folder = self._version(table, version)[1]
+        folder = self.version(table, version)[1]
         counted = self._write(df, lambda out: out.write.parquet(f"{folder}/{PART}={part}"))
         if _unfit(counted):
             files.delete(self.spark, folder)
             return counted
         schema = StructType([f for f in df.schema if f.name not in (BAD, GARBLED)])
-        self._commit(table, Pointer(version, (part,), schema))
+        self.point(table, Pointer(version, (part,), schema))
         return counted
 
     def append(self, table: str, df: DataFrame) -> dict[str, int]:
         """Add rows by position, creating the table if it is not there. With malformed rows nothing is added."""
-        now = self._pointer(table)
+        now = self.pointer(table)
         if now is None:
             if self.exists(table + MONTHS):
                 raise ValueError(f"{table} is loaded by months")
@@ -375,40 +389,55 @@ class MonthStore:
             raise ValueError(f"{table} has {len(now.schema)} columns, not {len(names)}")
         fitted = [F.col(f"`{c}`").cast(f.dataType).alias(f.name) for c, f in zip(names, now.schema, strict=True)]
         out = df.select(*fitted, *(c for c in (BAD, GARBLED) if c in df.columns))
-        part, folder = _new_id(), self._version(table, now.version)[1]
+        part, folder = _new_id(), self.version(table, now.version)[1]
         counted = self._write(out, lambda rows: rows.write.parquet(f"{folder}/{PART}={part}"))
         if _unfit(counted):
             files.delete(self.spark, f"{folder}/{PART}={part}")
         else:
-            self._commit(table, now._replace(parts=(*now.parts, part)))
+            self.point(table, now._replace(parts=(*now.parts, part)))
         return counted
 
-    def _commit(self, table: str, new: Pointer) -> None:
-        pointer.commit(self.spark, self._pointers(table), new)
+    def point(self, table: str, new: Pointer) -> None:
+        """From here on ``new`` is the table; what was written for it must be complete."""
+        pointers.commit(self.spark, self._pointers(table), new)
         self._show_version(table)
         self._sweep(table)
 
     def _show_version(self, table: str) -> None:
         """Make the view of the version that counts."""
-        now = self._pointer(table)
-        name, folder = self._version(table, now.version)
+        now = self.pointer(table)
+        name, folder = self.version(table, now.version)
         if not self.exists(name):
             self.spark.sql(f"CREATE TABLE {self._id(name)} ({_columns(now.schema)}, {PART} string) USING parquet "
                            f"PARTITIONED BY ({PART}) LOCATION '{folder}'")
-        known = {row[0].split("=", 1)[1] for row in self.spark.sql(f"SHOW PARTITIONS {self._id(name)}").collect()}
-        missing = " ".join(f"PARTITION ({PART}='{part}')" for part in now.parts if part not in known)
-        if missing:
-            self.spark.sql(f"ALTER TABLE {self._id(name)} ADD IF NOT EXISTS {missing}")
         self._drop_plain(table)
-        shown = ", ".join(f"`{f.name}`" for f in now.schema)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(name)}")
+        known = {row[0].split("=", 1)[1] for row in self.spark.sql(f"SHOW PARTITIONS {self._id(name)}").collect()}
+        missing, gone = sorted(set(now.parts) - known), sorted(known - set(now.parts))
+
+        def show(but: list[str]) -> None:
+            shown = ", ".join(f"`{f.name}`" for f in now.schema)
+            where = f" WHERE {PART} NOT IN ({', '.join(map(_text, but))})" if but else ""
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self._id(table)} AS SELECT {shown} FROM {self._id(name)}{where}")
+
+        def alter(action: str, parts: list[str], between: str) -> None:
+            if parts:
+                listed = between.join(f"PARTITION ({PART}='{part}')" for part in parts)
+                self.spark.sql(f"ALTER TABLE {self._id(name)} {action} {listed}")
+
+        if gone and missing:  # all come and go by one view
+            show(missing)
+        alter("ADD IF NOT EXISTS", missing, " ")
+        if gone:
+            show(gone)
+            alter("DROP IF EXISTS", gone, ", ")
+        show([])
 
     def _sweep(self, table: str) -> None:
         """Delete what does not count any more: older pointers, other versions, parts that were not committed, month loads."""
-        now = self._pointer(table)
-        pointer.forget_older(self.spark, self._pointers(table))
+        now = self.pointer(table)
+        pointers.forget_older(self.spark, self._pointers(table))
         self._drop_versions(table, but=now.version)
-        folder = self._version(table, now.version)[1]
+        folder = self.version(table, now.version)[1]
         for name in files.list_names(self.spark, folder, hidden=True):
             if name.startswith(f"{PART}=") and name.split("=", 1)[1] not in now.parts:
                 files.delete(self.spark, f"{folder}/{name}")
@@ -424,8 +453,8 @@ class MonthStore:
 
     def _leave_versions(self, table: str) -> None:
         """From here on the month loads are the table."""
-        if self._pointer(table):
-            pointer.forget_older(self.spark, self._pointers(table))
+        if self.pointer(table):
+            pointers.forget_older(self.spark, self._pointers(table))
             files.delete(self.spark, self._pointers(table))
             self._show_months(table)
         self._drop_versions(table)

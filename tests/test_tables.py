@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from monthclose.operators.derived import KeptSums
 from monthclose.operators.registry import LoadRegistry, latest_loads, not_yet_loaded
 from monthclose.operators.store import MonthStore
 from monthclose.plans.load import load_set
@@ -431,3 +432,48 @@ def test_merged_loads_have_the_same_rows_in_fewer_files(spark, tmp_path, rows, m
     other.load_month("t", frame(spark, ("202602", "fresh", 1.0)), "ym", month="202602")
     assert sorted(r[1] for r in other.month_rows("t", "202602").collect()) == ["fresh"]
     assert len([r for r in other.table("t").collect() if r[0] != "202602"]) == len([r for r in before if r[0] != "202602"])
+
+
+def test_kept_sums_read_the_loads_that_are_new(spark, store, rows):
+    def load(month, *found):
+        store.load_month("t", frame(spark, *found), "ym", month=month)
+
+    def rebuilt():
+        return rows(store.table("t").groupBy("k").agg(F.sum("v"), F.sum(F.lit(1).cast("bigint"))))
+
+    sums = KeptSums(store, "kept", "t", ["k"], {"v": "v", "n": "cast(1 as bigint)"})
+    load("202601", ("202601", "a", 1.0), ("202601", None, 2.0), (None, "a", 5.0))
+    load("202602", ("202602", "a", 3.0), ("202602", "b", 4.0))
+    assert sums.refresh() == 3 and rows(sums.frame()) == rebuilt()
+    assert sums.refresh() == 0 and rows(sums.frame()) == rebuilt()
+    load("202602", ("202602", "c", 7.0))
+    changed = sums.changed().inputFiles()
+    assert changed and all("_ym=202602/" in f for f in changed)
+    assert sums.refresh() == 1 and rows(sums.frame()) == rebuilt()
+    load("202601")  # an empty month: nothing to read, its sums go
+    assert sums.refresh() == 0 and rows(sums.frame()) == rebuilt()
+    store.add_load("t", frame(spark, ("202601", "a", 1.0)), "ym", "x")
+    load("202602", ("202602", "d", 1.0), ("202603", "d", 1.0))
+    load("202604", ("202603", "d", 2.0))
+    store.merge_loads("t")
+    assert sums.refresh() >= 2 and rows(sums.frame()) == rebuilt()
+    other = KeptSums(store, "kept", "t", ["k", "ym"], {"v": "v"})  # sums of another kind take the table over
+    assert other.refresh() == len(store.loads("t"))
+    assert rows(other.frame()) == rows(store.table("t").groupBy("k", "ym").agg(F.sum("v")))
+    again = MonthStore(spark, store.root, store.month, store.name + "b")
+    assert KeptSums(again, "kept", "t", ["k", "ym"], {"v": "v"}).refresh() == 0
+
+
+@pytest.mark.parametrize("step", ["+point", "point", "rename"])
+def test_kept_sums_that_die_are_made_again(spark, store, rows, monkeypatch, step):
+    sums = KeptSums(store, "kept", "t", ["k"], {"v": "v"})
+    store.load_month("t", frame(spark, ("202601", "a", 1.0)), "ym")
+    sums.refresh()
+    store.load_month("t", frame(spark, ("202602", "a", 2.0)), "ym", month="202602")
+    with monkeypatch.context() as patched:
+        _dies(patched, files if step == "rename" else MonthStore, step)
+        with pytest.raises(Died):
+            sums.refresh()
+    assert rows(sums.frame()) == [("a", 3.0 if step == "+point" else 1.0)]
+    sums.refresh()
+    assert rows(sums.frame()) == [("a", 3.0)]
