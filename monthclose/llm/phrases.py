@@ -182,12 +182,26 @@ def bloom(keys: DataFrame) -> Bloom:
     return Bloom(words)
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[bytes | None]:
+    """The texts of a batch, a few at a time."""
+    for at in range(0, len(batch), 256):
+        yield from batch.column(1).slice(at, 256).cast(pa.binary()).to_pylist()
+
+
+def _stretches(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The stretches of ``data`` from ``start`` to ``end`` as texts."""
+    length = end - start
+    offsets = np.concatenate([[0], np.cumsum(length)])
+    place = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], length)
+    return pa.Array.from_buffers(
+        pa.string(), len(start), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[place])])
+
+
 def _blocks(batch: pa.RecordBatch, langs: list[str], moduli, block: int) -> Iterator[Block]:
     """Blocks of a batch (lang, text, ...)."""
-    texts = batch.column(1).cast(pa.binary()).to_pylist()
     salts = np.array([zlib.crc32(x.encode()) * 0x9E3779B97F4A7C15 & 0x3FFFFFFFFFFFFFFF for x in langs], np.uint64)
     held, rows, size = [], [], 0
-    for k, text in enumerate(texts):
+    for k, text in enumerate(_texts(batch)):
         if not text:
             continue
         if len(text) > block:
@@ -293,26 +307,22 @@ def frequent_phrases(
             langs = batch.column(0).to_pylist()
             lang = np.unique(langs, return_inverse=True)[1]
             ids = batch.column(2).fill_null(np.iinfo(np.int64).max).to_numpy()
+            names_of = pa.array(langs, pa.string())
+            some = dict(zip(lang.tolist(), range(len(lang)), strict=True))
             for b in _blocks(batch, langs, moduli, block):
-                new = np.bincount(lang[b.row[b.carry :]], minlength=lang.max() + 1)
-                rows = {name: [] for name in names}
-                some = {code: k for k, code in enumerate(lang)}
-                for code in np.flatnonzero(new):
-                    for name, value in zip(names, (langs[some[code]], 0, "", int(new[code]), None), strict=True):
-                        rows[name].append(value)
-                text = b.bytes.tobytes()
+                words = np.bincount(lang[b.row[b.carry :]])
+                seen = np.flatnonzero(words)
+                empty = pa.nulls(len(seen), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [names_of.take(pa.array([some[code] for code in seen.tolist()], pa.int64())), pa.array(np.zeros(len(seen), np.int32)),
+                     pa.array([""] * len(seen), pa.string()), pa.array(words[seen]), empty], names=names)
                 for n in range(1, LONGEST + 1):
                     at = b.stretches(n)
                     at = at[(short if n < 3 else long).value.holds(b.prints(at, n))]
                     for first, count, owner in _phrases(b, at, n, lang, ids):
-                        begin, end = b.start[first].tolist(), b.end[first + n - 1].tolist()
-                        rows["phrase"] += [text[s:e].decode() for s, e in zip(begin, end, strict=True)]
-                        rows["lang"] += [langs[k] for k in b.row[first].tolist()]
-                        rows["n"] += [n] * len(first)
-                        rows["f"] += count.tolist()
-                        rows["id"] += owner.tolist()
-                kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in zip(names, kinds, strict=True)], names=names)
+                        yield pa.RecordBatch.from_arrays(
+                            [names_of.take(pa.array(b.row[first])), pa.array(np.full(len(first), n, np.int32)),
+                             _stretches(b.bytes, b.start[first], b.end[first + n - 1]), pa.array(count), pa.array(owner)], names=names)
 
     found = texts.mapInArrow(run, "lang string, n int, phrase string, f long, id long")
     summed = found.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"), F.min("id").alias("id"))
