@@ -1,214 +1,355 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-Every token is predicted from the tokens on both sides of it, itself masked; the sum of the log-probabilities scores the
-document. A token is a lower-case stretch between white space, hashed to one of ``BUCKETS`` buckets. The corpus counts of the buckets are
-taken over all documents; they cut the buckets into ``CLASSES`` classes of about equal mass. The network (embeddings by
-place and class, one tanh layer, softmax) predicts the class; within its class a bucket has its share of the counts:
-P(token | context) = P(class | context) * count(bucket) / count(class).
-
-Training reads all documents: every partition trains a copy by stochastic gradients in numpy, in row order; the copies are averaged
-by their number of tokens, and the average starts the next round. Nothing but counts and weights leaves a task.
-
-Defined results: NULL and blank texts have no tokens, log-probability 0 and mean 0. Beyond the ends of a document stands a padding class.
-Equal texts have equal scores. Without any token in the corpus the untrained network is used, which no row needs.
+Every token is predicted from the ``SIDE`` tokens before and after it, itself masked; the sum of the log-probabilities scores the
+document. A token is a lower-case stretch between white space.
+
+Counts of all tokens of the corpus are a table that grows with it. The ``OWN`` most frequent tokens are leaves of a Huffman tree, and all
+others share ``RARE`` leaves by hash. The network predicts the leaf as a row of two-way decisions from the root down. Each decision has a
+bias and direct connections from the nearest token on either side (hashed to ``SLOTS`` weights); the ``TOP`` heaviest decisions also
+see a tanh layer over embeddings of the window. A token of a shared leaf has its share of the leaf's count, looked up in the
+table by a join: P(token | context) = P(leaf | context) * count(token) / count(leaf). A token that the corpus lacks counts once,
+and each shared leaf has room for one.
+
+Training reads all documents once. They are dealt by a hash of id and text to shards of about ``SHARD_TOKENS`` tokens, and each
+shard trains a copy in numpy, in the order of that hash; so the result does not hang on the partitions of the table. Of the copies a
+weighted mean is taken, in which each weight counts by the squared gradients that shaped it. Nothing but counts and weights leaves a task.
+Rows that are equal in id and text are in one shard: many of them make one task long, not large.
+
+Defined results: NULL and blank texts have no tokens, log-probability 0 and mean 0. Beyond the ends of a document stands a padding token.
+Equal texts have equal scores. Without any token in the corpus the untrained network is used. Rows with repeated or NULL ids
+are scored singly; other columns are not looked at. Different tokens with one 64-bit hash would count as one.
 """
 
 from __future__ import annotations
 
-import zlib
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import small_batches
+from monthclose.llm.common import small_batches, stored
+
+#: Tokens with a leaf of their own, leaves that the others share, and the padding beyond the ends of a document.
+OWN, RARE = 60_000, 4096
+PAD = OWN + RARE
+#: Places on each side, hidden units, rows of embeddings by place, decisions that see the hidden layer, direct weights.
+SIDE, HIDDEN, EMBEDDED, TOP, SLOTS = 2, 16, 4096, 128, 1 << 21
+#: Tokens of a shard, of a gradient step and of a step of scoring, and the step size.
+SHARD_TOKENS, STEP_TOKENS, AT_ONCE, RATE = 1 << 23, 1024, 1 << 13, 0.1
+
+_LEFT, _RIGHT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
-#: Buckets, classes, hidden units, places on each side.
-BUCKETS, CLASSES, HIDDEN, SIDE = 1 << 16, 64, 16, 2
-#: Rounds of training, tokens of a gradient step, step size, and words whose bucket a worker remembers.
-ROUNDS, STEP_TOKENS, RATE, REMEMBERED = 1, 1024, 0.5, 400_000
-#: Tokens that are scored at once.
-AT_ONCE = 16_384
 
-_bucket_of: dict[str, int] = {}
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(end of each text in tokens, number of each token's word, the different words)."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    flat = lists.flatten().dictionary_encode()
+    which, known = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+    if "" in known:  # beside white space at either end
+        real = which != known.index("")
+        ends = np.concatenate([[0], np.cumsum(real)])[ends]
+        which = which[real]
+    return ends, which, known
 
 
-def buckets(text: str | None) -> np.ndarray:
-    """The bucket of every token."""
-    words = (text or "").lower().split()
-    known = _bucket_of
-    if len(known) > REMEMBERED:
-        known.clear()
-    out = []
-    for word in words:
-        bucket = known.get(word)
-        if bucket is None:
-            bucket = known[word] = zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS
-        out.append(bucket)
-    return np.array(out, np.int32)
+def hashes(known: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in known], np.uint64).view(np.int64)
+
+
+def shared_leaf(hashed: np.ndarray) -> np.ndarray:
+    return OWN + (hashed % RARE)
 
 
 @dataclass
 class Network:
-    """Class of every bucket, log share of every bucket in its class, and the weights as one vector."""
+    """Hashes of the tokens with a leaf of their own (sorted) and their leaves, counts of the leaves, and the weights as one vector."""
 
-    classes: np.ndarray
-    log_share: np.ndarray
+    own: np.ndarray
+    leaf: np.ndarray
+    counts: np.ndarray
     weights: np.ndarray
 
+    @classmethod
+    def new(cls, own: np.ndarray, own_counts: np.ndarray, rare_counts: np.ndarray) -> Network:
+        """``own`` and its counts by descending count; ``rare_counts`` by shared leaf."""
+        counts = np.zeros(PAD)
+        counts[: len(own)], counts[OWN:] = own_counts, rare_counts + 1
+        order = np.argsort(own)
+        network = cls(own[order], order.astype(np.int64), counts, np.zeros(0, np.float32))
+        parts = [np.zeros(s) for s in cls.shapes()]
+        parts[0] = np.random.default_rng(7).normal(0, 0.1, parts[0].shape)
+        left, right = network.tree[3]
+        parts[4][: len(left)] = np.log(left / right)
+        network.weights = np.concatenate([p.reshape(-1) for p in parts]).astype(np.float32)
+        return network
+
     @staticmethod
     def shapes() -> list[tuple[int, ...]]:
-        return [(2 * SIDE, CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
+        """Embeddings, hidden bias, hidden to decisions, direct weights, biases of decisions."""
+        return [(2 * SIDE * EMBEDDED, HIDDEN), (HIDDEN,), (HIDDEN, TOP), (SLOTS,), (PAD,)]
 
     @classmethod
-    def new(cls, counts: np.ndarray) -> Network:
-        """From the counts of the buckets. Each has one added, so that a bucket not seen in the corpus has a share."""
-        counts = counts.astype(float) + 1
-        order = np.lexsort((np.arange(BUCKETS), -counts))
-        mass = np.cumsum(counts[order]) - counts[order] / 2
-        classes = np.empty(BUCKETS, np.int32)
-        classes[order] = np.minimum((mass / counts.sum() * CLASSES).astype(int), CLASSES - 1)
-        of_class = np.bincount(classes, counts, CLASSES)
-        random = np.random.default_rng(7)
-        parts = [random.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s) for s in cls.shapes()]
-        parts[3] = np.log(np.maximum(of_class, 1) / counts.sum())
-        weights = np.concatenate([p.reshape(-1) for p in parts]).astype(np.float32)
-        return cls(classes, np.log(counts / of_class[classes]).astype(np.float32), weights)
-
-    def parts(self, weights: np.ndarray) -> list[np.ndarray]:
+    def parts(cls, vector: np.ndarray) -> list[np.ndarray]:
         out, at = [], 0
-        for shape in self.shapes():
+        for shape in cls.shapes():
             size = int(np.prod(shape))
-            out.append(weights[at : at + size].reshape(shape))
+            out.append(vector[at : at + size].reshape(shape))
             at += size
         return out
 
-    def context(self, classes: np.ndarray) -> np.ndarray:
-        """Classes around each place of a padded row of classes, without the place itself."""
-        n = len(classes) - 2 * SIDE
-        return np.stack([classes[k : k + n] for k in range(2 * SIDE + 1) if k != SIDE], axis=1)
-
-    def forward(self, context: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hidden, log-probabilities of the classes)."""
-        embed, bias, out, out_bias = self.parts(weights)
-        hidden = embed[0][context[:, 0]]
-        for k in range(1, 2 * SIDE):
-            hidden = hidden + embed[k][context[:, k]]
-        hidden = np.tanh(hidden + bias)
-        logits = hidden @ out + out_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return hidden, logits
-
-    def train(self, classes: np.ndarray, weights: np.ndarray, rate: float) -> None:
-        """One gradient step, in place, on a padded row of classes."""
-        context, target = self.context(classes), classes[SIDE : len(classes) - SIDE]
-        real = target < CLASSES
-        context, target = context[real], target[real]
-        n = len(target)
-        if not n:
-            return
-        hidden, delta = self.forward(context, weights)
-        np.exp(delta, out=delta)
-        delta[np.arange(n), target] -= 1
-        delta /= n
-        embed, bias, out, out_bias = self.parts(weights)
-        back = (delta @ out.T) * (1 - hidden * hidden)
-        out -= rate * (hidden.T @ delta)
-        out_bias -= rate * delta.sum(axis=0)
-        bias -= rate * back.sum(axis=0)
-        hot = np.empty((n, CLASSES + 1), np.float32)
+    @cached_property
+    def tree(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """(where each leaf's path begins, decisions and sides of all paths, masses of both sides of each decision).
+
+        Decisions are numbered by falling mass, so that 0 is the root. Only leaves that can occur are in the tree.
+        """
+        present = np.flatnonzero(self.counts)
+        heap = [(float(self.counts[k]), int(k)) for k in present]
+        heapq.heapify(heap)
+        children: list[tuple[int, int, float, float]] = []
+        while len(heap) > 1:
+            (a, x), (b, y) = heapq.heappop(heap), heapq.heappop(heap)
+            heapq.heappush(heap, (a + b, PAD + len(children)))
+            children.append((x, y, a, b))
+        n = len(children)
+        paths: dict[int, tuple[tuple[int, ...], tuple[int, ...]]] = {PAD + n - 1: ((), ())}
+        for k in range(n - 1, -1, -1):
+            nodes, sides = paths.pop(PAD + k)
+            paths[children[k][0]] = ((*nodes, n - 1 - k), (*sides, 1))
+            paths[children[k][1]] = ((*nodes, n - 1 - k), (*sides, 0))
+        sizes = np.zeros(PAD + 1, np.int64)
+        sizes[present] = [len(paths[k][0]) for k in present]
+        nodes = np.fromiter((x for k in present for x in paths[k][0]), np.int32)
+        sides = np.fromiter((x for k in present for x in paths[k][1]), np.float32)
+        masses = np.array([c[2:] for c in reversed(children)]).reshape(-1, 2).T
+        return np.concatenate([[0], np.cumsum(sizes)]), nodes, sides, (masses[0], masses[1])
+
+    def leaves(self, known: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(leaf, hash) of each word."""
+        hashed = hashes(known)
+        if not len(self.own) or not len(hashed):
+            return shared_leaf(hashed), hashed
+        at = np.minimum(np.searchsorted(self.own, hashed), len(self.own) - 1)
+        return np.where(self.own[at] == hashed, self.leaf[at], shared_leaf(hashed)), hashed
+
+    def decisions(self, row: np.ndarray, weights: np.ndarray, kind: type) -> tuple:
+        """The decisions for all real tokens of a padded row of leaves, and what led to their logits."""
+        places = np.flatnonzero(row[SIDE : len(row) - SIDE] != PAD) + SIDE
+        starts, all_nodes, all_sides, _ = self.tree
+        target = row[places]
+        sizes = starts[target + 1] - starts[target]
+        token = np.repeat(np.arange(len(places)), sizes)
+        at = np.arange(len(token)) + np.repeat(starts[target] - (np.cumsum(sizes) - sizes), sizes)
+        node, side = all_nodes[at], all_sides[at]
+
+        embed, hidden_bias, out, direct, bias = self.parts(weights)
+        around = np.stack([row[places + k] % EMBEDDED + (k + SIDE - (k > 0)) * EMBEDDED for k in range(-SIDE, SIDE + 1) if k])
+        hidden = hidden_bias.astype(kind)
         for k in range(2 * SIDE):
-            hot[:] = 0
-            hot[np.arange(n), context[:, k]] = 1
-            embed[k] -= rate * (hot.T @ back)
-
-    def score(self, found: np.ndarray) -> float:
-        """Sum over all tokens of the log-probability given both sides."""
-        classes = np.full(len(found) + 2 * SIDE, CLASSES, np.int32)
-        classes[SIDE : SIDE + len(found)] = self.classes[found]
-        total = float(self.log_share[found].sum(dtype=np.float64))
-        for at in range(0, len(found), AT_ONCE):
-            part = classes[at : at + AT_ONCE + 2 * SIDE]
-            target = part[SIDE : len(part) - SIDE]
-            _, log_p = self.forward(self.context(part), self.weights)
-            total += float(log_p[np.arange(len(target)), target].sum(dtype=np.float64))
-        return total
-
-
-def _padded(rows: list[np.ndarray]) -> np.ndarray:
-    """Rows of classes one after the other, with padding around each."""
-    gap = np.full(SIDE, CLASSES, np.int32)
-    return np.concatenate([gap, *(x for row in rows for x in (row, gap))])
-
-
-def learn(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> Network:
-    """Counts and weights from all documents."""
+            hidden = hidden + embed[around[k]]
+        hidden = np.tanh(hidden)
+        by_node = node.astype(np.uint32)
+        slots = []
+        for place, factor in ((places - 1, _LEFT), (places + 1, _RIGHT)):
+            mixed = ((row[place].astype(np.uint32) + np.uint32(1)) * factor)[token] ^ (by_node * np.uint32(0xC2B2AE35))
+            mixed ^= mixed >> np.uint32(15)
+            slots.append(((mixed * np.uint32(0x27D4EB2F)) >> np.uint32(11)).astype(np.int64) % SLOTS)
+        logits = (bias[node] + direct[slots[0]] + direct[slots[1]]).astype(kind)
+        top = np.flatnonzero(node < TOP)
+        logits[top] += (hidden @ out.astype(kind))[token[top], node[top]]
+        return places, token, node, side, logits, around, hidden, slots, top
+
+    def train(self, row: np.ndarray, weights: np.ndarray, squares: np.ndarray) -> None:
+        """One step on a padded row of leaves, in place: the step of a weight shrinks with its summed squared gradients."""
+        _, token, node, side, logits, around, hidden, slots, top = self.decisions(row, weights, np.float32)
+        if not len(node):
+            return
+        delta = 1 / (1 + np.exp(-logits)) - side
+        embed, hidden_bias, out, direct, bias = self.parts(weights)
+        embed_sq, hidden_sq, out_sq, direct_sq, bias_sq = self.parts(squares)
+        dense = np.zeros((len(hidden), TOP), np.float32)
+        dense[token[top], node[top]] = delta[top]
+        back = (dense @ out.T) * (1 - hidden * hidden)
+        squared = delta * delta
+        for value, square, index in ((bias, bias_sq, node), (direct, direct_sq, slots[0]), (direct, direct_sq, slots[1])):
+            np.add.at(square, index, squared)
+            np.add.at(value, index, -RATE * delta / np.sqrt(square[index] + 0.1))
+        change = hidden.T @ dense
+        out_sq += change * change
+        out -= RATE * change / np.sqrt(out_sq + 1e-6)
+        change = back.sum(axis=0)
+        hidden_sq += change * change
+        hidden_bias -= RATE * change / np.sqrt(hidden_sq + 1e-6)
+        index = (around[:, :, None] * HIDDEN + np.arange(HIDDEN)).reshape(-1)
+        change = np.broadcast_to(back, (2 * SIDE, *back.shape)).reshape(-1)
+        flat, flat_sq = embed.reshape(-1), embed_sq.reshape(-1)
+        np.add.at(flat_sq, index, change * change)
+        np.add.at(flat, index, -RATE * change / np.sqrt(flat_sq[index] + 1e-3))
+
+    def log_probs(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the real tokens in a padded row of leaves, log-probability of the leaf there)."""
+        places, token, _, side, logits, *_ = self.decisions(row, self.weights, np.float64)
+        log_p = -np.logaddexp(0, np.where(side > 0, -logits, logits))
+        return places, np.bincount(token, log_p, len(places))
+
+
+def steps(texts: Iterator[np.ndarray], size: int) -> Iterator[np.ndarray]:
+    """Padded rows of leaves, with about ``size`` tokens each; what one row has as its end is context of the next."""
+    gap = np.full(SIDE, PAD, np.int64)
+    waiting, n = [gap], 0
+    for leaves in texts:
+        waiting += [leaves, gap]
+        n += len(leaves) + SIDE
+        if n >= size:
+            row = np.concatenate(waiting)
+            at = 0
+            while len(row) - at - 2 * SIDE >= size:
+                yield row[at : at + size + 2 * SIDE]
+                at += size
+            waiting, n = [row[at:]], len(row) - at - SIDE
+    if n:
+        yield np.concatenate(waiting)
+
+
+def count(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(hash, n) of every different token, stored."""
     small_batches(docs.sparkSession)
-    texts = docs.select(text_col)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                found = buckets(text.as_py())
-                np.add.at(total, found, 1)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["bucket", "n"])
-
-    counts = np.zeros(BUCKETS, np.int64)
-    for row in texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[row["bucket"]] = row["n"]  # at most BUCKETS rows
-    network = Network.new(counts)
-    for turn in range(rounds):
-        network.weights = _average(texts, network, RATE / (1 + turn))
-    return network
-
-
-def _average(texts: DataFrame, network: Network, rate: float) -> np.ndarray:
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, tokens, steps = network.weights.copy(), 0, 0
-        rows, waiting = [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0):
-                classes = network.classes[buckets(text.as_py())]
-                for at in range(0, len(classes), STEP_TOKENS):
-                    rows.append(classes[at : at + STEP_TOKENS])
-                    waiting += len(rows[-1])
-                    if waiting >= STEP_TOKENS:
-                        network.train(_padded(rows), weights, rate / (1 + steps / 2000) ** 0.5)
-                        tokens, steps, rows, waiting = tokens + waiting, steps + 1, [], 0
-        if rows:
-            network.train(_padded(rows), weights, rate / (1 + steps / 2000) ** 0.5)
-            tokens += waiting
-        if tokens:
+            _, which, known = words(batch.column(0))
+            n = np.bincount(which, minlength=len(known))
+            there = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(weights))), pa.array(weights.astype(float) * tokens),
-                 pa.array(np.full(len(weights), tokens))], names=["k", "w", "tokens"])
+                [pa.array(hashes([known[k] for k in there])), pa.array(n[there])], names=["hash", "n"])
+
+    counted = docs.select(text_col).mapInArrow(run, "hash long, n long")
+    return stored(counted.groupBy("hash").agg(F.sum("n").alias("n")), "token-counts")
 
-    sums = texts.mapInArrow(train, "k long, w double, tokens long").groupBy("k").agg(
-        (F.sum("w") / F.sum("tokens")).alias("w"))
-    weights = network.weights.copy()
-    for row in sums.collect():  # one row per weight
-        weights[row["k"]] = row["w"]
-    return weights
 
+def start(counts: DataFrame) -> Network:
+    """The untrained network: leaves, tree and biases from the counts."""
+    order = [F.desc("n"), F.asc("hash")]
+    own = counts.orderBy(*order).limit(OWN).toArrow()  # bounded
+    hashed, n = (own.column(k).to_numpy().astype(np.int64) for k in (0, 1))
+    rare = np.zeros(RARE)
+    if len(hashed) == OWN:
+        others = counts.where((F.col("n") < int(n[-1])) | (F.col("n") == int(n[-1])) & (F.col("hash") > int(hashed[-1])))
+        for row in others.groupBy(F.pmod("hash", F.lit(RARE)).alias("k")).agg(F.sum("n").alias("n")).collect():
+            rare[row["k"]] = row["n"]  # at most RARE rows
+    return Network.new(hashed, n, rare)
 
-def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, log_prob, mean_log_prob) of every row, over its whole text."""
+
+def encoded(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, hash of id and text, id, leaves as bytes, hashes of the tokens that share leaves) of every row, stored."""
     small_batches(docs.sparkSession)
-    schema = docs.select(id_col).schema.simpleString()[7:-1] + ", n_tokens long, log_prob double, mean_log_prob double"
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+    own_id = docs.select(F.col(f"`{id_col}`").alias("id"))
+    schema = f"row long, key long, {own_id.schema.simpleString()[7:-1]}, leaves binary, shared array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [buckets(t.as_py()) for t in batch.column(1)]
-            sums = [round(network.score(f), 4) if len(f) else 0.0 for f in found]
-            means = [round(s / len(f), 6) if len(f) else 0.0 for s, f in zip(sums, found, strict=True)]
+            ends, which, known = words(batch.column(3))
+            leaf, hashed = shared.value.leaves(known)
+            leaves, parts = leaf[which].astype(np.uint16), np.split(np.arange(len(which)), ends[:-1])
+            rare = [part[leaves[part] >= OWN] for part in parts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array(sums, pa.float64()),
-                 pa.array(means, pa.float64())], names=[id_col, "n_tokens", "log_prob", "mean_log_prob"])
+                [*(batch.column(k) for k in range(3)), pa.array([leaves[p].tobytes() for p in parts], pa.binary()),
+                 pa.array([hashed[which[p]] for p in rare], pa.list_(pa.int64()))], names=["row", "key", "id", "leaves", "shared"])
+
+    own = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64(id_col, text_col).alias("key"),
+                      F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return stored(own.mapInArrow(run, schema), "leaves")
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+
+def trained(network: Network, rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Network:
+    """The network after one pass over all encoded rows."""
+    spark = rows.sparkSession
+    tokens = rows.agg(F.sum(F.octet_length("leaves"))).first()[0] or 0
+    if not tokens:
+        return network
+    shards = -(-tokens // 2 // shard_tokens)
+    shared = spark.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = shared.value
+        total, weight = np.zeros(len(network.weights)), np.zeros(len(network.weights))
+        runs = ((s, np.frombuffer(x, np.uint16).astype(np.int64)) for b in batches
+                for s, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        ahead = next(runs, None)
+
+        def one_shard(number: int) -> Iterator[np.ndarray]:
+            nonlocal ahead
+            while ahead is not None and ahead[0] == number:
+                yield ahead[1]
+                ahead = next(runs, None)
+
+        while ahead is not None:
+            weights, squares = network.weights.copy(), np.zeros(len(network.weights), np.float32)
+            for row in steps(one_shard(ahead[0]), STEP_TOKENS):
+                network.train(row, weights, squares)
+            total += squares.astype(float) * (weights - network.weights)
+            weight += squares
+        there = np.flatnonzero(weight)
+        for at in range(0, len(there), 1 << 16):
+            k = there[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k.astype(np.int32)), pa.array(total[k]), pa.array(weight[k])], names=["k", "w", "s"])
+
+    dealt = rows.select(F.pmod("key", F.lit(shards)).alias("shard"), "leaves", "key").repartition(shards, "shard")
+    copies = dealt.sortWithinPartitions("shard", "key").select("shard", "leaves").mapInArrow(run, "k int, w double, s double")
+    found = copies.groupBy("k").agg((F.sum("w") / F.sum("s")).cast("float").alias("w")).toArrow()  # one row a weight
+    weights = network.weights.copy()
+    weights[found.column(0).to_numpy()] += found.column(1).to_numpy()
+    return Network(network.own, network.leaf, network.counts, np.round(weights * (1 << 16)) / np.float32(1 << 16))
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Network, DataFrame, DataFrame]:
+    """(network, counts of all tokens, encoded documents), from all documents."""
+    counts = count(docs, text_col)
+    network = start(counts)
+    rows = encoded(docs, network, id_col, text_col)
+    return trained(network, rows), counts, rows
+
+
+def score(rows: DataFrame, network: Network, counts: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_tokens, log_prob, mean_log_prob) of every encoded row, over its whole text.
+
+    The tokens that share leaves meet the table of counts in a join; none of them is frequent, so that no key of it is hot.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+    schema = f"row long, {rows.select('id').schema.simpleString()[7:-1]}, n_tokens long, by_network double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = shared.value
+        for batch in batches:
+            found = [np.frombuffer(x, np.uint16).astype(np.int64) for x in batch.column(2).to_pylist()]
+            n = np.array([len(f) for f in found], np.int64)
+            of = np.repeat(np.arange(len(found)), n)
+            sums, at = np.zeros(len(found)), 0
+            for row in steps(iter(found), AT_ONCE):
+                places, log_p = network.log_probs(row)
+                sums += np.bincount(of[at : at + len(places)], log_p, len(found))
+                at += len(places)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n), pa.array(sums)], names=["row", "id", "n_tokens", "by_network"])
+
+    leaf_counts = rows.sparkSession.createDataFrame(
+        [(k, float(np.log(network.counts[OWN + k]))) for k in range(RARE)], "k long, log_leaf double")
+    shares = (
+        rows.select("row", F.explode("shared").alias("hash")).join(counts, "hash", "left")
+        .withColumn("k", F.pmod("hash", F.lit(RARE))).join(F.broadcast(leaf_counts), "k")
+        .groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)).cast("double")) - F.col("log_leaf")).alias("by_share")))
+    total = F.round(F.col("by_network") + F.coalesce("by_share", F.lit(0.0)), 4)
+    sums = rows.select("row", "id", "leaves").mapInArrow(run, schema).join(shares, "row", "left")
+    return sums.select(
+        F.col("id").alias(id_col), "n_tokens", total.alias("log_prob"),
+        F.when(F.col("n_tokens") > 0, F.round(total / F.col("n_tokens"), 6)).otherwise(0.0).alias("mean_log_prob"))
