@@ -5,7 +5,7 @@ document. A token is a lower-case stretch between white space.
 
 Counts of all tokens of the corpus are a table that grows with it. The ``OWN`` most frequent tokens are leaves of a Huffman tree, and all
 others share ``RARE`` leaves by hash. The network predicts the leaf as a row of two-way decisions from the root down. Each decision has a
-bias and direct connections from the nearest token on either side (hashed to ``SLOTS`` weights); the ``TOP`` heaviest decisions also
+bias and direct connections from the nearest token on either side (hashed to ``1 << SLOT_BITS`` weights); the ``TOP`` heaviest decisions also
 see a tanh layer over embeddings of the window. A token of a shared leaf has its share of the leaf's count, looked up in the
 table by a join: P(token | context) = P(leaf | context) * count(token) / count(leaf). A token that the corpus lacks counts once,
 and each shared leaf has room for one.
@@ -39,10 +39,12 @@ from monthclose.llm.common import small_batches, stored
 #: Tokens with a leaf of their own, leaves that the others share, and the padding beyond the ends of a document.
 OWN, RARE = 60_000, 4096
 PAD = OWN + RARE
-#: Places on each side, hidden units, rows of embeddings by place, decisions that see the hidden layer, direct weights.
-SIDE, HIDDEN, EMBEDDED, TOP, SLOTS = 2, 16, 4096, 128, 1 << 21
+#: Places on each side, hidden units, rows of embeddings by place, decisions that see the hidden layer, bits of a direct weight's number.
+SIDE, HIDDEN, EMBEDDED, TOP, SLOT_BITS = 2, 8, 1024, 64, 21
+#: Tasks that train; beyond as many shards a task trains several, one after the other.
+MOST_TASKS = 10_000
 #: Tokens of a shard, of a gradient step and of a step of scoring, and the step size.
-SHARD_TOKENS, STEP_TOKENS, AT_ONCE, RATE = 1 << 23, 1024, 1 << 13, 0.1
+SHARD_TOKENS, STEP_TOKENS, AT_ONCE, RATE = 1 << 23, 2048, 2048, 0.05
 
 _LEFT, _RIGHT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
@@ -68,6 +70,15 @@ def shared_leaf(hashed: np.ndarray) -> np.ndarray:
     return OWN + (hashed % RARE)
 
 
+def _change(gradient: np.ndarray, old: np.ndarray, least: float) -> np.ndarray:
+    """What a gradient adds to pairs of (weight, summed squared gradients)."""
+    change = np.empty(old.shape, np.complex64)
+    squared = gradient * gradient
+    change.real = gradient * (-RATE / np.sqrt(old.imag + squared + np.float32(least)))
+    change.imag = squared
+    return change
+
+
 @dataclass
 class Network:
     """Hashes of the tokens with a leaf of their own (sorted) and their leaves, counts of the leaves, and the weights as one vector."""
@@ -86,7 +97,7 @@ class Network:
         network = cls(own[order], order.astype(np.int64), counts, np.zeros(0, np.float32))
         parts = [np.zeros(s) for s in cls.shapes()]
         parts[0] = np.random.default_rng(7).normal(0, 0.1, parts[0].shape)
-        left, right = network.tree[3]
+        left, right = network.tree[2]
         parts[4][: len(left)] = np.log(left / right)
         network.weights = np.concatenate([p.reshape(-1) for p in parts]).astype(np.float32)
         return network
@@ -94,7 +105,7 @@ class Network:
     @staticmethod
     def shapes() -> list[tuple[int, ...]]:
         """Embeddings, hidden bias, hidden to decisions, direct weights, biases of decisions."""
-        return [(2 * SIDE * EMBEDDED, HIDDEN), (HIDDEN,), (HIDDEN, TOP), (SLOTS,), (PAD,)]
+        return [(2 * SIDE * EMBEDDED, HIDDEN), (HIDDEN,), (HIDDEN, TOP), (1 << SLOT_BITS,), (PAD,)]
 
     @classmethod
     def parts(cls, vector: np.ndarray) -> list[np.ndarray]:
@@ -106,10 +117,13 @@ class Network:
         return out
 
     @cached_property
-    def tree(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-        """(where each leaf's path begins, decisions and sides of all paths, masses of both sides of each decision).
+    def tree(self) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """(where each leaf's path begins; decision, side and cell of each step of all paths; masses of both sides of each decision).
 
-        Decisions are numbered by falling mass, so that 0 is the root. Only leaves that can occur are in the tree.
+        A step is one number: the cell, one bit for the side, and 16 bits for the decision, from high to low.
+
+        Decisions are numbered by falling mass, so that 0 is the root. Four levels of the tree make a block: a decision's cell is 16 times
+        the number of its block's first decision, plus its place in the block. Only leaves that can occur are in the tree.
         """
         present = np.flatnonzero(self.counts)
         heap = [(float(self.counts[k]), int(k)) for k in present]
@@ -120,17 +134,25 @@ class Network:
             heapq.heappush(heap, (a + b, PAD + len(children)))
             children.append((x, y, a, b))
         n = len(children)
-        paths: dict[int, tuple[tuple[int, ...], tuple[int, ...]]] = {PAD + n - 1: ((), ())}
+        cells = np.zeros(n, np.uint32)
+        paths: dict[int, tuple[tuple[int, ...], tuple[int, ...]]] = {PAD + n - 1 if n else int(present[0]): ((), ())}
         for k in range(n - 1, -1, -1):
             nodes, sides = paths.pop(PAD + k)
-            paths[children[k][0]] = ((*nodes, n - 1 - k), (*sides, 1))
-            paths[children[k][1]] = ((*nodes, n - 1 - k), (*sides, 0))
+            number = n - 1 - k
+            if not cells[number]:
+                cells[number] = number * 16 + 1
+            for side, child in ((1, children[k][0]), (0, children[k][1])):
+                paths[child] = ((*nodes, number), (*sides, side))
+                place = int(cells[number]) % 16 * 2 + side
+                if child >= PAD and place < 16:
+                    cells[PAD + n - 1 - child] = int(cells[number]) // 16 * 16 + place
         sizes = np.zeros(PAD + 1, np.int64)
         sizes[present] = [len(paths[k][0]) for k in present]
-        nodes = np.fromiter((x for k in present for x in paths[k][0]), np.int32)
-        sides = np.fromiter((x for k in present for x in paths[k][1]), np.float32)
+        nodes = np.fromiter((x for k in present for x in paths[k][0]), np.int64)
+        sides = np.fromiter((x for k in present for x in paths[k][1]), np.int64)
+        path_steps = cells[nodes].astype(np.int64) << 17 | sides << 16 | nodes
         masses = np.array([c[2:] for c in reversed(children)]).reshape(-1, 2).T
-        return np.concatenate([[0], np.cumsum(sizes)]), nodes, sides, (masses[0], masses[1])
+        return np.concatenate([[0], np.cumsum(sizes)]), path_steps, (masses[0], masses[1])
 
     def leaves(self, known: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(leaf, hash) of each word."""
@@ -140,64 +162,66 @@ class Network:
         at = np.minimum(np.searchsorted(self.own, hashed), len(self.own) - 1)
         return np.where(self.own[at] == hashed, self.leaf[at], shared_leaf(hashed)), hashed
 
-    def decisions(self, row: np.ndarray, weights: np.ndarray, kind: type) -> tuple:
-        """The decisions for all real tokens of a padded row of leaves, and what led to their logits."""
+    def decisions(self, row: np.ndarray, weights: np.ndarray, kind: type = np.float32) -> tuple:
+        """The decisions for all real tokens of a padded row of leaves, and what led to their logits.
+
+        With ``kind`` float64 the matrix product, whose last digits depend on a token's place in the row, is exact enough for
+        logits that do not.
+        """
         places = np.flatnonzero(row[SIDE : len(row) - SIDE] != PAD) + SIDE
-        starts, all_nodes, all_sides, _ = self.tree
-        target = row[places]
-        sizes = starts[target + 1] - starts[target]
+        starts, path_steps, _ = self.tree
+        target = row.take(places)
+        begin = starts.take(target)
+        sizes = starts.take(target + 1) - begin
         token = np.repeat(np.arange(len(places)), sizes)
-        at = np.arange(len(token)) + np.repeat(starts[target] - (np.cumsum(sizes) - sizes), sizes)
-        node, side = all_nodes[at], all_sides[at]
+        step = path_steps.take(np.arange(len(token)) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes))
+        node, side, cell = step & 0xFFFF, (step >> 16 & 1).astype(np.float32), (step >> 17).astype(np.uint32)
 
         embed, hidden_bias, out, direct, bias = self.parts(weights)
-        around = np.stack([row[places + k] % EMBEDDED + (k + SIDE - (k > 0)) * EMBEDDED for k in range(-SIDE, SIDE + 1) if k])
-        hidden = hidden_bias.astype(kind)
-        for k in range(2 * SIDE):
-            hidden = hidden + embed[around[k]]
-        hidden = np.tanh(hidden)
-        by_node = node.astype(np.uint32)
+        short = row % EMBEDDED
+        around = np.stack([short.take(places + k) + (k + SIDE - (k > 0)) * EMBEDDED for k in range(-SIDE, SIDE + 1) if k])
+        rows = embed.take(around.reshape(-1), axis=0).reshape(2 * SIDE, len(places), HIDDEN)
+        hidden = np.tanh(rows.real.sum(axis=0) + hidden_bias.real)
+        by_block, in_block = (cell >> np.uint32(4)) * np.uint32(0xC2B2AE35), cell & np.uint32(15)
         slots = []
         for place, factor in ((places - 1, _LEFT), (places + 1, _RIGHT)):
-            mixed = ((row[place].astype(np.uint32) + np.uint32(1)) * factor)[token] ^ (by_node * np.uint32(0xC2B2AE35))
+            mixed = ((row.take(place).astype(np.uint32) + np.uint32(1)) * factor).take(token) ^ by_block
             mixed ^= mixed >> np.uint32(15)
-            slots.append(((mixed * np.uint32(0x27D4EB2F)) >> np.uint32(11)).astype(np.int64) % SLOTS)
-        logits = (bias[node] + direct[slots[0]] + direct[slots[1]]).astype(kind)
+            mixed = (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(36 - SLOT_BITS)
+            slots.append((mixed << np.uint32(4) | in_block).astype(np.int64))  # a block's weights for one token lie together
+        used = bias.take(node), direct.take(slots[0]), direct.take(slots[1])
+        logits = used[0].real + used[1].real + used[2].real
         top = np.flatnonzero(node < TOP)
-        logits[top] += (hidden @ out.astype(kind))[token[top], node[top]]
-        return places, token, node, side, logits, around, hidden, slots, top
+        in_top = token.take(top) * TOP + node.take(top)
+        by_layer = (hidden.astype(kind, copy=False) @ out.real.astype(kind)).astype(np.float32, copy=False)
+        logits[top] += by_layer.reshape(-1).take(in_top)
+        return places, token, node, side, logits, around, rows, hidden, slots, used, top, in_top
+
+    def train(self, row: np.ndarray, pairs: np.ndarray) -> None:
+        """One step on a padded row of leaves, in place.
 
-    def train(self, row: np.ndarray, weights: np.ndarray, squares: np.ndarray) -> None:
-        """One step on a padded row of leaves, in place: the step of a weight shrinks with its summed squared gradients."""
-        _, token, node, side, logits, around, hidden, slots, top = self.decisions(row, weights, np.float32)
+        ``pairs`` holds the weights as real parts and their summed squared gradients as imaginary ones, so that one access
+        changes both. The step of a weight shrinks with that sum.
+        """
+        _, _, node, side, logits, around, rows, hidden, slots, used, top, in_top = self.decisions(row, pairs)
         if not len(node):
             return
         delta = 1 / (1 + np.exp(-logits)) - side
-        embed, hidden_bias, out, direct, bias = self.parts(weights)
-        embed_sq, hidden_sq, out_sq, direct_sq, bias_sq = self.parts(squares)
+        embed, hidden_bias, out, direct, bias = self.parts(pairs)
         dense = np.zeros((len(hidden), TOP), np.float32)
-        dense[token[top], node[top]] = delta[top]
-        back = (dense @ out.T) * (1 - hidden * hidden)
-        squared = delta * delta
-        for value, square, index in ((bias, bias_sq, node), (direct, direct_sq, slots[0]), (direct, direct_sq, slots[1])):
-            np.add.at(square, index, squared)
-            np.add.at(value, index, -RATE * delta / np.sqrt(square[index] + 0.1))
-        change = hidden.T @ dense
-        out_sq += change * change
-        out -= RATE * change / np.sqrt(out_sq + 1e-6)
-        change = back.sum(axis=0)
-        hidden_sq += change * change
-        hidden_bias -= RATE * change / np.sqrt(hidden_sq + 1e-6)
-        index = (around[:, :, None] * HIDDEN + np.arange(HIDDEN)).reshape(-1)
-        change = np.broadcast_to(back, (2 * SIDE, *back.shape)).reshape(-1)
-        flat, flat_sq = embed.reshape(-1), embed_sq.reshape(-1)
-        np.add.at(flat_sq, index, change * change)
-        np.add.at(flat, index, -RATE * change / np.sqrt(flat_sq[index] + 1e-3))
+        dense.reshape(-1)[in_top] = delta.take(top)
+        back = (dense @ out.real.T) * (1 - hidden * hidden)
+        for values, index, old in ((bias, node, used[0]), (direct, slots[0], used[1]), (direct, slots[1], used[2])):
+            np.add.at(values, index, _change(delta, old, 0.2))
+        out += _change(hidden.T @ dense, out, 1e-6)
+        hidden_bias += _change(back.sum(axis=0), hidden_bias, 1e-6)
+        index = np.add.outer(around.reshape(-1) * HIDDEN, np.arange(HIDDEN)).reshape(-1)
+        np.add.at(embed.reshape(-1), index, _change(back, rows, 1e-3).reshape(-1))
 
     def log_probs(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places of the real tokens in a padded row of leaves, log-probability of the leaf there)."""
         places, token, _, side, logits, *_ = self.decisions(row, self.weights, np.float64)
-        log_p = -np.logaddexp(0, np.where(side > 0, -logits, logits))
+        log_p = -np.log(1 + np.exp(np.clip(np.where(side > 0, -logits, logits), -80, 80)))
         return places, np.bincount(token, log_p, len(places))
 
 
@@ -231,7 +255,7 @@ def count(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes([known[k] for k in there])), pa.array(n[there])], names=["hash", "n"])
 
-    counted = docs.select(text_col).mapInArrow(run, "hash long, n long")
+    counted = docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "hash long, n long")
     return stored(counted.groupBy("hash").agg(F.sum("n").alias("n")), "token-counts")
 
 
@@ -265,7 +289,7 @@ def encoded(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
                 [*(batch.column(k) for k in range(3)), pa.array([leaves[p].tobytes() for p in parts], pa.binary()),
                  pa.array([hashed[which[p]] for p in rare], pa.list_(pa.int64()))], names=["row", "key", "id", "leaves", "shared"])
 
-    own = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64(id_col, text_col).alias("key"),
+    own = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"),
                       F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return stored(own.mapInArrow(run, schema), "leaves")
 
@@ -293,18 +317,18 @@ def trained(network: Network, rows: DataFrame, shard_tokens: int = SHARD_TOKENS)
                 ahead = next(runs, None)
 
         while ahead is not None:
-            weights, squares = network.weights.copy(), np.zeros(len(network.weights), np.float32)
+            pairs = network.weights.astype(np.complex64)
             for row in steps(one_shard(ahead[0]), STEP_TOKENS):
-                network.train(row, weights, squares)
-            total += squares.astype(float) * (weights - network.weights)
-            weight += squares
+                network.train(row, pairs)
+            total += pairs.imag.astype(float) * (pairs.real - network.weights)
+            weight += pairs.imag
         there = np.flatnonzero(weight)
         for at in range(0, len(there), 1 << 16):
             k = there[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k.astype(np.int32)), pa.array(total[k]), pa.array(weight[k])], names=["k", "w", "s"])
 
-    dealt = rows.select(F.pmod("key", F.lit(shards)).alias("shard"), "leaves", "key").repartition(shards, "shard")
+    dealt = rows.select(F.pmod("key", F.lit(shards)).alias("shard"), "leaves", "key").repartition(min(shards, MOST_TASKS), "shard")
     copies = dealt.sortWithinPartitions("shard", "key").select("shard", "leaves").mapInArrow(run, "k int, w double, s double")
     found = copies.groupBy("k").agg((F.sum("w") / F.sum("s")).cast("float").alias("w")).toArrow()  # one row a weight
     weights = network.weights.copy()

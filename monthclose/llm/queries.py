@@ -13,8 +13,8 @@ from monthclose.sources.files import work_dir
 
 
 def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    return lmscore.score(docs, lmscore.learn(docs))
+    network, counts, rows = lmscore.learn(documents(spark, sf))
+    return lmscore.score(rows, network, counts)
 
 
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:

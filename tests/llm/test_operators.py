@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from monthclose.llm import chat, common, decontam, htmltext, langid, lmscore, mtree, neardup, packing, secrets, toxicity
+from monthclose.llm import chat, common, decontam, htmltext, langid, mtree, neardup, packing, secrets, toxicity
 from monthclose.llm.components import components
 from monthclose.llm.queries import tokenizer
 
@@ -391,18 +391,3 @@ def test_toxicity(spark):
     assert toxicity.without_toxic(frame, lexicon).columns == frame.columns
     empty = toxicity.learn(toxicity.training_sample(frame, marks.limit(0), None))
     assert empty.score("idiot") < 1e-9
-
-
-def test_pseudo_likelihood(spark):
-    frame = docs(spark, None, "", *(" ".join(["a b c d"] * 50) for _ in range(60)), words(1, 20_000))
-    network = lmscore.learn(frame, rounds=2)
-    got = {x.doc_id: x for x in lmscore.score(frame, network).collect()}
-    assert got[0].log_prob == got[1].log_prob == 0 and got[0].n_tokens == 0 and got[2].log_prob == got[3].log_prob
-    found = lmscore.buckets("a b c d a b")
-    classes = [lmscore.CLASSES] * 2 + list(network.classes[found]) + [lmscore.CLASSES] * 2
-    total = 0.0
-    for k, bucket in enumerate(found):
-        around = np.array([[classes[k], classes[k + 1], classes[k + 3], classes[k + 4]]])
-        total += network.forward(around, network.weights)[1][0, network.classes[bucket]] + network.log_share[bucket]
-    assert network.score(found) == pytest.approx(total, abs=1e-3)
-    assert network.score(lmscore.buckets("a b c d " * 20)) > network.score(lmscore.buckets("a a b b c c d d " * 10))
