@@ -23,7 +23,7 @@ are scored singly; other columns are not looked at. Different tokens with one 64
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -49,21 +49,22 @@ SHARD_TOKENS, STEP_TOKENS, AT_ONCE, RATE = 1 << 23, 2048, 2048, 0.05
 _LEFT, _RIGHT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(end of each text in tokens, number of each token's word, the different words)."""
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(end of each text in tokens, number of each token's word, the different words as bytes)."""
     lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
     flat = lists.flatten().dictionary_encode()
-    which, known = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()
+    which, known = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
     ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-    if "" in known:  # beside white space at either end
-        real = which != known.index("")
+    empty = pc.index(flat.dictionary, "").as_py()
+    if empty >= 0:  # beside white space at either end
+        real = which != empty
         ends = np.concatenate([[0], np.cumsum(real)])[ends]
         which = which[real]
     return ends, which, known
 
 
-def hashes(known: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in known], np.uint64).view(np.int64)
+def hashes(known: Iterable[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in known], np.uint64).view(np.int64)
 
 
 def shared_leaf(hashed: np.ndarray) -> np.ndarray:
@@ -154,7 +155,7 @@ class Network:
         masses = np.array([c[2:] for c in reversed(children)]).reshape(-1, 2).T
         return np.concatenate([[0], np.cumsum(sizes)]), path_steps, (masses[0], masses[1])
 
-    def leaves(self, known: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def leaves(self, known: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(leaf, hash) of each word."""
         hashed = hashes(known)
         if not len(self.own) or not len(hashed):
@@ -221,7 +222,7 @@ class Network:
     def log_probs(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places of the real tokens in a padded row of leaves, log-probability of the leaf there)."""
         places, token, _, side, logits, *_ = self.decisions(row, self.weights, np.float64)
-        log_p = -np.log(1 + np.exp(np.clip(np.where(side > 0, -logits, logits), -80, 80)))
+        log_p = -np.log(1 + np.exp(np.minimum(logits * (1 - 2 * side), 80)))  # 80 keeps it finite
         return places, np.bincount(token, log_p, len(places))
 
 
@@ -253,7 +254,7 @@ def count(docs: DataFrame, text_col: str = "text") -> DataFrame:
             n = np.bincount(which, minlength=len(known))
             there = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes([known[k] for k in there])), pa.array(n[there])], names=["hash", "n"])
+                [pa.array(hashes(known[there])), pa.array(n[there])], names=["hash", "n"])
 
     counted = docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "hash long, n long")
     return stored(counted.groupBy("hash").agg(F.sum("n").alias("n")), "token-counts")

@@ -67,7 +67,7 @@ def test_scores_equal_a_plain_computation_and_probabilities_add_up(spark):
     network, got = scored(spark, frame(spark, *enumerate(texts)))
     for row in got.collect():
         tokens = texts[row.doc_id].lower().split()
-        leaves = network.leaves(tokens)[0]
+        leaves = network.leaves([t.encode() for t in tokens])[0]
         want = sum(plain(network, leaves, k) for k in range(len(tokens)))
         assert row.n_tokens == len(tokens) and row.log_prob == pytest.approx(want, abs=2e-3)
     present = np.flatnonzero(network.counts)
@@ -115,7 +115,7 @@ def test_tokens_that_share_leaves_have_their_share(spark, monkeypatch):
     of = dict(zip(hashed.tolist(), n.tolist(), strict=True))
 
     def token(word):
-        leaf, own = network.leaves([word])
+        leaf, own = network.leaves([word.encode()])
         share = 1 if leaf[0] < lmscore.OWN else of[int(own[0])] / network.counts[leaf[0]]
         return math.log(network.counts[leaf[0]] / mass * share)
 
