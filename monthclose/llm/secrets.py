@@ -1,12 +1,13 @@
 """Secrets in text: fixed patterns, and novelty under a primed compressor.
 
 The patterns find assignments to names such as password, access keys, and long runs of hexadecimal digits. Beyond them, every long
-run of key characters in a sensitive context is a candidate: its novelty is the number of bytes that it adds to the
+run of key characters in a sensitive context is a candidate, and so is every value set to a sensitive name, such as a passphrase or a
+private key, that mixes kinds of characters: its novelty is the number of bytes that it adds to the
 compressed size of the text around it, under a zstandard dictionary of code words and identifiers. Candidates that add nearly as
 many bytes as a random string would are reported; words, paths and repetitions of the surroundings add few.
 
 Positions are code points, ends exclusive. Defined results: NULL is an empty text; without finds the list is empty. Spans of one
-kind never overlap; a candidate that overlaps a pattern's span is not reported again. Equal rows give equal spans.
+kind never overlap; a candidate within a pattern's span is not reported again, one that reaches beyond it is reported whole. Equal rows give equal spans.
 """
 
 from __future__ import annotations
@@ -34,6 +35,12 @@ LEAST_NOVEL, CONTEXT, LEAST_BYTES = 20, 200, 0.6
 _NOVEL = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_NOVEL},}}")
 _KEY_LIKE = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.S)
 _SENSITIVE = re.compile(r"(?ai)key|secret|token|passw|passphrase|credential|bearer|authorization|private|signature|client_id")
+#: Values set to sensitive names: least length, and kinds of characters (lower case, upper case, digits, others) in one.
+LEAST_VALUE, LEAST_KINDS = 12, 2
+_VALUE = re.compile(
+    r"(?ai:key|secret|token|passw(?:or)?d|passphrase|credentials?|bearer|authorization|private|signature|client_id)[A-Za-z0-9_]{0,40}"
+    rf"[\"']?\s{{0,2}}[:=]\s{{0,2}}[\"']?([^\s\"'<>()\[\]{{}},;`]{{{LEAST_VALUE},}})")
+_CHARACTERS = tuple(re.compile(p) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
 # What code and settings are full of; it primes the compressor.
 PRIMER = (
     "public static void return import from class function const export default require module package namespace "
@@ -67,11 +74,17 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
     found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     base = sorted((s, e) for _, s, e in found)
-    for m in _NOVEL.finditer(text):
-        s, e = m.span()
-        if (_KEY_LIKE.match(m[0]) and not any(a < e and s < b for a, b in base)
-                and _SENSITIVE.search(text[max(0, s - 60) : s]) and novelty(text, s, e) >= LEAST_BYTES):
+    candidates = [m.span() for m in _NOVEL.finditer(text)
+                  if _KEY_LIKE.match(m[0]) and _SENSITIVE.search(text[max(0, m.start() - 60) : m.start()])]
+    for m in _VALUE.finditer(text):
+        value = m[1].rstrip(".:!?")
+        if len(value) >= LEAST_VALUE and sum(bool(c.search(value)) for c in _CHARACTERS) >= LEAST_KINDS:
+            candidates.append((m.start(1), m.start(1) + len(value)))
+    last = 0
+    for s, e in sorted(candidates, key=lambda c: (c[0], -c[1])):
+        if s >= last and not any(a <= s and e <= b for a, b in base) and novelty(text, s, e) >= LEAST_BYTES:
             found.append(("novel", s, e))
+            last = e
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 

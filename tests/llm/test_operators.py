@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -391,3 +392,21 @@ def test_toxicity(spark):
     assert toxicity.without_toxic(frame, lexicon).columns == frame.columns
     empty = toxicity.learn(toxicity.training_sample(frame, marks.limit(0), None))
     assert empty.score("idiot") < 1e-9
+
+
+@pytest.mark.parametrize(("before", "secret"), [
+    ("passphrase: ", "hunter2-Long!Pass"), ("private_key = ", "qWzXvBnMkLpOiUyTrEdSaGhJcF"), ("credential: ", "Xy7$kP!q9@Lm2#Vb5"),
+    ("signing key: ", "Zq9-9f1c83e07ab25d64ce3b90f7-Xw"), ("password=", "hunter2$Long!Pass")])
+def test_secrets_beyond_the_patterns(before, secret):
+    text = f"Settings of the service follow here.\n{before}{secret}\nAnd so they end."
+    found = secrets.find(text)
+    assert ("novel", text.index(secret), text.index(secret) + len(secret)) in found
+    assert secret not in secrets.redacted(text, found)
+    assert not any(k == "novel" for k, *_ in secrets.find(f"The {before}none, says the private letter about a secret key in plain words."))
+
+
+def test_very_long_texts_are_scanned_in_linear_time():
+    for text in ("key=" * 50_000, "key" * 70_000, "secret_" * 30_000, "a token: b " * 20_000):
+        start = time.perf_counter()
+        secrets.find(text)
+        assert time.perf_counter() - start < 5
