@@ -37,9 +37,11 @@ _KEY_LIKE = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.S)
 _SENSITIVE = re.compile(r"(?ai)key|secret|token|passw|passphrase|credential|bearer|authorization|private|signature|client_id")
 #: Values set to sensitive names: least length, and kinds of characters (lower case, upper case, digits, others) in one.
 LEAST_VALUE, LEAST_KINDS = 12, 2
-_VALUE = re.compile(
-    r"(?ai:key|secret|token|passw(?:or)?d|passphrase|credentials?|bearer|authorization|private|signature|client_id)[A-Za-z0-9_]{0,40}"
-    rf"[\"']?\s{{0,2}}[:=]\s{{0,2}}[\"']?([^\s\"'<>()\[\]{{}},;`]{{{LEAST_VALUE},}})")
+_SET = re.compile(rf"[:=](?=\s{{0,2}}[\"']?[^\s\"'<>()\[\]{{}},;`]{{{LEAST_VALUE}}})")
+_NAME = re.compile(
+    r"(?ai:key|secret|token|passw(?:or)?d|passphrase|credentials?|bearer|authorization|private|signature|client_id)"
+    r"[A-Za-z0-9_]{0,40}[\"']?\s{0,2}\Z")
+_VALUE = re.compile(r"\s{0,2}[\"']?([^\s\"'<>()\[\]{},;`]+)")
 _CHARACTERS = tuple(re.compile(p) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
 # What code and settings are full of; it primes the compressor.
 PRIMER = (
@@ -76,8 +78,12 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
     base = sorted((s, e) for _, s, e in found)
     candidates = [m.span() for m in _NOVEL.finditer(text)
                   if _KEY_LIKE.match(m[0]) and _SENSITIVE.search(text[max(0, m.start() - 60) : m.start()])]
-    for m in _VALUE.finditer(text):
-        value = m[1].rstrip(".:!?")
+    done = 0
+    for sign in _SET.finditer(text):
+        if sign.end() < done or not _NAME.search(text, max(0, sign.start() - 64), sign.start()):
+            continue
+        m = _VALUE.match(text, sign.end())
+        done, value = m.end(), m[1].rstrip(".:!?")
         if len(value) >= LEAST_VALUE and sum(bool(c.search(value)) for c in _CHARACTERS) >= LEAST_KINDS:
             candidates.append((m.start(1), m.start(1) + len(value)))
     last = 0
