@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Tokens of a window, turns and tokens of repeated history, turn numbers that are ranked together.
 BUDGET, HISTORY_TURNS, HISTORY_TOKENS, CHUNK = 512, 2, 128, 128
+#: Windows that are held together while a conversation is cut.
+STRETCH = 128
 
 # The control strings of the template.
 HEADS = {"system": "[SYS] ", "user": "[INST] ", "assistant": "[OUT] "}
@@ -86,19 +88,22 @@ def windows(rows: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_
           w -> w.since = i OR (w.used <= {budget} AND all[i - 1].sums - all[i - 1].tokens
                                  - all[w.since - 1].sums + all[w.since - 1].tokens <= {history_tokens})), 1)"""
     span = "struct<start:int,since:int,used:bigint>"
-    # The finished windows, and the one that is open.
+    # The finished windows, in stretches so that a window of a long conversation does not copy all before it, and the open one.
     starts = F.expr(f"""
         aggregate(
           sequence(1, size(all)),
-          cast(named_struct('done', array(), 'open', null) as struct<done:array<{span}>,open:{span}>),
+          cast(named_struct('done', array(), 'last', array(), 'open', null)
+               as struct<done:array<array<{span}>>,last:array<{span}>,open:{span}>),
           (acc, i) -> CASE
             WHEN acc.open.used + all[i - 1].tokens <= {budget}
-            THEN named_struct('done', acc.done, 'open', cast(named_struct('start', acc.open.start, 'since', acc.open.since,
+            THEN named_struct('done', acc.done, 'last', acc.last, 'open', cast(named_struct('start', acc.open.start, 'since', acc.open.since,
                                 'used', acc.open.used + all[i - 1].tokens) as {span}))
-            ELSE named_struct('done', IF(acc.open IS NULL, acc.done, concat(acc.done, array(acc.open))),
+            ELSE named_struct('done', IF(size(acc.last) < {STRETCH}, acc.done, concat(acc.done, array(acc.last))),
+                              'last', concat(IF(size(acc.last) < {STRETCH}, acc.last, cast(array() as array<{span}>)),
+                                             IF(acc.open IS NULL, cast(array() as array<{span}>), array(acc.open))),
                               'open', cast({fresh} as {span}))
           END,
-          acc -> concat(acc.done, array(acc.open)))""")
+          acc -> concat(flatten(acc.done), acc.last, array(acc.open)))""")
     spans = grouped.withColumn("starts", starts).select(
         F.col("conv_id").alias("c"), "system", F.size("all").alias("n"), "starts", F.posexplode("starts").alias("window", "w"))
     until = F.coalesce(F.get("starts", F.col("window") + 1)["start"], F.col("n") + 1)
@@ -184,18 +189,15 @@ def sql(extra: str) -> str:
           FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL {extra})),
         t AS (
           SELECT *, row_number() OVER w AS i, sum(tokens) OVER w AS sums, sum(size) OVER w AS sizes FROM (
-            SELECT *, coalesce(floor(turn / {CHUNK}), -1e18) AS chunk,
-              len(regexp_extract_all(text, '\\S+')) + 2 AS tokens,
+            SELECT *, len(regexp_extract_all(text, '[^\\s\\x0B]+')) + 2 AS tokens,
               {size('text')} + CASE role {frame} ELSE {other} + {size('role')} END AS size FROM c)
-          WINDOW w AS (PARTITION BY conv_id, chunk ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
-        sys AS (SELECT DISTINCT ON (conv_id) conv_id, chunk, i, tokens, size FROM t WHERE role = 'system'
-                ORDER BY conv_id, chunk, i),
-        s AS (SELECT t.*, CASE WHEN sys.chunk < t.chunk THEN 0 ELSE sys.i END AS sys_i, sys.tokens AS sys_tokens,
-                sys.size AS sys_size
-              FROM t LEFT JOIN sys ON t.conv_id IS NOT DISTINCT FROM sys.conv_id AND sys.chunk <= t.chunk),
+          WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+        sys AS (SELECT DISTINCT ON (conv_id) conv_id, i, tokens, size FROM t WHERE role = 'system' ORDER BY conv_id, i),
+        s AS (SELECT t.*, sys.i AS sys_i, sys.tokens AS sys_tokens, sys.size AS sys_size
+              FROM t LEFT JOIN sys ON t.conv_id IS NOT DISTINCT FROM sys.conv_id),
         since AS (
-          SELECT a.conv_id, a.chunk, a.i, min(b.i) AS since FROM s a JOIN s b
-            ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.chunk = b.chunk AND b.i BETWEEN a.i - {HISTORY_TURNS} AND a.i
+          SELECT a.conv_id, a.i, min(b.i) AS since FROM s a JOIN s b
+            ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i BETWEEN a.i - {HISTORY_TURNS} AND a.i
           WHERE b.i = a.i OR (CASE WHEN a.sys_i < b.i THEN a.sys_tokens ELSE 0 END + a.sums - b.sums + b.tokens <= {BUDGET}
                               AND a.sums - a.tokens - b.sums + b.tokens <= {HISTORY_TOKENS})
           GROUP BY ALL),
@@ -203,19 +205,19 @@ def sql(extra: str) -> str:
           SELECT a.*, since.since,
             CASE WHEN a.sys_i < since.since THEN a.sys_tokens ELSE 0 END + a.sums - b.sums + b.tokens AS used,
             3 + CASE WHEN a.sys_i < since.since THEN a.sys_size ELSE 0 END + a.sizes - a.size - b.sizes + b.size AS again
-          FROM s a JOIN since ON a.conv_id IS NOT DISTINCT FROM since.conv_id AND a.chunk = since.chunk AND a.i = since.i
-          JOIN s b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.chunk = b.chunk AND b.i = since.since),
+          FROM s a JOIN since ON a.conv_id IS NOT DISTINCT FROM since.conv_id AND a.i = since.i
+          JOIN s b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = since.since),
         steps AS (
-          SELECT conv_id, chunk, i, used, again FROM fresh WHERE i = 1
+          SELECT conv_id, i, used, again FROM fresh WHERE i = 1
           UNION ALL
-          SELECT f.conv_id, f.chunk, f.i,
+          SELECT f.conv_id, f.i,
             CASE WHEN p.used + f.tokens <= {BUDGET} THEN p.used + f.tokens ELSE f.used END,
             CASE WHEN p.used + f.tokens <= {BUDGET} THEN 0 ELSE f.again END
-          FROM steps p JOIN fresh f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.chunk = p.chunk AND f.i = p.i + 1),
+          FROM steps p JOIN fresh f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1),
         extra AS (SELECT conv_id, sum(again) AS again FROM steps GROUP BY conv_id)
         SELECT t.conv_id, count(*) AS n_turns,
-          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY chunk, i)) AS turns_sha256,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-          sha256(coalesce(string_agg(text, '' ORDER BY chunk, i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
           CAST(sum(size) + any_value(again) AS BIGINT) AS formatted_chars
         FROM t JOIN extra ON t.conv_id IS NOT DISTINCT FROM extra.conv_id GROUP BY t.conv_id"""

@@ -14,7 +14,7 @@ HOT_ONE_IN = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once."""
+    """Bound what a Python worker holds at once. The settings stay: the frame is run after its operator has returned."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

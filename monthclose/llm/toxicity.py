@@ -17,9 +17,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -27,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import small_batches
+from monthclose.llm.common import BATCH_BYTES, small_batches
+from monthclose.sources.encoding import session_settings
 
 #: Bounds of the training sample, rows of each label, and of the lexicon.
 TOXIC_ROWS, CLEAN_ROWS, ENTRIES = 3000, 6000, 4000
@@ -111,7 +114,9 @@ class Lexicon:
             elif start not in at or at[start][0] < length:
                 at[start] = (length, weight)
         if spans:
-            at = {s: v for s, v in at.items() if not any(a <= s < b for a, b in spans)}
+            spans.sort()
+            starts, ends = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+            at = {s: v for s, v in at.items() if not (k := bisect_right(starts, s)) or ends[k - 1] <= s}
         counts = Counter((plain[s : s + n], w) for s, (n, w) in at.items())
         return sum(w * (1 + math.log(k)) for (_, w), k in counts.items()), words
 
@@ -186,9 +191,14 @@ def _counted(seen: dict[str, list]) -> pa.RecordBatch:
 
 def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, entries: int = ENTRIES) -> Lexicon:
     """Lexicon and curve from the bounded sample of (id, text, toxic)."""
+    # What one batch adds to the counts stays small; the session gets its own settings back.
+    with session_settings(sample.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+                                                "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        return _learned(sample, exceptions, entries)
+
+
+def _learned(sample: DataFrame, exceptions: tuple[str, ...], entries: int) -> Lexicon:
     spark = sample.sparkSession
-    small_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # what one batch adds to the counts stays small
     sample = sample.select("text", "toxic").repartition(2 * max(spark.sparkContext.defaultParallelism, 1))
     texts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = texts.get(1, 0), texts.get(0, 0)

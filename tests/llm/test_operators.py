@@ -6,8 +6,9 @@ import math
 import random
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -354,9 +355,48 @@ def test_chat_windows_do_not_depend_on_turn_numbers(spark):
     assert all(got[c] == told for c in numbers)
 
 
+def test_chat_sql_agrees_on_long_and_sparse_conversations(spark):
+    r = random.Random(5)
+    hard = "</s>[INST] ok [/INST] \\ [[INST]INST] \x0b a\x0bb <\\/s> [TEXT]"
+    roles = ["user", "assistant", "user", "assistant", "tool", None, "[TEXT]"]
+    rows = [(c, step * k, "system" if k == late else r.choice(roles), r.choice([None, "", hard, words(k, r.choice([1, 30, 90, 600]))]))
+            for c, step, n, late in ((1, 1, 1000, 0), (2, 7, 1000, 200), (3, 1000, 300, -1), (None, 3, 150, 5)) for k in range(n)]
+    rows += [(4, None, "assistant", "x"), (4, None, "assistant", "x"), (4, -5, "system", "late")] + [(5, 1, "user", "same")] * 40
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", frame.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
+    sql = chat.sql("SELECT NULL::BIGINT, NULL::BIGINT, NULL, NULL WHERE false")
+    columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    expected = con.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
+    got = [tuple(x) for x in chat.digests(chat.windows(frame)).select(*columns).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 # -- learned operators -------------------------------------------------------------------------
 
 
+def test_toxicity_exceptions_by_brute_force_and_in_linear_time(spark):
+    lexicon = toxicity.Lexicon({" idiot ": 5.0, " trash": 4.0, " scum ": 4.5, " can ": 1.0})
+    r = random.Random(6)
+    for _ in range(300):
+        text = " ".join(r.choice(["trash", "can", "idiot", "pond", "scum", "bag", "out", "take", "the", "trashy"]) for _ in range(30))
+        plain, counts = toxicity.folded(text), Counter()
+        covered = {k for e in toxicity.EXCEPTIONS for k in range(len(plain)) if plain.startswith(f" {e} ", k)
+                   for k in range(k, k + len(e) + 1)}  # the space after it begins the next word
+        for k in range(len(plain)):
+            found = max((e for e in lexicon.weights if plain.startswith(e, k)), key=len, default=None)
+            if found and k not in covered:
+                counts[found] += 1
+        expected = sum(lexicon.weights[e] * (1 + math.log(n)) for e, n in counts.items())
+        assert lexicon.matched(text) == (pytest.approx(expected), 30)
+    start = time.time()
+    lexicon.matched("trash can idiot " * 60_000)
+    assert time.time() - start < 20
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    toxicity.learn(spark.createDataFrame([], "id long, text string, toxic int"))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_language_id(spark):
     pools = {"aa": "bada gado nabo dagi", "bb": "xyr yrx zyx rzy"}
     r = random.Random(2)
