@@ -45,8 +45,8 @@ TOTAL_BITS = UNIT_BITS + WEIGHT_BITS
 UNIT = 1 << UNIT_BITS
 #: Shifts of adaptation: order 0, orders 1 and 2, and the scores of the weights, which are set every fourth step.
 SLOW, FAST, SCORE, EVERY = 5, 4, 4, 4
-#: Stretches of text whose ids a worker remembers, and how many are tokenized at once.
-REMEMBERED, JOINED = 1_000_000, 2000
+#: Characters of the pieces of text whose ids a worker remembers.
+REMEMBERED = 10_000_000
 
 _HALF, _16 = np.uint32(0xFFFF), np.uint32(16)
 #: One step of confidence, and the highest.
@@ -324,61 +324,87 @@ def parse(data: bytes) -> tuple[np.ndarray, list[tuple[int | None, int]], int, i
     return ids, [(d if k else None, n) for k, d, n in zip(known, names, counts, strict=True)], before, crc, bool(complete)
 
 
-# Where the tokenizer always begins anew, whatever stands around: between a character that is no white space and plain white space, and
-# between these letters and an ASCII character that is no letter. Texts with characters that some call white space and others
-# do not are given to it whole.
+# Where the tokenizer always begins anew, whatever stands around: at a space, if it is not the second of three characters of white space
+# or of two at the end; between a character that is no white space and plain white space; and between these letters and an ASCII
+# character that is no letter. Texts with characters that some call white space and others do not are given to it whole.
 _BLANKS, _LETTERS = r" \t\n\r\f\v", "A-Za-zÀ-ÖØ-öø-ÿ"
 _STRETCH = re.compile(rf"[{_BLANKS}]*(?:[{_LETTERS}]+(?=[\x00-@\[-`{{-\x7f]|\Z)|[^{_BLANKS}]+)|[{_BLANKS}]+")
 _PLAIN = re.compile(f" ?[{_LETTERS}]+")
-_DOUBTFUL = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁯　﻿]")
+_WIDE = re.compile(rf"[{_BLANKS}] (?:[{_BLANKS}]|\Z)")
+_DOUBTFUL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
+
+
+def _alphabet() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else the next one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [k for k in range(256) if k not in set(seen)]
+    return {k: chr(k) for k in seen} | {k: chr(256 + n) for n, k in enumerate(others)}
 
 
 class Tokens:
-    """Token ids of texts as little-endian unsigned 16-bit numbers; different stretches are tokenized once."""
+    """Token ids of texts as little-endian unsigned 16-bit numbers, by the library; different pieces are tokenized once.
+
+    A text is cut before its spaces. A piece that is one word for the tokenizer goes to the library's merging model at once, in the
+    alphabet of bytes, any other through the whole tokenizer, stretch by stretch.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._alphabet = _alphabet()
         self._known: dict[str, bytes] = {}
-        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
-        #: Bytes of each id's text: one for each letter of a byte-level vocabulary.
-        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
-        for token, k in vocabulary.items():
-            self._bytes[k] = len(token)
-
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        found = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        if any(len(ids) and ids.max() >= 1 << 16 for ids in found):
-            raise ValueError("ids of 65536 and more have no place in these files")
-        return found
-
-    def _learn(self, stretches: set[str]) -> None:
-        """Plain words are tokenized many at once, a line each, and the ids dealt out by their bytes."""
-        plain = [s for s in stretches if _PLAIN.fullmatch(s)]
-        for at in range(0, len(plain), JOINED):
-            some = plain[at : at + JOINED]
-            ids = self._encoded(["\n".join(some)])[0]
-            ends = np.cumsum([len(s.encode()) + 1 for s in some]) - 1
-            last = 2 * np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 2
-            code, begin = ids.astype("<u2").tobytes(), 0
-            for stretch, end in zip(some, last.tolist(), strict=True):
-                self._known[stretch] = code[begin:end]
-                begin = end + 2  # the line break is one id
-        others = list(stretches.difference(plain))
-        self._known.update((s, ids.astype("<u2").tobytes()) for s, ids in zip(others, self._encoded(others), strict=True))
+        self._held = 0
+
+    def _packed(self, ids: list[int]) -> bytes:
+        try:
+            return struct.pack(f"<{len(ids)}H", *ids)
+        except struct.error as error:
+            raise ValueError("ids of 65536 and more have no place in these files") from error
+
+    def _whole(self, text: str) -> bytes:
+        return self._packed(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _learn(self, pieces: set[str]) -> None:
+        known, tokenize, alphabet, others = self._known, self._model.tokenize, self._alphabet, []
+        for piece in pieces:
+            if _PLAIN.fullmatch(piece):
+                letters = piece if piece.isascii() else piece.encode().decode("latin-1")
+                known[piece] = self._packed([t.id for t in tokenize(letters.translate(alphabet))])
+            else:
+                others.append((piece, _STRETCH.findall(piece)))
+        if others:
+            self._learn_others(others)
+        self._held += sum(map(len, pieces))
+
+    def _learn_others(self, others: list[tuple[str, list[str]]]) -> None:
+        """Pieces of several stretches, and stretches that are no plain word."""
+        known = self._known
+        fresh = {s for _, stretches in others for s in stretches if s not in known}
+        plain = {s for s in fresh if _PLAIN.fullmatch(s)}
+        self._learn(plain)
+        rest = list(fresh - plain)
+        found = self._tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        known.update((s, self._packed(e.ids)) for s, e in zip(rest, found, strict=True))
+        known.update((piece, b"".join(map(known.__getitem__, stretches))) for piece, stretches in others)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         known = self._known
-        if len(known) > REMEMBERED:
+        if self._held > REMEMBERED:
             known.clear()
-        parts = [None if _DOUBTFUL.search(t) else _STRETCH.findall(t) for t in texts]
-        codes = [None if p is None else list(map(known.get, p)) for p in parts]
-        fresh = {s for p, c in zip(parts, codes, strict=True) if p and None in c for s, x in zip(p, c, strict=True) if x is None}
+            self._held = 0
+        parts = [None if _DOUBTFUL.search(t) else _STRETCH.findall(t) if _WIDE.search(t) else _pieces(t) for t in texts]
+        fresh = set().union(*(p for p in parts if p)).difference(known)
         if fresh:
             self._learn(fresh)
-        return [self._encoded([t])[0].astype("<u2").tobytes() if p is None else b"".join(map(known.__getitem__, p) if None in c else c)
-                for t, p, c in zip(texts, parts, codes, strict=True)]
+        return [self._whole(t) if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, parts, strict=True)]
+
+
+def _pieces(text: str) -> list[str]:
+    """The text cut before each space."""
+    pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else _STRETCH.findall(text)
+    return pieces if pieces[0] else pieces[1:]
 
 
 @lru_cache(maxsize=2)

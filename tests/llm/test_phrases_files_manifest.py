@@ -273,3 +273,16 @@ def test_samples_are_bounded_by_rows(spark):
     assert langid.training_sample(many.unionAll(many), F.lit(True), "doc_id", "text", "lang").count() == langid.ROWS_PER_LANGUAGE
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     assert toxicity.training_sample(same, labels, lambda c: F.lit(True)).count() == 1
+
+
+def test_pieces_of_texts_have_the_ids_of_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, own, r = Tokenizer.from_file(path), rangecoder.Tokens(path), random.Random(12)
+    parts = [" ", "  ", "   ", "\n", "\t", " \n", "\r\n", "\0", "\x0b", "\x1f", "\xa0", "　", "﻿", "a", "don't", "'s", "é", "ß", "ñan", "日本",
+             "е", "ا", "́", "😀", "1", "12", ".", ",", "Ab", "!!", "_", "x" * 50, "<|endoftext|>"]
+    for _ in range(4000):
+        texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(3)]
+        assert [np.frombuffer(x, "<u2").tolist() for x in own.ids(texts)] == [
+            e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    own._held = rangecoder.REMEMBERED + 1
+    assert own.ids([""]) == [b""] and not own._known
