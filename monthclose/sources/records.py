@@ -11,6 +11,7 @@ A quote is taken to open or close a field wherever it stands. A field that is ne
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 QUOTE = '"'
+#: Bytes of lines that a Python worker is handed, and takes apart, at once; a longer line comes alone.
+BATCH_BYTES = 4 << 20
 
 
 def split_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -43,6 +46,14 @@ def cut_splits(lines: DataFrame) -> DataFrame:
             .where("inside").select("path", "block", "owner"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the lines of each part have few bytes, however long or many they are."""
+    for lines in batches:
+        part = np.cumsum(pc.binary_length(lines.column("value")).to_numpy(zero_copy_only=False), dtype=np.int64) // BATCH_BYTES
+        for start, end in pairwise([0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lines)]):
+            yield lines.slice(start, end - start)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], header: bool) -> Iterator[pa.RecordBatch]:
     """Whole records, and pieces of those that begin or end in another split.
 
@@ -61,7 +72,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], header: bool) -> Iterator[pa.Reco
     def leftover() -> list[tuple]:
         return [(at[2], at[0], owner, at[1], False, b"\n".join(held))] if held else []
 
-    for lines in batches:
+    for lines in _slices(batches):
         values = lines.column("value")
         odd = (pc.count_substring(values, pattern=QUOTE).to_numpy() & 1).astype(bool)
         text, paths, files = values.to_pylist(), lines.column("path").to_pylist(), lines.column("file").to_pylist()
@@ -94,7 +105,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], header: bool) -> Iterator[pa.Reco
 
 def whole_records(spark: SparkSession, paths: Sequence[str], header: bool = False) -> DataFrame:
     """(value, file): the undecoded text of each record, without its last line break. Empty ones are left out, and with ``header`` the
-    first of each file."""
+    first of each file.
+
+    The setting for the bytes of Arrow batches stays: the frame is run later."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     lines = split_lines(spark, paths)
     cut = cut_splits(lines).persist()
     some = not cut.isEmpty()

@@ -6,10 +6,11 @@ import random
 import zipfile
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from monthclose.sources import delimited, encoding, files, jdbc, layouts, scan
+from monthclose.sources import delimited, encoding, files, jdbc, layouts, records, scan
 from monthclose.sources.layouts import table_spec
 from monthclose.sources.lines import raw_lines
 
@@ -240,6 +241,19 @@ def test_one_file_with_quoted_line_breaks_is_read_by_many_tasks(spark, tmp_path)
         (k, f'{"line " * (k % 50)}\n{"x" * (k % 97)}"|\n', k * 2) for k in range(4000)]
 
 
+def test_records_are_handed_on_in_small_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "BATCH_BYTES", 10_000)
+    lines = [b'%d|"%s|' % (k // 2, b"x" * 900) if k % 2 == 0 else b'y"|z' for k in range(200)] + [b"w" * 30_000, b"v"]
+    batch = pa.RecordBatch.from_pydict({
+        "value": lines, "path": ["p"] * 202, "file": ["f"] * 202, "block": [0] * 202, "owner": pa.array([None] * 202, pa.int64())})
+    out = [b.column("record").to_pylist() for b in records._pieces(iter([batch, batch.slice(0, 0)]), header=False)]
+    assert sum(out, []) == [b"\n".join(lines[k : k + 2]) for k in range(0, 200, 2)] + lines[200:]
+    assert all(sum(map(len, b)) < 12_000 or len(b) <= 2 for b in out) and len(out) > 9
+    write(tmp_path / "x.dat", b'1|"a\nb"\n')
+    assert records.whole_records(spark, [str(tmp_path / "x.dat")]).count() == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "10000"
+
+
 def test_csv_that_spans_lines_has_one_header_per_file(spark, tmp_path):
     write(tmp_path / "x_1.csv", b'k,s\n1,"a\n"\nk,s\n2\n')
     write(tmp_path / "x_2.csv", b'k,s\n3,"b,\nc"\n')
