@@ -54,12 +54,12 @@ def joined(delimiter: str, *columns: Column) -> Column:
 
 
 def write_lines(
-    df: DataFrame, value: Column, path: str, encoding: str = "utf-8", compression: str = "none"
+    df: DataFrame, value: Column, path: str, encoding: str = "utf-8", compression: str = "none", file_rows: int = 0
 ) -> str:
-    """Write one text line per row, in an encoding."""
+    """Write one text line per row, in an encoding; ``file_rows`` is the most that a file of the folder holds (0: no limit)."""
     with charset_settings(df.sparkSession):
         raw = df.select(encoded(value, encoding).cast("string").alias("value"))
-    raw.write.option("compression", compression).text(path)
+    raw.write.option("compression", compression).option("maxRecordsPerFile", file_rows).text(path)
     return path
 
 

@@ -22,6 +22,9 @@ from monthclose.sources.delimited import BAD, parse_strict
 from monthclose.sources.files import list_names, rename, touch, work_dir
 from monthclose.streaming.arrivals import arrivals, load_arrivals
 
+#: Lines of one file of the premium job's extracts.
+EXTRACT_ROWS = 100_000
+
 
 def _lines(spark, sf):
     return table(spark, sf, "lineitem").select(
@@ -297,12 +300,10 @@ def m10_job_premium(spark, sf):
         "AP_PRM": F.col("o_totalprice"),
         "BZCS_DV_PS": F.lit(1),
     }
-    write_lines(
-        lines, fixed_line(FIO841["cols"], income), f"{folder}/{FIO841['file'].format(yyyymm=MONTH)}"
-    )
-    write_lines(
-        orders, fixed_line(FIO843["cols"], held), f"{folder}/{FIO843['file'].format(yyyymm=MONTH)}"
-    )
+    # Most of a line is blank. A compressed file is read by one task, so there are many small ones.
+    for rows, values, settings in ((lines, income, FIO841), (orders, held, FIO843)):
+        path = f"{folder}/{settings['file'].format(yyyymm=MONTH)}"
+        write_lines(rows, fixed_line(settings["cols"], values), path, compression="gzip", file_rows=EXTRACT_ROWS)
     # These extracts hold every month of their tables.
     tables = {name: {**settings, "many_months": True} for name, settings in premium.JOB.tables.items()}
     report = run_job(store, replace(premium.JOB, tables=tables), folder, f"{folder}/out")

@@ -1,9 +1,12 @@
 import gzip
+from datetime import datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from monthclose.bindings import tables
+from monthclose.bindings.common import SCHEMAS
 from monthclose.operators.store import MonthStore
 from monthclose.plans import allocation, closing, monthly, premium, samples
 from monthclose.plans.job import Job, run_job, run_jobs
@@ -216,3 +219,20 @@ def test_booking_accounts(spark, channel, account):
     df = spark.createDataFrame([(channel,)], "c string")
     got = df.select(allocation.booking_account(F.col("c"), allocation.DEFERRAL_ACCOUNTS)).head()[0]
     assert got == account
+
+
+def test_extracts_of_the_premium_job_are_small_files(spark, tmp_path, monkeypatch):
+    """A blank-padded line of the income extract has 253 bytes; the folder holds a small part of that, in several files."""
+    day = datetime(1998, 3, 5)
+    lines = [(k, 1, 1, 1, 2.0, k + 0.25, 0.0, 0.0, "N", "OF"[k % 2], day) for k in range(2500)]
+    orders = [(k, 1, "OFP"[k % 3], 0.5, day, "1-URGENT") for k in range(300)]
+    for name, values in (("lineitem", lines), ("orders", orders)):
+        spark.createDataFrame(values, SCHEMAS[name]).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(tables, "work_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(tables, "EXTRACT_ROWS", 1000)
+    got = {r["INS_IMCD"]: (r["RP_PRM"], r["AF_PRM"], r["AP_PRM"]) for r in tables.m10_job_premium(spark, str(tmp_path)).collect()}
+    assert got == {
+        "O": (sum(range(0, 2500, 2)) + 1250 * 0.25, 2500.0, 50.0), "F": (sum(range(1, 2500, 2)) + 1250 * 0.25, 2500.0, 50.0),
+        "P": (None, None, 50.0)}
+    extract = list((tmp_path / "m10f").glob("*841*/part-*"))
+    assert len(extract) == 3 and sum(f.stat().st_size for f in extract) < 2500 * 253 / 5
