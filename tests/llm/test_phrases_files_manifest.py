@@ -286,3 +286,35 @@ def test_pieces_of_texts_have_the_ids_of_whole_texts():
             e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
     own._held = rangecoder.REMEMBERED + 1
     assert own.ids([""]) == [b""] and not own._known
+
+
+def test_new_words_reach_the_merging_model_many_at_once():
+    path, r = public_tokenizers.path("byte_bpe_50k.json"), random.Random(5)
+    own, calls = rangecoder.Tokens(path), []
+    model = own._model
+
+    class Counted:
+        def tokenize(self, letters):
+            calls.append(letters)
+            return model.tokenize(letters)
+
+    own._model = Counted()
+    words = {"".join(r.choice("abcdeéñ") for _ in range(r.randint(3, 12))) for _ in range(3000)}
+    texts = [" ".join(words), "\n".join(words), ", ".join(words), "x" * 500]
+    whole = Tokenizer.from_file(path)
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u2").tolist() for x in own.ids(texts)] == [
+            e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert 0 < len(calls) <= 2 * len(words) // rangecoder.TOGETHER + 2 and "x" * 500 not in "".join(calls)
+    assert all(len(x) <= rangecoder.LONGEST for x in own._known)
+
+
+def test_carries_run_back_over_words():
+    """Ids whose code lies at the upper end of each range: every step adds as much as it can."""
+    r = np.random.default_rng(8)
+    for n in (1, 5, 300):
+        frequency = np.zeros(9, np.int64)
+        frequency[[0, 8]] = 1, 65535
+        ids = np.where(r.random((400, n)) < 0.97, 8, 0).astype(np.uint16)
+        lengths = np.full(n, 400)
+        assert np.array_equal(rangecoder.decode(rangecoder.encode(ids, lengths, frequency), lengths, frequency), ids)
