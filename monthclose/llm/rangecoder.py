@@ -452,8 +452,11 @@ class Tokens:
         self._add(np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum())), sizes)
 
     def _learn(self, pieces: pa.BinaryArray) -> np.ndarray:
-        """The numbers of new pieces; long ones have theirs until the next texts."""
-        n, size = len(self._bounds) - 1, pc.binary_length(pieces).to_numpy(zero_copy_only=False)
+        """The numbers of new pieces; long ones have theirs until the next call."""
+        n = len(self._known)
+        self._bounds = self._bounds[: n + 1]
+        self._ids = self._ids[: self._bounds[-1]]
+        size = pc.binary_length(pieces).to_numpy(zero_copy_only=False)
         word = pc.match_substring_regex(pieces.view(pa.string()), _PLAIN).to_numpy(zero_copy_only=False) & self._separates & (size <= LONGEST)
         order = np.argsort(np.where(word, 0, np.where(size <= LONGEST, 1, 2)), kind="stable")
         words, short = int(word.sum()), int((size <= LONGEST).sum())
@@ -472,6 +475,7 @@ class Tokens:
         """The ids of all texts behind one another, and where those of each text begin (and the last ones end)."""
         if self._held > REMEMBERED:
             self._forget()
+        texts = texts.cast(pa.string())
         data, starts = _buffers(texts)
         if not data:
             return np.zeros(0, "<u2"), np.zeros(len(texts) + 1, np.int64)
@@ -490,10 +494,7 @@ class Tokens:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         place = np.repeat(first.take(which) - ends[:-1], sizes)
         place += np.arange(len(place))
-        found = self._ids.take(place)
-        self._bounds = self._bounds[: len(self._known) + 1]
-        self._ids = self._ids[: self._bounds[-1]]
-        return found, ends[np.searchsorted(begins, starts)]
+        return self._ids.take(place), ends[np.searchsorted(begins, starts)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         ids, bounds = self.stream(pa.array(texts, pa.string()))
@@ -508,7 +509,8 @@ def tokens(path: str) -> Tokens:
 def _together(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Rows whose texts have ``TEXTS`` bytes, the last one's excess aside."""
     part = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64) // TEXTS
-    for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]):
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)] if len(batch) else []
+    for a, b in itertools.pairwise(bounds):
         yield batch.slice(a, b - a)
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -318,3 +319,29 @@ def test_carries_run_back_over_words():
         ids = np.where(r.random((400, n)) < 0.97, 8, 0).astype(np.uint16)
         lengths = np.full(n, 400)
         assert np.array_equal(rangecoder.decode(rangecoder.encode(ids, lengths, frequency), lengths, frequency), ids)
+
+
+def test_pieces_are_cut_where_the_tokenizer_begins_anew():
+    """Signs, digits, contractions, blanks and letters of several alphabets side by side; long pieces and a failed call leave no trace."""
+    path, r = public_tokenizers.path("byte_bpe_50k.json"), random.Random(3)
+    whole, own = Tokenizer.from_file(path), rangecoder.Tokens(path)
+    parts = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "\0", "\x0b", "a", "Zoo", "don't", "'s", "'", "\"", "é", "Éa", "×", "÷", "²", "½", "日本", "ا",
+             "́", "12", "٣", "a1", ".", ",", "-", "!!", "_", "x" * 70, "’s", "“", "<|endoftext|>", "<|", "foo"]
+
+    def check(texts):
+        assert [np.frombuffer(x, "<u2").tolist() for x in own.ids(texts)] == [
+            e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+    for _ in range(20):
+        check(["".join(r.choice(parts) for _ in range(r.randint(0, 9))) for _ in range(500)])
+    tokenizer, own._tokenizer = own._tokenizer, None
+    with pytest.raises(AttributeError):
+        own.ids(["some unseen words", "½½½unseen"])
+    own._tokenizer = tokenizer
+    check(["foo", "some unseen words", "½½½unseen", "y" * 90, "foo"])
+    assert not list(rangecoder._together(docs_batch([])))
+    assert [len(x) for x in rangecoder._together(docs_batch(["z" * (rangecoder.TEXTS // 2)] * 5))] == [1, 2, 2]
+
+
+def docs_batch(texts):
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
