@@ -7,6 +7,10 @@ fewer) agrees in at least ``AGREE`` of its places. The masks are chosen by the l
 that many places can disagree leaves some mask of its set somewhere in the run without a disagreement. A mask begins and ends with
 a place that is hashed, so that this also holds where an item hangs over an end of a document.
 
+The seeds of a small benchmark are broadcast. Those of a larger one are broadcast as bits only, ``BITS`` for each in words of 64: a
+document's seed that finds all its bits set is shuffled to the seeds of the items, the others (nearly all) end in their task. Texts
+are read again for the documents that share a seed with an item, and laid under the items there.
+
 Words are runs of letters and digits, lower case. Defined results: NULL or wordless texts and items match nothing; an item of up to
 three words must occur word for word; repeated documents each match; repeated items are one; a NULL id stays NULL. An
 empty benchmark or table gives no rows.
@@ -38,6 +42,9 @@ MASKS_OF = {
 }
 #: Rows of benchmark seeds, and of found ids, that are broadcast at most; beyond them both sides are shuffled.
 BROADCAST_ROWS = 200_000
+#: Bits for each seed of a benchmark that is not broadcast, and the largest number of 64-bit words: with more seeds each has fewer
+#: bits, more seeds of documents pass and are shuffled, and the result is the same.
+BITS, MOST_WORDS = 16, 1 << 21
 
 
 def words(text: Column) -> Column:
@@ -81,33 +88,67 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     sizes = items.groupBy(F.least(F.size("item_words"), F.lit(RUN)).alias("n"), F.size("item_words").alias("words")).agg(
         F.count("*").alias("c")).collect()  # bounded by lengths
     seeds = sum(r["c"] * sum(r["words"] - len(m) + 1 for m in MASKS_OF[r["n"]]) for r in sizes)
-    own = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     lengths = sorted({r["n"] for r in sizes}) or [RUN]
-    found = _found(own, items, lengths, seeds <= BROADCAST_ROWS)
+    laid = _laid_small(own, items, lengths) if seeds <= BROADCAST_ROWS else _laid_large(own, items, lengths, seeds)
+    needed = F.ceil(F.least(F.size("item_words"), F.lit(RUN)) * AGREE)
+    found = laid.select("id", "item", _agreement().alias("agreeing"), needed.alias("needed")).where("agreeing >= needed")
     return found.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(F.max("agreeing").alias("agreeing"))
 
 
-def _found(own: DataFrame, items: DataFrame, lengths: list[int], small: bool) -> DataFrame:
-    """(id, item, agreeing) of the overlaps that count; ``lengths`` are the words of the items' runs."""
-    masks = tuple(sorted({m for n in lengths for m in MASKS_OF[n]}))
+def _index(items: DataFrame, lengths: list[int]) -> DataFrame:
+    """(seed, item, item_size, item_at) of the items; ``lengths`` are the words of their runs."""
     index = None
     for n in lengths:
         some = items.where(F.least(F.size("item_words"), F.lit(RUN)) == n)
-        part = _exploded(some, ["item", "item_words"], "item_words", MASKS_OF[n]).select("seed", "item", F.col("at").alias("item_at"))
+        part = _exploded(some, ["item", "item_words"], "item_words", MASKS_OF[n]).select(
+            "seed", "item", F.col("n").alias("item_size"), F.col("at").alias("item_at"))
         index = part if index is None else index.unionByName(part)
+    return index
+
+
+def _masks(lengths: list[int]) -> tuple[str, ...]:
+    return tuple(sorted({m for n in lengths for m in MASKS_OF[n]}))
+
+
+def _under(size: str) -> list[Column]:
+    """(words, offset) with the words of the document that lie under an item of that size alone, so that no row holds a whole text."""
+    offset = F.col("offset")
+    return [F.slice("words", F.greatest(offset, F.lit(0)) + 1, F.col(size)).alias("words"), F.least(offset, F.lit(0)).alias("offset")]
+
+
+def _laid_small(own: DataFrame, items: DataFrame, lengths: list[int]) -> DataFrame:
+    """(id, words, item, item_words, offset) of the shared seeds. The index fits every executor, and no text leaves its task."""
+    split = own.select("id", words(F.col("text")).alias("words"))
+    hits = _exploded(split, ["id", "words"], "words", _masks(lengths)).join(F.broadcast(_index(items, lengths)), "seed")
+    hits = hits.withColumn("offset", F.col("at") - F.col("item_at")).select("id", "item", *_under("item_size"))
+    return hits.join(F.broadcast(items), "item")
+
+
+def _laid_large(own: DataFrame, items: DataFrame, lengths: list[int], seeds: int) -> DataFrame:
+    """The same for an index that is not broadcast."""
+    items = stored(items, "items")
+    index = stored(_index(items, lengths), "seeds")
+    keyed = own.where("text is not null").withColumn("row", F.xxhash64("id", "text"))
+    split = keyed.select("row", words(F.col("text")).alias("words"))
+    likely = _likely(_exploded(split, ["row", "words"], "words", _masks(lengths)), index, seeds)
     offset = (F.col("at") - F.col("item_at")).alias("offset")
-    if small:
-        # The count of seeds was checked: the index fits every executor, and no text leaves its task.
-        hits = _exploded(own, ["id", "words"], "words", masks).join(F.broadcast(index), "seed")
-        laid = hits.select("id", "words", "item", offset).join(F.broadcast(items), "item")
-    else:
-        keyed = own.withColumn("row", F.xxhash64("id", "words"))
-        hits = _exploded(keyed, ["row", "words"], "words", masks).select("row", "seed", "at").join(index, "seed")
-        hits = hits.select("row", "item", offset).distinct()
-        laid = hits.join(items, "item").join(keyed.dropDuplicates(["row"]), "row")
-    needed = F.ceil(F.least(F.size("item_words"), F.lit(RUN)) * AGREE)
-    return (laid.select("id", "item", _agreement().alias("agreeing"), needed.alias("needed"))
-            .where("agreeing >= needed").select("id", "item", "agreeing"))
+    hits = stored(likely.join(index, "seed").select("row", "item", offset).distinct(), "hits")
+    rows = stored(hits.select("row").distinct(), "rows")
+    few = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    texts = keyed.join(few, "row", "left_semi").select("row", "id", words(F.col("text")).alias("words"))
+    # A merge join: the words are made before the exchange, once for each document.
+    laid = hits.join(items, "item").hint("merge").join(texts, "row").withColumn("item_size", F.size("item_words"))
+    return laid.select("id", "item", "item_words", *_under("item_size"))
+
+
+def _likely(rows: DataFrame, index: DataFrame, seeds: int) -> DataFrame:
+    """(row, seed, at) of the rows whose seed has all its bits set by seeds of the index: those that are there, and a few others."""
+    count = min(MOST_WORDS, 1 << max(0, (seeds * BITS // 64).bit_length()))
+    place = F.col("seed").bitwiseAND(F.lit(count - 1))
+    own = F.expr(" | ".join(f"shiftleft(1L, cast(shiftright(seed, {k}) & 63 AS int))" for k in (24, 30, 36, 42)))
+    bits = index.select(place.alias("place"), own.alias("bits")).groupBy("place").agg(F.bit_or("bits").alias("bits"))
+    return rows.join(F.broadcast(bits), (place == F.col("place")) & (F.col("bits").bitwiseAND(own) == own)).select("row", "seed", "at")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
